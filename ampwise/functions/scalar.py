@@ -18,9 +18,13 @@ def _c(x) -> Column:
 
 
 def r6(c, digits: int = 6) -> Column:
-    """Round to ``digits`` places and normalise -0.0 to 0.0 (stable output)."""
-    r = F.round(_c(c), digits)
-    return F.when(r == 0, F.lit(0.0)).otherwise(r)
+    """Round half up to ``digits`` places as ``floor(x * 10^d + 0.5) / 10^d``.
+
+    Plain IEEE arithmetic, so any engine gives the same double for the same
+    input (decimal rounding of the shortest text form does not), and the
+    result is never -0.0."""
+    p = 10 ** digits
+    return (F.floor(_c(c).cast("double") * p + 0.5) / p).cast("double")
 
 
 def duration_text(seconds) -> Column:

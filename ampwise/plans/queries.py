@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..operators import distance, trips
+from ..operators import distance, stats, trips
 from ..sources import fixture
 from . import sqlfrag as S
 
@@ -121,3 +121,24 @@ def q_record_gaps(spark, sf_dir):
     closer than 5 s to their predecessor dropped."""
     g = trips.with_gap(tele(spark, sf_dir).select("vin", "event_id", "ts", "day"))
     return g.where(F.col("gap_s") > trips.NEAR_DUP_GAP_S).drop("day")
+
+
+# ---------------------------------------------------------------- B8 / A1 / R10
+@register("daily_stats", S.period_stats_sql("strftime(ts, '%Y-%m-%d')"))
+def q_daily_stats(spark, sf_dir):
+    """The full daily stat row per vehicle-day in one grouped pass."""
+    return stats.daily_stats(tele(spark, sf_dir))
+
+
+@register("hourly_stats", S.period_stats_sql("strftime(date_trunc('hour', ts), '%Y-%m-%d %H:00:00')", hourly=True))
+def q_hourly_stats(spark, sf_dir):
+    """Hourly subset (distance, average speed, charging/driving hours, charged energy)."""
+    return stats.hourly_stats(tele(spark, sf_dir))
+
+
+@register("state_counts", f"""{S.WITH_TELE}
+SELECT vin, count(*) AS n_all, count_if({S.charging('CAST(0.000001 AS DOUBLE)')}) AS n_charging,
+       count_if({S.DRIVING}) AS n_driving FROM tele GROUP BY vin""")
+def q_state_counts(spark, sf_dir):
+    """Record counts by state per vehicle."""
+    return stats.state_counts(tele(spark, sf_dir))

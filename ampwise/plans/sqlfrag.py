@@ -20,7 +20,8 @@ def on_battery(min_soc: int = 20) -> str:
 
 
 def r6(expr: str, digits: int = 6) -> str:
-    return f"(CASE WHEN round({expr}, {digits}) = 0 THEN CAST(0.0 AS DOUBLE) ELSE round({expr}, {digits}) END)"
+    p = 10 ** digits
+    return f"CAST(floor(CAST({expr} AS DOUBLE) * {p} + 0.5) / {p} AS DOUBLE)"
 
 
 def gap(prev: str, cur: str) -> str:
@@ -31,3 +32,101 @@ def duration_text(t: str) -> str:
     return (f"(CASE WHEN {t} < 60 THEN printf('%02ds', {t}) "
             f"WHEN {t} < 3600 THEN printf('%02dm%02ds', {t} // 60, {t} % 60) "
             f"ELSE printf('%dh%02dm%02ds', {t} // 3600, ({t} % 3600) // 60, {t} % 60) END)")
+
+
+NUM_STATS_SQL = {
+    "fuel_efficiency": "fuel",
+    "speed_diff": "speed_diff",
+    "cell_volt_diff": "cvd",
+    "soc": "soc",
+    "acc_pedal": "acc_pedal",
+    "battery_volt": "volt",
+}
+
+
+def period_stats_sql(label_expr: str, hourly: bool = False) -> str:
+    """Oracle of :func:`ampwise.operators.stats.period_stats`."""
+    kwh = "* 10 / 3600 / 1000"
+    num_l1 = ",\n".join(
+        f"sum({e}) AS {n}__s, count({e}) AS {n}__n, max({e}) AS {n}__max, min({e}) AS {n}__min"
+        for n, e in NUM_STATS_SQL.items())
+    num_l2 = ",\n".join(
+        f"sum({n}__s) AS {n}__s, sum({n}__n) AS {n}__n, max({n}__max) AS {n}__max, min({n}__min) AS {n}__min"
+        for n in NUM_STATS_SQL)
+    num_out = ",\n".join(
+        f"{r6(f'{n}__s / {n}__n')} AS {n}_avg, {r6(f'{n}__max')} AS {n}_max, {r6(f'{n}__min')} AS {n}_min"
+        for n in NUM_STATS_SQL)
+    summed = ("n n_valid small big n_fuel fsmall bseg_abs speed_sum speed_n n_chg n_drv n_cstart chg_kwh "
+              "thr_kwh cap_ah temp_sum temp_n fuel_cons elec_kwh bat_kwh").split()
+    l2 = ", ".join(f"sum({c}) AS {c}" for c in summed)
+    hours = "* 10 / 3600.0"
+    signed = "CAST(COALESCE(small, 0) AS DOUBLE)"
+    fsigned = "CAST(COALESCE(fsmall, 0) AS DOUBLE)"
+    dob = "CAST(bseg_abs AS DOUBLE)"
+    cols_all = f"""
+  CAST(n AS BIGINT) AS n_records,
+  {r6(f'CASE WHEN n_valid > 0 THEN abs({signed}) END')} AS distance_driven,
+  {r6(f'CASE WHEN n_valid > 0 THEN CAST(COALESCE(big, 0) AS DOUBLE) * sign({signed}) END')} AS odometer_offset,
+  {r6(dob)} AS distance_on_battery,
+  {r6(f'CASE WHEN n_fuel > 0 THEN abs({fsigned}) END')} AS distance_on_fuel,
+  {r6('speed_sum / speed_n')} AS speed_average,
+  CAST(speed_n AS BIGINT) AS speed_n,
+  {r6('speed_max')} AS speed_max,
+  CAST(n_cstart AS BIGINT) AS charged_times,
+  {r6('COALESCE(chg_kwh, 0.0)')} AS charged_energy,
+  {r6(f'n_chg {hours}')} AS charging_hours,
+  {r6(f'n_drv {hours}')} AS driving_hours,
+  {r6('COALESCE(thr_kwh, 0.0)')} AS energy_throughput,
+  {r6('COALESCE(cap_ah, 0.0)')} AS battery_capacity,
+  {r6('temp_sum / temp_n')} AS battery_temp_avg,
+  {r6('temp_max')} AS battery_temp_max,
+  {r6('temp_min')} AS battery_temp_min,
+  {r6('COALESCE(fuel_cons, 0.0)')} AS cum_fuel_consumption,
+  {r6('COALESCE(elec_kwh, 0.0)')} AS cum_elec_energy_consumption,
+  {r6(f'CASE WHEN {dob} > 0 THEN COALESCE(bat_kwh, 0.0) / {dob} END')} AS elec_energy_efficiency,
+  {num_out}"""
+    if hourly:
+        final = "vin, time_label, n_records, distance_driven, speed_average, speed_n, charging_hours, driving_hours, charged_energy, CAST(CAST(time_label AS TIMESTAMP) AS DATE) AS day"
+    else:
+        final = "*, CAST(time_label AS DATE) AS day"
+    return f"""{WITH_TELE},
+f AS (SELECT *, {label_expr} AS time_label, {DRIVING} AS _drv, {charging('0')} AS _chg,
+             {on_battery()} AS _bat, COALESCE(odo > 0, false) AND ts IS NOT NULL AS _valid FROM tele),
+f2 AS (SELECT *, _drv AND NOT _bat AS _fuelrow FROM f),
+w1 AS (SELECT *, lag(_bat) OVER w AS pv_bat, lag(speed) OVER w AS pv_speed,
+         last(CASE WHEN _valid THEN odo END IGNORE NULLS) OVER wp AS pv_odo,
+         last(CASE WHEN _fuelrow AND _valid THEN odo END IGNORE NULLS) OVER wp AS pv_fodo,
+         last(CASE WHEN _bat THEN odo END IGNORE NULLS) OVER wp AS pv_bodo,
+         last(CASE WHEN _chg THEN ts END IGNORE NULLS) OVER wp AS pv_cts
+       FROM f2 WINDOW w AS (PARTITION BY vin, time_label ORDER BY ts, event_id),
+         wp AS (PARTITION BY vin, time_label ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+w2 AS (SELECT *, CASE WHEN _bat AND NOT COALESCE(pv_bat, false) THEN 1 ELSE 0 END AS bstart FROM w1),
+w3 AS (SELECT *, SUM(bstart) OVER (PARTITION BY vin, time_label ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) - bstart AS bseg,
+         CASE WHEN _valid THEN odo - pv_odo END AS step,
+         CASE WHEN _fuelrow AND _valid THEN odo - pv_fodo END AS fstep,
+         CASE WHEN _bat THEN odo - pv_bodo END AS bstep,
+         _chg AND COALESCE({gap('pv_cts', 'ts')} > 600, true) AS cstart,
+         speed - pv_speed AS speed_diff, cell_volt_max - cell_volt_min AS cvd
+       FROM w2),
+l1 AS (SELECT vin, time_label, bseg, count(*) AS n, count_if(_valid) AS n_valid,
+         sum(CASE WHEN abs(step) < 10 THEN step END) AS small,
+         sum(CASE WHEN abs(step) >= 10 THEN step END) AS big,
+         count_if(_fuelrow AND _valid) AS n_fuel,
+         sum(CASE WHEN abs(fstep) < 10 THEN fstep END) AS fsmall,
+         abs(COALESCE(sum(CASE WHEN abs(bstep) < 10 THEN bstep END), 0)) AS bseg_abs,
+         sum(speed) AS speed_sum, count(speed) AS speed_n, max(speed) AS speed_max,
+         count_if(_chg) AS n_chg, count_if(_drv) AS n_drv, count_if(cstart) AS n_cstart,
+         sum(CASE WHEN _chg THEN charge_volt * charge_cur {kwh} END) AS chg_kwh,
+         sum(abs(curr) * volt {kwh}) AS thr_kwh,
+         sum(abs(curr) * 10 / 3600) AS cap_ah,
+         sum(temp_avg) AS temp_sum, count(temp_avg) AS temp_n, max(temp_max) AS temp_max, min(temp_min) AS temp_min,
+         sum(fuel * (CASE WHEN abs(fstep) < 10 THEN fstep END) / 100) AS fuel_cons,
+         sum(CASE WHEN curr > 0 THEN curr * volt {kwh} END) AS elec_kwh,
+         sum(CASE WHEN _bat AND curr > 0 THEN curr * volt {kwh} END) AS bat_kwh,
+         {num_l1}
+       FROM w3 GROUP BY vin, time_label, bseg),
+l2 AS (SELECT vin, time_label, {l2}, max(speed_max) AS speed_max, max(temp_max) AS temp_max,
+         min(temp_min) AS temp_min, {num_l2}
+       FROM l1 GROUP BY vin, time_label),
+res AS (SELECT vin, time_label, {cols_all} FROM l2)
+SELECT {final} FROM res"""
