@@ -141,7 +141,6 @@ def period_stats(df: DataFrame, freq: str = "daily", keys: Sequence[str] = ("vin
     signed = F.coalesce(F.col("small"), F.lit(0)).cast("double")
     fsigned = F.coalesce(F.col("fsmall"), F.lit(0)).cast("double")
     dob = F.col("bseg_abs").cast("double")
-    hours = SAMPLE_SECONDS / 3600
     z = F.lit(0.0)
     out = [
         *gk,
@@ -156,8 +155,8 @@ def period_stats(df: DataFrame, freq: str = "daily", keys: Sequence[str] = ("vin
         r6("speed_max").alias("speed_max"),
         F.col("n_cstart").alias("charged_times"),
         r6(F.coalesce(F.col("chg_kwh"), z)).alias("charged_energy"),
-        r6(F.col("n_chg") * hours).alias("charging_hours"),
-        r6(F.col("n_drv") * hours).alias("driving_hours"),
+        r6(F.col("n_chg") * SAMPLE_SECONDS / 3600.0).alias("charging_hours"),
+        r6(F.col("n_drv") * SAMPLE_SECONDS / 3600.0).alias("driving_hours"),
         r6(F.coalesce(F.col("thr_kwh"), z)).alias("energy_throughput"),
         r6(F.coalesce(F.col("cap_ah"), z)).alias("battery_capacity"),
         r6(F.col("temp_sum") / F.col("temp_n")).alias("battery_temp_avg"),

@@ -51,6 +51,25 @@ def drop_near_duplicates(df: DataFrame, keys: Sequence[str] = ("vin",), order: S
     return with_gap(df, keys, order, bucket).where(F.col("gap_s") > min_gap).drop("gap_s")
 
 
+def label_islands(rows: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence[str] = ORDER,
+                  max_gap_s: int = TRIP_GAP_S, bucket: Column | str | None = DAY_BUCKET,
+                  id_col: str = "trip_no", carry: Sequence[str] = ("odo",)) -> DataFrame:
+    """Number runs of ``rows`` (already filtered to the qualifying records):
+    a run breaks where more than ``max_gap_s`` whole seconds separate a row
+    from the key's previous qualifying row. ``id_col`` counts breaks since the
+    key's first row. For each column ``c`` of ``carry`` the value on the
+    previous row *of the same run* is added as ``_prev_c`` (null on a run's
+    first row), and ``_prev_ts`` likewise."""
+    lags = {"_prev_ts": F.col("ts"), **{f"_prev_{c}": F.col(c) for c in carry}}
+    s = ordered_scan(rows, keys, order, bucket, lags=lags)
+    brk = F.coalesce(gap_seconds("_prev_ts", "ts") > max_gap_s, F.lit(False))
+    s = s.withColumn("_brk", brk)
+    s = ordered_scan(s, keys, order, bucket, cums={id_col: F.col("_brk").cast("long")})
+    for n in lags:
+        s = s.withColumn(n, F.when(~F.col("_brk"), F.col(n)))
+    return s.drop("_brk")
+
+
 def label_trips(df: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence[str] = ORDER,
                 max_gap_s: int = TRIP_GAP_S, bucket: Column | str | None = DAY_BUCKET,
                 driving_only: bool = True) -> DataFrame:
@@ -59,14 +78,10 @@ def label_trips(df: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence[s
     the previous row of the same trip)."""
     rows = df.where(P.driving()) if driving_only else df
     rows = rows.where(P.valid_coordinates())
-    s = ordered_scan(rows, keys, order, bucket,
-                     lags={"_prev_ts": F.col("ts"), "_prev_odo": F.col("odo")})
-    brk = F.coalesce(gap_seconds("_prev_ts", "ts") > max_gap_s, F.lit(False))
-    s = s.withColumn("_brk", brk)
-    s = ordered_scan(s, keys, order, bucket, cums={"trip_no": F.col("_brk").cast("long")})
-    step = F.when(~F.col("_brk") & F.col("_prev_odo").isNotNull() & valid_odometer(),
+    s = label_islands(rows, keys, order, max_gap_s, bucket, "trip_no", ("odo",))
+    step = F.when(F.col("_prev_odo").isNotNull() & valid_odometer(),
                   F.col("odo") - F.col("_prev_odo"))
-    return s.withColumn("_step", step).drop("_prev_ts", "_prev_odo", "_brk")
+    return s.withColumn("_step", step).drop("_prev_ts", "_prev_odo")
 
 
 def trips(df: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence[str] = ORDER,

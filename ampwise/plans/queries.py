@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..operators import distance, stats, trips
+from ..operators import distance, periods, stats, trips
 from ..sources import fixture
 from . import sqlfrag as S
 
@@ -124,13 +124,13 @@ def q_record_gaps(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- B8 / A1 / R10
-@register("daily_stats", S.period_stats_sql("strftime(ts, '%Y-%m-%d')"))
+@register("daily_stats", S.stat_row_sql("strftime(ts, '%Y-%m-%d')"))
 def q_daily_stats(spark, sf_dir):
     """The full daily stat row per vehicle-day in one grouped pass."""
     return stats.daily_stats(tele(spark, sf_dir))
 
 
-@register("hourly_stats", S.period_stats_sql("strftime(date_trunc('hour', ts), '%Y-%m-%d %H:00:00')", hourly=True))
+@register("hourly_stats", S.stat_row_sql("strftime(date_trunc('hour', ts), '%Y-%m-%d %H:00:00')", hourly=True))
 def q_hourly_stats(spark, sf_dir):
     """Hourly subset (distance, average speed, charging/driving hours, charged energy)."""
     return stats.hourly_stats(tele(spark, sf_dir))
@@ -142,3 +142,50 @@ SELECT vin, count(*) AS n_all, count_if({S.charging('CAST(0.000001 AS DOUBLE)')}
 def q_state_counts(spark, sf_dir):
     """Record counts by state per vehicle."""
     return stats.state_counts(tele(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- B9-B13 periods
+FIXTURE_PERIOD_GAP_S = 8 * 3600
+
+
+def _full_soc_sql(charging: bool, delta_min=50, delta_max=100) -> str:
+    lo, hi = ("start_soc", "end_soc") if charging else ("end_soc", "start_soc")
+    return (f"abs(delta_soc) >= {delta_min} AND abs(delta_soc) <= {delta_max} "
+            f"AND {lo} BETWEEN 0 AND 100 AND {hi} BETWEEN 0 AND 100")
+
+
+@register("charging_periods", S.period_stats_sql(S.charging("0"), FIXTURE_PERIOD_GAP_S, 120, 1))
+def q_charging_periods(spark, sf_dir):
+    """B9-B13 (kind 1): charging periods with Ah/kWh sums, trapezoid
+    integration over corrected time, time and SOC compensation."""
+    return periods.periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
+
+
+@register("driving_periods", S.period_stats_sql(S.on_battery(), FIXTURE_PERIOD_GAP_S, 120, 3))
+def q_driving_periods(spark, sf_dir):
+    """B9 (kind 3): driving-on-battery periods (trips on battery)."""
+    return periods.periods(tele(spark, sf_dir), "driving", max_gap_s=FIXTURE_PERIOD_GAP_S)
+
+
+@register("charging_full_soc", S.period_stats_sql(S.charging("0"), FIXTURE_PERIOD_GAP_S, 120, 2,
+                                                 _full_soc_sql(True)))
+def q_charging_full_soc(spark, sf_dir):
+    """Kind 2: charging periods inside the full-SOC windows."""
+    return periods.periods(tele(spark, sf_dir), "charging_full_soc", max_gap_s=FIXTURE_PERIOD_GAP_S)
+
+
+@register("driving_full_soc", S.period_stats_sql(S.on_battery(), FIXTURE_PERIOD_GAP_S, 120, 4,
+                                                _full_soc_sql(False)))
+def q_driving_full_soc(spark, sf_dir):
+    """Kind 4: driving-on-battery periods inside the full-SOC windows."""
+    return periods.periods(tele(spark, sf_dir), "driving_full_soc", max_gap_s=FIXTURE_PERIOD_GAP_S)
+
+
+@register("soc_category_capacity", f"""WITH per AS ({S.period_stats_sql(S.charging("0"), FIXTURE_PERIOD_GAP_S, 120, 1)})
+SELECT CAST(ceil(delta_soc / 10) * 10 AS DOUBLE) AS category, count(*) AS n_periods,
+       {S.r6('avg(normalized_ah_throughput)')} AS normalized_ah_throughput_avg
+FROM per WHERE delta_soc > 40 AND end_soc > 90 GROUP BY 1""")
+def q_soc_category_capacity(spark, sf_dir):
+    """B20 + P17 + F7: capacity by delta-SOC category of charging periods."""
+    per = periods.periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
+    return periods.soc_category_capacity(per)

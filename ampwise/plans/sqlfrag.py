@@ -44,7 +44,7 @@ NUM_STATS_SQL = {
 }
 
 
-def period_stats_sql(label_expr: str, hourly: bool = False) -> str:
+def stat_row_sql(label_expr: str, hourly: bool = False) -> str:
     """Oracle of :func:`ampwise.operators.stats.period_stats`."""
     kwh = "* 10 / 3600 / 1000"
     num_l1 = ",\n".join(
@@ -130,3 +130,66 @@ l2 AS (SELECT vin, time_label, {l2}, max(speed_max) AS speed_max, max(temp_max)
        FROM l1 GROUP BY vin, time_label),
 res AS (SELECT vin, time_label, {cols_all} FROM l2)
 SELECT {final} FROM res"""
+
+
+def period_rows_sql(flag_sql: str, gap_s: int, compaction_s: int = 120) -> str:
+    """CTEs ``d, g, b, t, r`` labelling period rows (oracle of label_periods)."""
+    return f"""
+d AS (SELECT * FROM tele WHERE {flag_sql}),
+g AS (SELECT *, lag(ts) OVER w AS pts, lag(odo) OVER w AS podo, lag(soc) OVER w AS psoc,
+             lag(curr) OVER w AS pcur FROM d WINDOW w AS (PARTITION BY vin ORDER BY ts, event_id)),
+b AS (SELECT *, CASE WHEN pts IS NOT NULL AND {gap('pts', 'ts')} > {gap_s} THEN 1 ELSE 0 END AS brk FROM g),
+t AS (SELECT *, CAST(SUM(brk) OVER (PARTITION BY vin ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS period_no,
+             CASE WHEN brk = 0 THEN pts END AS qts, CASE WHEN brk = 0 THEN podo END AS qodo,
+             CASE WHEN brk = 0 THEN psoc END AS qsoc, CASE WHEN brk = 0 THEN pcur END AS qcur FROM b),
+r AS (SELECT *, CASE WHEN {gap('qts', 'ts')} > {compaction_s} THEN 10 ELSE {gap('qts', 'ts')} END AS dtc,
+             soc - qsoc AS soc_step,
+             CASE WHEN qodo IS NOT NULL AND COALESCE(odo > 0, false) THEN odo - qodo END AS step FROM t)"""
+
+
+def period_stats_sql(flag_sql: str, gap_s: int, compaction_s: int = 120, kind: int = 1,
+                     where: str | None = None) -> str:
+    z = "CAST(0 AS DOUBLE)"
+    h = "* 10 / 3600.0"
+    ads = "abs(end_soc - start_soc)"
+    norm = lambda x: f"CASE WHEN {ads} <> 0 THEN {x} / {ads} * 100 END"
+    secs = gap('start_time', 'end_time')
+    sel = f"""
+SELECT vin, period_no, count_records, start_time, end_time, CAST(end_time AS DATE) AS day,
+  {r6('start_soc')} AS start_soc, {r6('end_soc')} AS end_soc, {r6('end_soc - start_soc')} AS delta_soc,
+  {r6(secs + ' / 3600.0')} AS duration,
+  {r6(f'_ich {h}')} AS ah_charged, {r6(f'_idis {h}')} AS ah_discharged,
+  {r6(f'_ithr {h}')} AS ah_throughput, {r6(f'_icons {h}')} AS ah_consumption,
+  {r6(f'_pch {h} / 1000')} AS kwh_charged, {r6(f'_pdis {h} / 1000')} AS kwh_discharged,
+  {r6(f'_pthr {h} / 1000')} AS kwh_throughput, {r6(f'_pcons {h} / 1000')} AS kwh_consumption,
+  {r6(norm(f'_ithr {h}'))} AS normalized_ah_throughput,
+  {r6(norm(f'_icons {h}'))} AS normalized_ah_consumption,
+  {r6(norm(f'_pthr {h} / 1000'))} AS normalized_kwh_throughput,
+  {r6(norm('distance_driven'))} AS normalized_distance_driven,
+  {r6(f'COALESCE(_trap_thr, {z}) / 3600')} AS ah_throughput_trapz,
+  {r6(f'COALESCE(_trap_cons, {z}) / 3600')} AS ah_consumption_trapz,
+  {r6('_steps_s + 10')} AS real_duration_s,
+  {r6(f'_ithr {h} * (_steps_s + 10) / (count_records * 10)')} AS ah_throughput_time_comp,
+  {r6(f'CASE WHEN _soc_seen > 0 THEN _ithr {h} * {ads} / _soc_seen END')} AS ah_throughput_soc_comp,
+  {r6(f'CASE WHEN {secs} > 0 THEN ({secs} - count_records * 10) / {secs} * 100 END')} AS missing_time_pct,
+  {r6('battery_temp_min')} AS battery_temp_min, {r6('battery_temp_max')} AS battery_temp_max,
+  {r6('_tavg')} AS battery_temp_avg, {r6('_cvd')} AS cell_volt_diff_mean,
+  distance_driven, {kind} AS kind
+FROM a"""
+    return f"""{WITH_TELE}, {period_rows_sql(flag_sql, gap_s, compaction_s)},
+a AS (SELECT vin, period_no, count(*) AS count_records,
+        arg_min(ts, (ts, event_id)) AS start_time, arg_max(ts, (ts, event_id)) AS end_time,
+        arg_min(soc, (ts, event_id)) AS start_soc, arg_max(soc, (ts, event_id)) AS end_soc,
+        sum(greatest(curr, {z})) AS _ich, sum(greatest(-curr, {z})) AS _idis,
+        sum(abs(curr)) AS _ithr, sum(curr) AS _icons,
+        sum(greatest(curr, {z}) * volt) AS _pch, sum(greatest(-curr, {z}) * volt) AS _pdis,
+        sum(abs(curr) * volt) AS _pthr, sum(curr * volt) AS _pcons,
+        sum((abs(curr) + abs(qcur)) / 2 * dtc) AS _trap_thr, sum((curr + qcur) / 2 * dtc) AS _trap_cons,
+        sum(dtc) AS _steps_s, sum(CASE WHEN abs(soc_step) <= 1 THEN abs(soc_step) END) AS _soc_seen,
+        min(temp_min) AS battery_temp_min, max(temp_max) AS battery_temp_max, avg(temp_avg) AS _tavg,
+        avg(cell_volt_max - cell_volt_min) AS _cvd,
+        CASE WHEN count_if(COALESCE(odo > 0, false)) > 0 THEN
+          {r6('abs(CAST(COALESCE(sum(CASE WHEN abs(step) < 10 THEN step END), 0) AS DOUBLE))')} END AS distance_driven
+      FROM r GROUP BY vin, period_no HAVING count(*) >= 2),
+p AS ({sel})
+SELECT * FROM p {('WHERE ' + where) if where else ''}"""
