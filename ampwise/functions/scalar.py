@@ -27,6 +27,13 @@ def r6(c, digits: int = 6) -> Column:
     return (F.floor(_c(c).cast("double") * p + 0.5) / p).cast("double")
 
 
+def avg6(c) -> Column:
+    """Mean of values already rounded to 6 places, summed exactly as integer
+    micro-units (summation order then cannot change the rounded result)."""
+    x = _c(c)
+    return F.sum(F.round(x * 1_000_000).cast("long")) / F.count(x) / 1_000_000
+
+
 def duration_text(seconds) -> Column:
     """``05s``, ``02m05s`` or ``1h02m05s`` from a duration in seconds
     (truncated to whole seconds first)."""

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..functions.scalar import SAMPLE_SECONDS, gap_seconds, r6
+from ..functions.scalar import SAMPLE_SECONDS, avg6, gap_seconds, r6
 from .distance import JUMP_THRESHOLD, ORDER, distance_aggs, valid_odometer
 from .trips import DAY_BUCKET, label_islands
 
@@ -186,7 +186,7 @@ def soc_category_capacity(per: DataFrame, step: float = 10, value: str = "normal
     of ``value`` per ``ceil(by / step) * step`` category (F7)."""
     sel = per.where(P.soc_window(delta_min, end_min))
     return (sel.groupBy((F.ceil(F.col(by) / step) * step).cast("double").alias("category"))
-            .agg(F.count("*").alias("n_periods"), r6(F.avg(value)).alias(f"{value}_avg")))
+            .agg(F.count("*").alias("n_periods"), r6(avg6(value)).alias(f"{value}_avg")))
 
 
 def low_capacity_periods(per: DataFrame, threshold: float,

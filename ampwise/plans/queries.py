@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..operators import distance, periods, stats, trips
+from ..operators import distance, periods, ranking, stats, trips
 from ..sources import fixture
 from . import sqlfrag as S
 
@@ -183,9 +183,152 @@ def q_driving_full_soc(spark, sf_dir):
 
 @register("soc_category_capacity", f"""WITH per AS ({S.period_stats_sql(S.charging("0"), FIXTURE_PERIOD_GAP_S, 120, 1)})
 SELECT CAST(ceil(delta_soc / 10) * 10 AS DOUBLE) AS category, count(*) AS n_periods,
-       {S.r6('avg(normalized_ah_throughput)')} AS normalized_ah_throughput_avg
+       {S.r6(S.avg6('normalized_ah_throughput'))} AS normalized_ah_throughput_avg
 FROM per WHERE delta_soc > 40 AND end_soc > 90 GROUP BY 1""")
 def q_soc_category_capacity(spark, sf_dir):
     """B20 + P17 + F7: capacity by delta-SOC category of charging periods."""
     per = periods.periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
     return periods.soc_category_capacity(per)
+
+
+# ---------------------------------------------------------------- rankings
+FIXTURE_VINTYPE = "AUTOMOBILE"
+_VEH_SQL = f"(SELECT c_custkey FROM customer WHERE c_mktsegment = '{FIXTURE_VINTYPE}')"
+
+
+def _per(spark, sf_dir, kind):
+    return periods.periods(tele(spark, sf_dir), kind, max_gap_s=FIXTURE_PERIOD_GAP_S)
+
+
+def _per_sql(kind: str) -> str:
+    flag = S.charging("0") if kind.startswith("charging") else S.on_battery()
+    k = periods.KIND[kind]
+    where = _full_soc_sql(kind.startswith("charging")) if kind.endswith("full_soc") else None
+    return S.period_stats_sql(flag, FIXTURE_PERIOD_GAP_S, 120, k, where)
+
+
+def _by_vehicle_sql(src: str, spec: dict, extra_where: str = "") -> str:
+    aggs = []
+    for col, names in spec.items():
+        for a in names:
+            e = {"wmean": f"CASE WHEN count({col}) = count(*) THEN sum(_w * {col}) / sum(_w) END",
+                 "count": f"count({col})", "min": f"min({col})", "max": f"max({col})",
+                 "mean": S.avg6(col)}[a]
+            aggs.append(f"{S.r6(e) if a != 'count' else e} AS {col}_{a}")
+    return f"""(SELECT vin, {', '.join(aggs)} FROM
+      (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY end_time, period_no)
+                 / count(*) OVER (PARTITION BY vin) / 2 + 0.5 AS _w
+       FROM {src} WHERE vin IN {_VEH_SQL} AND day > CAST(_end - INTERVAL 30 DAY AS DATE) {extra_where}) x
+      GROUP BY vin)"""
+
+
+_BASE_SPEC = {"cell_volt_diff_mean": ("wmean", "count"), "battery_temp_min": ("min",),
+              "battery_temp_max": ("max",), "battery_temp_avg": ("mean",)}
+
+
+def _ranking_sql(min_records=1, min_periods=1) -> str:
+    cw = f"AND count_records > {min_records}"
+    chg = _by_vehicle_sql("(SELECT * FROM cp, e)", _BASE_SPEC, cw)
+    drv = _by_vehicle_sql("(SELECT * FROM dp, e)", _BASE_SPEC, cw)
+    cf = _by_vehicle_sql("(SELECT * FROM cf, e)", {"normalized_ah_throughput": ("wmean", "count")})
+    df_ = _by_vehicle_sql("(SELECT * FROM df, e)", {"normalized_ah_consumption": ("wmean", "count"),
+                                                   "normalized_distance_driven": ("wmean",)})
+    return f"""WITH cp AS ({_per_sql('charging')}), dp AS ({_per_sql('driving')}),
+cf AS ({_per_sql('charging_full_soc')}), df AS ({_per_sql('driving_full_soc')}),
+e AS (SELECT max(day) AS _end FROM dp),
+c1 AS (SELECT * FROM {chg} WHERE cell_volt_diff_mean_count > {min_periods}),
+d1 AS (SELECT * FROM {drv} WHERE cell_volt_diff_mean_count > {min_periods}),
+c2 AS (SELECT * FROM {cf} WHERE normalized_ah_throughput_count > {min_periods}),
+d2 AS (SELECT * FROM {df_} WHERE normalized_ah_consumption_count > {min_periods}),
+m AS (SELECT COALESCE(c1.vin, d1.vin) AS vin,
+        d1.battery_temp_min_min AS battery_temp_min_driving, d1.battery_temp_max_max AS battery_temp_max_driving,
+        d1.battery_temp_avg_mean AS battery_temp_mean_driving, d1.cell_volt_diff_mean_wmean AS cell_volt_diff_mean_driving,
+        c1.battery_temp_min_min AS battery_temp_min_charging, c1.battery_temp_max_max AS battery_temp_max_charging,
+        c1.battery_temp_avg_mean AS battery_temp_mean_charging, c1.cell_volt_diff_mean_wmean AS cell_volt_diff_mean_charging
+      FROM c1 FULL OUTER JOIN d1 ON c1.vin = d1.vin)
+SELECT m.*, c2.normalized_ah_throughput_wmean AS normalized_ah_charged_mean,
+       d2.normalized_ah_consumption_wmean AS normalized_ah_consumption_mean,
+       d2.normalized_distance_driven_wmean AS normalized_distance_driven_mean
+FROM m LEFT JOIN c2 ON m.vin = c2.vin LEFT JOIN d2 ON m.vin = d2.vin"""
+
+
+@register("vehicle_ranking", _ranking_sql())
+def q_vehicle_ranking(spark, sf_dir):
+    """A11 recency-weighted means per vehicle of four period tables,
+    A13 minimum counts, full outer + two left joins (J4, J5), renames (P1)."""
+    t = tele(spark, sf_dir)
+    per = {k: periods.periods(t, k, max_gap_s=FIXTURE_PERIOD_GAP_S)
+           for k in ("charging", "driving", "charging_full_soc", "driving_full_soc")}
+    return ranking.vehicle_ranking(per["charging"], per["driving"], per["charging_full_soc"],
+                                   per["driving_full_soc"], fixture.vehicles(spark, sf_dir),
+                                   FIXTURE_VINTYPE, day_range=30, min_count_records=1,
+                                   min_count_periods=1)
+
+
+@register("cell_volt_ranking", f"""WITH ds AS ({S.stat_row_sql("strftime(ts, '%Y-%m-%d')")}),
+l AS (SELECT max(day) AS last_daily_stats_day FROM ds),
+b AS (SELECT vin, last_daily_stats_day, max(day) AS last_day, count(day) AS counts,
+             {S.r6(S.avg6('cell_volt_diff_avg'))} AS mean_daily_avg_cell_volt_diff
+      FROM ds, l WHERE vin IN {_VEH_SQL} AND day > CAST(last_daily_stats_day - INTERVAL 30 DAY AS DATE)
+      GROUP BY vin, last_daily_stats_day HAVING count(day) > 5)
+SELECT vin, CAST(row_number() OVER (ORDER BY mean_daily_avg_cell_volt_diff DESC, vin) AS BIGINT) AS row_number,
+       mean_daily_avg_cell_volt_diff, current_date AS update_date, last_daily_stats_day FROM b""")
+def q_cell_volt_ranking(spark, sf_dir):
+    """Last-30-day mean of the daily cell-voltage spread per vehicle of
+    one type, at least 6 days, globally ranked (W6) without a single-partition window."""
+    daily = stats.daily_stats(tele(spark, sf_dir))
+    return ranking.cell_volt_ranking(daily, fixture.vehicles(spark, sf_dir), FIXTURE_VINTYPE)
+
+
+def _month_compare_sql(min_counts=0) -> str:
+    cols = {"ah": "normalized_ah_throughput", "missing_time": "_mt", "min_temp": "battery_temp_min",
+            "max_temp": "battery_temp_max", "avg_temp": "battery_temp_avg"}
+    aggs, outs = [], []
+    for tag, m in (("a", 1), ("b", 2)):
+        for k, c in cols.items():
+            e = f"CASE WHEN _month = {m} THEN {c} END"
+            aggs.append(f"{S.avg6(e) if c != '_mt' else f'avg({e})'} AS avg_{k}_{tag}")
+        aggs.append(f"count(CASE WHEN _month = {m} THEN _mt END) AS counts_{tag}")
+    for k in cols:
+        for tag in ("a", "b"):
+            outs.append(f"{S.r6(f'avg_{k}_{tag}')} AS avg_{k}_{tag}")
+    return f"""WITH p AS ({_per_sql('charging')}),
+q AS (SELECT *, weekofyear(day) AS _month,
+        CASE WHEN duration <> 0 THEN (duration - count_records / 360) / duration * 100 END AS _mt
+      FROM p WHERE vin IN {_VEH_SQL}),
+g AS (SELECT vin, {', '.join(aggs)} FROM q GROUP BY vin)
+SELECT vin, {S.r6('CASE WHEN avg_ah_b <> 0 THEN (avg_ah_b - avg_ah_a) / avg_ah_b * 100 END')} AS ah_percent_diff,
+       {', '.join(outs)}
+FROM g WHERE counts_a > {min_counts} AND counts_b > {min_counts}"""
+
+
+@register("month_compare", _month_compare_sql())
+def q_month_compare(spark, sf_dir):
+    """A20 + J2: period-over-period change of normalised Ah per vehicle. The
+    fixture covers one month, so its ISO weeks 1 and 2 play the two months."""
+    return ranking.month_compare(_per(spark, sf_dir, "charging"), fixture.vehicles(spark, sf_dir),
+                                 FIXTURE_VINTYPE, min_counts=0, bucket=F.weekofyear("day"))
+
+
+@register("top_vehicles", f"""WITH p AS ({_per_sql('driving')}),
+c AS (SELECT vin, count(day) AS counts FROM p GROUP BY vin)
+SELECT c.vin, c_mktsegment AS vintype, counts FROM c JOIN customer ON c.vin = c_custkey
+WHERE c_mktsegment = '{FIXTURE_VINTYPE}' ORDER BY counts DESC, c.vin LIMIT 20""")
+def q_top_vehicles(spark, sf_dir):
+    """T2 + J1: top-20 vehicles of a type by number of driving periods."""
+    return ranking.top_vehicles(_per(spark, sf_dir, "driving"), fixture.vehicles(spark, sf_dir),
+                                FIXTURE_VINTYPE, 20)
+
+
+def _series_part(kind: str, label: str) -> str:
+    return (f"SELECT vin, '{label}' AS series, start_time, end_time, day, delta_soc, duration, count_records, "
+            f"{S.r6('duration - count_records * 10 / 3600')} AS missing_time_h, missing_time_pct "
+            f"FROM ({_per_sql(kind)}) x")
+
+
+@register("vehicle_series", f"""{_series_part('charging_full_soc', 'charging')}
+UNION ALL {_series_part('driving_full_soc', 'driving')}""")
+def q_vehicle_series(spark, sf_dir):
+    """B23 + F16: charging and driving full-SOC periods with missing time."""
+    return ranking.vehicle_series(_per(spark, sf_dir, "charging_full_soc"),
+                                  _per(spark, sf_dir, "driving_full_soc"))

@@ -24,6 +24,10 @@ def r6(expr: str, digits: int = 6) -> str:
     return f"CAST(floor(CAST({expr} AS DOUBLE) * {p} + 0.5) / {p} AS DOUBLE)"
 
 
+def avg6(x: str) -> str:
+    return f"(sum(CAST(round({x} * 1000000) AS BIGINT)) / count({x}) / 1000000)"
+
+
 def gap(prev: str, cur: str) -> str:
     return f"((epoch_us({cur}) - epoch_us({prev})) // 1000000)"
 
