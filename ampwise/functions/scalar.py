@@ -34,6 +34,11 @@ def avg6(c) -> Column:
     return F.sum(F.round(x * 1_000_000).cast("long")) / F.count(x) / 1_000_000
 
 
+def sum6(c) -> Column:
+    """Exact sum of values already rounded to 6 places (integer micro-units)."""
+    return F.sum(F.round(_c(c) * 1_000_000).cast("long")) / 1_000_000
+
+
 def duration_text(seconds) -> Column:
     """``05s``, ``02m05s`` or ``1h02m05s`` from a duration in seconds
     (truncated to whole seconds first)."""

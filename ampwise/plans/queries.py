@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..operators import distance, periods, ranking, stats, trips
+from ..operators import distance, periods, ranking, rollup, stats, trips
 from ..sources import fixture
 from . import sqlfrag as S
 
@@ -332,3 +332,46 @@ def q_vehicle_series(spark, sf_dir):
     """B23 + F16: charging and driving full-SOC periods with missing time."""
     return ranking.vehicle_series(_per(spark, sf_dir, "charging_full_soc"),
                                   _per(spark, sf_dir, "driving_full_soc"))
+
+
+# ---------------------------------------------------------------- rollups
+_DENSE_SQL = f"""ds AS ({S.stat_row_sql("strftime(ts, '%Y-%m-%d')")}),
+fb AS (SELECT vin, min(day) AS f FROM ds GROUP BY vin), lb AS (SELECT max(day) AS l FROM ds),
+cal AS (SELECT vin, CAST(unnest(generate_series(CAST(f AS TIMESTAMP), CAST(l AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+        FROM fb, lb),
+dd AS (SELECT cal.vin, cal.day, ds.distance_driven, ds.charging_hours, ds.speed_average, ds.speed_n
+       FROM cal LEFT JOIN ds ON cal.vin = ds.vin AND cal.day = ds.day)"""
+
+_FOLD = """list_reduce(list({'avg': speed_average, 'n': CAST(COALESCE(speed_n, 0) AS BIGINT)} ORDER BY day),
+  lambda a, x: CASE WHEN a.avg IS NULL AND x.avg IS NULL THEN {'avg': CAST(NULL AS DOUBLE), 'n': CAST(0 AS BIGINT)}
+    ELSE {'avg': CASE WHEN (CASE WHEN a.avg = 0 THEN 1 ELSE a.n END) + (CASE WHEN x.avg = 0 THEN 1 ELSE x.n END) <> 0
+                 THEN (COALESCE(a.avg * (CASE WHEN a.avg = 0 THEN 1 ELSE a.n END), 0.0)
+                       + COALESCE(x.avg * (CASE WHEN x.avg = 0 THEN 1 ELSE x.n END), 0.0))
+                      / ((CASE WHEN a.avg = 0 THEN 1 ELSE a.n END) + (CASE WHEN x.avg = 0 THEN 1 ELSE x.n END)) END,
+          'n': CAST((CASE WHEN a.avg = 0 THEN 1 ELSE a.n END) + (CASE WHEN x.avg = 0 THEN 1 ELSE x.n END) AS BIGINT)} END)"""
+
+
+@register("monthly_rollup", f"""WITH {_DENSE_SQL},
+m AS (SELECT vin, strftime(day, '%Y') || '-' || CAST(month(day) AS VARCHAR) AS mon,
+             {S.sum6('distance_driven')} AS md, {S.sum6('charging_hours')} AS ch, {_FOLD} AS sp
+      FROM dd GROUP BY 1, 2)
+SELECT vin, 'miles_driven' AS stat, 'monthly' AS freq, mon AS time_label, {S.r6('md')} AS value,
+       CAST(NULL AS BIGINT) AS weight FROM m
+UNION ALL SELECT vin, 'charging_hours', 'monthly', mon, {S.r6('ch')}, CAST(NULL AS BIGINT) FROM m
+UNION ALL SELECT vin, 'average_speed', 'monthly', mon, {S.r6('sp.avg')}, sp.n FROM m""")
+def q_monthly_rollup(spark, sf_dir):
+    """R1-R4 + W10: daily stats on a dense per-vehicle calendar rolled up to
+    months (null-aware sums, ordered weighted speed average)."""
+    return rollup.monthly_rollup(stats.daily_stats(tele(spark, sf_dir)))
+
+
+@register("daily_long", f"""WITH {_DENSE_SQL}
+SELECT vin, 'miles_driven' AS stat, 'daily' AS freq, strftime(day, '%Y-%m-%d') AS time_label,
+       distance_driven AS value, CAST(NULL AS BIGINT) AS weight FROM dd
+UNION ALL SELECT vin, 'charging_hours', 'daily', strftime(day, '%Y-%m-%d'), charging_hours, CAST(NULL AS BIGINT) FROM dd
+UNION ALL SELECT vin, 'average_speed', 'daily', strftime(day, '%Y-%m-%d'), speed_average,
+                 CAST(COALESCE(speed_n, 0) AS BIGINT) FROM dd""")
+def q_daily_long(spark, sf_dir):
+    """R3 + W10: daily long-form stats with a null entry for every day a
+    vehicle is missing after its first day."""
+    return rollup.daily_long(stats.daily_stats(tele(spark, sf_dir)))

@@ -28,6 +28,10 @@ def avg6(x: str) -> str:
     return f"(sum(CAST(round({x} * 1000000) AS BIGINT)) / count({x}) / 1000000)"
 
 
+def sum6(x: str) -> str:
+    return f"(sum(CAST(round({x} * 1000000) AS BIGINT)) / 1000000)"
+
+
 def gap(prev: str, cur: str) -> str:
     return f"((epoch_us({cur}) - epoch_us({prev})) // 1000000)"
 
