@@ -109,3 +109,26 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if lags:
         drop.append("_ptail")
     return out.drop(*drop)
+
+
+def last_n_per_key(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[str],
+                   bucket: str = "day") -> DataFrame:
+    """The ``n`` latest rows of each key by ``order`` (descending), without
+    a window over a key's whole history.
+
+    Rows are counted per (key, bucket); a window over those counts (one row
+    per bucket) gives the number of rows in later buckets. Buckets entirely
+    inside the latest ``n`` are kept whole; only the cutoff bucket is ranked,
+    inside (key, bucket)."""
+    keys = list(keys)
+    counts = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_cnt"))
+    wk = Window.partitionBy(*keys).orderBy(F.col(bucket).desc())
+    later = F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    budget = (counts.withColumn("_later", later)
+              .where(F.col("_later") < n)
+              .select(*keys, bucket, (F.lit(n) - F.col("_later")).alias("_budget"), "_cnt"))
+    kept = df.join(budget, [*keys, bucket], "inner")
+    wb = Window.partitionBy(*keys, bucket).orderBy(*[F.col(c).desc() for c in order])
+    ranked = kept.withColumn("_rn", F.when(F.col("_cnt") > F.col("_budget"), F.row_number().over(wb)))
+    return ranked.where(F.col("_rn").isNull() | (F.col("_rn") <= F.col("_budget"))) \
+                 .drop("_budget", "_cnt", "_rn")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..operators import distance, periods, ranking, rollup, stats, trips
+from ..operators import distance, geo, periods, ranking, rollup, stats, trips
 from ..sources import fixture
 from . import sqlfrag as S
 
@@ -375,3 +375,67 @@ def q_daily_long(spark, sf_dir):
     """R3 + W10: daily long-form stats with a null entry for every day a
     vehicle is missing after its first day."""
     return rollup.daily_long(stats.daily_stats(tele(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- locations (B7, J6) and clusters
+def _lookup(spark, sf_dir):
+    """Coordinate lookup stand-in from nation/region (lat, lon text, seq, city, province)."""
+    n = fixture.load(spark, sf_dir, "nation")
+    r = fixture.load(spark, sf_dir, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        F.format_string("%.2f", F.lit(23) + (F.col("n_nationkey") % 20) * F.lit(0.05).cast("double")).alias("lat"),
+        F.lit("113.00").alias("lon"), F.col("n_nationkey").alias("seq"),
+        F.col("n_name").alias("city"), F.col("r_name").alias("province"))
+
+
+@register("primary_location", S.primary_location_sql(geo.LAST_N_RECORDS))
+def q_primary_location(spark, sf_dir):
+    """B7 + J6: most frequent 2-place coordinate of each vehicle's latest
+    10,000 records, with city/province from the first lookup entry."""
+    return geo.locate(geo.primary_locations(tele(spark, sf_dir)), _lookup(spark, sf_dir))
+
+
+@register("primary_location_recent", S.primary_location_sql(25))
+def q_primary_location_recent(spark, sf_dir):
+    """B7 time-sorted variant with a short record window (N = 25 at fixture
+    scale, so the W7 cutoff inside a day is exercised)."""
+    return geo.locate(geo.primary_locations(tele(spark, sf_dir), n=25), _lookup(spark, sf_dir))
+
+
+@register("charging_stations", f"""{S.clusters_sql()}
+SELECT rep.center_lat AS station_lat, rep.center_lon AS station_lon, count(*) AS n_records,
+       {S.r6('sum(charge_volt * charge_cur * 10 / 3600 / 1000)')} AS energy_kwh
+FROM u JOIN lab ON u.lat = lab.lat AND u.lon = lab.lon JOIN rep ON lab.clat = rep.clat AND lab.clon = rep.clon
+GROUP BY 1, 2""")
+def q_charging_stations(spark, sf_dir):
+    """Charging rows -> W2 -> A6 -> 20 m clusters (J9 + components) ->
+    centermost point (A23/J8) -> energy per station (F14, J5, A7)."""
+    return geo.charging_stations(tele(spark, sf_dir))
+
+
+@register("station_clusters", f"""{S.clusters_sql()}
+SELECT clat AS cluster_lat, clon AS cluster_lon, n_points, {S.r6('mlat')} AS centroid_lat,
+       {S.r6('mlon')} AS centroid_lon, center_lat, center_lon, far_lat, far_lon, radius_m FROM rep""")
+def q_station_clusters(spark, sf_dir):
+    """Per cluster the count, centroid, centermost and farthest member."""
+    t = tele(spark, sf_dir)
+    ch = t.where(P.charging() & P.valid_coordinates() & F.col("charge_volt").isNotNull()
+                 & F.col("charge_cur").isNotNull())
+    ch = trips.drop_near_duplicates(ch, ("vin",)).select("lat", "lon").distinct()
+    s = geo.cluster_summary(geo.cluster_points(ch))
+    return s.select(F.col("cluster.lat").alias("cluster_lat"), F.col("cluster.lon").alias("cluster_lon"),
+                    *[c for c in s.columns if c != "cluster"])
+
+
+@register("energy_by_area", f"""{S.clusters_sql()},
+st AS (SELECT rep.center_lat AS station_lat, rep.center_lon AS station_lon,
+              {S.r6('sum(charge_volt * charge_cur * 10 / 3600 / 1000)')} AS energy_kwh
+       FROM u JOIN lab ON u.lat = lab.lat AND u.lon = lab.lon JOIN rep ON lab.clat = rep.clat AND lab.clon = rep.clon
+       GROUP BY 1, 2),
+lk AS ({S.LOOKUP_FIRST_SQL})
+SELECT province, city, {S.r6('sum(energy_kwh)')} AS energy_kwh, count(*) AS n_stations
+FROM st LEFT JOIN lk ON {S.trunc_text('station_lat', 2)} = lk.lat AND {S.trunc_text('station_lon', 2)} = lk.lon
+GROUP BY province, city""")
+def q_energy_by_area(spark, sf_dir):
+    """Charging-station energy by province and city via the lookup."""
+    return geo.energy_by_area(geo.charging_stations(tele(spark, sf_dir)), _lookup(spark, sf_dir))

@@ -201,3 +201,62 @@ a AS (SELECT vin, period_no, count(*) AS count_records,
       FROM r GROUP BY vin, period_no HAVING count(*) >= 2),
 p AS ({sel})
 SELECT * FROM p {('WHERE ' + where) if where else ''}"""
+
+
+def trunc_text(x: str, n: int) -> str:
+    s = f"CAST({x} AS VARCHAR)"
+    return (f"(CASE WHEN {x} IS NULL THEN NULL WHEN contains(upper({s}), 'E') THEN printf('%.{n}f', {x}) "
+            f"ELSE split_part({s}, '.', 1) || '.' || substr(split_part({s}, '.', 2) || '{'0' * n}', 1, {n}) END)")
+
+
+def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    return (f"(2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) "
+            f"+ cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)))))")
+
+
+LOOKUP_SQL = ("SELECT printf('%.2f', 23 + (n_nationkey % 20) * CAST(0.05 AS DOUBLE)) AS lat, '113.00' AS lon, "
+              "n_nationkey AS seq, n_name AS city, r_name AS province "
+              "FROM nation JOIN region ON n_regionkey = r_regionkey")
+LOOKUP_FIRST_SQL = (f"SELECT lat, lon, arg_min(city, seq) AS city, arg_min(province, seq) AS province "
+                    f"FROM ({LOOKUP_SQL}) GROUP BY lat, lon")
+
+
+def primary_location_sql(n: int) -> str:
+    return f"""{WITH_TELE},
+p AS (SELECT vin, ts, event_id, {trunc_text('lat', 2)} AS tlat, {trunc_text('lon', 2)} AS tlon
+      FROM tele WHERE lat IS NOT NULL AND lon IS NOT NULL),
+q AS (SELECT * FROM p WHERE tlat <> '0.00' AND tlon <> '0.00'),
+r AS (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY ts DESC, event_id DESC) AS rn FROM q),
+c AS (SELECT vin, tlat || '+' || tlon AS coord, count(*) AS n FROM r WHERE rn <= {n} GROUP BY 1, 2),
+m AS (SELECT vin, arg_min(coord, (-n, coord)) AS coord, max(n) AS n_records FROM c GROUP BY vin),
+lk AS ({LOOKUP_FIRST_SQL})
+SELECT m.vin, split_part(coord, '+', 1) AS lat, split_part(coord, '+', 2) AS lon, n_records, city, province
+FROM m LEFT JOIN lk ON split_part(coord, '+', 1) = lk.lat AND split_part(coord, '+', 2) = lk.lon"""
+
+
+def clusters_sql() -> str:
+    """CTEs ``u`` (deduplicated charging rows), ``lab`` (point -> cluster),
+    ``cen`` and ``rep`` (A23) for the charging-station oracle."""
+    hv = haversine('a.lat', 'a.lon', 'b.lat', 'b.lon')
+    return f"""{WITH_TELE},
+ch AS (SELECT * FROM tele WHERE COALESCE(charge_cur > 0, false) AND lat IS NOT NULL AND lon IS NOT NULL
+         AND charge_volt IS NOT NULL AND charge_cur IS NOT NULL),
+g AS (SELECT *, COALESCE({gap('lag(ts) OVER (PARTITION BY vin ORDER BY ts, event_id)', 'ts')}, 10) AS gap_s FROM ch),
+d AS (SELECT * FROM g WHERE gap_s > 5),
+u AS (SELECT lat, lon, arg_min(vin, (vin, ts, event_id)) AS vin, arg_min(charge_volt, (vin, ts, event_id)) AS charge_volt,
+             arg_min(charge_cur, (vin, ts, event_id)) AS charge_cur FROM d GROUP BY lat, lon),
+edges AS (SELECT a.lat AS alat, a.lon AS alon, b.lat AS blat, b.lon AS blon FROM u a JOIN u b
+          ON (a.lat <> b.lat OR a.lon <> b.lon) AND {hv} <= 20.0),
+rc AS (SELECT * FROM (WITH RECURSIVE r(lat, lon, llat, llon) AS (
+          SELECT lat, lon, lat, lon FROM u
+          UNION SELECT e.blat, e.blon, r.llat, r.llon FROM r JOIN edges e ON r.lat = e.alat AND r.lon = e.alon)
+        SELECT * FROM r)),
+lab AS (SELECT lat, lon, arg_min(llat, (llat, llon)) AS clat, arg_min(llon, (llat, llon)) AS clon FROM rc GROUP BY lat, lon),
+cen AS (SELECT clat, clon, count(*) AS n_points, {avg6('lat')} AS mlat, {avg6('lon')} AS mlon FROM lab GROUP BY clat, clon),
+rep AS (SELECT lab.clat, lab.clon, n_points, mlat, mlon,
+          arg_min(lat, ({r6(haversine('lat', 'lon', 'mlat', 'mlon'))}, lat, lon)) AS center_lat,
+          arg_min(lon, ({r6(haversine('lat', 'lon', 'mlat', 'mlon'))}, lat, lon)) AS center_lon,
+          arg_max(lat, ({r6(haversine('lat', 'lon', 'mlat', 'mlon'))}, -lat, -lon)) AS far_lat,
+          arg_max(lon, ({r6(haversine('lat', 'lon', 'mlat', 'mlon'))}, -lat, -lon)) AS far_lon,
+          max({r6(haversine('lat', 'lon', 'mlat', 'mlon'))}) AS radius_m
+        FROM lab JOIN cen ON lab.clat = cen.clat AND lab.clon = cen.clon GROUP BY ALL)"""
