@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..operators import distance, geo, periods, ranking, rollup, stats, trips
+from ..operators import battery, distance, geo, periods, ranking, rollup, stats, trips
 from ..sources import fixture
 from . import sqlfrag as S
 
@@ -439,3 +439,45 @@ GROUP BY province, city""")
 def q_energy_by_area(spark, sf_dir):
     """Charging-station energy by province and city via the lookup."""
     return geo.energy_by_area(geo.charging_stations(tele(spark, sf_dir)), _lookup(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- B5 / W11 (SOC trips)
+_SOC_TRIPS_SQL = f"""{S.WITH_TELE},
+b AS (SELECT * FROM tele WHERE {S.DRIVING} AND COALESCE(fuel = 0, false) AND COALESCE(soc > 40, false)),
+o AS (SELECT vin, ts, soc, day,
+             row_number() OVER (PARTITION BY vin ORDER BY ts DESC, odo DESC NULLS LAST, event_id DESC) AS pos,
+             max(day) OVER (PARTITION BY vin) AS e FROM b),
+sm AS (SELECT * FROM (WITH RECURSIVE s(vin, pos, state, stopped, opos, last_soc, complete, sfrom, sto) AS (
+    SELECT DISTINCT vin, CAST(0 AS BIGINT), 0, false, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), false,
+           CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM o
+    UNION ALL
+    SELECT s.vin, o.pos,
+      CASE WHEN s.state = 0 THEN (CASE WHEN o.soc BETWEEN 60 AND 70 AND o.day = o.e THEN 1 ELSE 0 END)
+           ELSE (CASE WHEN o.soc - s.last_soc > -1 THEN 1 ELSE 0 END) END,
+      s.state = 0 AND o.soc BETWEEN 60 AND 70 AND o.day <> o.e,
+      CASE WHEN s.state = 0 AND o.soc BETWEEN 60 AND 70 AND o.day = o.e THEN o.pos
+           WHEN s.state = 1 AND o.soc - s.last_soc > -1 THEN s.opos END,
+      CASE WHEN s.state = 0 AND o.soc BETWEEN 60 AND 70 AND o.day = o.e THEN o.soc
+           WHEN s.state = 1 AND o.soc - s.last_soc > -1 THEN o.soc END,
+      CASE WHEN s.state = 0 THEN false WHEN o.soc - s.last_soc > -1 THEN s.complete OR o.soc >= 90 ELSE false END,
+      CASE WHEN s.state = 1 AND NOT (o.soc - s.last_soc > -1) AND s.complete THEN s.opos END,
+      CASE WHEN s.state = 1 AND NOT (o.soc - s.last_soc > -1) AND s.complete THEN o.pos - 1 END
+    FROM s JOIN o ON o.vin = s.vin AND o.pos = s.pos + 1 WHERE NOT s.stopped)
+  SELECT * FROM s)),
+fin AS (SELECT vin, max(pos) AS p FROM sm GROUP BY vin),
+saves AS (SELECT vin, sfrom, sto FROM sm WHERE sfrom IS NOT NULL
+          UNION ALL SELECT sm.vin, opos, pos FROM sm JOIN fin ON sm.vin = fin.vin AND sm.pos = fin.p
+          WHERE state = 1 AND complete)
+SELECT o.vin, arg_max(ts, pos) AS start_time, arg_min(ts, pos) AS end_time,
+       {S.r6('arg_max(soc, pos)')} AS start_soc, {S.r6('arg_min(soc, pos)')} AS end_soc,
+       {S.r6('max(CASE WHEN pos > sfrom THEN soc END)')} AS max_soc, count(*) AS n_records
+FROM saves JOIN o ON o.vin = saves.vin AND o.pos BETWEEN sfrom AND sto
+GROUP BY o.vin, sfrom"""
+
+
+@register("soc_trips", _SOC_TRIPS_SQL)
+def q_soc_trips(spark, sf_dir):
+    """Trips on battery ending on each vehicle's last day, found from
+    the SOC curve (scan newest to oldest: 60-70 % opener, rising SOC back in
+    time up to >= 90 %) with window functions instead of a per-row loop."""
+    return battery.soc_trips(battery.battery_rows(tele(spark, sf_dir)))
