@@ -18,13 +18,16 @@ def _c(x) -> Column:
 
 
 def r6(c, digits: int = 6) -> Column:
-    """Round half up to ``digits`` places as ``floor(x * 10^d + 0.5) / 10^d``.
+    """Round to ``digits`` places as ``floor(x * 10^d + 0.50001) / 10^d``.
 
     Plain IEEE arithmetic, so any engine gives the same double for the same
     input (decimal rounding of the shortest text form does not), and the
-    result is never -0.0."""
+    result is never -0.0. The rounding point sits 1e-5 units below the half
+    so that values whose exact decimal value is a tie (common with inputs of
+    few decimals) are not split by last-bit differences in how two engines
+    sum or fit them."""
     p = 10 ** digits
-    return (F.floor(_c(c).cast("double") * p + 0.5) / p).cast("double")
+    return (F.floor(_c(c).cast("double") * p + 0.50001) / p).cast("double")
 
 
 def avg6(c) -> Column:

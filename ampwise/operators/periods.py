@@ -271,7 +271,7 @@ def grid_interpolate(lab: DataFrame, keys: Sequence[str] = ("vin", "period_no"),
          .withColumn("_n", F.first(kn, ignorenulls=True).over(after))
     span = F.timestamp_diff("MICROSECOND", F.col("_p.t"), F.col("_n.t"))
     off = F.timestamp_diff("MICROSECOND", F.col("_p.t"), F.col("ts"))
-    interp = F.when(span == 0, F.col("_p.v")).otherwise(
+    interp = F.when(F.col("_n").isNull() | (span == 0), F.col("_p.v")).otherwise(
         F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * off / span)
     g = u.where("_is_grid").select(*keys, "ts", interp.alias(value))
     wg = Window.partitionBy(*keys).orderBy("ts")

@@ -481,3 +481,79 @@ def q_soc_trips(spark, sf_dir):
     the SOC curve (scan newest to oldest: 60-70 % opener, rising SOC back in
     time up to >= 90 %) with window functions instead of a per-row loop."""
     return battery.soc_trips(battery.battery_rows(tele(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- B19, B16-B18 / W14, W12-W13, P24
+_POLAR_FLAG = f"({S.charging('0')} AND COALESCE(cell_volt_max >= 3.8 AND cell_volt_max <= 4.1, false))"
+
+
+@register("polarization_periods", S.period_stats_sql(_POLAR_FLAG, FIXTURE_PERIOD_GAP_S, 60, 5, None, 1.0))
+def q_polarization_periods(spark, sf_dir):
+    """B19 (kind 5): charging rows with the max cell voltage in 3.8-4.1 V,
+    split where it drops by more than 1 V, time compaction at 60 s."""
+    return periods.periods(tele(spark, sf_dir), "polarization", max_gap_s=FIXTURE_PERIOD_GAP_S)
+
+
+_CHG_ROWS = f"""{S.WITH_TELE}, {S.period_rows_sql(S.charging('0'), FIXTURE_PERIOD_GAP_S)}"""
+
+
+@register("current_models", f"""{_CHG_ROWS},
+n0 AS (SELECT *, row_number() OVER w AS rn, curr - lag(curr) OVER w AS dcur, lag(ts) OVER w AS lts
+       FROM r WINDOW w AS (PARTITION BY vin, period_no ORDER BY ts, event_id)),
+n AS (SELECT *, CASE WHEN lts IS NULL THEN 0 WHEN {S.gap('lts', 'ts')} > 120 THEN 10
+                     ELSE {S.gap('lts', 'ts')} END AS dtc0 FROM n0),
+sp AS (SELECT *, COALESCE(min(CASE WHEN abs(dcur) > 5.0 THEN rn END) OVER (PARTITION BY vin, period_no), 2) AS split_rn,
+              sum(dtc0) OVER (PARTITION BY vin, period_no ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS t_corr FROM n),
+sd AS (SELECT *, CAST(rn >= split_rn AS INTEGER) AS side FROM sp),
+sides AS (SELECT vin, period_no, side, avg(curr) AS i_mean, max(t_corr) - min(t_corr) + 10 AS span_s
+          FROM sd GROUP BY ALL),
+model AS (SELECT vin, period_no, sum(i_mean * span_s / 3600) AS ah_const FROM sides GROUP BY ALL),
+line AS (SELECT vin, period_no, regr_slope(curr, t_corr) AS b, regr_intercept(curr, t_corr) AS a,
+                min(t_corr) AS t0, max(t_corr) AS t1, arg_min(soc, (ts, event_id)) AS s0,
+                arg_max(soc, (ts, event_id)) AS s1 FROM sd GROUP BY ALL),
+j AS (SELECT model.*, a, b, t0, t1, abs(s1 - s0) AS ads,
+             (a * (t1 - t0) + b * (t1 * t1 - t0 * t0) / 2) / 3600 AS integral FROM model JOIN line USING (vin, period_no))
+SELECT vin, period_no, {S.r6('ah_const')} AS ah_const_current,
+       {S.r6('CASE WHEN ads <> 0 THEN ah_const / ads * 100 END')} AS normalized_ah_const_current,
+       {S.r6('integral')} AS ah_linear_fit, {S.r6('CASE WHEN ads <> 0 THEN integral / ads * 100 END')} AS normalized_ah_linear_fit
+FROM j""")
+def q_current_models(spark, sf_dir):
+    """B16 + B18 with the W14 split: constant-current halves and a straight
+    line fitted to current over corrected time, per charging period."""
+    lab = periods.label_periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
+    return periods.constant_current_model(lab)
+
+
+_GRID_STEP = 180
+
+
+@register("soc_grid", f"""{_CHG_ROWS},
+bnd AS (SELECT vin, period_no, min(ts) AS t0, max(ts) AS t1 FROM r GROUP BY ALL),
+grid AS (SELECT vin, period_no, t0 + to_seconds(k * {_GRID_STEP}) AS ts FROM
+         (SELECT *, unnest(generate_series(0, ({S.gap('t0', 't1')}) // {_GRID_STEP})) AS k FROM bnd)),
+u AS (SELECT vin, period_no, ts, CAST(soc AS DOUBLE) AS v, false AS is_grid FROM r
+      UNION ALL SELECT vin, period_no, ts, CAST(NULL AS DOUBLE), true FROM grid),
+f AS (SELECT *, last(CASE WHEN NOT is_grid AND v IS NOT NULL THEN {{'t': ts, 'v': v}} END IGNORE NULLS)
+                  OVER (PARTITION BY vin, period_no ORDER BY ts, is_grid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p,
+                first(CASE WHEN NOT is_grid AND v IS NOT NULL THEN {{'t': ts, 'v': v}} END IGNORE NULLS)
+                  OVER (PARTITION BY vin, period_no ORDER BY ts, is_grid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nx
+      FROM u),
+gi AS (SELECT vin, period_no, ts,
+             CASE WHEN nx IS NULL OR epoch_us(nx.t) = epoch_us(p.t) THEN p.v
+                  ELSE p.v + (nx.v - p.v) * (epoch_us(ts) - epoch_us(p.t)) / (epoch_us(nx.t) - epoch_us(p.t)) END AS soc
+      FROM f WHERE is_grid)
+SELECT vin, period_no, ts, {S.r6('soc')} AS soc,
+       {S.r6(f'(soc - lag(soc) OVER (PARTITION BY vin, period_no ORDER BY ts)) / ({_GRID_STEP} / 60.0)')} AS slope_per_min
+FROM gi""")
+def q_soc_grid(spark, sf_dir):
+    """W12 + W13: SOC of each charging period interpolated on a 3-minute grid
+    and its slope per minute."""
+    lab = periods.label_periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
+    return periods.grid_interpolate(lab, step_s=_GRID_STEP)
+
+
+@register("low_capacity_periods", f"""SELECT vin, start_time, end_time, normalized_ah_throughput
+FROM ({_per_sql('charging')}) p WHERE normalized_ah_throughput < 5.0""")
+def q_low_capacity_periods(spark, sf_dir):
+    """Charging periods whose normalised Ah throughput is below 5."""
+    return periods.low_capacity_periods(_per(spark, sf_dir, "charging"), 5.0)

@@ -21,7 +21,7 @@ def on_battery(min_soc: int = 20) -> str:
 
 def r6(expr: str, digits: int = 6) -> str:
     p = 10 ** digits
-    return f"CAST(floor(CAST({expr} AS DOUBLE) * {p} + 0.5) / {p} AS DOUBLE)"
+    return f"CAST(floor(CAST({expr} AS DOUBLE) * {p} + 0.50001) / {p} AS DOUBLE)"
 
 
 def avg6(x: str) -> str:
@@ -140,23 +140,37 @@ res AS (SELECT vin, time_label, {cols_all} FROM l2)
 SELECT {final} FROM res"""
 
 
-def period_rows_sql(flag_sql: str, gap_s: int, compaction_s: int = 120) -> str:
+def _polar_split(drop: float | None) -> str:
+    if drop is None:
+        return "t AS (SELECT * FROM t0)"
+    pb = f"(qts IS NULL OR COALESCE(qcvm - cell_volt_max > {drop}, false))"
+    return f"""t AS (SELECT * REPLACE (
+        CAST(SUM(CASE WHEN {pb} THEN 1 ELSE 0 END) OVER (PARTITION BY vin ORDER BY ts, event_id
+             ROWS UNBOUNDED PRECEDING) AS BIGINT) AS period_no,
+        CASE WHEN {pb} THEN NULL ELSE qts END AS qts, CASE WHEN {pb} THEN NULL ELSE qodo END AS qodo,
+        CASE WHEN {pb} THEN NULL ELSE qsoc END AS qsoc, CASE WHEN {pb} THEN NULL ELSE qcur END AS qcur) FROM t0)"""
+
+
+def period_rows_sql(flag_sql: str, gap_s: int, compaction_s: int = 120, polar_drop: float | None = None) -> str:
     """CTEs ``d, g, b, t, r`` labelling period rows (oracle of label_periods)."""
     return f"""
 d AS (SELECT * FROM tele WHERE {flag_sql}),
 g AS (SELECT *, lag(ts) OVER w AS pts, lag(odo) OVER w AS podo, lag(soc) OVER w AS psoc,
-             lag(curr) OVER w AS pcur FROM d WINDOW w AS (PARTITION BY vin ORDER BY ts, event_id)),
+             lag(curr) OVER w AS pcur, lag(cell_volt_max) OVER w AS pcvm
+      FROM d WINDOW w AS (PARTITION BY vin ORDER BY ts, event_id)),
 b AS (SELECT *, CASE WHEN pts IS NOT NULL AND {gap('pts', 'ts')} > {gap_s} THEN 1 ELSE 0 END AS brk FROM g),
-t AS (SELECT *, CAST(SUM(brk) OVER (PARTITION BY vin ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS period_no,
+t0 AS (SELECT *, CAST(SUM(brk) OVER (PARTITION BY vin ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS period_no,
              CASE WHEN brk = 0 THEN pts END AS qts, CASE WHEN brk = 0 THEN podo END AS qodo,
-             CASE WHEN brk = 0 THEN psoc END AS qsoc, CASE WHEN brk = 0 THEN pcur END AS qcur FROM b),
+             CASE WHEN brk = 0 THEN psoc END AS qsoc, CASE WHEN brk = 0 THEN pcur END AS qcur,
+             CASE WHEN brk = 0 THEN pcvm END AS qcvm FROM b),
+{_polar_split(polar_drop)},
 r AS (SELECT *, CASE WHEN {gap('qts', 'ts')} > {compaction_s} THEN 10 ELSE {gap('qts', 'ts')} END AS dtc,
              soc - qsoc AS soc_step,
              CASE WHEN qodo IS NOT NULL AND COALESCE(odo > 0, false) THEN odo - qodo END AS step FROM t)"""
 
 
 def period_stats_sql(flag_sql: str, gap_s: int, compaction_s: int = 120, kind: int = 1,
-                     where: str | None = None) -> str:
+                     where: str | None = None, polar_drop: float | None = None) -> str:
     z = "CAST(0 AS DOUBLE)"
     h = "* 10 / 3600.0"
     ads = "abs(end_soc - start_soc)"
@@ -184,7 +198,7 @@ SELECT vin, period_no, count_records, start_time, end_time, CAST(end_time AS DAT
   {r6('_tavg')} AS battery_temp_avg, {r6('_cvd')} AS cell_volt_diff_mean,
   distance_driven, {kind} AS kind
 FROM a"""
-    return f"""{WITH_TELE}, {period_rows_sql(flag_sql, gap_s, compaction_s)},
+    return f"""{WITH_TELE}, {period_rows_sql(flag_sql, gap_s, compaction_s, polar_drop)},
 a AS (SELECT vin, period_no, count(*) AS count_records,
         arg_min(ts, (ts, event_id)) AS start_time, arg_max(ts, (ts, event_id)) AS end_time,
         arg_min(soc, (ts, event_id)) AS start_soc, arg_max(soc, (ts, event_id)) AS end_soc,
