@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..operators import battery, distance, geo, periods, ranking, rollup, stats, trips
+from ..functions.scalar import r6
+from ..operators import battery, distance, geo, periods, profile, ranking, rollup, stats, trips
+from ..sources import raw
 from ..sources import fixture
 from . import sqlfrag as S
 
@@ -557,3 +559,178 @@ FROM ({_per_sql('charging')}) p WHERE normalized_ah_throughput < 5.0""")
 def q_low_capacity_periods(spark, sf_dir):
     """Charging periods whose normalised Ah throughput is below 5."""
     return periods.low_capacity_periods(_per(spark, sf_dir, "charging"), 5.0)
+
+
+# ---------------------------------------------------------------- raw sources
+_RAW_A_SQL = f"""{S.WITH_TELE},
+ra AS (SELECT CAST(vin AS VARCHAR) AS vin, (epoch_us(ts) // 1000) - 28800000 AS ts_ms,
+              make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts2, CAST(ts AS DATE) AS sdate,
+              CAST(ts + INTERVAL 2 HOUR AS DATE) AS file_day, curr, volt, cell_volt_max, cell_volt_min, soc,
+              temp_avg, temp_max, temp_min, charge_volt, charge_cur, acc_pedal, brake_pedal, fuel,
+              CAST(charge_st AS DOUBLE) AS charge_st, speed, CAST(odo AS DOUBLE) AS odo, lon, lat
+       FROM tele WHERE event_id % 97 <> 0)"""
+
+
+@register("raw_records_a", f"""{_RAW_A_SQL}
+SELECT * EXCLUDE (ts2), ts2 AS ts, CAST(ts2 AS DATE) AS day FROM ra""")
+def q_raw_records_a(spark, sf_dir):
+    """S1-S3 + P5-P8: schema-A text lines (85/86 fields) guarded, projected
+    by position, null tokens cleaned, numbers try-cast, epoch ms converted to
+    the local clock, yyyymmdd date parsed."""
+    return raw.parse_schema_a(fixture.raw_lines_a(spark, sf_dir)).drop("event_id")
+
+
+@register("raw_rejects", f"""{S.WITH_TELE}
+SELECT CAST(ts + INTERVAL 2 HOUR AS DATE) AS file_day, 84 AS n_fields, count(*) AS n_lines
+FROM tele WHERE event_id % 97 = 0 GROUP BY 1""")
+def q_raw_rejects(spark, sf_dir):
+    """Lines with a field count other than 85/86, counted per file day."""
+    _, rejected = raw.guard(fixture.raw_lines_a(spark, sf_dir))
+    return rejected.withColumn("n_fields", F.col("n_fields").cast("int"))
+
+
+@register("late_records", f"""{_RAW_A_SQL}
+SELECT file_day, CAST(ts2 AS DATE) AS day, count(*) AS n_records, min(ts2) AS first_ts, max(ts2) AS last_ts,
+       CAST(file_day - CAST(ts2 AS DATE) AS INTEGER) AS days_late
+FROM ra WHERE CAST(ts2 AS DATE) <> file_day GROUP BY 1, 2""")
+def q_late_records(spark, sf_dir):
+    """A22 + P25: records in a day's file dated on another day."""
+    return profile.late_records(raw.parse_schema_a(fixture.raw_lines_a(spark, sf_dir)))
+
+
+_RAW_B_SQL = f"""{S.WITH_TELE},
+rb AS (SELECT CAST(t.vin AS VARCHAR) AS vin, v.vintype, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts,
+              CASE WHEN event_id % 89 = 0 THEN NULL ELSE (temp_min + temp_avg + temp_max) / 3 END AS temp_avg,
+              CASE WHEN event_id % 89 = 0 THEN NULL ELSE 3 END AS n_temps, 2 AS n_cells
+       FROM tele t LEFT JOIN vehicles v ON t.vin = v.vin)"""
+
+
+@register("raw_records_b", f"""{_RAW_B_SQL}
+SELECT vin, vintype, ts, CAST(ts AS DATE) AS day, n_cells, n_temps, {S.r6('temp_avg')} AS temp_avg FROM rb""")
+def q_raw_records_b(spark, sf_dir):
+    """Schema B (79 fields): list fields to numeric arrays (F3, null when an
+    item is not a number), their sizes (F4) and the temperature list mean (A14)."""
+    b = raw.parse_schema_b(fixture.raw_lines_b(spark, sf_dir))
+    size = lambda c: F.when(F.col(c).isNotNull(), F.size(c))
+    return b.select("vin", "vintype", "ts", "day", size("cell_volt_list").alias("n_cells"),
+                    size("temp_list").alias("n_temps"), r6("temp_avg").alias("temp_avg"))
+
+
+@register("list_means", f"""{_RAW_B_SQL}
+SELECT vin, {S.r6('avg(temp_avg)')} AS temp_list_mean, count(temp_avg) AS n_rows FROM rb GROUP BY vin""")
+def q_list_means(spark, sf_dir):
+    """Per vehicle the mean of per-row temperature-list means, ignoring missing lists."""
+    b = raw.parse_schema_b(fixture.raw_lines_b(spark, sf_dir))
+    return b.groupBy("vin").agg(r6(F.avg("temp_avg")).alias("temp_list_mean"),
+                                F.count("temp_avg").alias("n_rows"))
+
+
+# ---------------------------------------------------------------- profiles
+# Header-config stand-in: (No, Column, Type) rows as the reference's config file holds them.
+PROFILE_CONFIG = [
+    {"No": 0, "Column": "soc", "Type": "numeric"},
+    {"No": 1, "Column": "speed", "Type": "numerical"},
+    {"No": 2, "Column": "volt", "Type": "numeric"},
+    {"No": 3, "Column": "brake_pedal", "Type": "categorical"},
+    {"No": 4, "Column": "lat", "Type": None},
+]
+
+
+@register("profile_by_day", f"""{S.WITH_TELE}
+SELECT day, column_name AS "column", stat, category, value FROM (
+  SELECT day, 'soc' AS column_name, 'avg' AS stat, CAST(NULL AS VARCHAR) AS category, {S.r6('avg(soc)')} AS value FROM tele GROUP BY day
+  UNION ALL SELECT day, 'soc', 'max', NULL, {S.r6('max(soc)')} FROM tele GROUP BY day
+  UNION ALL SELECT day, 'soc', 'min', NULL, {S.r6('min(soc)')} FROM tele GROUP BY day
+  UNION ALL SELECT day, 'speed', 'avg', NULL, {S.r6('avg(speed)')} FROM tele GROUP BY day
+  UNION ALL SELECT day, 'speed', 'max', NULL, {S.r6('max(speed)')} FROM tele GROUP BY day
+  UNION ALL SELECT day, 'speed', 'min', NULL, {S.r6('min(speed)')} FROM tele GROUP BY day
+  UNION ALL SELECT day, 'volt', 'avg', NULL, {S.r6('avg(volt)')} FROM tele GROUP BY day
+  UNION ALL SELECT day, 'volt', 'max', NULL, {S.r6('max(volt)')} FROM tele GROUP BY day
+  UNION ALL SELECT day, 'volt', 'min', NULL, {S.r6('min(volt)')} FROM tele GROUP BY day
+  UNION ALL SELECT day, 'brake_pedal', 'count', brake_pedal, CAST(count(*) AS DOUBLE) FROM tele GROUP BY day, brake_pedal)""")
+def q_profile_by_day(spark, sf_dir):
+    """A16 + S6 config: stats chosen by each column's declared type
+    (numeric/numerical -> avg, max, min; categorical -> histogram; untyped skipped)."""
+    from ..sources.schemas import stat_plan_from_header_config
+    return profile.profile(tele(spark, sf_dir), stat_plan_from_header_config(PROFILE_CONFIG), keys=("day",))
+
+
+@register("describe_signals", f"""{S.WITH_TELE}
+SELECT * FROM (""" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, {S.r6(f'avg({c})')} AS mean, {S.r6(f'stddev_samp({c})')} AS std,
+        {S.r6(f'min({c})')} AS min, {S.r6(f'quantile_cont({c}, 0.25)')} AS q25, {S.r6(f'quantile_cont({c}, 0.5)')} AS q50,
+        {S.r6(f'quantile_cont({c}, 0.75)')} AS q75, {S.r6(f'max({c})')} AS max FROM tele""" for c in ("soc", "speed", "curr")) + ")")
+def q_describe_signals(spark, sf_dir):
+    """Describe (count, mean, std, min, quartiles, max) of SOC, speed, current."""
+    return profile.describe(tele(spark, sf_dir), ["soc", "speed", "curr"])
+
+
+@register("speed_histogram", f"""{S.WITH_TELE}
+SELECT CAST(floor((speed - 0) / 10) AS BIGINT) AS bin, count(*) AS n, CAST(floor((speed - 0) / 10) AS BIGINT) * 10.0 + 0 AS bin_lo
+FROM tele WHERE speed IS NOT NULL GROUP BY 1""")
+def q_speed_histogram(spark, sf_dir):
+    """Distribution of speed in 10-unit bins."""
+    return profile.histogram(tele(spark, sf_dir), "speed", 0.0, 10.0)
+
+
+@register("speed_current_relation", f"""{S.WITH_TELE}
+SELECT vin, count(CASE WHEN speed IS NOT NULL AND curr IS NOT NULL THEN 1 END) AS n,
+       {S.r6('corr(speed, curr)')} AS corr, {S.r6('covar_samp(speed, curr)')} AS covar,
+       {S.r6('regr_slope(curr, speed)')} AS slope, {S.r6('regr_intercept(curr, speed)')} AS intercept
+FROM tele GROUP BY vin""")
+def q_speed_current_relation(spark, sf_dir):
+    """Per-vehicle relation of current to speed (correlation, covariance, line)."""
+    return profile.pair_relation(tele(spark, sf_dir), "speed", "curr", keys=("vin",))
+
+
+@register("soc_speed_bins", f"""{S.WITH_TELE}
+SELECT CAST(floor(soc / 10) AS BIGINT) AS bx, CAST(floor(speed / 25) AS BIGINT) AS by, count(*) AS n
+FROM tele WHERE soc IS NOT NULL AND speed IS NOT NULL GROUP BY 1, 2""")
+def q_soc_speed_bins(spark, sf_dir):
+    """2-D bin counts of SOC against speed."""
+    return profile.joint_bins(tele(spark, sf_dir), "soc", "speed", 10.0, 25.0)
+
+
+@register("vintype_counts", f"""{S.WITH_TELE}
+SELECT vintype, count(*) AS n FROM tele JOIN vehicles USING (vin) GROUP BY vintype""")
+def q_vintype_counts(spark, sf_dir):
+    """A10 + J1: records per vehicle type, most frequent first."""
+    return profile.value_counts(tele(spark, sf_dir).join(fixture.vehicles(spark, sf_dir), "vin"), "vintype")
+
+
+@register("vehicle_days", f"""{S.WITH_TELE} SELECT DISTINCT vin, day FROM tele""")
+def q_vehicle_days(spark, sf_dir):
+    """A5: distinct (vehicle, day) pairs."""
+    return profile.distinct_values(tele(spark, sf_dir), ["vin", "day"])
+
+
+@register("period_time_bounds", f"""SELECT min(start_time) AS first_start, max(end_time) AS last_end FROM
+(SELECT start_time, end_time FROM ({_per_sql('charging')}) a UNION ALL SELECT start_time, end_time FROM ({_per_sql('driving')}) b)""")
+def q_period_time_bounds(spark, sf_dir):
+    """A24 + U1: first start and last end across charging and driving periods."""
+    return profile.time_bounds(_per(spark, sf_dir, "charging"), _per(spark, sf_dir, "driving"))
+
+
+@register("period_positions", f"""SELECT vin, period_no, end_time,
+  CAST(row_number() OVER (PARTITION BY vin ORDER BY end_time, period_no) - 1 AS INTEGER) AS position
+FROM ({_per_sql('charging')}) p""")
+def q_period_positions(spark, sf_dir):
+    """Position of each charging period after sorting a vehicle's periods by end time."""
+    p = _per(spark, sf_dir, "charging").select("vin", "period_no", "end_time")
+    return profile.positions(p, ["vin"], ["end_time", "period_no"])
+
+
+@register("last_records", f"""{S.WITH_TELE}
+SELECT vin, ts, event_id, soc FROM (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY ts DESC, event_id DESC) AS rn
+FROM tele) WHERE rn <= 10""")
+def q_last_records(spark, sf_dir):
+    """Each vehicle's last 10 records."""
+    t = tele(spark, sf_dir).select("vin", "day", "ts", "event_id", "soc")
+    return profile.last_records(t, ["vin"], 10, ["ts", "event_id"]).drop("day")
+
+
+@register("active_vehicles", f"""SELECT DISTINCT vin FROM (SELECT vin FROM ({_per_sql('charging')}) a
+UNION ALL SELECT vin FROM ({_per_sql('driving')}) b)""")
+def q_active_vehicles(spark, sf_dir):
+    """Vehicles with charging or driving periods (union of distinct keys)."""
+    return profile.union_keys(_per(spark, sf_dir, "charging"), _per(spark, sf_dir, "driving"))

@@ -89,3 +89,64 @@ TELEMETRY_SQL = """
 """
 
 VEHICLES_SQL = "SELECT c_custkey AS vin, c_mktsegment AS vintype FROM customer"
+
+
+# ---------------------------------------------------------------- raw text stand-ins
+RAW_TZ_OFFSET_MS = 8 * 3600 * 1000   # local clock of the raw files is UTC+8 (no DST)
+FILE_LAG = "2 hours"                 # a record lands in the file of date(ts + 2 h)
+
+
+def _txt(c):
+    return F.coalesce(c.cast("string"), F.lit(""))
+
+
+def _epoch_ms(ts="ts"):
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+    return F.floor(us / 1000).cast("long") - F.lit(RAW_TZ_OFFSET_MS)
+
+
+def raw_lines_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema A text lines (``value``) with the day of the file they sit in
+    (``file_day``). Lines carry 86 or 85 fields; every 97th event is cut to
+    84 fields (malformed)."""
+    from .schemas import SCHEMA_A_FIELDS
+    t = telemetry(spark, sf_dir)
+    src = {"VIN": F.col("vin"), "TDATE": _epoch_ms(), "SDATE": F.date_format("ts", "yyyyMMdd"),
+           "BMS_BATTCURR": F.col("curr"), "BMS_BATTVOLT": F.col("volt"),
+           "BMS_CELLVOLTMAX": F.col("cell_volt_max"), "BMS_CELLVOLTMIN": F.col("cell_volt_min"),
+           "BMS_BATTSOC": F.col("soc"), "BMS_BATTTEMPAVG": F.col("temp_avg"),
+           "BMS_BATTTEMPMAX": F.col("temp_max"), "BMS_BATTTEMPMIN": F.col("temp_min"),
+           "CCS_CHARGEVOLT": F.col("charge_volt"), "CCS_CHARGECUR": F.col("charge_cur"),
+           "EMS_ACCPEDALPST": F.col("acc_pedal"), "EMS_BRAKEPEDALST": F.col("brake_pedal"),
+           "HCU_AVGFUELCONSUMP": F.col("fuel"), "HCU_BATCHRGDSP": F.col("charge_st"),
+           "BCS_VEHSPD": F.col("speed"), "ICM_TOTALODOMETER": F.col("odo"),
+           "LON84": F.col("lon"), "LAT84": F.col("lat")}
+    by_pos = {i: src[name] for i, name in SCHEMA_A_FIELDS.items()}
+    fields = F.array(*[_txt(by_pos[i]) if i in by_pos else F.lit("") for i in range(86)])
+    n = (F.when(F.col("event_id") % 97 == 0, F.lit(84))
+          .when(F.col("event_id") % 2 == 1, F.lit(85)).otherwise(F.lit(86)))
+    return t.select(F.array_join(F.slice(fields, 1, n), ",").alias("value"),
+                    F.to_date(F.col("ts") + F.expr(f"INTERVAL {FILE_LAG}")).alias("file_day"))
+
+
+def raw_lines_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema B text lines (79 fields) with ``|``-separated cell-voltage and
+    temperature lists; every 89th event has a non-numeric list item."""
+    from .schemas import SCHEMA_B_FIELDS
+    t = telemetry(spark, sf_dir).join(vehicles(spark, sf_dir), "vin", "left")
+    temps = F.when(F.col("event_id") % 89 == 0,
+                   F.concat_ws("|", _txt(F.col("temp_min")), F.lit("x"), _txt(F.col("temp_max")))) \
+             .otherwise(F.concat_ws("|", _txt(F.col("temp_min")), _txt(F.col("temp_avg")), _txt(F.col("temp_max"))))
+    src = {"vin": F.col("vin"), "vintype": F.col("vintype"), "ts": _epoch_ms(),
+           "veh_charge_st": F.col("charge_st"), "veh_runmode": F.lit(1), "veh_spd": F.col("speed"),
+           "veh_odo": F.col("odo"), "veh_volt": F.col("volt"), "veh_curr": F.col("curr"),
+           "veh_soc": F.col("soc"), "veh_acce_pedal": F.col("acc_pedal"), "veh_brake_pedal": F.col("brake_pedal"),
+           "eng_consumption": F.col("fuel"), "data_batt_sc_volt_highest": F.col("cell_volt_max"),
+           "data_batt_sc_volt_lowest": F.col("cell_volt_min"), "data_batt_temp_highest": F.col("temp_max"),
+           "data_batt_temp_lowest": F.col("temp_min"), "esd_volt": F.col("volt"), "esd_curr": F.col("curr"),
+           "esd_sc_volt_list": F.concat_ws("|", _txt(F.col("cell_volt_min")), _txt(F.col("cell_volt_max"))),
+           "esd_sc_temp_list": temps}
+    by_pos = {i: src[name] for i, name in SCHEMA_B_FIELDS.items()}
+    fields = [_txt(by_pos[i]) if i in by_pos else F.lit("") for i in range(79)]
+    return t.select(F.concat_ws(",", *fields).alias("value"),
+                    F.to_date(F.col("ts") + F.expr(f"INTERVAL {FILE_LAG}")).alias("file_day"))
