@@ -17,6 +17,7 @@ from ..functions.scalar import r6
 from ..operators import battery, distance, geo, periods, profile, ranking, rollup, stats, trips
 from ..sources import raw
 from ..sources import fixture
+from . import export
 from . import sqlfrag as S
 
 # Trip break used on the fixture: its median gap between records is ~7 h, so
@@ -734,3 +735,28 @@ UNION ALL SELECT vin FROM ({_per_sql('driving')}) b)""")
 def q_active_vehicles(spark, sf_dir):
     """Vehicles with charging or driving periods (union of distinct keys)."""
     return profile.union_keys(_per(spark, sf_dir, "charging"), _per(spark, sf_dir, "driving"))
+
+
+# ---------------------------------------------------------------- K9 / F10-F12 (bulk-index documents)
+@register("trip_index_documents", f"""{S.WITH_TELE}, {_TRIP_ROWS},
+a AS (SELECT vin, trip_no, count(*) AS n_records,
+             arg_min(ts, (ts, event_id)) AS start_time, arg_max(ts, (ts, event_id)) AS end_time,
+             arg_min(lat, (ts, event_id)) AS start_latitude, arg_min(lon, (ts, event_id)) AS start_longitude,
+             arg_max(lat, (ts, event_id)) AS end_latitude, arg_max(lon, (ts, event_id)) AS end_longitude,
+             CAST(COALESCE(sum(CASE WHEN abs(step) < 10 THEN step END), 0) AS DOUBLE) AS signed
+      FROM t GROUP BY vin, trip_no HAVING count(*) > 1)
+SELECT vin, trip_no, '{{"index":{{"_index":"trips","_type":"doc"}}}}' || chr(10) ||
+  to_json(struct_pack(vin := vin, trip_no := trip_no, n_records := n_records,
+    start_time := strftime(start_time, '%Y-%m-%d %H:%M:%S'), end_time := strftime(end_time, '%Y-%m-%d %H:%M:%S'),
+    distance := {S.r6('abs(signed)')},
+    start_location := struct_pack(lat := start_latitude, lon := start_longitude),
+    end_location := struct_pack(lat := end_latitude, lon := end_longitude))) AS value
+FROM a""")
+def q_trip_index_documents(spark, sf_dir):
+    """K9 + F10-F12: trips as bulk-index lines (action line, then the document
+    with typed numbers and nested start/end locations)."""
+    tr = trips.trips(tele(spark, sf_dir), max_gap_s=FIXTURE_TRIP_GAP_S).select(
+        "vin", "trip_no", "n_records", "start_time", "end_time", "distance",
+        F.col("start_lat").alias("start_latitude"), F.col("start_lon").alias("start_longitude"),
+        F.col("end_lat").alias("end_latitude"), F.col("end_lon").alias("end_longitude"))
+    return export.documents(tr, "trips", keep=("vin", "trip_no"))

@@ -14,7 +14,8 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ampwise.session import checkpoint_dir, get_session
-    s = get_session("local[*]", shuffle_partitions=8)
+    s = get_session("local[*]", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ampwise-wh-")})
     checkpoint_dir(s, tempfile.mkdtemp(prefix="ampwise-ckpt-"))
     yield s
 
