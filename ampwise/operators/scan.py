@@ -60,8 +60,14 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             out = out.withColumn(n, F.sum(F.coalesce(_as_col(e), F.lit(0))).over(run))
         return out
 
-    src = df.withColumn(_B, _as_col(bucket))
-    wb = Window.partitionBy(*keys, _B).orderBy(*ocols)
+    # Partition on the bucket column itself when it is one: the output then
+    # stays hash-partitioned on (keys, bucket), so a following scan, join or
+    # aggregation on the same keys needs no new shuffle.
+    if isinstance(bucket, str) and bucket in df.columns:
+        src, bname, own_bucket = df, bucket, False
+    else:
+        src, bname, own_bucket = df.withColumn(_B, _as_col(bucket)), _B, True
+    wb = Window.partitionBy(*keys, bname).orderBy(*ocols)
     prev = wb.rowsBetween(Window.unboundedPreceding, -1)
     run = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -73,7 +79,8 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     for n, e in cums.items():
         local = local.withColumn(f"_l_{n}", F.sum(F.coalesce(_as_col(e), F.lit(0))).over(run))
 
-    # one summary row per (key, bucket)
+    # one summary row per (key, bucket), aggregated from the input with
+    # map-side partial aggregation, so only partial summaries are shuffled
     order_key = F.struct(*ocols)
     aggs = []
     if lags:
@@ -84,10 +91,10 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         aggs.append(F.max_by(c, F.when(c.isNotNull(), order_key)).alias(f"_t_{n}"))
     for n, e in cums.items():
         aggs.append(F.sum(F.coalesce(_as_col(e), F.lit(0))).alias(f"_t_{n}"))
-    summ = src.groupBy(*keys, _B).agg(*aggs)
-    wk = Window.partitionBy(*keys).orderBy(_B)
+    summ = src.groupBy(*keys, bname).agg(*aggs)
+    wk = Window.partitionBy(*keys).orderBy(bname)
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
-    sel = [*keys, _B]
+    sel = [*keys, bname]
     if lags:
         sel.append(F.lag("_tail").over(wk).alias("_ptail"))
     for n in lasts:
@@ -96,7 +103,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         sel.append(F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_p_{n}"))
     summ = summ.select(*sel)
 
-    out = local.join(summ, [*keys, _B], "left")
+    out = local.join(summ, [*keys, bname], "left")
     for n in lags:
         out = out.withColumn(n, F.when(F.col("_scan_first"), F.col(f"_ptail.{n}"))
                              .otherwise(F.col(f"_l_{n}")))
@@ -104,8 +111,10 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         out = out.withColumn(n, F.coalesce(F.col(f"_l_{n}"), F.col(f"_p_{n}")))
     for n in cums:
         out = out.withColumn(n, F.col(f"_l_{n}") + F.col(f"_p_{n}"))
-    drop = [_B, "_scan_first", *[f"_l_{n}" for n in (*lags, *lasts, *cums)],
+    drop = ["_scan_first", *[f"_l_{n}" for n in (*lags, *lasts, *cums)],
             *[f"_p_{n}" for n in (*lasts, *cums)]]
+    if own_bucket:
+        drop.append(_B)
     if lags:
         drop.append("_ptail")
     return out.drop(*drop)
