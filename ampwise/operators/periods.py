@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions.scalar import SAMPLE_SECONDS, avg6, gap_seconds, r6
-from .distance import JUMP_THRESHOLD, ORDER, distance_aggs, valid_odometer
+from .distance import JUMP_THRESHOLD, ORDER
+from .segments import island_stats
 from .trips import DAY_BUCKET, label_islands
 
 PERIOD_GAP_S = 600
@@ -77,7 +78,7 @@ def split_polarization(lab: DataFrame, keys: Sequence[str] = ("vin",), order: Se
     brk = F.col("_prev_ts").isNull() | drop
     s = lab.withColumn("_pbrk", brk)
     s = ordered_scan(s, keys, order, bucket, cums={"_pno": F.col("_pbrk").cast("long")})
-    s = s.withColumn("period_no", F.col("_pno"))
+    s = s.withColumn("period_no", F.col("_pno") - 1)
     for c in ("_prev_ts", "_prev_odo", "_prev_soc", "_prev_curr", "_prev_cell_volt_max"):
         s = s.withColumn(c, F.when(~F.col("_pbrk"), F.col(c)))
     return s.drop("_pbrk", "_pno")
@@ -90,33 +91,71 @@ def corrected_step(compaction_s: float = COMPACTION_S) -> Column:
     return F.when(dt > compaction_s, F.lit(SAMPLE_SECONDS).cast("long")).otherwise(dt)
 
 
-def period_stats(lab: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence[str] = ORDER,
-                 compaction_s: float = COMPACTION_S, jump: float = JUMP_THRESHOLD,
-                 min_records: int = 2) -> DataFrame:
-    """B9-B13 per period."""
-    i, v = F.col("curr"), F.col("volt")
-    ip = F.col("_prev_curr")
-    dtc = corrected_step(compaction_s)
-    soc_step = F.col("soc") - F.col("_prev_soc")
-    step = F.when(F.col("_prev_odo").isNotNull() & valid_odometer(), F.col("odo") - F.col("_prev_odo"))
-    okey = F.struct(*[F.col(c) for c in order])
-    g = lab.groupBy(*keys, "period_no").agg(
-        F.count("*").alias("count_records"),
-        F.min_by("ts", okey).alias("start_time"), F.max_by("ts", okey).alias("end_time"),
-        F.min_by("soc", okey).alias("start_soc"), F.max_by("soc", okey).alias("end_soc"),
-        F.sum(F.greatest(i, F.lit(0.0))).alias("_ich"), F.sum(F.greatest(-i, F.lit(0.0))).alias("_idis"),
-        F.sum(F.abs(i)).alias("_ithr"), F.sum(i).alias("_icons"),
-        F.sum(F.greatest(i, F.lit(0.0)) * v).alias("_pch"), F.sum(F.greatest(-i, F.lit(0.0)) * v).alias("_pdis"),
-        F.sum(F.abs(i) * v).alias("_pthr"), F.sum(i * v).alias("_pcons"),
-        F.sum((F.abs(i) + F.abs(ip)) / 2 * dtc).alias("_trap_thr"),
-        F.sum((i + ip) / 2 * dtc).alias("_trap_cons"),
-        F.sum(dtc).alias("_steps_s"),
-        F.sum(F.when(F.abs(soc_step) <= 1, F.abs(soc_step))).alias("_soc_seen"),
-        F.min("temp_min").alias("battery_temp_min"), F.max("temp_max").alias("battery_temp_max"),
-        F.avg("temp_avg").alias("_tavg"),
-        F.avg(F.col("cell_volt_max") - F.col("cell_volt_min")).alias("_cvd"),
-        *distance_aggs(step, valid_odometer(), jump, ("distance_driven", "_offset")),
-    ).where(F.col("count_records") >= min_records)
+def _dtc(compaction_s: float):
+    def fn(prev, cur):
+        dt = gap_seconds(prev("ts"), cur("ts"))
+        return F.when(dt > compaction_s, F.lit(SAMPLE_SECONDS).cast("long")).otherwise(dt)
+    return fn
+
+
+def periods(df: DataFrame, kind: str = "charging", keys: Sequence[str] = ("vin",),
+            max_gap_s: int = PERIOD_GAP_S, compaction_s: float | None = None,
+            bucket: str = DAY_BUCKET, jump: float = JUMP_THRESHOLD, min_records: int = 2,
+            order: Sequence[str] = ORDER, **full_soc) -> DataFrame:
+    """Period table of ``kind`` with B9-B13 statistics,
+    computed by segment combination (one shuffle of raw rows into
+    (vehicle, day), see :mod:`ampwise.operators.segments`)."""
+    base = kind.replace("_full_soc", "")
+    rows = df.where(period_flag(base))
+    split = None
+    if kind == "polarization":
+        split = lambda p, c: (p("cell_volt_max") - c("cell_volt_max")) > POLAR_DROP_TOLERANCE
+    comp = compaction_s if compaction_s is not None else (
+        POLAR_COMPACTION_S if kind == "polarization" else COMPACTION_S)
+    dtc = _dtc(comp)
+    pos = lambda x: F.greatest(x, F.lit(0.0))
+
+    def valid(c):
+        return c("ts").isNotNull() & F.coalesce(c("odo") > 0, F.lit(False))
+
+    def step(p, c):
+        return F.when(p("odo").isNotNull() & valid(c), c("odo") - p("odo"))
+
+    def soc_step(p, c):
+        return F.abs(c("soc") - p("soc"))
+
+    row_aggs = {
+        "_ich": ("sum", lambda c: pos(c("curr"))), "_idis": ("sum", lambda c: pos(-c("curr"))),
+        "_ithr": ("sum", lambda c: F.abs(c("curr"))), "_icons": ("sum", lambda c: c("curr")),
+        "_pch": ("sum", lambda c: pos(c("curr")) * c("volt")), "_pdis": ("sum", lambda c: pos(-c("curr")) * c("volt")),
+        "_pthr": ("sum", lambda c: F.abs(c("curr")) * c("volt")), "_pcons": ("sum", lambda c: c("curr") * c("volt")),
+        "battery_temp_min": ("min", lambda c: c("temp_min")), "battery_temp_max": ("max", lambda c: c("temp_max")),
+        "_tsum": ("sum", lambda c: c("temp_avg")), "_tn": ("sum", lambda c: c("temp_avg").isNotNull().cast("long")),
+        "_csum": ("sum", lambda c: c("cell_volt_max") - c("cell_volt_min")),
+        "_cn": ("sum", lambda c: (c("cell_volt_max") - c("cell_volt_min")).isNotNull().cast("long")),
+        "_nvalid": ("sum", lambda c: valid(c).cast("long")),
+    }
+    pair_aggs = {
+        "_trap_thr": ("sum", lambda p, c: (F.abs(c("curr")) + F.abs(p("curr"))) / 2 * dtc(p, c)),
+        "_trap_cons": ("sum", lambda p, c: (c("curr") + p("curr")) / 2 * dtc(p, c)),
+        "_steps_s": ("sum", dtc),
+        "_soc_seen": ("sum", lambda p, c: F.when(soc_step(p, c) <= 1, soc_step(p, c))),
+        "_small": ("sum", lambda p, c: F.when(F.abs(step(p, c)) < jump, step(p, c))),
+    }
+    st = island_stats(rows, keys, order, bucket, max_gap_s, carry=("soc", "odo", "curr", "cell_volt_max"),
+                      row_aggs=row_aggs, pair_aggs=pair_aggs, split=split, id_col="period_no")
+    st = st.where(F.col("_n") >= min_records)
+    out = _period_columns(st, keys).withColumn("kind", F.lit(KIND[kind]))
+    if kind.endswith("full_soc"):
+        out = out.where(full_soc_filter(charging=base == "charging", **full_soc))
+    return out
+
+
+def _period_columns(g: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """B9-B13 output columns from the combined island aggregates."""
+    g = g.select("*", F.col("_n").alias("count_records"),
+                 F.col("_head.ts").alias("start_time"), F.col("_tail.ts").alias("end_time"),
+                 F.col("_head.soc").alias("start_soc"), F.col("_tail.soc").alias("end_soc"))
     secs = gap_seconds("start_time", "end_time")
     ds = F.col("end_soc") - F.col("start_soc")
     ads = F.abs(ds)
@@ -125,7 +164,9 @@ def period_stats(lab: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence
     # same operation order as the SQL form, so both round identically
     ah = lambda c: F.col(c) * SAMPLE_SECONDS / 3600.0
     kwh = lambda c: F.col(c) * SAMPLE_SECONDS / 3600.0 / 1000
-    out = g.select(
+    dist = r6(F.when(F.col("_nvalid") > 0, F.abs(F.coalesce(F.col("_small"), F.lit(0)).cast("double"))))
+    g = g.withColumn("distance_driven", dist)
+    return g.select(
         *keys, "period_no", "count_records", "start_time", "end_time",
         F.to_date("end_time").alias("day"),
         r6("start_soc").alias("start_soc"), r6("end_soc").alias("end_soc"), r6(ds).alias("delta_soc"),
@@ -145,26 +186,10 @@ def period_stats(lab: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence
         r6(F.when(F.col("_soc_seen") > 0, ah("_ithr") * ads / F.col("_soc_seen"))).alias("ah_throughput_soc_comp"),
         r6(F.when(secs > 0, (secs - F.col("count_records") * SAMPLE_SECONDS) / secs * 100)).alias("missing_time_pct"),
         r6("battery_temp_min").alias("battery_temp_min"), r6("battery_temp_max").alias("battery_temp_max"),
-        r6("_tavg").alias("battery_temp_avg"), r6("_cvd").alias("cell_volt_diff_mean"),
+        r6(F.col("_tsum") / F.col("_tn")).alias("battery_temp_avg"),
+        r6(F.col("_csum") / F.col("_cn")).alias("cell_volt_diff_mean"),
         F.col("distance_driven"),
     )
-    return out
-
-
-def periods(df: DataFrame, kind: str = "charging", keys: Sequence[str] = ("vin",),
-            max_gap_s: int = PERIOD_GAP_S, compaction_s: float | None = None,
-            bucket: Column | str | None = DAY_BUCKET, **full_soc) -> DataFrame:
-    """Period table of ``kind`` with B9-B13 statistics."""
-    base = kind.replace("_full_soc", "")
-    lab = label_periods(df, base, keys, max_gap_s=max_gap_s, bucket=bucket)
-    if kind == "polarization":
-        lab = split_polarization(lab, keys, bucket=bucket)
-    comp = compaction_s if compaction_s is not None else (
-        POLAR_COMPACTION_S if kind == "polarization" else COMPACTION_S)
-    out = period_stats(lab, keys, compaction_s=comp).withColumn("kind", F.lit(KIND[kind]))
-    if kind.endswith("full_soc"):
-        out = out.where(full_soc_filter(charging=base == "charging", **full_soc))
-    return out
 
 
 def full_soc_filter(charging: bool = True, delta_min: float = 50, delta_max: float = 100,

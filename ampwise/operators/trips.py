@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions.scalar import duration_text, gap_seconds, r6
-from .distance import JUMP_THRESHOLD, ORDER, distance_aggs, valid_odometer
+from .distance import JUMP_THRESHOLD, ORDER, valid_odometer
 from .scan import ordered_scan
+from .segments import island_stats
 
 FIRST_GAP_S = 10        # gap assigned to a key's first record (fixed value of the reference)
 NEAR_DUP_GAP_S = 5      # records closer than this to the previous one are duplicates
@@ -86,23 +87,31 @@ def label_trips(df: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence[s
 
 def trips(df: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence[str] = ORDER,
           max_gap_s: int = TRIP_GAP_S, jump: float = JUMP_THRESHOLD,
-          bucket: Column | str | None = DAY_BUCKET) -> DataFrame:
-    """B1: one row per trip of two or more records."""
-    lab = label_trips(df, keys, order, max_gap_s, bucket)
-    okey = F.struct(*[F.col(c) for c in order])
-    agg = (lab.groupBy(*keys, "trip_no")
-           .agg(F.count("*").alias("n_records"),
-                F.min_by(F.col("ts"), okey).alias("start_time"),
-                F.max_by(F.col("ts"), okey).alias("end_time"),
-                F.min_by(F.col("lat"), okey).alias("start_lat"),
-                F.min_by(F.col("lon"), okey).alias("start_lon"),
-                F.max_by(F.col("lat"), okey).alias("end_lat"),
-                F.max_by(F.col("lon"), okey).alias("end_lon"),
-                *distance_aggs(F.col("_step"), valid_odometer(), jump, ("distance", "_offset")))
-           .where(F.col("n_records") > 1)
-           .drop("_offset"))
+          bucket: str = DAY_BUCKET) -> DataFrame:
+    """B1: one row per trip of two or more records (segment combination, see
+    :mod:`ampwise.operators.segments`: one shuffle of raw rows into
+    (vehicle, day), the rest on per-segment rows)."""
+    rows = df.where(P.driving() & P.valid_coordinates())
+
+    def valid(cur):
+        return cur("ts").isNotNull() & F.coalesce(cur("odo") > 0, F.lit(False))
+
+    def step(prev, cur):
+        return F.when(prev("odo").isNotNull() & valid(cur), cur("odo") - prev("odo"))
+
+    st = island_stats(
+        rows, keys, order, bucket, max_gap_s, carry=("lat", "lon", "odo"),
+        row_aggs={"_nvalid": ("sum", lambda c: valid(c).cast("long"))},
+        pair_aggs={"_small": ("sum", lambda p, c: F.when(F.abs(step(p, c)) < jump, step(p, c)))},
+        id_col="trip_no").where(F.col("_n") > 1)
+    signed = F.coalesce(F.col("_small"), F.lit(0)).cast("double")
     secs = gap_seconds("start_time", "end_time")
-    return (agg.withColumn("dura_sec", secs)
+    out = st.select(*keys, "trip_no", F.col("_n").alias("n_records"),
+                    F.col("_head.ts").alias("start_time"), F.col("_tail.ts").alias("end_time"),
+                    F.col("_head.lat").alias("start_lat"), F.col("_head.lon").alias("start_lon"),
+                    F.col("_tail.lat").alias("end_lat"), F.col("_tail.lon").alias("end_lon"),
+                    r6(F.when(F.col("_nvalid") > 0, F.abs(signed))).alias("distance"))
+    return (out.withColumn("dura_sec", secs)
                .withColumn("duration", r6(secs / 3600.0))
                .withColumn("duration_text", duration_text(secs))
                .withColumn("day", F.to_date("start_time")))

@@ -146,7 +146,7 @@ def _polar_split(drop: float | None) -> str:
     pb = f"(qts IS NULL OR COALESCE(qcvm - cell_volt_max > {drop}, false))"
     return f"""t AS (SELECT * REPLACE (
         CAST(SUM(CASE WHEN {pb} THEN 1 ELSE 0 END) OVER (PARTITION BY vin ORDER BY ts, event_id
-             ROWS UNBOUNDED PRECEDING) AS BIGINT) AS period_no,
+             ROWS UNBOUNDED PRECEDING) - 1 AS BIGINT) AS period_no,
         CASE WHEN {pb} THEN NULL ELSE qts END AS qts, CASE WHEN {pb} THEN NULL ELSE qodo END AS qodo,
         CASE WHEN {pb} THEN NULL ELSE qsoc END AS qsoc, CASE WHEN {pb} THEN NULL ELSE qcur END AS qcur) FROM t0)"""
 
