@@ -101,7 +101,7 @@ def _dtc(compaction_s: float):
 def periods(df: DataFrame, kind: str = "charging", keys: Sequence[str] = ("vin",),
             max_gap_s: int = PERIOD_GAP_S, compaction_s: float | None = None,
             bucket: str = DAY_BUCKET, jump: float = JUMP_THRESHOLD, min_records: int = 2,
-            order: Sequence[str] = ORDER, **full_soc) -> DataFrame:
+            order: Sequence[str] = ORDER, **soc_window) -> DataFrame:
     """Period table of ``kind`` with B9-B13 statistics,
     computed by segment combination (one shuffle of raw rows into
     (vehicle, day), see :mod:`ampwise.operators.segments`)."""
@@ -145,12 +145,19 @@ def periods(df: DataFrame, kind: str = "charging", keys: Sequence[str] = ("vin",
     st = island_stats(rows, keys, order, bucket, max_gap_s, carry=("soc", "odo", "curr", "cell_volt_max"),
                       row_aggs=row_aggs, pair_aggs=pair_aggs, split=split, id_col="period_no")
     st = st.where(F.col("_n") >= min_records)
-    out = _period_columns(st, keys).withColumn("kind", F.lit(KIND[kind]))
+    out = _period_columns(st, keys).withColumn("kind", F.lit(KIND[base]))
     if kind.endswith("full_soc"):
-        out = out.where(full_soc_filter(charging=base == "charging", **full_soc))
+        out = full_soc(out, charging=base == "charging", **soc_window)
     return out
 
 
+def full_soc(per: DataFrame, charging: bool = True, **window) -> DataFrame:
+    """Kinds 2 and 4 from an already computed period table of kind 1 or 3
+    (so both tables share one computation)."""
+    k = KIND["charging_full_soc" if charging else "driving_full_soc"]
+    return per.where(full_soc_filter(charging=charging, **window)).withColumn("kind", F.lit(k))
+
+
 def _period_columns(g: DataFrame, keys: Sequence[str]) -> DataFrame:
     """B9-B13 output columns from the combined island aggregates."""
     g = g.select("*", F.col("_n").alias("count_records"),

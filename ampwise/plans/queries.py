@@ -260,10 +260,10 @@ def q_vehicle_ranking(spark, sf_dir):
     """A11 recency-weighted means per vehicle of four period tables,
     A13 minimum counts, full outer + two left joins (J4, J5), renames (P1)."""
     t = tele(spark, sf_dir)
-    per = {k: periods.periods(t, k, max_gap_s=FIXTURE_PERIOD_GAP_S)
-           for k in ("charging", "driving", "charging_full_soc", "driving_full_soc")}
-    return ranking.vehicle_ranking(per["charging"], per["driving"], per["charging_full_soc"],
-                                   per["driving_full_soc"], fixture.vehicles(spark, sf_dir),
+    chg = periods.periods(t, "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
+    drv = periods.periods(t, "driving", max_gap_s=FIXTURE_PERIOD_GAP_S)
+    return ranking.vehicle_ranking(chg, drv, periods.full_soc(chg, True), periods.full_soc(drv, False),
+                                   fixture.vehicles(spark, sf_dir),
                                    FIXTURE_VINTYPE, day_range=30, min_count_records=1,
                                    min_count_periods=1)
 
