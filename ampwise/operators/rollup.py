@@ -44,9 +44,12 @@ def dense_calendar(daily: DataFrame, end_day: Column | None = None) -> DataFrame
 
 
 def dense_daily(daily: DataFrame, end_day: Column | None = None) -> DataFrame:
-    """The daily stat rows on the dense calendar (missing days -> nulls)."""
+    """The daily stat rows on the dense calendar (missing days -> nulls;
+    ``_present`` marks days the vehicle reported)."""
     cols = sorted({c for v in MONTHLY_STATS.values() for c in v if c})
-    return dense_calendar(daily, end_day).join(daily.select("vin", "day", *cols), ["vin", "day"], "left")
+    d = daily.select("vin", "day", *cols, F.lit(True).alias("_present"))
+    return dense_calendar(daily, end_day).join(d, ["vin", "day"], "left") \
+        .withColumn("_present", F.coalesce("_present", F.lit(False)))
 
 
 def _fold_avg(acc: Column, x: Column) -> Column:
@@ -60,10 +63,14 @@ def _fold_avg(acc: Column, x: Column) -> Column:
 
 
 def ordered_weighted_average(days: Column) -> Column:
-    """R2 fold over an array of ``struct(day, avg, n)`` sorted by day."""
+    """R2 fold over an array of ``struct(day, avg, n, present)`` sorted by
+    day: the month's first entry (a null entry when the vehicle was missing on
+    day 01) starts the month, then every day the vehicle reported is folded
+    in; days it was missing leave the monthly value untouched."""
     s = F.array_sort(days)
     init = F.struct(s[0]["avg"].alias("avg"), s[0]["n"].alias("n"))
-    rest = F.transform(F.slice(s, 2, 40), lambda e: F.struct(e["avg"].alias("avg"), e["n"].alias("n")))
+    rest = F.filter(F.slice(s, 2, 40), lambda e: e["present"])
+    rest = F.transform(rest, lambda e: F.struct(e["avg"].alias("avg"), e["n"].alias("n")))
     return F.aggregate(rest, init, _fold_avg)
 
 
@@ -75,7 +82,8 @@ def monthly_rollup(daily: DataFrame, end_day: Column | None = None) -> DataFrame
         sum6("charging_hours").alias("charging_hours"),
         ordered_weighted_average(F.collect_list(F.struct(
             F.col("day"), F.col("speed_average").alias("avg"),
-            F.coalesce(F.col("speed_n"), F.lit(0)).cast("long").alias("n")))).alias("_sp"))
+            F.coalesce(F.col("speed_n"), F.lit(0)).cast("long").alias("n"),
+            F.col("_present").alias("present")))).alias("_sp"))
     long = agg.select("vin", "_month", F.explode(F.array(
         F.struct(F.lit("miles_driven").alias("stat"), r6("miles_driven").alias("value"),
                  F.lit(None).cast("long").alias("weight")),
@@ -102,6 +110,59 @@ def daily_long(daily: DataFrame, end_day: Column | None = None) -> DataFrame:
             .select("vin", "r.stat", F.lit("daily").alias("freq"), "time_label", "r.value", "r.weight")
 
 
+def merge_day(state: DataFrame, daily: DataFrame, day: str) -> DataFrame:
+    """Fold one day's stat rows into the monthly long-form state
+    (the reference's incremental job). ``state`` holds monthly rows
+    ``(vin, stat, freq, time_label, value, weight)``; ``daily`` the stat rows
+    of ``day`` (``yyyy-MM-dd``). Callers check R6 (:func:`next_day_allowed`)
+    first. A full outer join on (vin, stat) covers the three cases: vehicle
+    missing today (nothing changes, except a null month entry on day 01),
+    new vehicle (its month starts from today), present in both (null-aware
+    sum, R2 fold step for the speed average). On day 01 a new month starts."""
+    spark = daily.sparkSession
+    d = F.lit(day).cast("date")
+    label = spark.range(1).select(F.date_format(d, "yyyy-M").alias("m")).first()["m"]
+    first_of_month = day.endswith("-01")
+    today = daily.where(F.col("day") == d)
+    new = today.select("vin", F.explode(F.array(
+        F.struct(F.lit("miles_driven").alias("stat"), F.col("distance_driven").alias("value"),
+                 F.lit(None).cast("long").alias("weight")),
+        F.struct(F.lit("charging_hours").alias("stat"), F.col("charging_hours").alias("value"),
+                 F.lit(None).cast("long").alias("weight")),
+        F.struct(F.lit("average_speed").alias("stat"), F.col("speed_average").alias("value"),
+                 F.coalesce(F.col("speed_n"), F.lit(0)).cast("long").alias("weight")))).alias("r")) \
+        .select("vin", "r.stat", "r.value", "r.weight")
+    cur = state.where(F.col("time_label") == label).select("vin", "stat", "value", "weight")
+    rest = state.where(F.col("time_label") != label)
+    cols = ["vin", "stat", "freq", "time_label", "value", "weight"]
+    if first_of_month:
+        known = state.select("vin", "stat").distinct()
+        missing = known.join(new.select("vin", "stat"), ["vin", "stat"], "left_anti") \
+            .select("vin", "stat", F.lit(None).cast("double").alias("value"),
+                    F.when(F.col("stat") == "average_speed", F.lit(0)).cast("long").alias("weight"))
+        merged = new.unionByName(missing)
+    else:
+        a = cur.select("vin", "stat", F.col("value").alias("a_value"), F.col("weight").alias("a_weight"),
+                       F.lit(True).alias("a_in"))
+        b = new.select("vin", "stat", F.col("value").alias("b_value"), F.col("weight").alias("b_weight"),
+                       F.lit(True).alias("b_in"))
+        j = a.join(b, ["vin", "stat"], "full")
+        folded = _fold_avg(F.struct(F.col("a_value").alias("avg"), F.col("a_weight").alias("n")),
+                           F.struct(F.col("b_value").alias("avg"), F.col("b_weight").alias("n")))
+        summed = F.when(F.col("a_value").isNull() & F.col("b_value").isNull(), F.lit(None).cast("double")) \
+                  .otherwise(F.coalesce(F.col("a_value"), F.lit(0.0)) + F.coalesce(F.col("b_value"), F.lit(0.0)))
+        speed = F.col("stat") == "average_speed"
+        merged = j.select(
+            "vin", "stat",
+            F.when(F.col("b_in").isNull(), F.col("a_value")).when(F.col("a_in").isNull(), F.col("b_value"))
+             .when(speed, folded["avg"]).otherwise(summed).alias("value"),
+            F.when(F.col("b_in").isNull(), F.col("a_weight")).when(F.col("a_in").isNull(), F.col("b_weight"))
+             .when(speed, folded["n"]).otherwise(F.lit(None).cast("long")).alias("weight"))
+    merged = merged.select("vin", "stat", F.lit("monthly").alias("freq"), F.lit(label).alias("time_label"),
+                           "value", "weight")
+    return rest.select(*cols).unionByName(merged.select(*cols))
+
+
 def next_day_allowed(ledger_last_day: Column, batch_day: Column) -> Column:
     """Only the day after the last merged day may be merged."""
     return ledger_last_day.isNull() | (batch_day == F.date_add(ledger_last_day, 1))

@@ -342,10 +342,14 @@ _DENSE_SQL = f"""ds AS ({S.stat_row_sql("strftime(ts, '%Y-%m-%d')")}),
 fb AS (SELECT vin, min(day) AS f FROM ds GROUP BY vin), lb AS (SELECT max(day) AS l FROM ds),
 cal AS (SELECT vin, CAST(unnest(generate_series(CAST(f AS TIMESTAMP), CAST(l AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
         FROM fb, lb),
-dd AS (SELECT cal.vin, cal.day, ds.distance_driven, ds.charging_hours, ds.speed_average, ds.speed_n
+dd AS (SELECT cal.vin, cal.day, ds.distance_driven, ds.charging_hours, ds.speed_average, ds.speed_n,
+              ds.vin IS NOT NULL AS present
        FROM cal LEFT JOIN ds ON cal.vin = ds.vin AND cal.day = ds.day)"""
 
-_FOLD = """list_reduce(list({'avg': speed_average, 'n': CAST(COALESCE(speed_n, 0) AS BIGINT)} ORDER BY day),
+_FOLD = """list_reduce(list_concat(
+    [list({'avg': speed_average, 'n': CAST(COALESCE(speed_n, 0) AS BIGINT)} ORDER BY day)[1]],
+    list({'avg': speed_average, 'n': CAST(COALESCE(speed_n, 0) AS BIGINT)} ORDER BY day)
+      .list_filter(lambda e, i: i > 1 AND list(present ORDER BY day)[i])),
   lambda a, x: CASE WHEN a.avg IS NULL AND x.avg IS NULL THEN {'avg': CAST(NULL AS DOUBLE), 'n': CAST(0 AS BIGINT)}
     ELSE {'avg': CASE WHEN (CASE WHEN a.avg = 0 THEN 1 ELSE a.n END) + (CASE WHEN x.avg = 0 THEN 1 ELSE x.n END) <> 0
                  THEN (COALESCE(a.avg * (CASE WHEN a.avg = 0 THEN 1 ELSE a.n END), 0.0)

@@ -214,3 +214,20 @@ def test_truncate_text(spark):
     df = spark.createDataFrame([(23.129,), (-0.001,), (1e-5,), (113.0,)], "x double")
     got = [r.t for r in df.select(scalar.truncate_text("x", 2).alias("t")).collect()]
     assert got == ["23.12", "-0.00", "0.00", "113.00"]
+
+
+def test_merge_day_matches_batch_rollup(spark):
+    from ampwise.sources import fixture
+    daily = stats.daily_stats(fixture.telemetry(spark, "/root/testdata/sf0.001")).select(
+        "vin", "day", "speed_average", "speed_n", "distance_driven", "charging_hours")
+    daily = spark.createDataFrame(daily.collect(), daily.schema)          # small, keep lineage short
+    schema = "vin long, stat string, freq string, time_label string, value double, weight long"
+    state = spark.createDataFrame([], schema)
+    days = sorted({r.day for r in daily.select("day").distinct().collect()})
+    for d in days:
+        state = spark.createDataFrame(rollup.merge_day(state, daily, d.isoformat()).collect(), schema)
+    batch = rollup.monthly_rollup(daily)
+    def norm(df):
+        return sorted((r.vin, r.stat, r.time_label, None if r.value is None else round(r.value, 6), r.weight)
+                      for r in df.collect())
+    assert norm(state) == norm(batch)
