@@ -262,7 +262,7 @@ def constant_current_model(lab: DataFrame, keys: Sequence[str] = ("vin", "period
         ws = Window.partitionBy(*keys, "side")
         keep = F.when(F.col("side") == 0, F.col("soc") > F.min("soc").over(ws)) \
                 .otherwise(F.col("soc") < F.max("soc").over(ws))
-        sp = sp.where(keep)
+        sp = sp.withColumn("_keep", keep).where(F.col("_keep")).drop("_keep")
     sides = (sp.groupBy(*keys, "side")
              .agg(F.avg("curr").alias("i_mean"),
                   (F.max("t_corr") - F.min("t_corr") + SAMPLE_SECONDS).alias("span_s")))
@@ -309,3 +309,63 @@ def grid_interpolate(lab: DataFrame, keys: Sequence[str] = ("vin", "period_no"),
     wg = Window.partitionBy(*keys).orderBy("ts")
     slope = (F.col(value) - F.lag(value).over(wg)) / (step_s / 60.0)
     return g.select(*keys, "ts", r6(value).alias(value), r6(slope).alias("slope_per_min"))
+
+
+SLOPE_LIMIT_CHARGING = 0.001       # SOC points per second (fixed value of the reference's calls)
+SLOPE_LIMIT_DRIVING = -0.0005
+THRESHOLD_FACTOR = 2.5             # current-dependent threshold factor (10 in a second call)
+
+
+def missing_time_treatments(lab: DataFrame, keys: Sequence[str] = ("vin", "period_no"),
+                            order: Sequence[str] = ORDER, offset_s: float = COMPACTION_S,
+                            slope_limit: float = SLOPE_LIMIT_CHARGING, negative_slope: bool = False,
+                            factor: float = THRESHOLD_FACTOR) -> DataFrame:
+    """B14 + B15 + B12 per period (definitions ours; the treatment functions
+    are absent from the reference, only their parameters are known).
+
+    * B14 fixed offset: a step longer than ``offset_s`` counts as 10 s when
+      the SOC moved slower than ``slope_limit`` points per second across it
+      (for driving, ``negative_slope``: when SOC fell slower than the limit),
+      i.e. nothing happened during the gap.
+    * B15 current-dependent threshold: a step counts as 10 s when it is longer
+      than ``factor`` times the period's observed seconds per SOC point
+      (records x 10 / |delta SOC|).
+
+    Each gives a real duration (corrected steps + the first sample) and the
+    Ah throughput scaled by real / observed duration (B12)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    whole = Window.partitionBy(*keys)
+    s = lab.withColumn("_dt", gap_seconds(F.lag("ts").over(w), F.col("ts"))) \
+           .withColumn("_dsoc", F.col("soc") - F.lag("soc").over(w)) \
+           .withColumn("_n", F.count(F.lit(1)).over(whole)) \
+           .withColumn("_span_soc", F.abs(F.last("soc").over(whole.orderBy(*order).rowsBetween(
+               Window.unboundedPreceding, Window.unboundedFollowing)) - F.first("soc").over(
+               whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    slope = F.col("_dsoc") / F.col("_dt")
+    idle = (slope > slope_limit) if negative_slope else (slope < slope_limit)
+    fixed = F.when((F.col("_dt") > offset_s) & F.coalesce(idle, F.lit(False)), F.lit(SAMPLE_SECONDS)) \
+             .otherwise(F.col("_dt"))
+    thr = F.when(F.col("_span_soc") > 0, factor * F.col("_n") * SAMPLE_SECONDS / F.col("_span_soc"))
+    current = F.when(thr.isNotNull() & (F.col("_dt") > thr), F.lit(SAMPLE_SECONDS)).otherwise(F.col("_dt"))
+    g = s.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("count_records"),
+        (F.coalesce(F.sum(fixed), F.lit(0)) + SAMPLE_SECONDS).alias("real_s_fixed"),
+        (F.coalesce(F.sum(current), F.lit(0)) + SAMPLE_SECONDS).alias("real_s_current"),
+        F.sum(F.abs("curr")).alias("_ithr"))
+    ah = F.col("_ithr") * SAMPLE_SECONDS / 3600.0
+    obs = F.col("count_records") * SAMPLE_SECONDS
+    return g.select(*keys, "count_records", r6("real_s_fixed").alias("real_s_fixed"),
+                    r6("real_s_current").alias("real_s_current"),
+                    r6(ah * F.col("real_s_fixed") / obs).alias("ah_throughput_fixed_comp"),
+                    r6(ah * F.col("real_s_current") / obs).alias("ah_throughput_current_comp"))
+
+
+def charge_soc_ranges(per: DataFrame, step: float = 10, keys: Sequence[str] = ("vin", "day")) -> DataFrame:
+    """B8 ``soc_range_charge_start`` / ``_end`` (ours): periods counted by the
+    ``step`` bucket (upper edge, F7) of their start and end SOC."""
+    edges = per.select(*keys, F.explode(F.array(
+        F.struct(F.lit("start").alias("edge"), F.col("start_soc").alias("soc")),
+        F.struct(F.lit("end").alias("edge"), F.col("end_soc").alias("soc")))).alias("e"))
+    return (edges.groupBy(*keys, F.col("e.edge").alias("edge"),
+                          (F.ceil(F.col("e.soc") / step) * step).cast("double").alias("soc_bucket"))
+            .agg(F.count(F.lit(1)).alias("n_periods")))

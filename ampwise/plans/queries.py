@@ -504,7 +504,10 @@ def q_polarization_periods(spark, sf_dir):
 _CHG_ROWS = f"""{S.WITH_TELE}, {S.period_rows_sql(S.charging('0'), FIXTURE_PERIOD_GAP_S)}"""
 
 
-@register("current_models", f"""{_CHG_ROWS},
+def _current_models_sql(trim: bool) -> str:
+    sel = ("sdx AS (SELECT * FROM sd QUALIFY CASE WHEN side = 0 THEN soc > min(soc) OVER (PARTITION BY vin, period_no, side) "
+           "ELSE soc < max(soc) OVER (PARTITION BY vin, period_no, side) END)") if trim else "sdx AS (SELECT * FROM sd)"
+    return f"""{_CHG_ROWS},
 n0 AS (SELECT *, row_number() OVER w AS rn, curr - lag(curr) OVER w AS dcur, lag(ts) OVER w AS lts
        FROM r WINDOW w AS (PARTITION BY vin, period_no ORDER BY ts, event_id)),
 n AS (SELECT *, CASE WHEN lts IS NULL THEN 0 WHEN {S.gap('lts', 'ts')} > 120 THEN 10
@@ -512,18 +515,22 @@ n AS (SELECT *, CASE WHEN lts IS NULL THEN 0 WHEN {S.gap('lts', 'ts')} > 120 THE
 sp AS (SELECT *, COALESCE(min(CASE WHEN abs(dcur) > 5.0 THEN rn END) OVER (PARTITION BY vin, period_no), 2) AS split_rn,
               sum(dtc0) OVER (PARTITION BY vin, period_no ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS t_corr FROM n),
 sd AS (SELECT *, CAST(rn >= split_rn AS INTEGER) AS side FROM sp),
+{sel},
 sides AS (SELECT vin, period_no, side, avg(curr) AS i_mean, max(t_corr) - min(t_corr) + 10 AS span_s
-          FROM sd GROUP BY ALL),
+          FROM sdx GROUP BY ALL),
 model AS (SELECT vin, period_no, sum(i_mean * span_s / 3600) AS ah_const FROM sides GROUP BY ALL),
 line AS (SELECT vin, period_no, regr_slope(curr, t_corr) AS b, regr_intercept(curr, t_corr) AS a,
                 min(t_corr) AS t0, max(t_corr) AS t1, arg_min(soc, (ts, event_id)) AS s0,
-                arg_max(soc, (ts, event_id)) AS s1 FROM sd GROUP BY ALL),
+                arg_max(soc, (ts, event_id)) AS s1 FROM sdx GROUP BY ALL),
 j AS (SELECT model.*, a, b, t0, t1, abs(s1 - s0) AS ads,
              (a * (t1 - t0) + b * (t1 * t1 - t0 * t0) / 2) / 3600 AS integral FROM model JOIN line USING (vin, period_no))
 SELECT vin, period_no, {S.r6('ah_const')} AS ah_const_current,
        {S.r6('CASE WHEN ads <> 0 THEN ah_const / ads * 100 END')} AS normalized_ah_const_current,
        {S.r6('integral')} AS ah_linear_fit, {S.r6('CASE WHEN ads <> 0 THEN integral / ads * 100 END')} AS normalized_ah_linear_fit
-FROM j""")
+FROM j"""
+
+
+@register("current_models", _current_models_sql(False))
 def q_current_models(spark, sf_dir):
     """B16 + B18 with the W14 split: constant-current halves and a straight
     line fitted to current over corrected time, per charging period."""
@@ -531,6 +538,24 @@ def q_current_models(spark, sf_dir):
     return periods.constant_current_model(lab)
 
 
+@register("current_models_trimmed", _current_models_sql(True))
+def q_current_models_trimmed(spark, sf_dir):
+    """B17 + B16/B18: as current_models after trimming the lowest-SOC rows of
+    the first side and the highest-SOC rows of the second."""
+    lab = periods.label_periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
+    return periods.constant_current_model(lab, trim=True)
+
+
+@register("charge_soc_ranges", f"""WITH p AS ({_per_sql('charging')})
+SELECT vin, day, 'start' AS edge, CAST(ceil(start_soc / 10) * 10 AS DOUBLE) AS soc_bucket, count(*) AS n_periods
+FROM p GROUP BY ALL
+UNION ALL SELECT vin, day, 'end', CAST(ceil(end_soc / 10) * 10 AS DOUBLE), count(*) FROM p GROUP BY ALL""")
+def q_charge_soc_ranges(spark, sf_dir):
+    """B8 soc_range_charge_start/end (ours): charging periods counted by the
+    10 % bucket (F7 upper edge) of their first and last SOC, per vehicle-day."""
+    return periods.charge_soc_ranges(_per(spark, sf_dir, "charging"))
+
+
 _GRID_STEP = 180
 
 
@@ -764,3 +789,28 @@ def q_trip_index_documents(spark, sf_dir):
         F.col("start_lat").alias("start_latitude"), F.col("start_lon").alias("start_longitude"),
         F.col("end_lat").alias("end_latitude"), F.col("end_lon").alias("end_longitude"))
     return export.documents(tr, "trips", keep=("vin", "trip_no"))
+
+
+# ---------------------------------------------------------------- B14, B15, B17, B8 charge SOC ranges
+@register("missing_time_treatments", f"""{_CHG_ROWS},
+m0 AS (SELECT *, lag(ts) OVER w AS lts, soc - lag(soc) OVER w AS dsoc, count(*) OVER (PARTITION BY vin, period_no) AS np,
+              abs(last(soc) OVER wa - first(soc) OVER wa) AS span_soc
+       FROM r WINDOW w AS (PARTITION BY vin, period_no ORDER BY ts, event_id),
+                     wa AS (PARTITION BY vin, period_no ORDER BY ts, event_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+m1 AS (SELECT *, {S.gap('lts', 'ts')} AS dt0,
+              CASE WHEN span_soc > 0 THEN 2.5 * np * 10 / span_soc END AS thr FROM m0),
+m2 AS (SELECT *, CASE WHEN dt0 > 120 AND COALESCE(dsoc / dt0 < 0.001, false) THEN 10 ELSE dt0 END AS dfix,
+              CASE WHEN thr IS NOT NULL AND dt0 > thr THEN 10 ELSE dt0 END AS dcur FROM m1),
+mg AS (SELECT vin, period_no, count(*) AS count_records, COALESCE(sum(dfix), 0) + 10 AS rf,
+             COALESCE(sum(dcur), 0) + 10 AS rc, sum(abs(curr)) AS ithr FROM m2 GROUP BY ALL)
+SELECT vin, period_no, count_records, {S.r6('rf')} AS real_s_fixed, {S.r6('rc')} AS real_s_current,
+       {S.r6('ithr * 10 / 3600.0 * rf / (count_records * 10)')} AS ah_throughput_fixed_comp,
+       {S.r6('ithr * 10 / 3600.0 * rc / (count_records * 10)')} AS ah_throughput_current_comp
+FROM mg""")
+def q_missing_time_treatments(spark, sf_dir):
+    """B14 + B15 + B12: charging-period durations corrected by a fixed
+    offset with a SOC-slope limit and by a current-dependent threshold, and
+    the Ah throughput compensated by each."""
+    lab = periods.label_periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
+    return periods.missing_time_treatments(lab)
