@@ -814,3 +814,17 @@ def q_missing_time_treatments(spark, sf_dir):
     the Ah throughput compensated by each."""
     lab = periods.label_periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
     return periods.missing_time_treatments(lab)
+
+
+# ---------------------------------------------------------------- end to end from text (S1-S3 -> A1)
+_RAW_TELE = """SELECT CAST(vin AS VARCHAR) AS vin, event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts,
+  CAST(make_timestamp((epoch_us(ts) // 1000) * 1000) AS DATE) AS day, soc, CAST(odo AS DOUBLE) AS odo, charge_cur,
+  CAST(charge_st AS DOUBLE) AS charge_st, fuel, volt, curr, lat, lon, speed, temp_avg, temp_max, temp_min,
+  cell_volt_max, cell_volt_min, acc_pedal, brake_pedal, charge_volt FROM tele WHERE event_id % 97 <> 0"""
+
+
+@register("raw_daily_stats", S.stat_row_sql("strftime(ts, '%Y-%m-%d')", source_cte=_RAW_TELE))
+def q_raw_daily_stats(spark, sf_dir):
+    """S1-S3 + P5-P8 + A1/B8: the daily stat rows computed straight from
+    schema-A text lines (the reference's daily job end to end)."""
+    return stats.daily_stats(raw.parse_schema_a(fixture.raw_lines_a(spark, sf_dir)))

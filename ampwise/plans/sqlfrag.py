@@ -52,7 +52,7 @@ NUM_STATS_SQL = {
 }
 
 
-def stat_row_sql(label_expr: str, hourly: bool = False) -> str:
+def stat_row_sql(label_expr: str, hourly: bool = False, source_cte: str | None = None) -> str:
     """Oracle of :func:`ampwise.operators.stats.period_stats`."""
     kwh = "* 10 / 3600 / 1000"
     num_l1 = ",\n".join(
@@ -97,9 +97,13 @@ def stat_row_sql(label_expr: str, hourly: bool = False) -> str:
         final = "vin, time_label, n_records, distance_driven, speed_average, speed_n, charging_hours, driving_hours, charged_energy, CAST(CAST(time_label AS TIMESTAMP) AS DATE) AS day"
     else:
         final = "*, CAST(time_label AS DATE) AS day"
-    return f"""{WITH_TELE},
+    src = "tele"
+    head = WITH_TELE
+    if source_cte:
+        head, src = f"{WITH_TELE}, tsrc AS ({source_cte})", "tsrc"
+    return f"""{head},
 f AS (SELECT *, {label_expr} AS time_label, {DRIVING} AS _drv, {charging('0')} AS _chg,
-             {on_battery()} AS _bat, COALESCE(odo > 0, false) AND ts IS NOT NULL AS _valid FROM tele),
+             {on_battery()} AS _bat, COALESCE(odo > 0, false) AND ts IS NOT NULL AS _valid FROM {src}),
 f2 AS (SELECT *, _drv AND NOT _bat AS _fuelrow FROM f),
 w1 AS (SELECT *, lag(_bat) OVER w AS pv_bat, lag(speed) OVER w AS pv_speed,
          last(CASE WHEN _valid THEN odo END IGNORE NULLS) OVER wp AS pv_odo,

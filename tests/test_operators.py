@@ -231,3 +231,17 @@ def test_merge_day_matches_batch_rollup(spark):
         return sorted((r.vin, r.stat, r.time_label, None if r.value is None else round(r.value, 6), r.weight)
                       for r in df.collect())
     assert norm(state) == norm(batch)
+
+
+def test_column_helpers(spark):
+    from ampwise.functions import columns
+    df = spark.createDataFrame([("a", float("nan"), "NA", "2024-01-01 08:00:00+08:00", dt.date(2024, 1, 3))],
+                               "battery_temp_min_min_trips string, x double, y string, t string, day date")
+    r = columns.rename_by_rules(df, columns.RANKING_RENAME_RULES)
+    assert r.columns[0] == "battery_temp_min_driving"
+    n = columns.nulls_for_missing(df).first()
+    assert n.x is None and n.y is None
+    s = columns.strip_utc_offset(df, ["t"]).first()
+    assert s.t == "2024-01-01 08:00:00"
+    assert columns.in_date_range(df, "2024-01-01", "2024-01-03").count() == 1
+    assert columns.in_date_range(df, "2024-01-04", "2024-01-05").count() == 0
