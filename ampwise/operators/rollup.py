@@ -119,9 +119,9 @@ def merge_day(state: DataFrame, daily: DataFrame, day: str) -> DataFrame:
     missing today (nothing changes, except a null month entry on day 01),
     new vehicle (its month starts from today), present in both (null-aware
     sum, R2 fold step for the speed average). On day 01 a new month starts."""
-    spark = daily.sparkSession
     d = F.lit(day).cast("date")
-    label = spark.range(1).select(F.date_format(d, "yyyy-M").alias("m")).first()["m"]
+    y, m, _ = (int(x) for x in day.split("-"))
+    label = f"{y}-{m}"
     first_of_month = day.endswith("-01")
     today = daily.where(F.col("day") == d)
     new = today.select("vin", F.explode(F.array(
