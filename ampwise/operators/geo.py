@@ -120,6 +120,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = M
     """Min-label propagation with pointer jumping: ``node -> label`` where the
     label is the smallest node of the component. ``nodes`` has a ``node``
     column, ``edges`` has ``src``/``dst`` in both directions."""
+    # the edge list is read every round: materialise it once (reliable
+    # checkpoint) instead of recomputing it from the raw rows each time
+    edges = _ckpt(edges)
     labels = _ckpt(nodes.select("node", F.col("node").alias("label")))
     for _ in range(max_rounds):
         via = edges.join(labels.withColumnRenamed("node", "src"), "src") \
@@ -140,7 +143,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = M
 def cluster_points(points: DataFrame, eps_m: float = CLUSTER_EPS_M) -> DataFrame:
     """``lat, lon, cluster`` for distinct points; ``cluster`` is a struct
     (lat, lon) of the component's smallest point."""
-    pts = points.select("lat", "lon").distinct()
+    # read three times below (grid width, nodes, edges): materialise once
+    pts = _ckpt(points.select("lat", "lon").distinct())
     nodes = pts.select(F.struct("lat", "lon").alias("node"))
     labels = connected_components(nodes, neighbour_edges(pts, eps_m))
     return labels.select(F.col("node.lat").alias("lat"), F.col("node.lon").alias("lon"),
@@ -178,7 +182,9 @@ def charging_stations(df: DataFrame, eps_m: float = CLUSTER_EPS_M, dedupe: bool
                   & F.col("charge_volt").isNotNull() & F.col("charge_cur").isNotNull())
     ch = drop_near_duplicates(ch, ("vin",))
     if dedupe:
-        ch = first_per_key(ch.select("lat", "lon", *order, "charge_volt", "charge_cur"), ["lat", "lon"], order)
+        # one row per distinct coordinate; clustered and joined back below
+        ch = _ckpt(first_per_key(ch.select("lat", "lon", *order, "charge_volt", "charge_cur"),
+                                 ["lat", "lon"], order))
     lab = cluster_points(ch.select("lat", "lon"), eps_m)
     summ = cluster_summary(lab)
     rows = ch.join(lab, ["lat", "lon"]).join(summ.select("cluster", "center_lat", "center_lon"), "cluster")
