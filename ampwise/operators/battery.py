@@ -70,10 +70,10 @@ def soc_trips(df: DataFrame, up_min: float = WINDOW_UP_MIN, dn_min: float = WIND
     s = s.withColumn("_key", F.struct("ts", "_odo_k", "event_id"))
 
     # ending date per vehicle and the cut at the first earlier-dated drop
-    if ending_date is None:
-        ends = s.groupBy("vin").agg(F.max("day").alias("_end"))
+    if ending_date is None:   # from the input rows: independent of the scan
+        ends = df.groupBy("vin").agg(F.max("day").alias("_end"))
     else:
-        ends = s.select("vin").distinct().withColumn("_end", ending_date.cast("date"))
+        ends = df.select("vin").distinct().withColumn("_end", ending_date.cast("date"))
     s = s.join(ends, "vin")
     cut = s.where(F.col("_drop") & (F.col("day") < F.col("_end"))) \
            .groupBy("vin").agg(F.max("_key").alias("_cut"))
