@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -161,7 +159,3 @@ def gap_seconds(prev_ts, ts) -> Column:
     """W1 core: whole elapsed seconds from ``prev_ts`` to ``ts`` (truncated)."""
     us = F.timestamp_diff("MICROSECOND", _c(prev_ts), _c(ts))
     return F.floor(us / 1_000_000).cast("long")
-
-
-def degrees_per_metre_lat() -> float:
-    return 180.0 / (math.pi * EARTH_RADIUS_M)

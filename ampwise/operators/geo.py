@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..functions.scalar import EARTH_RADIUS_M, SAMPLE_SECONDS, avg6, coord_key, haversine_m, r6, truncate_text
+from ..functions.scalar import EARTH_RADIUS_M, avg6, coord_key, haversine_m, r6, record_energy_kwh, truncate_text
 from ..session import checkpoint_dir
 from .scan import last_n_per_key
 from .trips import drop_near_duplicates
@@ -188,7 +188,7 @@ def charging_stations(df: DataFrame, eps_m: float = CLUSTER_EPS_M, dedupe: bool
     lab = cluster_points(ch.select("lat", "lon"), eps_m)
     summ = cluster_summary(lab)
     rows = ch.join(lab, ["lat", "lon"]).join(summ.select("cluster", "center_lat", "center_lon"), "cluster")
-    energy = F.col("charge_volt") * F.col("charge_cur") * SAMPLE_SECONDS / 3600 / 1000
+    energy = record_energy_kwh("charge_volt", "charge_cur")
     return (rows.groupBy(F.col("center_lat").alias("station_lat"), F.col("center_lon").alias("station_lon"))
             .agg(F.count(F.lit(1)).alias("n_records"), r6(F.sum(energy)).alias("energy_kwh"))
             .orderBy(F.col("energy_kwh").desc()))

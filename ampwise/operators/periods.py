@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..functions.scalar import SAMPLE_SECONDS, avg6, gap_seconds, r6
+from ..functions.scalar import SAMPLE_SECONDS, avg6, bucket_upper, gap_seconds, per_full_soc, r6
 from .distance import JUMP_THRESHOLD, ORDER
 from .segments import island_stats
 from .trips import DAY_BUCKET, label_islands
@@ -68,29 +68,6 @@ def label_periods(df: DataFrame, kind: str = "charging", keys: Sequence[str] = (
                          ("odo", "soc", "curr", "cell_volt_max"))
 
 
-def split_polarization(lab: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence[str] = ORDER,
-                       tolerance: float = POLAR_DROP_TOLERANCE,
-                       bucket: Column | str | None = DAY_BUCKET) -> DataFrame:
-    """Additionally break a period where the max cell voltage drops by
-    more than ``tolerance`` from the previous row; renumbers ``period_no``."""
-    from .scan import ordered_scan
-    drop = F.coalesce(F.col("_prev_cell_volt_max") - F.col("cell_volt_max") > tolerance, F.lit(False))
-    brk = F.col("_prev_ts").isNull() | drop
-    s = lab.withColumn("_pbrk", brk)
-    s = ordered_scan(s, keys, order, bucket, cums={"_pno": F.col("_pbrk").cast("long")})
-    s = s.withColumn("period_no", F.col("_pno") - 1)
-    for c in ("_prev_ts", "_prev_odo", "_prev_soc", "_prev_curr", "_prev_cell_volt_max"):
-        s = s.withColumn(c, F.when(~F.col("_pbrk"), F.col(c)))
-    return s.drop("_pbrk", "_pno")
-
-
-def corrected_step(compaction_s: float = COMPACTION_S) -> Column:
-    """Seconds since the previous row of the period, a step longer than
-    ``compaction_s`` replaced by the 10 s sampling interval (null on the first row)."""
-    dt = gap_seconds("_prev_ts", "ts")
-    return F.when(dt > compaction_s, F.lit(SAMPLE_SECONDS).cast("long")).otherwise(dt)
-
-
 def _dtc(compaction_s: float):
     def fn(prev, cur):
         dt = gap_seconds(prev("ts"), cur("ts"))
@@ -166,7 +143,7 @@ def _period_columns(g: DataFrame, keys: Sequence[str]) -> DataFrame:
     secs = gap_seconds("start_time", "end_time")
     ds = F.col("end_soc") - F.col("start_soc")
     ads = F.abs(ds)
-    norm = lambda x: F.when(ads != 0, x / ads * 100)
+    norm = lambda x: per_full_soc(x, ads)
     real_s = F.col("_steps_s") + SAMPLE_SECONDS   # corrected span plus the first sample
     # same operation order as the SQL form, so both round identically
     ah = lambda c: F.col(c) * SAMPLE_SECONDS / 3600.0
@@ -217,7 +194,7 @@ def soc_category_capacity(per: DataFrame, step: float = 10, value: str = "normal
     """P17 filter (delta_soc > 40 and end_soc > 90), then count and mean
     of ``value`` per ``ceil(by / step) * step`` category (F7)."""
     sel = per.where(P.soc_window(delta_min, end_min))
-    return (sel.groupBy((F.ceil(F.col(by) / step) * step).cast("double").alias("category"))
+    return (sel.groupBy(bucket_upper(by, step).cast("double").alias("category"))
             .agg(F.count("*").alias("n_periods"), r6(avg6(value)).alias(f"{value}_avg")))
 
 
@@ -367,5 +344,5 @@ def charge_soc_ranges(per: DataFrame, step: float = 10, keys: Sequence[str] = ("
         F.struct(F.lit("start").alias("edge"), F.col("start_soc").alias("soc")),
         F.struct(F.lit("end").alias("edge"), F.col("end_soc").alias("soc")))).alias("e"))
     return (edges.groupBy(*keys, F.col("e.edge").alias("edge"),
-                          (F.ceil(F.col("e.soc") / step) * step).cast("double").alias("soc_bucket"))
+                          bucket_upper(F.col("e.soc"), step).cast("double").alias("soc_bucket"))
             .agg(F.count(F.lit(1)).alias("n_periods")))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import SAMPLE_SECONDS, avg6, r6
+from ..functions.scalar import avg6, missing_time_hours, r6
 
 
 # ---------------------------------------------------------------- A11 / A12
@@ -211,6 +211,6 @@ def vehicle_series(charging_full: DataFrame, driving_full: DataFrame) -> DataFra
     def part(df, kind):
         return df.select("vin", F.lit(kind).alias("series"), "start_time", "end_time", "day",
                          "delta_soc", "duration", "count_records",
-                         r6(F.col("duration") - F.col("count_records") * SAMPLE_SECONDS / 3600).alias("missing_time_h"),
+                         r6(missing_time_hours("duration", "count_records")).alias("missing_time_h"),
                          "missing_time_pct")
     return part(charging_full, "charging").unionByName(part(driving_full, "driving"))

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..functions.scalar import SAMPLE_SECONDS, gap_seconds, r6, time_label
+from ..functions.scalar import SAMPLE_SECONDS, gap_seconds, r6, record_energy_kwh, time_label
 from .distance import JUMP_THRESHOLD, ORDER, valid_odometer
 from .scan import ordered_scan
 
@@ -112,7 +112,7 @@ def period_stats(df: DataFrame, freq: str = "daily", keys: Sequence[str] = ("vin
         F.max("speed").alias("speed_max"),
         F.count_if("_chg").alias("n_chg"), F.count_if("_drv").alias("n_drv"),
         F.count_if("_cstart").alias("n_cstart"),
-        F.sum(F.when(F.col("_chg"), _kwh(F.col("charge_volt") * F.col("charge_cur")))).alias("chg_kwh"),
+        F.sum(F.when(F.col("_chg"), record_energy_kwh("charge_volt", "charge_cur"))).alias("chg_kwh"),
         F.sum(_kwh(F.abs(iv) * vv)).alias("thr_kwh"),
         F.sum(F.abs(iv) * SAMPLE_SECONDS / 3600).alias("cap_ah"),
         F.sum("temp_avg").alias("temp_sum"), F.count("temp_avg").alias("temp_n"),

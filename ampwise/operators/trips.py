@@ -10,9 +10,11 @@ Elapsed seconds are true elapsed time truncated to whole seconds; the
 reference took the seconds field of the difference, i.e. modulo one day
 (deviation D2).
 
-The scan is bucketed by day so that one vehicle's history is spread over its
-days; a trip that crosses midnight is stitched through the per-day summary of
-:func:`ampwise.operators.scan.ordered_scan`.
+Nothing is windowed over a vehicle's whole history: :func:`trips` combines
+per-(vehicle, day) segments (:mod:`ampwise.operators.segments`), and the
+per-row labels of :func:`label_trips` come from a day-bucketed
+:func:`ampwise.operators.scan.ordered_scan`; a trip that crosses midnight is
+joined across the day edge in both.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import LOCAL_TZ, array_mean, epoch_ms_to_local, list_to_array
+from ..functions.scalar import LOCAL_TZ, array_mean, epoch_ms_to_local, list_to_array, yyyymmdd_to_date
 from . import schemas as SC
 
 NULL_TOKENS = ("", "NA", "NULL", "NaN", "nan", "null")
@@ -90,7 +90,7 @@ def parse_schema_a(lines: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     file's ``yyyymmdd`` date field) becomes a date (P8)."""
     ok, _ = guard(lines, SC.SCHEMA_A_LENGTHS)
     df = project(ok, SC.SCHEMA_A_FIELDS, SC.CANONICAL_A, tz=tz)
-    return df.withColumn("sdate", F.to_date("sdate", "yyyyMMdd"))
+    return df.withColumn("sdate", yyyymmdd_to_date("sdate"))
 
 
 def parse_schema_b(lines: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:

@@ -245,3 +245,22 @@ def test_column_helpers(spark):
     assert s.t == "2024-01-01 08:00:00"
     assert columns.in_date_range(df, "2024-01-01", "2024-01-03").count() == 1
     assert columns.in_date_range(df, "2024-01-04", "2024-01-05").count() == 0
+
+
+def test_small_helpers(spark):
+    row = spark.range(1).select(
+        scalar.day_fraction(F.lit("1970-01-02 12:00:00").cast("timestamp_ntz")).alias("w16"),
+        scalar.truncate_number(F.lit(-1.239), 2).alias("f2"),
+        scalar.per_full_soc(F.lit(5.0), F.lit(50.0)).alias("f15"),
+        scalar.per_full_soc(F.lit(5.0), F.lit(0.0)).alias("f15z"),
+        scalar.missing_time_pct(F.lit(2.0), F.lit(360)).alias("f16"),
+        scalar.missing_time_hours(F.lit(2.0), F.lit(360)).alias("f16h"),
+        scalar.bucket_upper(F.lit(41.0), 10).alias("f7"),
+        rollup.next_day_allowed(F.lit("2024-01-01").cast("date"), F.lit("2024-01-02").cast("date")).alias("r6a"),
+        rollup.next_day_allowed(F.lit("2024-01-01").cast("date"), F.lit("2024-01-03").cast("date")).alias("r6b"),
+        ranking.needs_rebuild(F.lit("2024-01-02").cast("date"), F.lit("2024-01-02").cast("date")).alias("r8a"),
+        ranking.needs_rebuild(F.lit("2024-01-03").cast("date"), F.lit(None).cast("date")).alias("r8b"),
+    ).first()
+    assert row.w16 == 1.5 and row.f2 == -1.23 and row.f15 == 10.0 and row.f15z is None
+    assert row.f16 == 50.0 and row.f16h == 1.0 and row.f7 == 50.0
+    assert row.r6a and not row.r6b and not row.r8a and row.r8b
