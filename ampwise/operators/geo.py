@@ -19,7 +19,6 @@ deterministic. The antimeridian is not handled (no wrap of longitude cells).
 from __future__ import annotations
 
 import math
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions.scalar import EARTH_RADIUS_M, avg6, coord_key, haversine_m, r6, record_energy_kwh, truncate_text
-from ..session import checkpoint_dir
+from ..session import reliable_checkpoint as _ckpt
 from .scan import last_n_per_key
 from .trips import drop_near_duplicates
 
@@ -109,13 +108,6 @@ def neighbour_edges(points: DataFrame, eps_m: float = CLUSTER_EPS_M) -> DataFram
                        (haversine_m("src.lat", "src.lon", "dst.lat", "dst.lon") <= eps_m)).select("src", "dst")
 
 
-def _ckpt(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    fallback = tempfile.mkdtemp(prefix="ampwise-ckpt-") if spark.sparkContext.master.startswith("local") else None
-    checkpoint_dir(spark, fallback)
-    return df.checkpoint(eager=True)
-
-
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """Min-label propagation with pointer jumping: ``node -> label`` where the
     label is the smallest node of the component. ``nodes`` has a ``node``

@@ -7,8 +7,9 @@ settings that are unset, so a cluster's own configuration always wins.
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC session clock (labels are computed from
 # local wall-clock timestamps explicitly), adaptive execution for runtime
@@ -56,10 +57,21 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if not d:
         if not fallback:
             raise RuntimeError("spark.checkpoint.dir is not set; iterative jobs need a shared folder")
-        os.makedirs(fallback, exist_ok=True) if "://" not in fallback else None
+        if "://" not in fallback:
+            os.makedirs(fallback, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", fallback)
         spark.sparkContext.setCheckpointDir(fallback)
         d = fallback
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` with a reliable checkpoint in the shared folder of
+    ``spark.checkpoint.dir``. Only a local-mode session without that setting
+    (tests) gets a temporary folder; on a cluster the setting is required."""
+    spark = df.sparkSession
+    fallback = tempfile.mkdtemp(prefix="ampwise-ckpt-") if spark.sparkContext.master.startswith("local") else None
+    checkpoint_dir(spark, fallback)
+    return df.checkpoint(eager=True)
