@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import r6
-from .scan import last_n_per_key
+from .scan import last_n_per_key, scalar
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -23,17 +23,42 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col(col))
 
 
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> dict[float, float | None]:
+    """Exact quantiles with linear interpolation between the values ranked
+    ``floor(q (n-1))`` and ``ceil(q (n-1))`` (0-based). Values are ranked by
+    the distributed global row number (range partitioning), so no task holds
+    more than its range; only the two bracketing values per quantile reach
+    the driver."""
+    from .ranking import global_row_number
+    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    n = scalar(x, F.count(F.lit(1)))
+    if not n:
+        return {q: None for q in qs}
+    want = {}
+    for q in qs:
+        pos = q * (n - 1)
+        lo = int(pos // 1)
+        want[q] = (lo + 1, min(lo + 2, n), pos - lo)
+    ranks = sorted({r for lo, hi, _ in want.values() for r in (lo, hi)})
+    got = {r["row_number"]: r["x"] for r in
+           global_row_number(x, [F.col("x")]).where(F.col("row_number").isin(ranks)).collect()}
+    return {q: got[lo] + (got[hi] - got[lo]) * f for q, (lo, hi, f) in want.items()}
+
+
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles (linear
-    interpolation) and max per column, one row per column."""
+    interpolation, :func:`exact_quantiles`) and max per column, one row per
+    column."""
     rows = []
     for c in cols:
         x = F.col(c)
+        qv = exact_quantiles(df, c, (0.25, 0.5, 0.75))
+        lit = lambda v: F.lit(v).cast("double")
         rows.append(df.agg(
             F.lit(c).alias("column"), F.count(x).alias("count"), r6(F.avg(x)).alias("mean"),
             r6(F.stddev_samp(x)).alias("std"), r6(F.min(x)).alias("min"),
-            r6(F.percentile(x, 0.25)).alias("q25"), r6(F.percentile(x, 0.5)).alias("q50"),
-            r6(F.percentile(x, 0.75)).alias("q75"), r6(F.max(x)).alias("max")))
+            r6(lit(qv[0.25])).alias("q25"), r6(lit(qv[0.5])).alias("q50"),
+            r6(lit(qv[0.75])).alias("q75"), r6(F.max(x)).alias("max")))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import avg6, missing_time_hours, r6
+from .scan import scalar
 
 
 # ---------------------------------------------------------------- A11 / A12
@@ -50,10 +51,10 @@ def by_vehicle(periods: DataFrame, spec: dict[str, Sequence[str]], order: Sequen
 # ---------------------------------------------------------------- filters
 def recent(df: DataFrame, day_range: int, end_day: Column | None = None, day: str = "day") -> DataFrame:
     """``day > date_sub(last_day, day_range)``; ``last_day`` defaults to the
-    table's own ``max(day)`` (a one-row aggregate cross-joined as a scalar, T4)."""
+    table's own ``max(day)``, resolved first as a scalar (T4) so the filter is a
+    literal range on ``day`` that reaches the scan."""
     if end_day is None:
-        last = df.agg(F.max(day).alias("_last"))
-        return df.crossJoin(F.broadcast(last)).where(F.col(day) > F.date_sub("_last", day_range)).drop("_last")
+        end_day = F.lit(scalar(df, F.max(day)))
     return df.where(F.col(day) > F.date_sub(end_day, day_range))
 
 
@@ -75,11 +76,10 @@ def vehicle_ranking(charging: DataFrame, driving: DataFrame, charging_full: Data
     ``min_count_periods`` periods (A13). Charging columns are labelled
     ``_charging`` and driving columns ``_driving`` (deviation D3; no debug
     limit, D4)."""
-    end = driving.agg(F.max("day").alias("_end"))
+    end = F.lit(scalar(driving, F.max("day")))
 
     def window(df, with_count):
-        df = of_type(df, vehicles, vintype).crossJoin(F.broadcast(end)) \
-            .where(F.col("day") > F.date_sub("_end", day_range)).drop("_end")
+        df = of_type(df, vehicles, vintype).where(F.col("day") > F.date_sub(end, day_range))
         return df.where(F.col("count_records") > min_count_records) if with_count else df
 
     base_spec = {"cell_volt_diff_mean": ("wmean", "count"), "battery_temp_min": ("min",),
@@ -145,9 +145,9 @@ def cell_volt_ranking(daily: DataFrame, vehicles: DataFrame, vintype: str, day_r
                       min_days: int = 5, value: str = "cell_volt_diff_avg") -> DataFrame:
     """P21 -> J3 -> A3 -> A4 -> W6 (rank 1 = largest mean daily cell
     voltage spread; ties by vin)."""
-    last = daily.agg(F.max("day").alias("last_daily_stats_day"))
-    sel = of_type(daily, vehicles, vintype).crossJoin(F.broadcast(last)) \
-        .where(F.col("day") > F.date_sub("last_daily_stats_day", day_range))
+    last = F.lit(scalar(daily, F.max("day")))
+    sel = of_type(daily, vehicles, vintype).withColumn("last_daily_stats_day", last) \
+        .where(F.col("day") > F.date_sub(last, day_range))
     agg = (sel.groupBy("vin", "last_daily_stats_day")
            .agg(F.max("day").alias("last_day"), F.count("day").alias("counts"),
                 r6(avg6(value)).alias("mean_daily_avg_cell_volt_diff"))

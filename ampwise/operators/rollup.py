@@ -37,10 +37,10 @@ def dense_calendar(daily: DataFrame, end_day: Column | None = None) -> DataFrame
     """(vin, day) for every day from the vehicle's first day to the last
     day of the batch (``end_day``, default the table's ``max(day)``)."""
     first = daily.groupBy("vin").agg(F.min("day").alias("_first"))
-    last = daily.agg(F.max("day").alias("_last")) if end_day is None else \
-        daily.sparkSession.range(1).select(end_day.alias("_last"))
-    return (first.crossJoin(F.broadcast(last))
-            .select("vin", F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 DAY"))).alias("day")))
+    if end_day is None:
+        from .scan import scalar
+        end_day = F.lit(scalar(daily, F.max("day")))
+    return first.select("vin", F.explode(F.sequence("_first", end_day, F.expr("INTERVAL 1 DAY"))).alias("day"))
 
 
 def dense_daily(daily: DataFrame, end_day: Column | None = None) -> DataFrame:

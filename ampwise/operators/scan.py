@@ -24,6 +24,13 @@ from pyspark.sql import functions as F
 _B = "_scan_bucket"
 
 
+def scalar(df: DataFrame, agg: Column):
+    """Resolve a one-value aggregate (e.g. ``max(day)``) to a Python value
+    with one small job, so later filters use it as a literal: the predicate is
+    pushed to the scan and no one-row table has to be joined to every row."""
+    return df.agg(agg.alias("_v")).first()["_v"]
+
+
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -60,6 +60,10 @@ def read_days(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
     return out
 
 
+def _iso(yyyymmdd: str) -> str:
+    return f"{yyyymmdd[:4]}-{yyyymmdd[4:6]}-{yyyymmdd[6:]}"
+
+
 def pending(spark: SparkSession, start: str, end: str, ledger_path: str, job: str,
             force: bool = False) -> list[str]:
     """R5 + R9: the ``yyyymmdd`` days in [start, end] not yet done for ``job``
@@ -84,7 +88,7 @@ def daily_stats_job(spark: SparkSession, root: str, start: str, end: str, table:
     recs = raw.parse_schema_a(read_days(spark, root, days))
     out = stats.period_stats(recs, freq, keys=("file_day", "vin"))
     out = out.withColumnRenamed("file_day", "day")
-    return publish.publish_days(out, table, ledger_path, job)
+    return publish.publish_days(out, table, ledger_path, job, [_iso(d) for d in days])
 
 
 def trips_job(spark: SparkSession, root: str, start: str, end: str, table: str, ledger_path: str,
@@ -97,7 +101,7 @@ def trips_job(spark: SparkSession, root: str, start: str, end: str, table: str,
     recs = raw.parse_schema_a(read_days(spark, root, days))
     t = trips.trips(recs, keys=("file_day", "vin"), max_gap_s=max_gap_s)
     t = t.drop("day").withColumnRenamed("file_day", "day")
-    return publish.publish_days(t, table, ledger_path, "trips")
+    return publish.publish_days(t, table, ledger_path, "trips", [_iso(d) for d in days])
 
 
 def monthly_merge_job(spark: SparkSession, daily_table: str, state_path: str, ledger_path: str,

@@ -147,19 +147,21 @@ def high_water_mark(ledger_df: DataFrame, job: str) -> DataFrame:
 
 def newer_than_mark(df: DataFrame, ledger_df: DataFrame, job: str, day: str = "day") -> DataFrame:
     """Rows after the high-water mark (all rows when there is none)."""
-    mark = high_water_mark(ledger_df, job)
-    return df.crossJoin(F.broadcast(mark)) \
-             .where(F.col("last_day").isNull() | (F.col(day) > F.col("last_day"))).drop("last_day")
+    mark = high_water_mark(ledger_df, job).first()["last_day"]
+    return df if mark is None else df.where(F.col(day) > F.lit(mark))
 
 
-def publish_days(df: DataFrame, table: str, ledger_path: str, job: str) -> DataFrame:
-    """K2 + K13 + R7: overwrite the batch's days, then record the written
-    per-day counts in the ledger (only after the write committed). Returns
-    the per-day counts."""
-    counts = day_counts(df).cache()
-    try:
-        overwrite_days(df, table)
-        record(df.sparkSession, ledger_path, job, counts)
-        return counts
-    finally:
-        counts.unpersist()
+def publish_days(df: DataFrame, table: str, ledger_path: str, job: str,
+                 days: Sequence | None = None) -> DataFrame:
+    """K2 + K13 + R7: overwrite the batch's days, then count the rows of the
+    written partitions (read back from the table, pruned to ``days`` when the
+    batch's days are known, so the source is not computed twice) and record
+    them in the ledger, only after the write committed. Returns the counts."""
+    spark = df.sparkSession
+    overwrite_days(df, table)
+    written = spark.table(table)
+    if days is not None:
+        written = written.where(F.col("day").isin([F.lit(d).cast("date") for d in days]))
+    counts = spark.createDataFrame(day_counts(written).collect(), "day date, n_rows long")
+    record(spark, ledger_path, job, counts)
+    return counts
