@@ -140,8 +140,8 @@ def q_hourly_stats(spark, sf_dir):
 
 
 @register("state_counts", f"""{S.WITH_TELE}
-SELECT vin, count(*) AS n_all, count_if({S.charging('CAST(0.000001 AS DOUBLE)')}) AS n_charging,
-       count_if({S.DRIVING}) AS n_driving FROM tele GROUP BY vin""")
+SELECT vin, count(*) AS n_all, CAST(count_if({S.charging('CAST(0.000001 AS DOUBLE)')}) AS BIGINT) AS n_charging,
+       CAST(count_if({S.DRIVING}) AS BIGINT) AS n_driving FROM tele GROUP BY vin""")
 def q_state_counts(spark, sf_dir):
     """Record counts by state per vehicle."""
     return stats.state_counts(tele(spark, sf_dir))
@@ -696,7 +696,8 @@ def q_describe_signals(spark, sf_dir):
 
 
 @register("speed_histogram", f"""{S.WITH_TELE}
-SELECT CAST(floor((speed - 0) / 10) AS BIGINT) AS bin, count(*) AS n, CAST(floor((speed - 0) / 10) AS BIGINT) * 10.0 + 0 AS bin_lo
+SELECT CAST(floor((speed - 0) / 10) AS BIGINT) AS bin, count(*) AS n,
+       CAST(CAST(floor((speed - 0) / 10) AS BIGINT) * 10.0 + 0 AS DOUBLE) AS bin_lo
 FROM tele WHERE speed IS NOT NULL GROUP BY 1""")
 def q_speed_histogram(spark, sf_dir):
     """Distribution of speed in 10-unit bins."""

@@ -10,6 +10,8 @@ from tools.oracle_check import TABLES, rows_of
 import __spark_entry__ as E
 
 SF = os.environ.get("AMPWISE_TEST_SF", "/root/testdata/sf0.001")
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+            "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +27,9 @@ def duck():
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
+    types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    for f in sdf.schema.fields:
+        assert TYPE_MAP[f.dataType.simpleString()] == types[f.name], f.name
     res = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
