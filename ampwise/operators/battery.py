@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions.scalar import r6
+from ..session import reliable_checkpoint
 from .scan import ordered_scan
 
 # Fixed values of the reference.
@@ -78,6 +79,10 @@ def soc_trips(df: DataFrame, up_min: float = WINDOW_UP_MIN, dn_min: float = WIND
     cut = s.where(F.col("_drop") & (F.col("day") < F.col("_end"))) \
            .groupBy("vin").agg(F.max("_key").alias("_cut"))
     rel = s.join(cut, "vin", "left").where(F.col("_cut").isNull() | (F.col("_key") > F.col("_cut")))
+    # the relevant rows (one day plus one discharge run per vehicle) are read
+    # twice below: materialise them once instead of re-deriving them from
+    # all battery rows
+    rel = reliable_checkpoint(rel.select("vin", "day", "ts", "soc", "_key", "_drop", "_end"))
 
     # runs between drops (scan order = descending key)
     w = Window.partitionBy("vin").orderBy(F.col("_key").desc())
