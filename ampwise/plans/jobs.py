@@ -143,3 +143,24 @@ def index_export_job(spark: SparkSession, table: str, index_name: str, out_dir:
     export.write_documents(docs, os.path.join(out_dir, index_name))
     publish.record(spark, ledger_path, job, counts)
     return counts
+
+
+def cell_volt_ranking_job(spark: SparkSession, daily_table: str, vehicles: DataFrame, vintype: str,
+                          ranking_table: str, day_range: int = 30, min_days: int = 5,
+                          overwrite: bool = False) -> bool:
+    """E3 (R8 + K5): rebuild the cell-voltage ranking table only if the daily
+    stats advanced past the day the stored ranking was built from (or when
+    forced). Returns whether it was rebuilt."""
+    from ..operators import ranking
+    from ..operators.scan import scalar
+    src_last = scalar(spark.table(daily_table), F.max("day"))
+    stored = None
+    if spark.catalog.tableExists(ranking_table):
+        stored = scalar(spark.table(ranking_table), F.max("last_daily_stats_day"))
+    if not overwrite and stored is not None and stored == src_last:
+        return False
+    ranked = ranking.cell_volt_ranking(spark.table(daily_table), vehicles, vintype, day_range, min_days)
+    view = f"_rank_{abs(hash(ranking_table))}"
+    ranked.createOrReplaceTempView(view)
+    publish.replace_table_as_select(spark, ranking_table, f"SELECT * FROM {view}")
+    return True

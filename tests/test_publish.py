@@ -204,6 +204,13 @@ def test_jobs_end_to_end(spark, tmp_out):
     assert cur.count() > 0
     with pytest.raises(ValueError):
         jobs.monthly_merge_job(spark, table, state, ledger, "2024-01-05")
+    # ranking rebuilt only when the daily table advanced
+    from ampwise.sources import fixture as FX
+    veh = FX.vehicles(spark, "/root/testdata/sf0.001").withColumn("vin", F.col("vin").cast("string"))
+    vt = veh.join(spark.table(table).select("vin").distinct(), "vin").first().vintype
+    assert jobs.cell_volt_ranking_job(spark, table, veh, vt, f"rank_{tag}", min_days=0)
+    assert not jobs.cell_volt_ranking_job(spark, table, veh, vt, f"rank_{tag}", min_days=0)
+    assert spark.table(f"rank_{tag}").count() > 0
     # index export: only days after the mark
     out = os.path.join(tmp_out, "idx")
     c1 = jobs.index_export_job(spark, table, "daily_stats", out, ledger)
