@@ -181,9 +181,13 @@ def charging_stations(df: DataFrame, eps_m: float = CLUSTER_EPS_M, dedupe: bool
     summ = cluster_summary(lab)
     rows = ch.join(lab, ["lat", "lon"]).join(summ.select("cluster", "center_lat", "center_lon"), "cluster")
     energy = record_energy_kwh("charge_volt", "charge_cur")
-    return (rows.groupBy(F.col("center_lat").alias("station_lat"), F.col("center_lon").alias("station_lon"))
-            .agg(F.count(F.lit(1)).alias("n_records"), r6(F.sum(energy)).alias("energy_kwh"))
-            .orderBy(F.col("energy_kwh").desc()))
+    st = (rows.groupBy(F.col("center_lat").alias("station_lat"), F.col("center_lon").alias("station_lon"))
+          .agg(F.count(F.lit(1)).alias("n_records"), r6(F.sum(energy)).alias("energy_kwh")))
+    # The representative record of each station, the first record at its coordinate
+    rep = first_per_key(ch.select("lat", "lon", *order), ["lat", "lon"], order).select(
+        F.col("lat").alias("station_lat"), F.col("lon").alias("station_lon"),
+        F.col("vin").alias("rep_vin"), F.col("ts").alias("rep_ts"))
+    return st.join(rep, ["station_lat", "station_lon"], "left").orderBy(F.col("energy_kwh").desc())
 
 
 def energy_by_area(stations: DataFrame, lookup: DataFrame, decimals: int = LOCATION_DECIMALS,

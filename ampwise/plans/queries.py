@@ -409,11 +409,12 @@ def q_primary_location_recent(spark, sf_dir):
     return geo.locate(geo.primary_locations(tele(spark, sf_dir), n=25), _lookup(spark, sf_dir))
 
 
-@register("charging_stations", f"""{S.clusters_sql()}
-SELECT rep.center_lat AS station_lat, rep.center_lon AS station_lon, count(*) AS n_records,
+@register("charging_stations", f"""{S.clusters_sql()},
+st AS (SELECT rep.center_lat AS station_lat, rep.center_lon AS station_lon, count(*) AS n_records,
        {S.r6('sum(charge_volt * charge_cur * 10 / 3600 / 1000)')} AS energy_kwh
-FROM u JOIN lab ON u.lat = lab.lat AND u.lon = lab.lon JOIN rep ON lab.clat = rep.clat AND lab.clon = rep.clon
-GROUP BY 1, 2""")
+       FROM u JOIN lab ON u.lat = lab.lat AND u.lon = lab.lon JOIN rep ON lab.clat = rep.clat AND lab.clon = rep.clon
+       GROUP BY 1, 2)
+SELECT st.*, u.vin AS rep_vin, u.ts AS rep_ts FROM st LEFT JOIN u ON u.lat = st.station_lat AND u.lon = st.station_lon""")
 def q_charging_stations(spark, sf_dir):
     """Charging rows -> W2 -> A6 -> 20 m clusters (J9 + components) ->
     centermost point (A23/J8) -> energy per station (F14, J5, A7)."""

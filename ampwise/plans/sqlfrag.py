@@ -261,7 +261,8 @@ ch AS (SELECT * FROM tele WHERE COALESCE(charge_cur > 0, false) AND lat IS NOT N
          AND charge_volt IS NOT NULL AND charge_cur IS NOT NULL),
 g AS (SELECT *, COALESCE({gap('lag(ts) OVER (PARTITION BY vin ORDER BY ts, event_id)', 'ts')}, 10) AS gap_s FROM ch),
 d AS (SELECT * FROM g WHERE gap_s > 5),
-u AS (SELECT lat, lon, arg_min(vin, (vin, ts, event_id)) AS vin, arg_min(charge_volt, (vin, ts, event_id)) AS charge_volt,
+u AS (SELECT lat, lon, arg_min(vin, (vin, ts, event_id)) AS vin, arg_min(ts, (vin, ts, event_id)) AS ts,
+             arg_min(charge_volt, (vin, ts, event_id)) AS charge_volt,
              arg_min(charge_cur, (vin, ts, event_id)) AS charge_cur FROM d GROUP BY lat, lon),
 edges AS (SELECT a.lat AS alat, a.lon AS alon, b.lat AS blat, b.lon AS blon FROM u a JOIN u b
           ON (a.lat <> b.lat OR a.lon <> b.lon) AND {hv} <= 20.0),
