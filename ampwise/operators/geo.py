@@ -7,8 +7,9 @@ cluster is exactly a connected component of the graph joining points at most
 coordinates (repeated fixes of one parking spot collapse to one node, so a
 busy station does not multiply work by its record count). Candidate pairs
 come from an equi-join on grid cells at least ``eps`` wide with the 3x3
-neighbour cells (J9); their number per point is bounded by the distinct
-coordinates within ``eps`` of it, independent of the record volume.
+neighbour cells (J9); longitude cells are sized per latitude band, so the
+candidates of a point are the distinct coordinates in about a 3 eps x 3 eps
+box around it, independent of the record volume and of other latitudes.
 Components come from iterative min-label propagation with pointer jumping;
 each round's labels are checkpointed to the shared ``spark.checkpoint.dir``
 so lineage stays short and a lost executor recomputes one round only.
@@ -21,7 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
@@ -83,26 +84,32 @@ def _deg(eps_m: float) -> float:
     return eps_m / (EARTH_RADIUS_M * math.pi / 180.0)
 
 
+def _band_width(band: Column, dlat: float) -> Column:
+    """Longitude cell width for latitude band ``band`` (bands are ``dlat``
+    high): wide enough for ``eps`` at the largest |latitude| of the band and
+    its two neighbours, so pairs across adjacent bands are covered too."""
+    hi = F.greatest(F.abs(band - 1), F.abs(band + 2)) * dlat
+    return F.lit(dlat) / F.cos(F.radians(F.least(hi, F.lit(89.9))))
+
+
 def neighbour_edges(points: DataFrame, eps_m: float = CLUSTER_EPS_M) -> DataFrame:
     """Pairs of distinct points (``lat, lon`` columns, distinct rows) at
     most ``eps_m`` apart, both directions, as ``src``/``dst`` structs.
 
-    Latitude cells are ``eps`` of arc high; longitude cells are widened by
-    ``1 / cos`` of the largest |latitude| present (one scalar aggregate), so
-    any pair within ``eps`` lies in the same or an adjacent cell."""
-    max_lat = points.agg(F.max(F.abs("lat"))).first()[0]
-    if max_lat is None:
-        return points.sparkSession.createDataFrame(
-            [], "src struct<lat: double, lon: double>, dst struct<lat: double, lon: double>")
+    Latitude bands are ``eps`` of arc high. Each band has its own longitude
+    cell width (:func:`_band_width`), so cells stay about ``eps`` wide at any
+    latitude. A point probes the three bands around it, each with that band's
+    cell index, and the cells beside it: every pair within ``eps`` meets in
+    one equi-join on (band, cell)."""
     dlat = _deg(eps_m) * 1.01
-    dlon = dlat / math.cos(math.radians(min(abs(max_lat) + dlat, 89.0)))
-    cells = points.select("lat", "lon", F.floor(F.col("lat") / dlat).alias("cy"),
-                          F.floor(F.col("lon") / dlon).alias("cx"))
-    offs = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"))
-                     for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-    probe = cells.select(F.struct("lat", "lon").alias("src"), F.explode(offs).alias("o"), "cy", "cx") \
-                 .select("src", (F.col("cy") + F.col("o.dy")).alias("cy"), (F.col("cx") + F.col("o.dx")).alias("cx"))
+    cy = F.floor(F.col("lat") / dlat)
+    cells = points.select("lat", "lon", cy.alias("cy")) \
+                  .withColumn("cx", F.floor(F.col("lon") / _band_width(F.col("cy"), dlat)))
     build = cells.select(F.struct("lat", "lon").alias("dst"), "cy", "cx")
+    bands = cells.select("lat", "lon", F.explode(F.array(*[F.col("cy") + d for d in (-1, 0, 1)])).alias("cy"))
+    bands = bands.withColumn("cx0", F.floor(F.col("lon") / _band_width(F.col("cy"), dlat)))
+    probe = bands.select(F.struct("lat", "lon").alias("src"), "cy",
+                         F.explode(F.array(*[F.col("cx0") + d for d in (-1, 0, 1)])).alias("cx"))
     pairs = probe.join(build, ["cy", "cx"])
     return pairs.where((F.col("src") != F.col("dst")) &
                        (haversine_m("src.lat", "src.lon", "dst.lat", "dst.lon") <= eps_m)).select("src", "dst")
@@ -135,7 +142,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = M
 def cluster_points(points: DataFrame, eps_m: float = CLUSTER_EPS_M) -> DataFrame:
     """``lat, lon, cluster`` for distinct points; ``cluster`` is a struct
     (lat, lon) of the component's smallest point."""
-    # read three times below (grid width, nodes, edges): materialise once
+    # read twice below (nodes, edges): materialise once
     pts = _ckpt(points.select("lat", "lon").distinct())
     nodes = pts.select(F.struct("lat", "lon").alias("node"))
     labels = connected_components(nodes, neighbour_edges(pts, eps_m))

@@ -278,3 +278,26 @@ def test_hour_buckets_equal_whole_day_scan(spark):
     a = distance.odometer_distance(t, ("vin", "day"))
     b = distance.odometer_distance(t, ("vin", "day"), bucket=hour)
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+def test_neighbour_edges_match_brute_force(spark):
+    import random
+    rng = random.Random(3)
+    pts = set()
+    for lat0 in (0.0, 45.0, 70.0, 85.0, -60.0):
+        for _ in range(60):
+            lat = lat0 + rng.uniform(-0.0006, 0.0006)
+            lon = 10.0 + rng.uniform(-0.0006, 0.0006) / max(math.cos(math.radians(lat0)), 0.1)
+            pts.add((round(lat, 7), round(lon, 7)))
+    pts = sorted(pts)
+
+    def hav(a, b):
+        la1, la2 = math.radians(a[0]), math.radians(b[0])
+        h = math.sin((la2 - la1) / 2) ** 2 + math.cos(la1) * math.cos(la2) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return 2 * scalar.EARTH_RADIUS_M * math.asin(min(1.0, math.sqrt(h)))
+
+    want = {(a, b) for a in pts for b in pts if a != b and hav(a, b) <= 20.0 - 1e-6}
+    maybe = {(a, b) for a in pts for b in pts if a != b and abs(hav(a, b) - 20.0) <= 1e-6}
+    df = spark.createDataFrame(pts, "lat double, lon double")
+    got = {((r.src.lat, r.src.lon), (r.dst.lat, r.dst.lon)) for r in geo.neighbour_edges(df).collect()}
+    assert want <= got and got <= want | maybe and len(want) > 100
