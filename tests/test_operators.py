@@ -301,3 +301,14 @@ def test_neighbour_edges_match_brute_force(spark):
     df = spark.createDataFrame(pts, "lat double, lon double")
     got = {((r.src.lat, r.src.lon), (r.dst.lat, r.dst.lon)) for r in geo.neighbour_edges(df).collect()}
     assert want <= got and got <= want | maybe and len(want) > 100
+
+
+def test_trips_with_hour_buckets(spark):
+    from ampwise.sources import fixture
+    t = fixture.telemetry(spark, "/root/testdata/sf0.001").withColumn("hour", F.date_trunc("hour", "ts"))
+    a = trips.trips(t, max_gap_s=8 * 3600)
+    b = trips.trips(t, max_gap_s=8 * 3600, bucket="hour")
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+    pa = periods.periods(t, "charging", max_gap_s=8 * 3600)
+    pb = periods.periods(t, "charging", max_gap_s=8 * 3600, bucket="hour")
+    assert sorted(tuple(r) for r in pa.collect()) == sorted(tuple(r) for r in pb.collect())
