@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import avg6, missing_time_hours, r6
-from .scan import scalar
+from .scan import scalar_column
 
 
 # ---------------------------------------------------------------- A11 / A12
@@ -51,10 +51,9 @@ def by_vehicle(periods: DataFrame, spec: dict[str, Sequence[str]], order: Sequen
 # ---------------------------------------------------------------- filters
 def recent(df: DataFrame, day_range: int, end_day: Column | None = None, day: str = "day") -> DataFrame:
     """``day > date_sub(last_day, day_range)``; ``last_day`` defaults to the
-    table's own ``max(day)``, resolved first as a scalar (T4) so the filter is a
-    literal range on ``day`` that reaches the scan."""
+    table's own ``max(day)`` as a scalar subquery (T4)."""
     if end_day is None:
-        end_day = F.lit(scalar(df, F.max(day)))
+        end_day = scalar_column(df, F.max(day))
     return df.where(F.col(day) > F.date_sub(end_day, day_range))
 
 
@@ -76,7 +75,7 @@ def vehicle_ranking(charging: DataFrame, driving: DataFrame, charging_full: Data
     ``min_count_periods`` periods (A13). Charging columns are labelled
     ``_charging`` and driving columns ``_driving`` (deviation D3; no debug
     limit, D4)."""
-    end = F.lit(scalar(driving, F.max("day")))
+    end = scalar_column(driving, F.max("day"))
 
     def window(df, with_count):
         df = of_type(df, vehicles, vintype).where(F.col("day") > F.date_sub(end, day_range))
@@ -145,7 +144,7 @@ def cell_volt_ranking(daily: DataFrame, vehicles: DataFrame, vintype: str, day_r
                       min_days: int = 5, value: str = "cell_volt_diff_avg") -> DataFrame:
     """P21 -> J3 -> A3 -> A4 -> W6 (rank 1 = largest mean daily cell
     voltage spread; ties by vin)."""
-    last = F.lit(scalar(daily, F.max("day")))
+    last = scalar_column(daily, F.max("day"))
     sel = of_type(daily, vehicles, vintype).withColumn("last_daily_stats_day", last) \
         .where(F.col("day") > F.date_sub(last, day_range))
     agg = (sel.groupBy("vin", "last_daily_stats_day")

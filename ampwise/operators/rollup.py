@@ -38,8 +38,8 @@ def dense_calendar(daily: DataFrame, end_day: Column | None = None) -> DataFrame
     day of the batch (``end_day``, default the table's ``max(day)``)."""
     first = daily.groupBy("vin").agg(F.min("day").alias("_first"))
     if end_day is None:
-        from .scan import scalar
-        end_day = F.lit(scalar(daily, F.max("day")))
+        from .scan import scalar_column
+        end_day = scalar_column(daily, F.max("day"))
     return first.select("vin", F.explode(F.sequence("_first", end_day, F.expr("INTERVAL 1 DAY"))).alias("day"))
 
 

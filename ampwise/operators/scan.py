@@ -25,12 +25,18 @@ _B = "_scan_bucket"
 
 
 def scalar(df: DataFrame, agg: Column):
-    """Resolve a one-value aggregate (e.g. ``max(day)``) to a Python value
-    with one small job, so later filters use it as a literal: the predicate is
-    pushed to the scan and no one-row table has to be joined to every row."""
+    """Resolve a one-value aggregate to a Python value (one small job); for
+    driver-side decisions only. Inside a plan use :func:`scalar_column`."""
     return df.agg(agg.alias("_v")).first()["_v"]
 
 
+def scalar_column(df: DataFrame, agg: Column) -> Column:
+    """A one-value aggregate (e.g. ``max(day)``) as a scalar subquery column:
+    evaluated once within the same plan, no one-row table joined to every
+    row and no round trip through the driver."""
+    return df.agg(agg.alias("_v")).scalar()
+
+
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -41,6 +41,7 @@ def tele(spark, sf_dir):
     return fixture.telemetry(spark, sf_dir)
 
 
+
 # ---------------------------------------------------------------- B2 / B3
 @register("daily_distance", f"""{S.WITH_TELE},
 s AS (SELECT vin, day, odo,
