@@ -1,11 +1,12 @@
 """Per-vehicle daily and hourly statistics.
 
 One ``groupBy(vin, time_label)`` replaces the reference's grouped shuffle of
-raw rows. All stats are computed from a single ordered scan inside the
-(vin, period) group and a two-level aggregation: level 1 groups by
+raw rows. All stats come from two window passes inside the (vin, period)
+group (previous values, then run numbers; both on the same partitioning, so
+raw rows are shuffled once) and a two-level aggregation: level 1 groups by
 (vin, period, battery-run) so the battery distance (B4) can take the absolute
-value of each run's sum, level 2 merges the runs. Both levels are ordinary
-hash aggregations with map-side partial aggregation.
+value of each run's sum, level 2 merges the runs. Neither level needs a
+further exchange of raw rows.
 
 Definitions marked *ours* have no body in the reference (SURVEY B8 "N"):
 
