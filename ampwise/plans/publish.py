@@ -153,15 +153,23 @@ def newer_than_mark(df: DataFrame, ledger_df: DataFrame, job: str, day: str = "d
 
 def publish_days(df: DataFrame, table: str, ledger_path: str, job: str,
                  days: Sequence | None = None) -> DataFrame:
-    """K2 + K13 + R7: overwrite the batch's days, then count the rows of the
-    written partitions (read back from the table, pruned to ``days`` when the
-    batch's days are known, so the source is not computed twice) and record
-    them in the ledger, only after the write committed. Returns the counts."""
+    """K2 + K13 + R7: overwrite the batch's days; count the rows of those
+    partitions before and after (read back from the table, pruned to ``days``
+    when the batch's days are known, so the source is not computed twice);
+    record the after counts in the ledger, only after the write committed.
+    Returns ``day, n_rows_before, n_rows`` (one row per day of the batch)."""
     spark = df.sparkSession
+
+    def batch_counts():
+        t = spark.table(table)
+        if days is not None:
+            t = t.where(F.col("day").isin([F.lit(d).cast("date") for d in days]))
+        return {r["day"]: r["n_rows"] for r in day_counts(t).collect()}
+
+    before = batch_counts() if spark.catalog.tableExists(table) and days is not None else {}
     overwrite_days(df, table)
-    written = spark.table(table)
-    if days is not None:
-        written = written.where(F.col("day").isin([F.lit(d).cast("date") for d in days]))
-    counts = spark.createDataFrame(day_counts(written).collect(), "day date, n_rows long")
+    after = batch_counts()
+    counts = spark.createDataFrame(sorted(after.items()), "day date, n_rows long")
     record(spark, ledger_path, job, counts)
-    return counts
+    return spark.createDataFrame([(d, before.get(d), n) for d, n in sorted(after.items())],
+                                 "day date, n_rows_before long, n_rows long")
