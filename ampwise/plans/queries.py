@@ -831,3 +831,12 @@ def q_raw_daily_stats(spark, sf_dir):
     """S1-S3 + P5-P8 + A1/B8: the daily stat rows computed straight from
     schema-A text lines (the reference's daily job end to end)."""
     return stats.daily_stats(raw.parse_schema_a(fixture.raw_lines_a(spark, sf_dir)))
+
+
+@register("brake_pedal_histogram", f"""{S.WITH_TELE}
+SELECT vin, day, 'brake_pedal' AS "column", 'count' AS stat, brake_pedal AS category,
+       CAST(count(*) AS DOUBLE) AS value
+FROM tele GROUP BY vin, day, brake_pedal""")
+def q_brake_pedal_histogram(spark, sf_dir):
+    """B8 catStat_brake_pedal (A16 categorical): brake-pedal state counts per vehicle-day."""
+    return profile.profile(tele(spark, sf_dir), {"brake_pedal": ("histogram",)}, keys=("vin", "day"))
