@@ -61,7 +61,7 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
             raise RuntimeError("spark.checkpoint.dir is not set; iterative jobs need a shared folder")
         if "://" not in fallback:
             os.makedirs(fallback, exist_ok=True)
-        spark.conf.set("spark.checkpoint.dir", fallback)
+        # spark.checkpoint.dir is a static setting; only the context's folder can change
         spark.sparkContext.setCheckpointDir(fallback)
         d = fallback
     elif not spark.sparkContext.getCheckpointDir():

@@ -40,3 +40,26 @@ def test_stream_sessions_match_batch_trips(spark, tmp_out):
     missing = expected - emitted
     assert all(e + dt.timedelta(seconds=GAP_S) > watermark for _, _, e, _ in missing)
     assert len(emitted) > len(missing)
+
+
+def test_stream_counts_rows_later_than_watermark(spark, tmp_out):
+    import time
+    t = fixture.telemetry(spark, SF).where("odo > 0 AND charge_cur IS NOT NULL AND charge_cur < 0.1 "
+                                           "AND (charge_st IS NULL OR charge_st = 0)")
+    src = os.path.join(tmp_out, "src")
+    newest = t.agg(F.max("day")).first()[0]
+    # first batch: the last days; second batch: records from two weeks earlier
+    t.where(F.col("day") >= F.lit(newest - dt.timedelta(days=3))).write.parquet(os.path.join(src, "a"))
+    schema = spark.read.parquet(os.path.join(src, "a")).schema
+    ckpt = os.path.join(tmp_out, "ckpt")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
+    q = (trips_stream.trip_sessions(stream, gap="600 seconds", watermark="1 hour")
+         .writeStream.outputMode("append").format("memory").queryName(f"late_{os.path.basename(tmp_out).replace('-', '_')}")
+         .option("checkpointLocation", ckpt).start())
+    q.processAllAvailable()
+    t.where(F.col("day") <= F.lit(newest - dt.timedelta(days=14))).write.parquet(os.path.join(src, "b"))
+    time.sleep(1)
+    q.processAllAvailable()
+    late = trips_stream.late_rows(q)
+    q.stop()
+    assert late > 0
