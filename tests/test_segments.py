@@ -81,3 +81,27 @@ def test_trips_segment_combination_equals_row_labels(spark):
     a = {(r.vin, r.trip_no, r.n_records, r.start_time, r.end_time) for r in t.collect()}
     b = {(r.vin, r.trip_no, r.n, r.s, r.e) for r in by_label.collect()}
     assert a == b and len(a) > 20
+
+
+def test_ordered_scan_buckets_equal_plain_window(spark):
+    from ampwise.operators.scan import ordered_scan
+    rng = random.Random(9)
+    rows, eid = [], 0
+    for vin in range(30):
+        t = T0
+        for _ in range(rng.randint(1, 60)):
+            t += dt.timedelta(seconds=rng.choice([30, 3600, 30000, 200000]))
+            x = rng.choice([None, None, 1.0, 2.5, -3.0])     # runs of nulls across buckets
+            rows.append((vin, eid, t, t.date(), x))
+            eid += 1
+    df = spark.createDataFrame(rows, "vin long, event_id long, ts timestamp_ntz, day date, x double")
+    spec = dict(lags={"px": F.col("x"), "pts": F.col("ts")},
+                lasts={"lx": F.col("x")},
+                cums={"cx": F.when(F.col("x") > 0, F.lit(1)).otherwise(F.lit(0))})
+    a = ordered_scan(df, ["vin"], ["ts", "event_id"], None, **spec)
+    b = ordered_scan(df, ["vin"], ["ts", "event_id"], "day", **spec)
+    c = ordered_scan(df, ["vin"], ["ts", "event_id"], F.date_trunc("hour", "ts"), **spec)
+    cols = ["vin", "event_id", "px", "pts", "lx", "cx"]
+    ra = sorted(tuple(r) for r in a.select(*cols).collect())
+    assert ra == sorted(tuple(r) for r in b.select(*cols).collect())
+    assert ra == sorted(tuple(r) for r in c.select(*cols).collect())
