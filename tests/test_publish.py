@@ -191,6 +191,11 @@ def test_jobs_end_to_end(spark, tmp_out):
     got = sorted(tuple(r) for r in spark.table(table).select(*cols).collect())
     want = sorted(tuple(r) for r in direct.select(*cols).collect())
     assert got == want
+    # the hourly variant of the same job
+    hc = jobs.daily_stats_job(spark, root, "2024-01-01", "2024-01-03", f"hourly_{tag}", ledger, freq="hourly")
+    assert hc.count() > 0
+    assert set(spark.table(f"hourly_{tag}").columns) >= {"time_label", "distance_driven", "speed_average",
+                                                         "charging_hours", "driving_hours", "charged_energy"}
     # a forced re-run of a day rewrites the same rows
     jobs.daily_stats_job(spark, root, "2024-01-05", "2024-01-05", table, ledger, force=True)
     assert sorted(tuple(r) for r in spark.table(table).select(*cols).collect()) == want
