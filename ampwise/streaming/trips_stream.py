@@ -47,12 +47,18 @@ def trip_sessions(stream: DataFrame, gap: str = "600 seconds", watermark: str =
 
 def start_trip_stream(spark: SparkSession, source_dir: str, schema, sink_path: str,
                       name: str = "trip_sessions", gap: str = "600 seconds", watermark: str = "1 hour",
-                      available_now: bool = True) -> StreamingQuery:
-    """Run :func:`trip_sessions` over parquet files arriving in ``source_dir``
-    and append finished sessions to parquet at ``sink_path``. With
-    ``available_now`` the query processes what is there and stops."""
+                      available_now: bool = True, source_format: str = "parquet") -> StreamingQuery:
+    """Run :func:`trip_sessions` over files arriving in ``source_dir`` and
+    append finished sessions to parquet at ``sink_path``. ``source_format``
+    is ``parquet`` (canonical rows with ``schema``) or ``text_a`` (raw
+    schema-A lines, parsed with :func:`ampwise.sources.raw.parse_schema_a`).
+    With ``available_now`` the query processes what is there and stops."""
+    from ..sources import raw
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    stream = spark.readStream.schema(schema).parquet(source_dir)
+    if source_format == "text_a":
+        stream = raw.parse_schema_a(spark.readStream.text(source_dir))
+    else:
+        stream = spark.readStream.schema(schema).parquet(source_dir)
     w = (trip_sessions(stream, gap, watermark).writeStream.outputMode("append").format("parquet")
          .option("path", sink_path).option("checkpointLocation", ckpt).queryName(name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -63,3 +63,18 @@ def test_stream_counts_rows_later_than_watermark(spark, tmp_out):
     late = trips_stream.late_rows(q)
     q.stop()
     assert late > 0
+
+
+def test_stream_from_raw_text_lines(spark, tmp_out):
+    from ampwise.sources import raw
+    lines = fixture.raw_lines_a(spark, SF)
+    src = os.path.join(tmp_out, "text")
+    lines.select("value").write.text(src)
+    sink = os.path.join(tmp_out, "sink")
+    q = trips_stream.start_trip_stream(spark, src, None, sink, name=f"tx_{os.path.basename(tmp_out)}",
+                                       gap=f"{GAP_S} seconds", watermark="1 day", source_format="text_a")
+    q.awaitTermination(300)
+    got = {tuple(r) for r in spark.read.parquet(sink).select("vin", "start_time", "end_time", "n_records").collect()}
+    batch = trips.trips(raw.parse_schema_a(lines), max_gap_s=GAP_S)
+    want = {tuple(r) for r in batch.select("vin", "start_time", "end_time", "n_records").collect()}
+    assert got and got <= want
