@@ -37,10 +37,10 @@ def _read_glob(spark: SparkSession, pattern: str, hive_base: str | None = None)
         raise
 
 
-def read_days(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
+def read_days(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame | None:
     """Raw lines with ``file_day`` for the ``yyyymmdd`` days, read
     through one brace glob per layout so only those directories and files are
-    listed; days without files are simply absent."""
+    listed; days without files are simply absent (None when no day has any)."""
     alt = "{" + ",".join(days) + "}"
     parts = []
     hive = _read_glob(spark, f"{root}/csv/d={alt}", f"{root}/csv")
@@ -53,7 +53,7 @@ def read_days(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
                                    F.to_date(F.regexp_extract(F.col("_metadata.file_name"), r"(\d{8})", 1),
                                              "yyyyMMdd").alias("file_day")))
     if not parts:
-        raise FileNotFoundError(f"no day files under {root} for {len(days)} day(s)")
+        return None
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -83,9 +83,10 @@ def daily_stats_job(spark: SparkSession, root: str, start: str, end: str, table:
     rewrites the same partition with the same rows."""
     job = f"{freq}_stats"
     days = pending(spark, start, end, ledger_path, job, force)
-    if not days:
-        return spark.createDataFrame([], "day date, n_rows long")
-    recs = raw.parse_schema_a(read_days(spark, root, days))
+    lines = read_days(spark, root, days) if days else None
+    if lines is None:            # nothing pending, or no files for the pending days
+        return spark.createDataFrame([], "day date, n_rows_before long, n_rows long")
+    recs = raw.parse_schema_a(lines)
     out = stats.period_stats(recs, freq, keys=("file_day", "vin"))
     out = out.withColumnRenamed("file_day", "day")
     return publish.publish_days(out, table, ledger_path, job, [_iso(d) for d in days])
@@ -96,9 +97,10 @@ def trips_job(spark: SparkSession, root: str, start: str, end: str, table: str,
     """Trips of each day file's records (the batch), published into the
     file's day partition."""
     days = pending(spark, start, end, ledger_path, "trips", force)
-    if not days:
-        return spark.createDataFrame([], "day date, n_rows long")
-    recs = raw.parse_schema_a(read_days(spark, root, days))
+    lines = read_days(spark, root, days) if days else None
+    if lines is None:
+        return spark.createDataFrame([], "day date, n_rows_before long, n_rows long")
+    recs = raw.parse_schema_a(lines)
     t = trips.trips(recs, keys=("file_day", "vin"), max_gap_s=max_gap_s)
     t = t.drop("day").withColumnRenamed("file_day", "day")
     return publish.publish_days(t, table, ledger_path, "trips", [_iso(d) for d in days])

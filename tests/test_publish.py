@@ -181,6 +181,8 @@ def test_jobs_end_to_end(spark, tmp_out):
     assert first.count() > 0
     again = jobs.daily_stats_job(spark, root, "2024-01-01", "2024-01-10", table, ledger)   # R5: all done
     assert again.count() == 0
+    none = jobs.daily_stats_job(spark, root, "2025-06-01", "2025-06-03", table, ledger)   # no files: skipped
+    assert none.count() == 0
     jobs.daily_stats_job(spark, root, "2024-01-01", "2024-01-31", table, ledger)
     # the published table equals the stats computed on all records at once
     from ampwise.operators import stats as S
