@@ -130,20 +130,23 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = M
         # pointer jumping: adopt the label of your label
         jump = prop.join(prop.select(F.col("node").alias("label"), F.col("label").alias("l2")), "label", "left") \
                    .select("node", F.least("label", F.coalesce("l2", "label")).alias("label"))
-        new = _ckpt(jump)
-        changed = new.join(labels.withColumnRenamed("label", "old"), "node") \
-                     .where(F.col("label") != F.col("old")).limit(1).count()
-        labels = new
+        # the change flag is part of the checkpointed round, so the check below
+        # only reads the checkpoint
+        new = _ckpt(jump.join(labels.withColumnRenamed("label", "old"), "node")
+                    .select("node", "label", (F.col("label") != F.col("old")).alias("_changed")))
+        changed = new.where("_changed").limit(1).count()
+        labels = new.select("node", "label")
         if changed == 0:
             break
     return labels
 
 
-def cluster_points(points: DataFrame, eps_m: float = CLUSTER_EPS_M) -> DataFrame:
-    """``lat, lon, cluster`` for distinct points; ``cluster`` is a struct
-    (lat, lon) of the component's smallest point."""
+def cluster_points(points: DataFrame, eps_m: float = CLUSTER_EPS_M, distinct: bool = False) -> DataFrame:
+    """``lat, lon, cluster`` for the points' distinct coordinates; ``cluster``
+    is a struct (lat, lon) of the component's smallest point. ``distinct``
+    says the input already has one materialised row per coordinate."""
     # read twice below (nodes, edges): materialise once
-    pts = _ckpt(points.select("lat", "lon").distinct())
+    pts = points.select("lat", "lon") if distinct else _ckpt(points.select("lat", "lon").distinct())
     nodes = pts.select(F.struct("lat", "lon").alias("node"))
     labels = connected_components(nodes, neighbour_edges(pts, eps_m))
     return labels.select(F.col("node.lat").alias("lat"), F.col("node.lon").alias("lon"),
@@ -184,7 +187,7 @@ def charging_stations(df: DataFrame, eps_m: float = CLUSTER_EPS_M, dedupe: bool
         # one row per distinct coordinate; clustered and joined back below
         ch = _ckpt(first_per_key(ch.select("lat", "lon", *order, "charge_volt", "charge_cur"),
                                  ["lat", "lon"], order))
-    lab = cluster_points(ch.select("lat", "lon"), eps_m)
+    lab = cluster_points(ch.select("lat", "lon"), eps_m, distinct=dedupe)
     summ = cluster_summary(lab)
     rows = ch.join(lab, ["lat", "lon"]).join(summ.select("cluster", "center_lat", "center_lon"), "cluster")
     energy = record_energy_kwh("charge_volt", "charge_cur")
