@@ -224,3 +224,12 @@ def test_jobs_end_to_end(spark, tmp_out):
     assert c1.count() > 0
     c2 = jobs.index_export_job(spark, table, "daily_stats", out, ledger)
     assert c2.count() == 0
+
+
+def test_publish_days_before_after_counts(spark, tmp_out):
+    t = f"ba_{os.path.basename(tmp_out).replace('-', '_')}"
+    path = os.path.join(tmp_out, "ledger")
+    first = publish.publish_days(_rows(spark, [("a", 1.0, D1), ("b", 1.0, D1)]), t, path, "j", ["2024-01-01"])
+    assert [(r.day, r.n_rows_before, r.n_rows) for r in first.collect()] == [(D1, None, 2)]
+    second = publish.publish_days(_rows(spark, [("c", 1.0, D1)]), t, path, "j", ["2024-01-01"])
+    assert [(r.day, r.n_rows_before, r.n_rows) for r in second.collect()] == [(D1, 2, 1)]
