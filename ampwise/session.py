@@ -69,11 +69,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return d
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Where a local session leaves it
+    unset (tests), one temporary folder per session stands in; a cluster session
+    must name it."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return checkpoint_dir(spark)
+    if not spark.sparkContext.master.startswith("local"):
+        return checkpoint_dir(spark)
+    return checkpoint_dir(spark, tempfile.mkdtemp(prefix="ampwise-ckpt-"))
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint in the shared folder of
-    ``spark.checkpoint.dir``. Only a local-mode session without that setting
-    (tests) gets a temporary folder; on a cluster the setting is required."""
-    spark = df.sparkSession
-    fallback = tempfile.mkdtemp(prefix="ampwise-ckpt-") if spark.sparkContext.master.startswith("local") else None
-    checkpoint_dir(spark, fallback)
+    """Materialise ``df`` with a reliable checkpoint in :func:`shared_folder`."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
