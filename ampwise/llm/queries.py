@@ -34,3 +34,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2(F.col("ids"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@_query
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import langid
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)))
+    net = langid.fit(docs, ~F.col("held_out"))
+    return langid.predict(docs.drop("lang"), net).select("doc_id", "held_out", "lang_pred", "score")
