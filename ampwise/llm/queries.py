@@ -42,3 +42,12 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)))
     net = langid.fit(docs, ~F.col("held_out"))
     return langid.predict(docs.drop("lang"), net).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import toxicity
+    held = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", held)
+    scorer = toxicity.train(docs, labels(spark, sf_dir).where(~held))
+    return toxicity.score(docs, scorer).select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
