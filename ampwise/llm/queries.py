@@ -51,3 +51,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", held)
     scorer = toxicity.train(docs, labels(spark, sf_dir).where(~held))
     return toxicity.score(docs, scorer).select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@_query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import quality
+    held = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", held)
+    field = quality.train(docs, labels(spark, sf_dir).where(~held))
+    return quality.score(docs, field).select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
