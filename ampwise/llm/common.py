@@ -58,7 +58,7 @@ def append_columns(df: DataFrame, text: str, fields: list[tuple[str, str]],
     new = {n for n, _ in fields}
     kept = [c for c in df.columns if c not in new]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
-    arrow = {n: _arrow_type(t) for n, t in fields}
+    arrow = {n: arrow_type(t) for n, t in fields}
 
     def run(batches):
         fn = make()
@@ -71,7 +71,7 @@ def append_columns(df: DataFrame, text: str, fields: list[tuple[str, str]],
     return df.select(*kept).mapInArrow(run, schema)
 
 
-def _arrow_type(ddl: str) -> pa.DataType:
+def arrow_type(ddl: str) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
     return to_arrow_type(T._parse_datatype_string(ddl))
 

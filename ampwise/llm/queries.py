@@ -60,3 +60,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", held)
     field = quality.train(docs, labels(spark, sf_dir).where(~held))
     return quality.score(docs, field).select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import syncmers
+    got = syncmers.fingerprints_in_order(documents(spark, sf_dir))
+    return got.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+                      "fingerprint", "edited_fingerprint", "near_edited", "near_next")
