@@ -68,3 +68,13 @@ def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = syncmers.fingerprints_in_order(documents(spark, sf_dir))
     return got.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
                       "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@_query
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import suffixes
+    found = suffixes.find(documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", F.col("contamination.n_words").alias("n_words"), suffixes.n_hit().alias("n_hit"),
+                        F.size("contamination.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("contamination.items"), ",").cast("binary"), 256).alias("items_sha256"),
+                        ).withColumn("contaminated", suffixes.contaminated(F.col("n_hit"), F.col("n_words")))
