@@ -78,3 +78,13 @@ def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("contamination.items").cast("long").alias("n_items"),
                         F.sha2(F.array_join(F.array_sort("contamination.items"), ",").cast("binary"), 256).alias("items_sha256"),
                         ).withColumn("contaminated", suffixes.contaminated(F.col("n_hit"), F.col("n_words")))
+
+
+@_query
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import secrets
+    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    spans = F.col("secrets")
+    base = F.filter(spans, lambda s: s["kind"] < 3)
+    return found.select("doc_id", *(secrets.of_kind(spans, k).alias(f"n_{n}") for k, n in enumerate(secrets.KINDS[:3])),
+                        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"), secrets.listed(spans).alias("spans"))
