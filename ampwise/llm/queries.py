@@ -88,3 +88,18 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter(spans, lambda s: s["kind"] < 3)
     return found.select("doc_id", *(secrets.of_kind(spans, k).alias(f"n_{n}") for k, n in enumerate(secrets.KINDS[:3])),
                         F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"), secrets.listed(spans).alias("spans"))
+
+
+@_query
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import licences
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = licences.scan(docs, licences.train(docs))
+    all_, named = F.col("licences"), F.filter("licences", lambda r: r["family"] != "unknown")
+    return found.select(
+        "doc_id", F.size(all_).cast("long").alias("n_paragraphs"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(named, lambda r: r["family"]))), ",").alias("families"),
+        F.size(F.filter(all_, lambda r: r["family"] == "unknown")).cast("long").alias("n_unknown"),
+        F.size(F.filter(all_, lambda r: r["confirmed"])).cast("long").alias("n_confirmed"),
+        F.coalesce(F.round(F.array_max(F.transform(all_, lambda r: r["probability"])), 6), F.lit(0.0)).alias("score"),
+        F.array_join(F.transform(all_, lambda r: F.concat_ws(":", r["family"], r["paragraph"].cast("string"))), ",").alias("paragraphs"))
