@@ -28,12 +28,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import append_columns
-from ampwise.llm.pretokens import SPECIALS, Splitter, byte_chars
+from ampwise.llm.common import append_columns, stored
+from ampwise.llm.pretokens import Splitter, byte_chars
 
 #: Pre-tokens compiled into the lexicon, and those that a worker remembers.
 LEXICON_WORDS = 60_000
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 #: Distinct pre-tokens that a counting task holds before it passes them on.
 COUNTED_AT_ONCE = 400_000
 
@@ -45,7 +45,14 @@ class Merger:
         model = spec["model"]
         self.vocab = model["vocab"]
         self.suffix = model["end_of_word_suffix"] or ""
-        self.ranks = {tuple(m) if not isinstance(m, str) else tuple(m.split(" ")): i for i, m in enumerate(model["merges"])}
+        # a merge of two symbols, by their numbers: its rank, and by rank the symbol it makes
+        self.rank: dict[int, int] = {}
+        self.made: list[int] = []
+        number = self.vocab
+        for i, m in enumerate(model["merges"]):
+            x, y = m if not isinstance(m, str) else m.split(" ")
+            self.rank.setdefault(number[x] << 20 | number[y], i)
+            self.made.append(number[x + y])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.chars = byte_chars()
         tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
@@ -54,32 +61,26 @@ class Merger:
     def ids(self, word: str) -> list[int]:
         if word in self.special:
             return [self.special[word]]
-        chars = self.chars
-        parts = [chars[b] for b in word.encode("utf-8")]
-        if not parts:
+        if not word:
             return []
+        chars, vocab, get, made = self.chars, self.vocab, self.rank.get, self.made
+        parts = [chars[b] for b in word.encode("utf-8")]
         parts[-1] += self.suffix
-        ranks, never = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            best, at = never, -1
-            for i in range(len(parts) - 1):
-                r = ranks.get((parts[i], parts[i + 1]), never)
-                if r < best:
-                    best, at = r, i
-            if at < 0:
+        s = [vocab[p] for p in parts if p in vocab]
+        never = len(made)
+        ranks = [get(a << 20 | b, never) for a, b in zip(s, s[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == never:
                 break
-            a, b = parts[at], parts[at + 1]
-            out, i, n = [], 0, len(parts)
-            while i < n:
-                if i + 1 < n and parts[i] == a and parts[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        vocab = self.vocab
-        return [vocab[p] for p in parts if p in vocab]
+            i = ranks.index(best)  # the first of equal rank
+            new = s[i] = made[best]
+            del s[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = get(s[i - 1] << 20 | new, never)
+            if i < len(ranks):
+                ranks[i] = get(new << 20 | s[i + 1], never)
+        return s
 
 
 # ---- the automaton -------------------------------------------------------
@@ -229,9 +230,17 @@ def build_lexicon(docs: DataFrame, spec: str, text_col: str = "text", words: int
 
     The list on the driver has at most ``words`` entries whatever the corpus."""
     # words under 64 bytes: a longer one is rarely frequent, and the merger is exact for it anyway
-    top = pretoken_counts(docs, spec, text_col).where(F.octet_length("word") < 64).orderBy(F.desc("n"), "word").limit(words)
+    counts = stored(pretoken_counts(docs, spec, text_col).where(F.octet_length("word") < 64), "pretokens")
+    # the least count with which at most `words` of them are taken; one row per distinct count
+    least, taken = 1 << 62, 0
+    for r in counts.groupBy("n").agg(F.count("*").alias("of")).orderBy(F.desc("n")).limit(words).collect():
+        taken += r["of"]
+        if taken > words:
+            break
+        least = r["n"]
+    top = [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()]
     merge = Merger(json.loads(spec))
-    blob = compile_lexicon([(r["word"].encode("utf-8"), merge.ids(r["word"])) for r in top.collect()])
+    blob = compile_lexicon([(w.encode("utf-8"), merge.ids(w)) for w in top])
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
     with open(path, "wb") as f:
@@ -240,6 +249,17 @@ def build_lexicon(docs: DataFrame, spec: str, text_col: str = "text", words: int
     return name
 
 
+_WORKER: dict = {}
+
+
+def worker_tables(spec: str, lexicon: str) -> tuple[Merger, "Remembered", Splitter]:
+    """What a worker keeps from task to task for the lexicon in use."""
+    if _WORKER.get("of") != lexicon:
+        merge = Merger(json.loads(spec))
+        _WORKER.update(of=lexicon, tables=(merge, Remembered(Lexicon(SparkFiles.get(lexicon)), merge), _splitter(spec)))
+    return _WORKER["tables"]
+
+
 class Remembered(dict):
     """pre-token -> ids as bytes; a missing one is looked up in the lexicon, then merged."""
 
@@ -264,9 +284,8 @@ def encode_decode(docs: DataFrame, spec: str, lexicon: str, text_col: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def make():
-        merge = Merger(json.loads(shared.value))
-        known = Remembered(Lexicon(SparkFiles.get(lexicon)), merge)
-        split, get, token = _splitter(shared.value).split, known.__getitem__, merge.tokens.__getitem__
+        merge, known, splitter = worker_tables(shared.value, lexicon)
+        split, get, token = splitter.split, known.__getitem__, merge.tokens.__getitem__
 
         def fn(texts: list) -> dict:
             ids = [b"".join(map(get, split(t))) if t else b"" for t in texts]
@@ -275,6 +294,3 @@ def encode_decode(docs: DataFrame, spec: str, lexicon: str, text_col: str = "tex
 
     return append_columns(docs, text_col, [(ids_col, "binary"), (decoded_col, "string")], make)
 
-
-def is_special(word: str) -> bool:
-    return bool(SPECIALS.fullmatch(word))
