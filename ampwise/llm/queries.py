@@ -103,3 +103,11 @@ def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter(all_, lambda r: r["confirmed"])).cast("long").alias("n_confirmed"),
         F.coalesce(F.round(F.array_max(F.transform(all_, lambda r: r["probability"])), 6), F.lit(0.0)).alias("score"),
         F.array_join(F.transform(all_, lambda r: F.concat_ws(":", r["family"], r["paragraph"].cast("string"))), ",").alias("paragraphs"))
+
+
+@_query
+def op10_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import rans
+    path = rans.new_path(spark)
+    rans.write(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_spec(), path, end=2)
+    return rans.read(spark, path).select("doc_id", "start", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
