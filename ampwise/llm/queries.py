@@ -111,3 +111,9 @@ def op10_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = rans.new_path(spark)
     rans.write(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_spec(), path, end=2)
     return rans.read(spark, path).select("doc_id", "start", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@_query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import ngram_join
+    return ngram_join.join(documents(spark, sf_dir).select("doc_id", "text"))
