@@ -109,3 +109,19 @@ def labelled_sample(docs: DataFrame, labelled: DataFrame, target: str, rows: int
             .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(rows))
     got = docs.select(id_col, F.col(text_col).alias("_t")).join(F.broadcast(pick), id_col).where(F.col("_t").isNotNull())
     return [(r["_t"], r["_y"]) for r in got.orderBy(id_col, "_t").select("_t", "_y").collect()]
+
+
+#: Rows of a two-column table of ids up to which it is broadcast; beyond that it is joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def join_ids(big: DataFrame, ids: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join with a narrow table whose rows are counted first: broadcast only if few."""
+    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return big.join(F.broadcast(ids) if few else ids, on, how)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the first of name_1, name_2, ... that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(1, len(taken) + 2))) if n.lower() not in taken)

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import n_buckets, slices, stored
+from ampwise.llm.common import join_ids, n_buckets, slices, stored
 from ampwise.llm.components import Forest, components, forest_batches
 from ampwise.llm.shingles import mix, shingle_sets
 
@@ -56,8 +56,6 @@ SKETCH_BITS, SKETCH_ROW = 21, 1 << 15
 HEAVY = 50_000
 #: Shingles of a neighbourhood that one task may gather.
 UNIT = 4_000_000
-#: Ids that are broadcast to pick the rows that are read again; more are joined.
-BROADCAST_IDS = 1_000_000
 
 
 def required(n: int, m: int, similar: int = SIMILAR) -> int:
@@ -288,11 +286,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wor
     """The whole sets of the documents in ``wanted`` (id, key, ...): id, extra columns, set (binary).
     A row whose text has another key (an id used twice) is left out."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
-    n = wanted.count()
-    if n <= BROADCAST_IDS:
-        picked = rows.join(F.broadcast(wanted), "id")
-    else:
-        picked = rows.join(wanted, "id")
+    picked = join_ids(rows, wanted, "id") if set(extra) <= {"near"} else rows.join(wanted, "id")
     kinds = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in extra)
 
     def run(batches):

@@ -12,7 +12,7 @@ uniform, independent symbols, make a distance from randomness: chi-squared
 uniformity over eight classes of the alphabet, runs above and below its middle,
 and serial correlation of neighbours. The evidence that a run is not a word of
 running text is the number of changes between character kinds (lower, upper,
-digit, sign) against the share expected in text; its normal tail is the run's
+digit, plus sign) against the share expected in text; its normal tail is the run's
 p-value, and a run that any test rejects as non-random keeps p-value 1.
 
 False discoveries are controlled by Benjamini and Hochberg's step-up rule within
@@ -53,24 +53,23 @@ STRATA, BINS, BIN_WIDTH = 8, 400, 0.25
 CANDIDATE = f"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{{{LEAST},}}"
 
 
-def _spans(text: Column, pattern: str, keep, kind: int) -> Column:
-    """Structs (start, kind, end) of the matches of ``pattern`` for which ``keep(i)`` holds;
-    positions in code points, end exclusive."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    ends = F.aggregate(
-        F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda p, m: F.struct(F.char_length(p).alias("p"), F.char_length(m).alias("m"))),
-        F.struct(F.lit(0).alias("upto"), F.array().cast("array<struct<start:int,end:int>>").alias("all")),
-        lambda acc, x: F.struct(
-            (acc["upto"] + x["p"] + x["m"]).alias("upto"),
-            F.concat(acc["all"], F.array(F.struct((acc["upto"] + x["p"]).alias("start"), (acc["upto"] + x["p"] + x["m"]).alias("end")))).alias("all")),
-    )["all"]
-    good = F.filter(F.zip_with(ends, keep, lambda e, k: F.struct(e["start"].alias("start"), F.lit(kind).alias("kind"), e["end"].alias("end"), k.alias("keep"))),
-                    lambda s: s["keep"])
-    return F.transform(good, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+_NONE = "array<struct<start:int,kind:int,end:int>>"
 
 
-_NONE = "array<struct<start:int,kind:int,end:int>>"
+def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
+    """Structs (start, kind, end) of the matches of ``pattern`` whose ``group`` has at least
+    ``least`` characters; positions in code points, end exclusive."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    sizes = F.zip_with(F.zip_with(F.split(text, pattern, -1), found, lambda p, m: F.struct(F.char_length(p).alias("p"), F.char_length(m).alias("m"))),
+                       parts, lambda s, g: F.struct(s["p"].alias("p"), s["m"].alias("m"), F.char_length(g).alias("g")))
+    walked = F.aggregate(
+        sizes, F.struct(F.lit(0).alias("upto"), F.array().cast(_NONE).alias("all")),
+        lambda acc, x: F.struct(
+            (acc["upto"] + x["p"] + F.coalesce(x["m"], F.lit(0))).alias("upto"),
+            F.when(x["g"] >= least, F.concat(acc["all"], F.array(F.struct((acc["upto"] + x["p"]).alias("start"), F.lit(kind).alias("kind"), (acc["upto"] + x["p"] + x["m"]).alias("end")))))
+            .otherwise(acc["all"]).alias("all")))
+    return walked["all"]
 
 
 def _where(cond: Column, spans: Column) -> Column:
@@ -79,63 +78,79 @@ def _where(cond: Column, spans: Column) -> Column:
 
 
 def base_spans(text: Column) -> dict[str, Column]:
-    values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
-    access = F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0))
     long_hex = f"[0-9a-f]{{{LEAST_HEX},}}"  # the same spans as longer matches of HEX
-    hexes = F.regexp_extract_all(text, F.lit(long_hex), F.lit(0))
     return {
-        "assign": _where((text.contains("=") | text.contains(":")) & text.rlike(f"({_EITHER})[\"']?\\x20*[:=]"), _spans(text, ASSIGN, F.transform(values, lambda v: F.char_length(v) >= LEAST_ASSIGN), 0)),
-        "access": _where(text.contains("AKIA"), _spans(text, ACCESS, F.transform(access, lambda v: F.char_length(v) >= LEAST_ACCESS), 1)),
-        "hex": _where(text.rlike(long_hex), _spans(text, long_hex, F.transform(hexes, lambda v: F.lit(True)), 2)),
+        "assign": _where((text.contains("=") | text.contains(":")) & text.rlike(f"({_EITHER})[\"']?\\x20*[:=]"), _spans(text, ASSIGN, 0, 2, LEAST_ASSIGN)),
+        "access": _where(text.contains("AKIA"), _spans(text, ACCESS, 1, 0, LEAST_ACCESS)),
+        "hex": _where(text.rlike(long_hex), _spans(text, long_hex, 2)),
     }
 
 
-def _number(ch: Column, alphabet: str) -> Column:
-    """Place of a character in an alphabet, from 0."""
-    return F.instr(F.lit(alphabet), ch) - 1
+def _bound(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
 
+def _sum(values: Column, zero=0.0) -> Column:
+    return F.aggregate(values, F.lit(zero), lambda a, x: a + x)
 
-_B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+def _neighbours(values: Column, both) -> Column:
+    """``both(a, b)`` of neighbouring values."""
+    return _bound(F.greatest(F.size(values) - 1, F.lit(0)), lambda k: F.zip_with(F.slice(values, 1, k), F.slice(values, 2, k), both))
+
+
+#: Alphabets by encoding; letters of a base without case are folded first.
+ALPHABETS = {"hex": "0123456789abcdef", "base32": "abcdefghijklmnopqrstuvwxyz234567", "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+             "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+
+
+def _encoding(token: Column) -> Column:
+    return (F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)=*$"), "hex").when(token.rlike("^[A-Z2-7]+=*$"), "base32")
+            .when(token.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), "base36").when(token.rlike("^[0-9A-Za-z]+$"), "base62").otherwise("base64"))
 
 
 def battery(token: Column) -> Column:
     """struct(encoding, chi, runs, serial, evidence) of a run of characters."""
-    encoding = (F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)=*$"), "hex").when(token.rlike("^([A-Z2-7]+)=*$"), "base32")
-                .when(token.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), "base36").when(token.rlike("^[0-9A-Za-z]+$"), "base62").otherwise("base64"))
-    plain = F.translate(F.regexp_replace(token, "=+$", ""), "-_", "+/")
-    size = F.when(encoding == "hex", 16).when(encoding == "base32", 32).when(encoding == "base36", 36).when(encoding == "base62", 62).otherwise(64)
-
-    def number(c: Column) -> Column:
-        return (F.when(encoding == "hex", F.instr(F.lit("0123456789abcdef"), F.lower(c)) - 1)
-                .when(encoding == "base32", _number(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"))
-                .when(encoding == "base36", F.instr(F.lit("0123456789abcdefghijklmnopqrstuvwxyz"), F.lower(c)) - 1)
-                .otherwise(_number(c, _B64)))
-
-    chars = F.filter(F.split(plain, ""), lambda c: F.length(c) > 0)
-    n = F.size(chars).cast("double")
-    # symbols scaled to 0..1
-    u = F.transform(chars, lambda c: (number(c) + 0.5) / size)
-    eighths = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.size(F.filter(u, lambda x: F.floor(x * 8) == k)).cast("double"))
-    # shares of the alphabet's symbols that fall in each eighth
-    expected = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: n * (F.floor((k + 1) * size / 8 + 0.5) - F.floor(k * size / 8 + 0.5)) / size)
-    chi2 = F.aggregate(F.zip_with(eighths, expected, lambda o, e: F.pow(o - e, F.lit(2.0)) / F.greatest(e, F.lit(1e-9))), F.lit(0.0), lambda a, x: a + x)
-    # Wilson and Hilferty's normal score of a chi-squared value with 7 degrees of freedom
-    chi = (F.pow(chi2 / 7, F.lit(1 / 3)) - (1 - 2 / 63)) / F.sqrt(F.lit(2 / 63))
-    high = F.transform(u, lambda x: (x >= 0.5).cast("int"))
-    n1 = F.aggregate(high, F.lit(0), lambda a, x: a + x).cast("double")
-    n0 = n - n1
-    changes = F.aggregate(F.zip_with(F.slice(high, 1, F.size(high) - 1), F.slice(high, 2, F.size(high) - 1), lambda a, b: (a != b).cast("int")), F.lit(0), lambda a, x: a + x)
-    mean_runs = 2 * n0 * n1 / n + 1
-    var_runs = F.greatest((mean_runs - 1) * (mean_runs - 2) / F.greatest(n - 1, F.lit(1.0)), F.lit(0.25))
-    runs = (changes + 1 - mean_runs) / F.sqrt(var_runs)
-    mean = F.aggregate(u, F.lit(0.0), lambda a, x: a + x) / n
-    var = F.aggregate(u, F.lit(0.0), lambda a, x: a + F.pow(x - mean, F.lit(2.0)))
-    lag = F.aggregate(F.zip_with(F.slice(u, 1, F.size(u) - 1), F.slice(u, 2, F.size(u) - 1), lambda a, b: (a - mean) * (b - mean)), F.lit(0.0), lambda a, x: a + x)
-    serial = F.sqrt(n) * lag / F.greatest(var, F.lit(1e-9))
-    kinds = F.transform(F.split(F.translate(token, "=", ""), ""), lambda c: F.when(c.rlike("[a-z]"), 0).when(c.rlike("[A-Z]"), 1).when(c.rlike("[0-9]"), 2).otherwise(3))
-    moves = F.aggregate(F.zip_with(F.slice(kinds, 1, F.size(kinds) - 1), F.slice(kinds, 2, F.size(kinds) - 1), lambda a, b: (a != b).cast("int")), F.lit(0), lambda a, x: a + x)
-    evidence = (moves - (n - 1) * TEXT_CHANGES) / F.sqrt(F.greatest((n - 1) * TEXT_CHANGES * (1 - TEXT_CHANGES), F.lit(1e-9)))
-    return F.struct(encoding.alias("encoding"), chi.alias("chi"), runs.alias("runs"), serial.alias("serial"), evidence.alias("evidence"))
+    def in_alphabet(encoding: Column) -> Column:
+        plain = F.translate(F.regexp_replace(token, "=+$", ""), "-_", "+/")
+        folded = F.when(encoding.isin("base62", "base64"), plain).otherwise(F.lower(plain))
+        alphabet = F.element_at(F.create_map(*(F.lit(x) for kv in ALPHABETS.items() for x in kv)), encoding)
+        # symbols' places scaled to 0..1
+        return _bound(F.struct(folded.alias("t"), alphabet.alias("of")), lambda s: _bound(
+            F.transform(F.filter(F.split(s["t"], ""), lambda c: F.length(c) > 0), lambda c: (F.instr(s["of"], c) - F.lit(0.5)) / F.length(s["of"])),
+            lambda u: _statistics(token, encoding, u, F.length(s["of"]))))
+
+    return _bound(_encoding(token), in_alphabet)
+
+
+def _statistics(token: Column, encoding: Column, u: Column, size: Column) -> Column:
+    def edge(k: Column) -> Column:
+        return F.floor(k * size / 8 + 0.5)
+
+    def with_counts(c: Column) -> Column:
+        n, mean = c["n"], c["mean"]
+        # chi-squared over eighths of the alphabet; Wilson and Hilferty's normal score with 7 degrees of freedom
+        eighth = F.transform(u, lambda x: F.least(F.lit(7), F.floor(x * 8).cast("int")))
+        chi2 = _sum(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: _bound(
+            F.greatest(n * (edge(k + 1) - edge(k)) / size, F.lit(1e-9)),
+            lambda e: F.pow(F.size(F.filter(eighth, lambda x: x == k)) - e, F.lit(2.0)) / e)))
+        chi = (F.pow(chi2 / 7, F.lit(1 / 3)) - (1 - 2 / 63)) / F.sqrt(F.lit(2 / 63))
+        # runs above and below the middle
+        n1, n0 = c["high"], n - c["high"]
+        changes = _sum(_neighbours(u, lambda a, b: ((a >= 0.5) != (b >= 0.5)).cast("int")), 0)
+        runs = _bound(2 * n0 * n1 / n + 1, lambda m: (changes + 1 - m) / F.sqrt(F.greatest((m - 1) * (m - 2) / F.greatest(n - 1, F.lit(1.0)), F.lit(0.25))))
+        # correlation of neighbours
+        var = _sum(F.transform(u, lambda x: (x - mean) * (x - mean)))
+        serial = F.sqrt(n) * _sum(_neighbours(u, lambda a, b: (a - mean) * (b - mean))) / F.greatest(var, F.lit(1e-9))
+        # changes between kinds of characters, signs that join words left out
+        kinds = F.transform(F.split(F.translate(token, "=-_/", ""), ""), lambda x: F.when(x.rlike("[a-z]"), 0).when(x.rlike("[A-Z]"), 1).when(x.rlike("[0-9]"), 2).otherwise(3))
+        evidence = _bound(kinds, lambda ks: (_sum(_neighbours(ks, lambda a, b: (a != b).cast("int")), 0) - (F.size(ks) - 1) * TEXT_CHANGES)
+                          / F.sqrt(F.greatest((F.size(ks) - 1) * F.lit(TEXT_CHANGES * (1 - TEXT_CHANGES)), F.lit(1e-9))))
+        return F.struct(encoding.alias("encoding"), chi.alias("chi"), runs.alias("runs"), serial.alias("serial"), evidence.alias("evidence"))
+
+    counts = F.struct(F.size(u).cast("double").alias("n"), (_sum(u) / F.size(u)).alias("mean"), F.size(F.filter(u, lambda x: x >= 0.5)).cast("double").alias("high"))
+    return _bound(counts, with_counts)
 
 
 def _neg_log_p(test: Column) -> Column:
@@ -155,15 +170,14 @@ def scan(docs: DataFrame, text_col: str = "text", out: str = "secrets") -> DataF
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = base_spans(text)
     # both columns are computed from the text in the one pass over the documents
-    runs = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    flagged = _where(text.rlike("[0-9]") & text.rlike(CANDIDATE), _spans(text, CANDIDATE, F.transform(runs, lambda v: F.lit(True)), 3))
+    flagged = _where(text.rlike("[0-9]") & text.rlike(CANDIDATE), _spans(text, CANDIDATE, 3))
     scanned = work.select("*", F.array_sort(F.concat(*base.values())).alias(out), flagged.alias(row))
     # the battery judges candidates outside base spans
     outside = F.filter(F.col(row), lambda c: ~F.exists(F.col(out), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     judged = F.transform(outside, lambda c: F.struct(
         c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"),
         F.least(F.lit(STRATA - 1), F.floor(F.log2(((c["end"] - c["start"]) / LEAST).cast("double")) * 2).cast("int")).alias("stratum"),
-        F.least(F.lit(BINS - 1), F.floor(_neg_log_p(battery(F.substring(F.coalesce(F.col(text_col), F.lit("")), c["start"] + 1, c["end"] - c["start"]))) / BIN_WIDTH).cast("int")).alias("bin")))
+        F.least(F.lit(BINS - 1), F.floor(_bound(battery(F.substring(F.col(text_col), c["start"] + 1, c["end"] - c["start"])), _neg_log_p) / BIN_WIDTH).cast("int")).alias("bin")))
     tested = scanned.withColumn(row, F.when(F.size(row) > 0, judged))
     found = tested.select(F.explode(row).alias("c")).groupBy("c.stratum", "c.bin").agg(F.count("*").alias("n"))
     limits = thresholds(found)
@@ -203,3 +217,13 @@ def of_kind(spans: Column, kind: int) -> Column:
 
 
 
+
+
+def redacted(text: Column, spans: Column, marker: str) -> Column:
+    """``text`` with the union of the spans replaced, each stretch by one ``marker``."""
+    done = F.aggregate(
+        spans, F.struct(F.lit(0).alias("upto"), F.lit("").alias("out")),
+        lambda acc, s: F.struct(
+            F.greatest(acc["upto"], s["end"]).alias("upto"),
+            F.when(s["start"] < acc["upto"], acc["out"]).otherwise(F.concat(acc["out"], F.substring(text, acc["upto"] + 1, s["start"] - acc["upto"]), F.lit(marker))).alias("out")))
+    return F.concat(done["out"], F.substring(text, done["upto"] + 1, F.char_length(text)))
