@@ -25,7 +25,9 @@ def r6(c, digits: int = 6) -> Column:
     few decimals) are not split by last-bit differences in how two engines
     sum or fit them."""
     p = 10 ** digits
-    return (F.floor(_c(c).cast("double") * p + 0.50001) / p).cast("double")
+    x = _c(c).cast("double")
+    # beyond 9e15 units (or for NaN and infinity) a double has no such places: pass it on
+    return F.when(F.abs(x) < 9e15 / p, (F.floor(x * p + 0.50001) / p).cast("double")).otherwise(x)
 
 
 def avg6(c) -> Column:

@@ -4,17 +4,14 @@ A23, F2, F5, F6, P23, W7).
 Clusters: DBSCAN with ``min_samples=1`` makes every point a core point, so a
 cluster is exactly a connected component of the graph joining points at most
 ``eps`` metres apart (haversine). Points are first reduced to distinct
-coordinates (repeated fixes of one parking spot collapse to one node, so a
-busy station does not multiply work by its record count). Candidate pairs
-come from an equi-join on grid cells at least ``eps`` wide with the 3x3
-neighbour cells (J9); longitude cells are sized per latitude band, so the
-candidates of a point are the distinct coordinates in about a 3 eps x 3 eps
-box around it, independent of the record volume and of other latitudes.
-Components come from iterative min-label propagation with pointer jumping;
-each round's labels are checkpointed to the shared ``spark.checkpoint.dir``
-so lineage stays short and a lost executor recomputes one round only.
-Cluster labels are the smallest (lat, lon) of the component, so they are
-deterministic. The antimeridian is not handled (no wrap of longitude cells).
+coordinates, then to grid cells whose diagonal is at most ``eps``: a cell's
+points are one cluster by definition, so components run over cells. Two cells
+nearby are linked once if any of their points are within ``eps``, around the
+circle of longitudes and over the poles. Components come from iterative
+min-label propagation with pointer jumping until nothing changes; each round's
+labels are checkpointed to the shared ``spark.checkpoint.dir`` so lineage stays
+short and a lost executor recomputes one round only. Cluster labels are the
+smallest (lat, lon) of the component, so they are deterministic.
 """
 
 from __future__ import annotations
@@ -26,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..functions.scalar import EARTH_RADIUS_M, avg6, coord_key, haversine_m, r6, record_energy_kwh, truncate_text
+from ..functions.scalar import EARTH_RADIUS_M, coord_key, haversine_m, r6, record_energy_kwh, truncate_text
 from ..session import reliable_checkpoint as _ckpt
 from .scan import last_n_per_key
 from .trips import drop_near_duplicates
@@ -35,7 +32,6 @@ from .trips import drop_near_duplicates
 LOCATION_DECIMALS = 2       # primary location: coordinates truncated to 2 places
 LAST_N_RECORDS = 10_000     # primary location: latest records considered
 CLUSTER_EPS_M = 20.0        # charging-station clustering radius (metres)
-MAX_ROUNDS = 64
 
 
 # ---------------------------------------------------------------- A6 / J6 / J8
@@ -84,46 +80,52 @@ def _deg(eps_m: float) -> float:
     return eps_m / (EARTH_RADIUS_M * math.pi / 180.0)
 
 
-def _band_width(band: Column, dlat: float) -> Column:
-    """Longitude cell width for latitude band ``band`` (bands are ``dlat``
-    high): wide enough for ``eps`` at the largest |latitude| of the band and
-    its two neighbours, so pairs across adjacent bands are covered too."""
-    hi = F.greatest(F.abs(band - 1), F.abs(band + 2)) * dlat
-    return F.lit(dlat) / F.cos(F.radians(F.least(hi, F.lit(89.9))))
+def _across(top: Column, least_deg: float) -> Column:
+    """Into how many equal cells a latitude band is cut so that a cell is at
+    least ``least_deg`` of arc wide up to latitude ``top``: one near a pole."""
+    return F.greatest(F.lit(1), F.floor(F.cos(F.radians(F.least(top, F.lit(90.0)))) * 360 / least_deg)).cast("long")
+
+
+def _cell(lon: Column, n: Column) -> Column:
+    """Cell of a longitude among ``n`` around the circle; 180 is -180."""
+    return F.pmod(F.floor((lon + 180) / 360 * n), n)
 
 
 def neighbour_edges(points: DataFrame, eps_m: float = CLUSTER_EPS_M) -> DataFrame:
     """Pairs of distinct points (``lat, lon`` columns, distinct rows) at
     most ``eps_m`` apart, both directions, as ``src``/``dst`` structs.
 
-    Latitude bands are ``eps`` of arc high. Each band has its own longitude
-    cell width (:func:`_band_width`), so cells stay about ``eps`` wide at any
-    latitude. A point probes the three bands around it, each with that band's
-    cell index, and the cells beside it: every pair within ``eps`` meets in
-    one equi-join on (band, cell)."""
+    Latitude bands are ``eps`` of arc high, each cut into cells that are at
+    least as wide in it and in the bands beside it. A point probes the three
+    bands around it, in each the cell of its longitude and those beside it,
+    around the circle: every pair within ``eps`` meets in one equi-join on
+    (band, cell). The output is all pairs, by definition; clusters do not use
+    it."""
     dlat = _deg(eps_m) * 1.01
-    cy = F.floor(F.col("lat") / dlat)
-    cells = points.select("lat", "lon", cy.alias("cy")) \
-                  .withColumn("cx", F.floor(F.col("lon") / _band_width(F.col("cy"), dlat)))
-    build = cells.select(F.struct("lat", "lon").alias("dst"), "cy", "cx")
-    bands = cells.select("lat", "lon", F.explode(F.array(*[F.col("cy") + d for d in (-1, 0, 1)])).alias("cy"))
-    bands = bands.withColumn("cx0", F.floor(F.col("lon") / _band_width(F.col("cy"), dlat)))
-    probe = bands.select(F.struct("lat", "lon").alias("src"), "cy",
-                         F.explode(F.array(*[F.col("cx0") + d for d in (-1, 0, 1)])).alias("cx"))
+
+    def n(band: Column) -> Column:
+        return _across(F.greatest(F.abs(band - 1), F.abs(band + 2)) * dlat, dlat)
+
+    cells = points.select("lat", "lon", F.floor(F.col("lat") / dlat).alias("cy"))
+    build = cells.select(F.struct("lat", "lon").alias("dst"), "cy", _cell(F.col("lon"), n(F.col("cy"))).alias("cx"))
+    bands = cells.select(F.struct("lat", "lon").alias("src"), "lon", F.explode(F.array(*[F.col("cy") + d for d in (-1, 0, 1)])).alias("cy"))
+    bands = bands.withColumn("n", n(F.col("cy"))).withColumn("cx0", _cell(F.col("lon"), F.col("n")))
+    probe = bands.select("src", "cy", F.explode(F.array_distinct(F.array(*[F.pmod(F.col("cx0") + d, F.col("n")) for d in (-1, 0, 1)]))).alias("cx"))
     pairs = probe.join(build, ["cy", "cx"])
     return pairs.where((F.col("src") != F.col("dst")) &
                        (haversine_m("src.lat", "src.lon", "dst.lat", "dst.lon") <= eps_m)).select("src", "dst")
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Min-label propagation with pointer jumping: ``node -> label`` where the
     label is the smallest node of the component. ``nodes`` has a ``node``
-    column, ``edges`` has ``src``/``dst`` in both directions."""
+    column, ``edges`` has ``src``/``dst`` in both directions. Runs until a
+    round changes nothing."""
     # the edge list is read every round: materialise it once (reliable
     # checkpoint) instead of recomputing it from the raw rows each time
     edges = _ckpt(edges)
     labels = _ckpt(nodes.select("node", F.col("node").alias("label")))
-    for _ in range(max_rounds):
+    while True:
         via = edges.join(labels.withColumnRenamed("node", "src"), "src") \
                    .select(F.col("dst").alias("node"), "label")
         prop = labels.unionByName(via).groupBy("node").agg(F.min("label").alias("label"))
@@ -134,23 +136,80 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = M
         # only reads the checkpoint
         new = _ckpt(jump.join(labels.withColumnRenamed("label", "old"), "node")
                     .select("node", "label", (F.col("label") != F.col("old")).alias("_changed")))
-        changed = new.where("_changed").limit(1).count()
         labels = new.select("node", "label")
-        if changed == 0:
-            break
-    return labels
+        if not new.where("_changed").limit(1).count():
+            return labels
+
+
+# Directions in which a cell's outermost points are kept: (lat, lon) weights.
+_SIDES = ((1, 0), (-1, 0), (0, 1), (0, -1), (1, 1), (1, -1), (-1, 1), (-1, -1))
+
+
+def _grid(points: DataFrame, side: float) -> DataFrame:
+    """``lat, lon, cell`` with cells at most ``side`` degrees of arc high and
+    wide: a struct (band, place)."""
+    cy = F.floor(F.col("lat") / side)
+    nearest = F.when(cy >= 0, cy).when(cy < -1, -cy - 1).otherwise(0) * side  # smallest |latitude| of the band
+    n = F.greatest(F.lit(1), F.ceil(F.cos(F.radians(nearest)) * 360 / side)).cast("long")
+    return points.select("lat", "lon", F.struct(cy.cast("long").alias("y"), _cell(F.col("lon"), n).cast("long").alias("x")).alias("cell"))
+
+
+def cell_links(grid: DataFrame, eps_m: float, side: float) -> tuple[DataFrame, DataFrame]:
+    """Cells (``cell``, their smallest point ``low``), and links (``src``,
+    ``dst``, both directions) between cells with two points at most ``eps_m``
+    apart: at most one link for each pair of cells nearby, however many points
+    they hold. A pair is first tried on the cells' outermost points; the rest
+    compare the points that lie within ``eps_m`` of the other cell's box."""
+    eps = _deg(eps_m) * 1.001
+    pt = F.struct("lat", "lon")
+    outer = F.array(*[F.max_by(pt, F.struct((a * F.col("lat") + b * F.col("lon")).alias("k"), "lat", "lon")) for a, b in _SIDES])
+    cells = _ckpt(grid.groupBy("cell").agg(
+        F.min(pt).alias("low"), F.min("lat").alias("s"), F.max("lat").alias("n"), F.min("lon").alias("w"), F.max("lon").alias("e"), outer.alias("outer")))
+    # bands in reach, in each the cells within eps of the cell's box
+    up = math.ceil(eps / side)
+    near = cells.select("*", F.explode(F.sequence(F.col("cell.y") - up, F.col("cell.y") + up)).alias("y"))
+    top = F.greatest(F.abs(F.col("y")), F.abs(F.col("y") + 1), F.abs(F.col("cell.y")), F.abs(F.col("cell.y") + 1)) * side
+    reach = F.least(F.lit(180.0), eps / F.greatest(F.cos(F.radians(F.least(top, F.lit(90.0)))), F.lit(1e-12)))
+    at = F.when(F.col("y") >= 0, F.col("y")).when(F.col("y") < -1, -F.col("y") - 1).otherwise(0) * side
+    n = F.greatest(F.lit(1), F.ceil(F.cos(F.radians(F.least(at, F.lit(90.0)))) * 360 / side)).cast("long")
+    near = near.withColumn("reach", reach).withColumn("n_x", n)
+    first = F.floor((F.col("w") - F.col("reach") + 180) / 360 * F.col("n_x"))
+    last = F.floor((F.col("e") + F.col("reach") + 180) / 360 * F.col("n_x"))
+    xs = F.array_distinct(F.transform(F.sequence(first, F.least(last, first + F.col("n_x") - 1)), lambda x: F.pmod(x, F.col("n_x"))))
+    probe = near.select(F.col("cell").alias("src"), F.col("outer").alias("o1"), "reach", F.struct("s", "n", "w", "e").alias("b1"),
+                        F.explode(F.transform(xs, lambda x: F.struct(F.col("y").cast("long").alias("y"), x.cast("long").alias("x")))).alias("dst"))
+    other = cells.select(F.col("cell").alias("dst"), F.col("outer").alias("o2"), F.struct("s", "n", "w", "e").alias("b2"))
+    pairs = probe.where(F.col("src") < F.col("dst")).join(other, "dst")
+    met = F.exists("o1", lambda p: F.exists("o2", lambda q: haversine_m(p["lat"], p["lon"], q["lat"], q["lon"]) <= eps_m))
+    pairs = _ckpt(pairs.where((F.col("b1.s") <= F.col("b2.n") + eps) & (F.col("b2.s") <= F.col("b1.n") + eps))
+                  .select("src", "dst", "reach", "b1", "b2", met.alias("met")))
+    open_ = pairs.where(~F.col("met"))
+
+    def strip(mine: str, box: str) -> DataFrame:
+        """Points of one cell of each open pair that are near the other's box."""
+        p = open_.join(grid.withColumnRenamed("cell", mine), mine)
+        width = F.pmod(F.col(f"{box}.e") - F.col(f"{box}.w"), F.lit(360.0)) + 2 * F.col("reach")
+        return p.where((F.col("lat") >= F.col(f"{box}.s") - eps) & (F.col("lat") <= F.col(f"{box}.n") + eps)
+                       & ((width >= 360) | (F.pmod(F.col("lon") - F.col(f"{box}.w") + F.col("reach"), F.lit(360.0)) <= width))).select("src", "dst", F.struct("lat", "lon").alias(f"p_{mine}"))
+
+    close = strip("src", "b2").join(strip("dst", "b1"), ["src", "dst"]).where(
+        haversine_m("p_src.lat", "p_src.lon", "p_dst.lat", "p_dst.lon") <= eps_m).select("src", "dst").distinct()
+    links = pairs.where("met").select("src", "dst").union(close)
+    return cells.select("cell", "low"), links.union(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
 
 def cluster_points(points: DataFrame, eps_m: float = CLUSTER_EPS_M, distinct: bool = False) -> DataFrame:
     """``lat, lon, cluster`` for the points' distinct coordinates; ``cluster``
     is a struct (lat, lon) of the component's smallest point. ``distinct``
     says the input already has one materialised row per coordinate."""
-    # read twice below (nodes, edges): materialise once
     pts = points.select("lat", "lon") if distinct else _ckpt(points.select("lat", "lon").distinct())
-    nodes = pts.select(F.struct("lat", "lon").alias("node"))
-    labels = connected_components(nodes, neighbour_edges(pts, eps_m))
-    return labels.select(F.col("node.lat").alias("lat"), F.col("node.lon").alias("lon"),
-                         F.col("label").alias("cluster"))
+    side = _deg(eps_m) * 0.99 / math.sqrt(2)  # points of one cell are within eps of each other
+    grid = _grid(pts, side)
+    cells, links = cell_links(grid, eps_m, side)
+    labels = connected_components(cells.select(F.col("cell").alias("node")), links)
+    placed = labels.select(F.col("node").alias("cell"), "label").join(cells, "cell")
+    lows = placed.groupBy("label").agg(F.min("low").alias("cluster"))
+    return grid.join(placed.select("cell", "label").join(lows, "label").select("cell", "cluster"), "cell").select("lat", "lon", "cluster")
 
 
 def cluster_summary(labelled: DataFrame) -> DataFrame:
@@ -159,7 +218,7 @@ def cluster_summary(labelled: DataFrame) -> DataFrame:
     centroid (ties by coordinate)."""
     cen = labelled.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n_points"),
-        avg6("lat").alias("centroid_lat"), avg6("lon").alias("centroid_lon"))
+        F.avg("lat").alias("centroid_lat"), F.avg("lon").alias("centroid_lon"))
     j = labelled.join(cen, "cluster")
     d = r6(haversine_m("lat", "lon", "centroid_lat", "centroid_lon"))
     pt = F.struct(F.col("lat"), F.col("lon"))

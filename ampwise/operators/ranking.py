@@ -156,9 +156,9 @@ def cell_volt_ranking(daily: DataFrame, vehicles: DataFrame, vintype: str, day_r
                          F.current_date().alias("update_date"), "last_daily_stats_day")
 
 
-def needs_rebuild(source_last_day: Column, stored_last_day: Column) -> Column:
+def needs_rebuild(source_last_day, stored_last_day) -> bool:
     """Rebuild a ranking only if its source advanced (or none is stored)."""
-    return stored_last_day.isNull() | (source_last_day != stored_last_day)
+    return stored_last_day is None or source_last_day != stored_last_day
 
 
 # ---------------------------------------------------------------- A20 / J2

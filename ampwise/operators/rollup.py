@@ -20,6 +20,8 @@ averages, ``weight`` (the number of samples behind the average).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,9 +47,15 @@ def dense_calendar(daily: DataFrame, end_day: Column | None = None) -> DataFrame
 
 def dense_daily(daily: DataFrame, end_day: Column | None = None) -> DataFrame:
     """The daily stat rows on the dense calendar (missing days -> nulls;
-    ``_present`` marks days the vehicle reported)."""
-    cols = sorted({c for v in MONTHLY_STATS.values() for c in v if c})
-    d = daily.select("vin", "day", *cols, F.lit(True).alias("_present"))
+    ``_present`` marks days the vehicle reported). Several rows of one (vin,
+    day), as late records leave behind, are combined first: sums add up, the
+    speed average is weighted by its samples."""
+    x = F.col("speed_average") * F.col("speed_n")
+    d = daily.groupBy("vin", "day").agg(
+        *[(F.when(F.count(F.lit(1)) == 1, F.max(c)).otherwise(sum6(c))).alias(c) for c in ("distance_driven", "charging_hours")],
+        F.when(F.count(F.lit(1)) == 1, F.max("speed_average")).otherwise(
+            F.sum(x) / F.nullif(F.sum(F.when(F.col("speed_average").isNotNull(), F.col("speed_n"))), F.lit(0))).alias("speed_average"),
+        F.sum("speed_n").alias("speed_n"), F.lit(True).alias("_present"))
     return dense_calendar(daily, end_day).join(d, ["vin", "day"], "left") \
         .withColumn("_present", F.coalesce("_present", F.lit(False)))
 
@@ -69,7 +77,7 @@ def ordered_weighted_average(days: Column) -> Column:
     in; days it was missing leave the monthly value untouched."""
     s = F.array_sort(days)
     init = F.struct(s[0]["avg"].alias("avg"), s[0]["n"].alias("n"))
-    rest = F.filter(F.slice(s, 2, 40), lambda e: e["present"])
+    rest = F.filter(F.slice(s, 2, F.size(s)), lambda e: e["present"])
     rest = F.transform(rest, lambda e: F.struct(e["avg"].alias("avg"), e["n"].alias("n")))
     return F.aggregate(rest, init, _fold_avg)
 
@@ -163,9 +171,9 @@ def merge_day(state: DataFrame, daily: DataFrame, day: str) -> DataFrame:
     return rest.select(*cols).unionByName(merged.select(*cols))
 
 
-def next_day_allowed(ledger_last_day: Column, batch_day: Column) -> Column:
+def next_day_allowed(last_day: dt.date | None, day: dt.date) -> bool:
     """Only the day after the last merged day may be merged."""
-    return ledger_last_day.isNull() | (batch_day == F.date_add(ledger_last_day, 1))
+    return last_day is None or day == last_day + dt.timedelta(days=1)
 
 
 # ---------------------------------------------------------------- K7 / S10

@@ -106,43 +106,57 @@ def trips_job(spark: SparkSession, root: str, start: str, end: str, table: str,
     return publish.publish_days(t, table, ledger_path, "trips", [_iso(d) for d in days])
 
 
+MONTHLY_SCHEMA = "vin string, stat string, freq string, value double, weight bigint, time_label string"
+
+
 def monthly_merge_job(spark: SparkSession, daily_table: str, state_path: str, ledger_path: str,
                       day: str) -> DataFrame:
     """Incremental monthly state (J10 + R6). ``day`` (``yyyy-MM-dd``) is merged
-    only if it follows the last merged day (or nothing was merged yet). The
-    state is a parquet dataset partitioned by month label; only the current
-    month's partition is rewritten (materialised first, since it is read by
-    the merge). Returns the current month's rows."""
+    only if it follows the last merged day, is that day again (a rerun), or
+    nothing was merged yet. The state is a parquet dataset of one folder per
+    merged day, holding the month so far; a day is merged from the folder of
+    the day before, so a rerun after a crash between the state's write and the
+    ledger's gives the same rows. Vehicle ids are text. Returns the current
+    month's rows."""
     led = publish.ledger(spark, ledger_path)
     last = publish.high_water_mark(led, "monthly").first()["last_day"]
-    if last is not None and dt.date.fromisoformat(day) != last + dt.timedelta(days=1):
+    this = dt.date.fromisoformat(day)
+    if last is not None and this != last and not rollup.next_day_allowed(last, this):
         raise ValueError(f"day {day} does not follow the last merged day {last} (R6)")
-    schema = "vin long, stat string, freq string, value double, weight bigint, time_label string"
-    state = spark.read.schema(schema).parquet(state_path) if last is not None else spark.createDataFrame([], schema)
-    y, m, _ = (int(x) for x in day.split("-"))
-    label = f"{y}-{m}"
+    prior = this - dt.timedelta(days=1)
+    known = last is not None and (last != this or led.where((F.col("job") == "monthly") & (F.col("day") == F.lit(prior))).limit(1).count())
+    state = (spark.read.schema(MONTHLY_SCHEMA).parquet(f"{state_path}/merged={prior.isoformat()}") if known
+             else spark.createDataFrame([], MONTHLY_SCHEMA))
+    label = f"{this.year}-{this.month}"
     # the batch's own-label rows (late rows of earlier labels stay in the batch table)
     daily = spark.table(daily_table).where((F.col("day") == F.lit(day).cast("date"))
                                            & (F.col("time_label") == day))
+    daily = daily.withColumn("vin", F.col("vin").cast("string"))
     month = rollup.merge_day(state, daily, day).where(F.col("time_label") == label)
-    month = reliable_checkpoint(month)
-    month.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-         .partitionBy("time_label").parquet(state_path)
+    path = f"{state_path}/merged={day}"
+    month.write.mode("overwrite").parquet(path)
     publish.record(spark, ledger_path, "monthly",
-                   spark.createDataFrame([(dt.date.fromisoformat(day), 1)], "day date, n_rows long"))
-    return spark.read.schema(schema).parquet(state_path).where(F.col("time_label") == label)
+                   spark.createDataFrame([(this, 1)], "day date, n_rows long"))
+    return spark.read.schema(MONTHLY_SCHEMA).parquet(path)
 
 
 def index_export_job(spark: SparkSession, table: str, index_name: str, out_dir: str, ledger_path: str,
                      keep: Sequence[str] = ()) -> DataFrame:
     """E4 data part (P22, K9, K10, R7): rows of days after the high-water
-    mark become bulk-index files of at most 10,000 documents; the mark moves
-    to the newest day actually written, only after the files are written."""
+    mark become bulk-index files of at most 10,000 documents, in one folder
+    for the batch (named, like the batch's index, by its newest day); earlier
+    batches stay. The batch is fixed before the write, so the mark covers the
+    days written and no day that arrives meanwhile; it moves only after the
+    files are written. Nothing new: nothing is written."""
     job = f"index:{index_name}"
     new_rows = publish.newer_than_mark(spark.table(table), publish.ledger(spark, ledger_path), job)
-    counts = publish.day_counts(new_rows)
-    docs = export.documents(new_rows, index_name, keep=keep)
-    export.write_documents(docs, os.path.join(out_dir, index_name))
+    counts = reliable_checkpoint(publish.day_counts(new_rows))
+    newest = counts.agg(F.max("day")).first()[0]
+    if newest is None:
+        return counts
+    batch = new_rows.join(F.broadcast(counts.select("day")), "day", "left_semi")  # days: one row each
+    name = f"{index_name}-{newest.isoformat()}"
+    export.write_documents(export.documents(batch, name, keep=keep), os.path.join(out_dir, index_name, f"batch={newest.isoformat()}"))
     publish.record(spark, ledger_path, job, counts)
     return counts
 
@@ -159,7 +173,7 @@ def cell_volt_ranking_job(spark: SparkSession, daily_table: str, vehicles: DataF
     stored = None
     if spark.catalog.tableExists(ranking_table):
         stored = scalar(spark.table(ranking_table), F.max("last_daily_stats_day"))
-    if not overwrite and stored is not None and stored == src_last:
+    if not overwrite and not ranking.needs_rebuild(src_last, stored):
         return False
     ranked = ranking.cell_volt_ranking(spark.table(daily_table), vehicles, vintype, day_range, min_days)
     view = f"_rank_{abs(hash(ranking_table))}"

@@ -11,11 +11,15 @@ an anti join against it, never by listing files on the driver.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 LEDGER_SCHEMA = "job string, day date, status string, n_rows bigint, written_at timestamp"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"   # fixed value of the reference's exports
 
@@ -68,9 +72,10 @@ def append_day(spark: SparkSession, table: str, view: str, day: str, columns: Se
 
 
 def replace_table_as_select(spark: SparkSession, table: str, select_sql: str) -> None:
-    """K5: ``DROP TABLE IF EXISTS`` then create-table-as-select."""
-    spark.sql(f"DROP TABLE IF EXISTS {_quote(table)}")
-    spark.sql(f"CREATE TABLE {_quote(table)} USING parquet AS {select_sql}")
+    """K5: replace a whole table by a query's result. The rows are complete
+    (checkpointed) before the old table goes, so a failing query leaves it."""
+    rows = reliable_checkpoint(spark.sql(select_sql))
+    rows.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
 def delete_day(spark: SparkSession, table: str, day: str) -> None:
@@ -110,7 +115,9 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
     """The batch ledger at ``path`` (empty when it does not exist yet)."""
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - a missing ledger is an empty ledger
+    except AnalysisException as e:  # a missing ledger is an empty ledger; anything else is an error
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
@@ -153,23 +160,29 @@ def newer_than_mark(df: DataFrame, ledger_df: DataFrame, job: str, day: str = "d
 
 def publish_days(df: DataFrame, table: str, ledger_path: str, job: str,
                  days: Sequence | None = None) -> DataFrame:
-    """K2 + K13 + R7: overwrite the batch's days; count the rows of those
-    partitions before and after (read back from the table, pruned to ``days``
-    when the batch's days are known, so the source is not computed twice);
-    record the after counts in the ledger, only after the write committed.
+    """K2 + K13 + R7: replace the batch's days; count the rows of those
+    partitions before and after (read back from the table, pruned to the
+    batch's days); record the after counts in the ledger, only after the write
+    committed. ``days`` names the batch's days; without it they are the days
+    found in ``df``, which is checkpointed so that it is computed once. A day of the
+    batch without rows loses its old partition and is recorded with 0 rows.
     Returns ``day, n_rows_before, n_rows`` (one row per day of the batch)."""
     spark = df.sparkSession
+    df = reliable_checkpoint(df)
+    filled = [r[0] for r in df.select("day").distinct().collect()]
+    days = filled if days is None else days
+    wanted = sorted({d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in days})
 
     def batch_counts():
-        t = spark.table(table)
-        if days is not None:
-            t = t.where(F.col("day").isin([F.lit(d).cast("date") for d in days]))
+        t = spark.table(table).where(F.col("day").isin([F.lit(d) for d in wanted]))
         return {r["day"]: r["n_rows"] for r in day_counts(t).collect()}
 
-    before = batch_counts() if spark.catalog.tableExists(table) and days is not None else {}
+    before = batch_counts() if spark.catalog.tableExists(table) else {}
     overwrite_days(df, table)
+    for d in sorted(set(before) - set(filled)):
+        delete_day(spark, table, d.isoformat())
     after = batch_counts()
-    counts = spark.createDataFrame(sorted(after.items()), "day date, n_rows long")
-    record(spark, ledger_path, job, counts)
-    return spark.createDataFrame([(d, before.get(d), n) for d, n in sorted(after.items())],
-                                 "day date, n_rows_before long, n_rows long")
+    rows = [(d, before.get(d, 0), after.get(d, 0)) for d in wanted]
+    out = spark.createDataFrame(rows, "day date, n_rows_before long, n_rows long")
+    record(spark, ledger_path, job, out)
+    return out

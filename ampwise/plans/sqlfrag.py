@@ -271,7 +271,7 @@ rc AS (SELECT * FROM (WITH RECURSIVE r(lat, lon, llat, llon) AS (
           UNION SELECT e.blat, e.blon, r.llat, r.llon FROM r JOIN edges e ON r.lat = e.alat AND r.lon = e.alon)
         SELECT * FROM r)),
 lab AS (SELECT lat, lon, arg_min(llat, (llat, llon)) AS clat, arg_min(llon, (llat, llon)) AS clon FROM rc GROUP BY lat, lon),
-cen AS (SELECT clat, clon, count(*) AS n_points, {avg6('lat')} AS mlat, {avg6('lon')} AS mlon FROM lab GROUP BY clat, clon),
+cen AS (SELECT clat, clon, count(*) AS n_points, avg(lat) AS mlat, avg(lon) AS mlon FROM lab GROUP BY clat, clon),
 rep AS (SELECT lab.clat, lab.clon, n_points, mlat, mlon,
           arg_min(lat, ({r6(haversine('lat', 'lon', 'mlat', 'mlon'))}, lat, lon)) AS center_lat,
           arg_min(lon, ({r6(haversine('lat', 'lon', 'mlat', 'mlon'))}, lat, lon)) AS center_lon,

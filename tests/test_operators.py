@@ -256,14 +256,12 @@ def test_small_helpers(spark):
         scalar.missing_time_pct(F.lit(2.0), F.lit(360)).alias("f16"),
         scalar.missing_time_hours(F.lit(2.0), F.lit(360)).alias("f16h"),
         scalar.bucket_upper(F.lit(41.0), 10).alias("f7"),
-        rollup.next_day_allowed(F.lit("2024-01-01").cast("date"), F.lit("2024-01-02").cast("date")).alias("r6a"),
-        rollup.next_day_allowed(F.lit("2024-01-01").cast("date"), F.lit("2024-01-03").cast("date")).alias("r6b"),
-        ranking.needs_rebuild(F.lit("2024-01-02").cast("date"), F.lit("2024-01-02").cast("date")).alias("r8a"),
-        ranking.needs_rebuild(F.lit("2024-01-03").cast("date"), F.lit(None).cast("date")).alias("r8b"),
     ).first()
     assert row.w16 == 1.5 and row.f2 == -1.23 and row.f15 == 10.0 and row.f15z is None
     assert row.f16 == 50.0 and row.f16h == 1.0 and row.f7 == 50.0
-    assert row.r6a and not row.r6b and not row.r8a and row.r8b
+    d1, d2, d3 = (dt.date(2024, 1, k) for k in (1, 2, 3))
+    assert rollup.next_day_allowed(d1, d2) and not rollup.next_day_allowed(d1, d3) and rollup.next_day_allowed(None, d3)
+    assert not ranking.needs_rebuild(d2, d2) and ranking.needs_rebuild(d3, None) and ranking.needs_rebuild(d3, d2)
 
 
 def test_hour_buckets_equal_whole_day_scan(spark):
@@ -312,3 +310,64 @@ def test_trips_with_hour_buckets(spark):
     pa = periods.periods(t, "charging", max_gap_s=8 * 3600)
     pb = periods.periods(t, "charging", max_gap_s=8 * 3600, bucket="hour")
     assert sorted(tuple(r) for r in pa.collect()) == sorted(tuple(r) for r in pb.collect())
+
+
+def test_clusters_of_a_long_line_dense_sites_and_edges(spark):
+    """No round limit; links do not grow with the points of a site; 180 degrees and the poles."""
+    import random
+    rnd = random.Random(3)
+    step = 15 / 111_195
+    line = [(round(10 + k * step, 9), 20.0) for k in range(2000)]
+    rnd.shuffle(line)
+    lab = geo.cluster_points(spark.createDataFrame(line, "lat double, lon double"))
+    assert lab.select("cluster").distinct().count() == 1 and lab.count() == 2000
+    dense = spark.range(100_000).select((F.lit(30.0) + F.rand(1) * 18 / 111_195).alias("lat"), (F.lit(50.0) + F.rand(2) * 18 / 96_300).alias("lon"))
+    side = geo._deg(20.0) * 0.99 / math.sqrt(2)
+    cells, links = geo.cell_links(geo._grid(dense, side), 20.0, side)
+    assert cells.count() <= 16 and links.count() <= 16 * 15
+    assert geo.cluster_points(dense).select("cluster").distinct().count() == 1
+    for pair in ([(0.0, 179.99999), (0.0, -179.99999)], [(89.9999, 0.0), (89.9999, 60.0)], [(89.99995, 0.0), (89.99995, 179.0)], [(-89.99995, 10.0), (-89.99995, -100.0)], [(12.0, 180.0), (12.0, -180.0)]):
+        assert geo.cluster_points(spark.createDataFrame(pair, "lat double, lon double")).select("cluster").distinct().count() == 1, pair
+    far = [(0.0, 179.9997), (0.0, -179.9997), (89.99, 0.0), (89.99, 90.0)]
+    assert geo.cluster_points(spark.createDataFrame(far, "lat double, lon double")).select("cluster").distinct().count() == 4
+
+
+@pytest.mark.parametrize("lat0", [0.0, 37.5, -72.0, 89.9996])
+def test_clusters_by_brute_force(spark, lat0):
+    import random
+    rnd = random.Random(int(lat0 * 10))
+    n, width = (160, 0.0016 / math.cos(math.radians(lat0))) if abs(lat0) < 80 else (22, 180.0)
+    pts = sorted({(round(lat0 + rnd.uniform(-0.0003, 0.0003), 7), round(((179.9999 + rnd.uniform(-width, width)) + 180) % 360 - 180, 7)) for _ in range(n)})
+
+    def hav(a, b):
+        la1, la2 = math.radians(a[0]), math.radians(b[0])
+        h = math.sin((la2 - la1) / 2) ** 2 + math.cos(la1) * math.cos(la2) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return 2 * scalar.EARTH_RADIUS_M * math.asin(min(1.0, math.sqrt(h)))
+
+    label = {p: p for p in pts}
+    for _ in pts:
+        new = {p: min(label[q] for q in pts if hav(p, q) <= 20.0) for p in pts}
+        if new == label:
+            break
+        label = new
+    got = {(r.lat, r.lon): (r.cluster.lat, r.cluster.lon) for r in geo.cluster_points(spark.createDataFrame(pts, "lat double, lon double")).collect()}
+    assert got == label and 1 < len(set(label.values())) < len(pts)
+
+
+def test_rounding_passes_large_and_special_values_on(spark):
+    row = spark.createDataFrame([(float("nan"), float("inf"), 1e13, -1e300, 1.2345674)], "a double, b double, c double, d double, e double").select(*[scalar.r6(c).alias(c) for c in "abcde"]).first()
+    assert math.isnan(row.a) and row.b == float("inf") and row.c == 1e13 and row.d == -1e300 and row.e == 1.234567
+
+
+def test_monthly_rollup_of_many_rows_a_day(spark):
+    """Late records leave several rows per vehicle and day; every day of the month is folded."""
+    day = lambda k: dt.date(2024, 1, k)
+    rows = [("v", day(k), float(k), 1.0, 10.0, 2) for k in range(1, 32)] + [("v", day(k), 0.5, 0.0, 40.0, 1) for k in range(1, 31)]
+    df = spark.createDataFrame(rows, "vin string, day date, distance_driven double, charging_hours double, speed_average double, speed_n long")
+    got = {r.stat: (r.value, r.weight) for r in rollup.monthly_rollup(df).collect()}
+    assert got["miles_driven"] == (sum(range(1, 32)) + 15.0, None) and got["charging_hours"] == (31.0, None)
+    assert got["average_speed"] == (scalar_round((31 * 2 * 10.0 + 30 * 40.0) / 92), 92)
+
+
+def scalar_round(x):
+    return math.floor(x * 1e6 + 0.50001) / 1e6

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ampwise.operators import rollup
-from ampwise.plans import export, publish
+from ampwise.plans import export, jobs, publish
 from ampwise.sources import raw, schemas
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -224,12 +224,74 @@ def test_jobs_end_to_end(spark, tmp_out):
     assert c1.count() > 0
     c2 = jobs.index_export_job(spark, table, "daily_stats", out, ledger)
     assert c2.count() == 0
+    first = spark.read.text(os.path.join(out, "daily_stats")).count()
+    assert first == 2 * spark.table(table).count()
+    newest = c1.agg({"day": "max"}).first()[0] + dt.timedelta(days=1)
+    more = spark.table(table).limit(3).withColumn("day", F.lit(newest))
+    more.select(*spark.table(table).columns).write.insertInto(table)
+    assert [(r.day, r.n_rows) for r in jobs.index_export_job(spark, table, "daily_stats", out, ledger).collect()] == [(newest, 3)]
+    # both batches are kept, each under the name of its newest day
+    assert spark.read.text(os.path.join(out, "daily_stats")).select("value").count() == first + 6
+    assert sorted(f for f in os.listdir(os.path.join(out, "daily_stats")) if f.startswith("batch=")) == [f"batch={newest - dt.timedelta(days=1)}", f"batch={newest}"]
+
+
+def test_publishing_an_empty_day_drops_its_old_rows(spark, tmp_out):
+    t = f"em_{os.path.basename(tmp_out).replace('-', '_')}"
+    path = os.path.join(tmp_out, "ledger")
+    publish.publish_days(_rows(spark, [("a", 1.0, D1), ("b", 1.0, D2)]), t, path, "j", [D1, D2])
+    got = publish.publish_days(_rows(spark, [("c", 1.0, D2)]), t, path, "j", [D1, D2])
+    assert [tuple(r) for r in got.orderBy("day").collect()] == [(D1, 1, 0), (D2, 1, 1)]
+    assert [r.vin for r in spark.table(t).collect()] == ["c"]
+    # without days only the batch's own are counted and recorded
+    publish.publish_days(_rows(spark, [("d", 1.0, D1)]), t, path, "k")
+    assert [r.day for r in publish.ledger(spark, path).where("job = 'k'").collect()] == [D1]
+
+
+def test_monthly_merge_with_text_ids_and_after_a_crash(spark, tmp_out):
+    t, ledger, state = f"mm_{os.path.basename(tmp_out).replace('-', '_')}", os.path.join(tmp_out, "ledger"), os.path.join(tmp_out, "state")
+    rows = [(f"LSV{k}X", dt.date(2024, 1, d), f"2024-01-{d:02d}", 1.0 * d, 0.5, 30.0, 2) for d in range(1, 4) for k in range(3) if (d + k) % 4]
+    cols = "vin string, day date, time_label string, distance_driven double, charging_hours double, speed_average double, speed_n long"
+    publish.create_table(spark.createDataFrame(rows, cols), t)
+    for d in ("2024-01-01", "2024-01-02"):
+        jobs.monthly_merge_job(spark, t, state, ledger, d)
+    want = sorted(map(str, jobs.monthly_merge_job(spark, t, state, ledger, "2024-01-03").collect()))
+    # the day's state is written but the ledger is not: the day runs again
+    kept = spark.createDataFrame(publish.ledger(spark, ledger).where("day < '2024-01-03'").collect(), publish.LEDGER_SCHEMA)
+    other = os.path.join(tmp_out, "ledger2")
+    kept.write.parquet(other)
+    assert sorted(map(str, jobs.monthly_merge_job(spark, t, state, other, "2024-01-03").collect())) == want
+    assert sorted(map(str, jobs.monthly_merge_job(spark, t, state, ledger, "2024-01-03").collect())) == want
+    miles = {r[0]: r[1] for r in spark.createDataFrame(rows, cols).groupBy("vin").sum("distance_driven").collect()}
+    got = {r.vin: r.value for r in jobs.monthly_merge_job(spark, t, state, ledger, "2024-01-03").where("stat = 'miles_driven'").collect()}
+    assert got == miles
+
+
+def test_a_broken_ledger_is_an_error(spark, tmp_out):
+    path = os.path.join(tmp_out, "ledger")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        publish.ledger(spark, path).count()
+    assert publish.ledger(spark, os.path.join(tmp_out, "none")).count() == 0
+
+
+def test_csv_with_header_and_set_append(spark, tmp_out):
+    """S7 and K15."""
+    path, out = os.path.join(tmp_out, "h"), os.path.join(tmp_out, "rows")
+    df = spark.createDataFrame([("a", 1.5), ("b", None)], "vin string, x double")
+    publish.write_csv(df, path)
+    back = raw.read_csv_with_header(spark, path, "vin string, x double")
+    assert sorted(back.columns) == ["vin", "x"] and back.count() == 2
+    publish.append_rows(df, out)
+    publish.append_rows(df, out)
+    assert spark.read.parquet(out).count() == 4
 
 
 def test_publish_days_before_after_counts(spark, tmp_out):
     t = f"ba_{os.path.basename(tmp_out).replace('-', '_')}"
     path = os.path.join(tmp_out, "ledger")
     first = publish.publish_days(_rows(spark, [("a", 1.0, D1), ("b", 1.0, D1)]), t, path, "j", ["2024-01-01"])
-    assert [(r.day, r.n_rows_before, r.n_rows) for r in first.collect()] == [(D1, None, 2)]
+    assert [(r.day, r.n_rows_before, r.n_rows) for r in first.collect()] == [(D1, 0, 2)]
     second = publish.publish_days(_rows(spark, [("c", 1.0, D1)]), t, path, "j", ["2024-01-01"])
     assert [(r.day, r.n_rows_before, r.n_rows) for r in second.collect()] == [(D1, 2, 1)]
