@@ -70,6 +70,7 @@ def island_stats(rows: DataFrame, keys: Sequence[str], order: Sequence[str], buc
 
     Returns ``keys, id_col, _n, _head, _tail`` and one column per aggregate;
     ``id_col`` counts breaks since the key's first row (0-based)."""
+    rows = rows.where(F.col("ts").isNotNull())  # a row without a time has no place in any order
     keys, order = list(keys), list(order)
     row_aggs, pair_aggs = dict(row_aggs or {}), dict(pair_aggs or {})
     carry = list(dict.fromkeys([*order, "ts", *carry]))

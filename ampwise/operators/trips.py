@@ -63,6 +63,7 @@ def label_islands(rows: DataFrame, keys: Sequence[str] = ("vin",), order: Sequen
     key's first row. For each column ``c`` of ``carry`` the value on the
     previous row *of the same run* is added as ``_prev_c`` (null on a run's
     first row), and ``_prev_ts`` likewise."""
+    rows = rows.where(F.col("ts").isNotNull())  # a row without a time has no place in any order
     lags = {"_prev_ts": F.col("ts"), **{f"_prev_{c}": F.col(c) for c in carry}}
     s = ordered_scan(rows, keys, order, bucket, lags=lags)
     brk = F.coalesce(gap_seconds("_prev_ts", "ts") > max_gap_s, F.lit(False))

@@ -12,9 +12,11 @@ queries read identical input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BASE_TS = "2024-01-01 00:00:00"
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,12 +26,15 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical telemetry rows (one per event) for the fixture tables."""
     ev = load(spark, sf_dir, "events")
     k = F.regexp_extract("props", r"([0-9]+)", 1).cast("bigint")
-    ev = ev.withColumn("k", k)
-    # Input shaping only (FIXTURES.md 3): the stand-in odometer is a running
-    # sum per user. Real signal records carry their odometer; no library job
-    # depends on this window. Kept as one plain window so its single shuffle
-    # is reused by every branch of a query.
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    # The events cover one month; elapsed time is tripled so that records
+    # cross month ends. The odometer is a closed form of the row: time since
+    # the base at 0.4 units an hour (whole units, so it repeats), a jump on
+    # every 101st event and an invalid zero on every 211th.
+    base = F.lit(BASE_TS).cast("timestamp_ntz")
+    ev = ev.withColumn("k", k).withColumn("ts", F.col("ts") + (F.col("ts") - base) * 2)
+    ev = ev.withColumn("us", F.timestamp_diff("MICROSECOND", base, F.col("ts")))
+    odo = F.when(F.col("event_id") % 211 == 0, F.lit(0)).otherwise(
+        (F.col("user_id") % 50) * 1000 + 1 + F.expr("us div 9000000000") + F.when(F.col("event_id") % 101 == 0, F.lit(500)).otherwise(F.lit(0)))
     d = lambda x: F.lit(x).cast("double")
     return ev.select(
         F.col("user_id").alias("vin"),
@@ -37,7 +42,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         F.col("ts").cast("date").alias("day"),
         F.col("k").cast("double").alias("soc"),
-        F.sum(F.col("k") % 12).over(w).cast("bigint").alias("odo"),
+        odo.cast("bigint").alias("odo"),
         F.when(F.col("event_type") == "error", F.lit(None).cast("double"))
          .when(F.col("event_type") == "signup", d(16.0)).otherwise(d(0.0)).alias("charge_cur"),
         F.when(F.col("event_type") == "view", F.lit(None).cast("int"))
@@ -70,7 +75,8 @@ def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
 TELEMETRY_SQL = """
   SELECT user_id AS vin, event_id, ts, CAST(ts AS DATE) AS day,
          CAST(k AS DOUBLE) AS soc,
-         CAST(SUM(k % 12) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS odo,
+         CAST(CASE WHEN event_id % 211 = 0 THEN 0 ELSE (user_id % 50) * 1000 + 1 + us // 9000000000
+              + CASE WHEN event_id % 101 = 0 THEN 500 ELSE 0 END END AS BIGINT) AS odo,
          CASE event_type WHEN 'error' THEN NULL WHEN 'signup' THEN CAST(16.0 AS DOUBLE)
               ELSE CAST(0.0 AS DOUBLE) END AS charge_cur,
          CASE event_type WHEN 'view' THEN NULL WHEN 'purchase' THEN 1 ELSE 0 END AS charge_st,
@@ -89,7 +95,9 @@ TELEMETRY_SQL = """
          CAST((k * 7) % 100 AS DOUBLE) AS acc_pedal,
          CAST(event_id % 3 AS VARCHAR) AS brake_pedal,
          CAST(380 + k % 20 AS DOUBLE) AS charge_volt
-  FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events)
+  FROM (SELECT * REPLACE (make_timestamp(epoch_us(ts) + 2 * (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00'))) AS ts),
+               3 * (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) AS us,
+               CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events)
 """
 
 VEHICLES_SQL = "SELECT c_custkey AS vin, c_mktsegment AS vintype FROM customer"
