@@ -21,6 +21,11 @@ _DIGITS = "0-9²³¹¼½¾"
 _PLAIN_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\s{_LETTERS}{_DIGITS}]+").findall
 
 
+def plain(text: str) -> bool:
+    """Whether lower-casing and splitting at white space keep to the tokenizer's rules."""
+    return "<|" not in text and _PLAIN.match(text) is not None
+
+
 class Splitter:
     """``split(text)`` gives the pre-tokens in order; a special string is its own pre-token."""
 

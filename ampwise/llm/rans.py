@@ -37,14 +37,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampwise.llm.common import n_buckets, range_bounds, shared_folder, slices
+from ampwise.llm.pretokens import plain
 
 MAGIC = b"RANSTOK1"
 #: Bits of the frequency scale (shared tables), least state, most lanes, steps between checkpoints.
 SCALE_BITS, LOW, LANES, CHECK_STEPS = 18, 1 << 31, 2048, 64
 #: Symbols after which a block is closed at the next document's end.
 BLOCK_SYMBOLS = 262_144
-#: Pre-tokens that a worker remembers.
-REMEMBERED = 700_000
+#: Pieces between white space, and pre-tokens, that a worker remembers.
+REMEMBERED = 500_000
 
 
 class Table:
@@ -178,31 +179,54 @@ class Block:
 # ---- jobs ----------------------------------------------------------------
 
 class Encoder:
-    """Ids by the tokenizers library. A text is split into the tokenizer's pre-tokens; the
-    library encodes each distinct one, and a worker remembers its ids."""
+    """Ids by the tokenizers library. White space always parts pre-tokens, so a text is cut
+    there; a piece not met before is split into the tokenizer's pre-tokens, and the library's
+    model gives the ids of each new one. A worker remembers pieces and pre-tokens."""
 
     def __init__(self, spec: str, end: int) -> None:
         from tokenizers import Tokenizer
 
-        from ampwise.llm.pretokens import Splitter
+        from ampwise.llm.pretokens import SPECIALS, Splitter, byte_chars
         self.tok = Tokenizer.from_str(spec)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.split, self.known, self.end = Splitter(self.tok).split, {}, end
+        self.split, self.chars, self.special = Splitter(self.tok).split, byte_chars(), SPECIALS
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.end = np.array([end], "<u4").tobytes()
+
+    def word(self, w: str) -> bytes:
+        got = self.words.get(w)
+        if got is None:
+            if self.special.fullmatch(w):
+                ids = [self.tok.token_to_id(w)]
+            else:
+                chars = self.chars
+                ids = [t.id for t in self.tok.model.tokenize("".join([chars[b] for b in w.encode("utf-8")]))]
+            got = np.array(ids, "<u4").tobytes()
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            self.words[w] = got
+        return got
+
+    def text(self, text: str | None) -> bytes:
+        if not text:
+            return self.end
+        if not plain(text):  # characters for the library's own normaliser, or special strings
+            return b"".join(map(self.word, self.split(text))) + self.end
+        pieces = text.lower().split()
+        got = list(map(self.pieces.get, pieces))
+        if None in got:
+            for i, g in enumerate(got):
+                if g is None:
+                    p = pieces[i]
+                    got[i] = self.pieces.get(p) or b"".join(map(self.word, self.split(p)))
+                    self.pieces[p] = got[i]
+            if len(self.pieces) > REMEMBERED:
+                self.pieces.clear()
+        got.append(self.end)
+        return b"".join(got)
 
     def ids(self, texts: list) -> list[bytes]:
-        known = self.known
-        split = [self.split(t) if t else [] for t in texts]
-        new = sorted({w for ws in split for w in ws if w not in known})
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = sorted({w for ws in split for w in ws})
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        end = np.array([self.end], "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, ws)) + end for ws in split]
+        return list(map(self.text, texts))
 
 
 _WORKER: dict = {}
