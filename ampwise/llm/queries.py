@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampwise.llm import bpe
-from ampwise.llm.common import crc_mod, documents, labels  # noqa: F401
+from ampwise.llm.common import crc_mod, documents, labels
+from ampwise.llm.oracle import OP6, OP7
 
 QUERIES: dict = {}
 #: Where SQL can express the query.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_ngram_join": OP6, "op7_suffixes": OP7}
 
 TOKENIZER = "word_bpe_49k.json"
 
