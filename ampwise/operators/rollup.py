@@ -195,7 +195,11 @@ def stat_documents(long: DataFrame) -> DataFrame:
 
 def read_stat_documents(spark, path: str) -> DataFrame:
     """Read stat documents back into the long form."""
-    docs = spark.read.schema(DOC_SCHEMA).json(path)
+    return long_form(spark.read.schema(DOC_SCHEMA).json(path))
+
+
+def long_form(docs: DataFrame) -> DataFrame:
+    """The rows (vin, stat, freq, time_label, value, weight) of stat documents."""
     e = docs.select("vin", F.explode("stats").alias("key", "vals"))
     e = e.select("vin", "key", F.explode("vals").alias("v"))
     return e.select("vin", F.regexp_extract("key", r"^(.*)_[a-z]+$", 1).alias("stat"),

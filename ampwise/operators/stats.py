@@ -39,7 +39,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
@@ -95,10 +95,18 @@ def _small(c: str, jump) -> Column:
 
 def period_stats(df: DataFrame, freq: str = "daily", keys: Sequence[str] = ("vin",),
                  order: Sequence[str] = ORDER, bucket: Column | str | None = None,
-                 jump: float = JUMP_THRESHOLD, min_soc: float = P.MIN_SOC_ON_BATTERY) -> DataFrame:
-    """B8 stat row per (vin, time_label) for ``freq`` in daily/hourly/monthly."""
-    g = df.withColumn("time_label", time_label("ts", freq))
+                 jump: float = JUMP_THRESHOLD, min_soc: float = P.MIN_SOC_ON_BATTERY,
+                 dedupe: bool = False) -> DataFrame:
+    """B8 stat row per (vin, time_label) for ``freq`` in daily/hourly/monthly.
+    Rows without a time are left out. ``dedupe`` drops records equal to the one
+    before in ``order`` (a line delivered twice); it uses the windows' own
+    partitioning, so it adds no shuffle."""
+    g = df.where(F.col("ts").isNotNull()).withColumn("time_label", time_label("ts", freq))
     gk = [*keys, "time_label"]
+    if dedupe:
+        this = F.struct(*[F.col(c) for c in order])
+        g = g.withColumn("_again", F.coalesce(F.lag(this).over(Window.partitionBy(*gk).orderBy(*order)) == this, F.lit(False)))
+        g = g.where(~F.col("_again")).drop("_again")
     s = scan_rows(g, gk, order, bucket, min_soc)
     iv, vv = F.col("curr"), F.col("volt")
     l1 = [

@@ -6,8 +6,9 @@ loop or context restarts), skips days the ledger marks done unless forced
 written per-day counts in the ledger afterwards (K13, R7).
 
 Input layout: hive-style day directories ``<root>/csv/d=yyyymmdd/`` and, for
-older data, single files ``<root>/by-day/ag_yyyymmdd.csv``. Only the pending
-days are listed and read (one brace glob per layout).
+older data, single files ``<root>/by-day/yyyymmdd.csv`` (both names are
+parameters of :func:`read_days`). Only the pending days are listed and read
+(one brace glob per layout).
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import rollup, stats, trips
-from ..sources import raw
+from ..sources import raw, schemas
 from ..session import reliable_checkpoint
 from . import export, publish
 
@@ -37,17 +38,23 @@ def _read_glob(spark: SparkSession, pattern: str, hive_base: str | None = None)
         raise
 
 
-def read_days(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame | None:
+#: Where day files lie below the root, by layout of the folders: ``{days}`` stands for the days.
+DAY_FOLDERS = "csv/d={days}"
+DAY_FILES = "by-day/{days}.csv"
+
+
+def read_days(spark: SparkSession, root: str, days: Sequence[str], folders: str = DAY_FOLDERS,
+              files: str = DAY_FILES) -> DataFrame | None:
     """Raw lines with ``file_day`` for the ``yyyymmdd`` days, read
     through one brace glob per layout so only those directories and files are
     listed; days without files are simply absent (None when no day has any)."""
     alt = "{" + ",".join(days) + "}"
     parts = []
-    hive = _read_glob(spark, f"{root}/csv/d={alt}", f"{root}/csv")
+    hive = _read_glob(spark, f"{root}/{folders.format(days=alt)}", f"{root}/{os.path.dirname(folders)}")
     if hive is not None:
         parts.append(hive.select("value", F.col("_metadata.file_path").alias("file_path"),
                                  F.to_date(F.col("d").cast("string"), "yyyyMMdd").alias("file_day")))
-    single = _read_glob(spark, f"{root}/by-day/ag_{alt}.csv")
+    single = _read_glob(spark, f"{root}/{files.format(days=alt)}")
     if single is not None:
         parts.append(single.select("value", F.col("_metadata.file_path").alias("file_path"),
                                    F.to_date(F.regexp_extract(F.col("_metadata.file_name"), r"(\d{8})", 1),
@@ -74,22 +81,43 @@ def pending(spark: SparkSession, start: str, end: str, ledger_path: str, job: st
 
 
 def daily_stats_job(spark: SparkSession, root: str, start: str, end: str, table: str, ledger_path: str,
-                    freq: str = "daily", force: bool = False) -> DataFrame:
+                    freq: str = "daily", force: bool = False, layout: str = "a") -> DataFrame:
     """Raw day files -> guard -> typed records -> stat rows per vehicle and
     period -> day partitions -> ledger. As in the reference, each day file is
     a batch: stats are computed over that file's records and published into
     the file's day partition; rows whose label is another day (late records)
     stay in the batch and can be listed with P25. Re-running a day therefore
-    rewrites the same partition with the same rows."""
-    job = f"{freq}_stats"
+    rewrites the same partition with the same rows. ``layout`` names the record
+    layout (``a``, or ``b`` for the national-standard one). Records delivered
+    twice count once; malformed lines are counted per file day beside the
+    ledger (:func:`rejects`)."""
+    job = f"{freq}_stats" if layout == "a" else f"{freq}_stats_{layout}"
     days = pending(spark, start, end, ledger_path, job, force)
     lines = read_days(spark, root, days) if days else None
     if lines is None:            # nothing pending, or no files for the pending days
         return spark.createDataFrame([], "day date, n_rows_before long, n_rows long")
-    recs = raw.parse_schema_a(lines)
-    out = stats.period_stats(recs, freq, keys=("file_day", "vin"))
+    recs = raw.parse_schema_a(lines) if layout == "a" else raw.stat_columns_b(raw.parse_schema_b(lines))
+    out = stats.period_stats(recs, freq, keys=("file_day", "vin"), dedupe=True)
     out = out.withColumnRenamed("file_day", "day")
-    return publish.publish_days(out, table, ledger_path, job, [_iso(d) for d in days])
+    done = publish.publish_days(out, table, ledger_path, job, [_iso(d) for d in days])
+    _record_rejects(lines, ledger_path, job, schemas.SCHEMA_A_LENGTHS if layout == "a" else schemas.SCHEMA_B_LENGTHS)
+    return done
+
+
+REJECT_SCHEMA = "job string, file_day date, n_fields int, n_lines bigint, written_at timestamp"
+
+
+def _record_rejects(lines: DataFrame, ledger_path: str, job: str, lengths) -> None:
+    """Append the counts of lines with a wrong number of fields, per file day."""
+    _, bad = raw.guard(lines.select("value", "file_day"), lengths)
+    rows = bad.select(F.lit(job).alias("job"), "file_day", F.col("n_fields").cast("int").alias("n_fields"),
+                      F.col("n_lines").cast("long").alias("n_lines"), F.current_timestamp().alias("written_at"))
+    rows.write.mode("append").parquet(f"{ledger_path}_rejects")
+
+
+def rejects(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """Rejected lines per job, file day and field count, of all runs."""
+    return spark.read.schema(REJECT_SCHEMA).parquet(f"{ledger_path}_rejects")
 
 
 def trips_job(spark: SparkSession, root: str, start: str, end: str, table: str, ledger_path: str,
@@ -100,10 +128,12 @@ def trips_job(spark: SparkSession, root: str, start: str, end: str, table: str,
     lines = read_days(spark, root, days) if days else None
     if lines is None:
         return spark.createDataFrame([], "day date, n_rows_before long, n_rows long")
-    recs = raw.parse_schema_a(lines)
+    recs = raw.duplicates_dropped(raw.parse_schema_a(lines), ("file_day", "vin", "day"))
     t = trips.trips(recs, keys=("file_day", "vin"), max_gap_s=max_gap_s)
     t = t.drop("day").withColumnRenamed("file_day", "day")
-    return publish.publish_days(t, table, ledger_path, "trips", [_iso(d) for d in days])
+    done = publish.publish_days(t, table, ledger_path, "trips", [_iso(d) for d in days])
+    _record_rejects(lines, ledger_path, "trips", schemas.SCHEMA_A_LENGTHS)
+    return done
 
 
 MONTHLY_SCHEMA = "vin string, stat string, freq string, value double, weight bigint, time_label string"

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..functions.scalar import r6
+from ..functions import columns
+from ..functions.scalar import day_fraction, r6
 from ..operators import battery, distance, geo, periods, profile, ranking, rollup, stats, trips
 from ..sources import raw
 from ..sources import fixture
-from . import export
+from . import export, jobs, publish
 from . import sqlfrag as S
 
 # Trip break used on the fixture: its median gap between records is ~21 h, so
@@ -594,12 +595,12 @@ def q_low_capacity_periods(spark, sf_dir):
 
 # ---------------------------------------------------------------- raw sources
 _RAW_A_SQL = f"""{S.WITH_TELE},
-ra AS (SELECT CAST(vin AS VARCHAR) AS vin, (epoch_us(ts) // 1000) - 28800000 AS ts_ms,
-              make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts2, CAST(ts AS DATE) AS sdate,
+ra AS (SELECT CAST(vin AS VARCHAR) AS vin, CASE WHEN event_id % 107 <> 0 THEN (epoch_us(ts) // 1000) - 28800000 END AS ts_ms,
+              CASE WHEN event_id % 107 <> 0 THEN make_timestamp((epoch_us(ts) // 1000) * 1000) END AS ts2, CAST(ts AS DATE) AS sdate,
               CAST(ts + INTERVAL 2 HOUR AS DATE) AS file_day, curr, volt, cell_volt_max, cell_volt_min, soc,
               temp_avg, temp_max, temp_min, charge_volt, charge_cur, acc_pedal, brake_pedal, fuel,
               CAST(charge_st AS DOUBLE) AS charge_st, speed, CAST(odo AS DOUBLE) AS odo, lon, lat
-       FROM tele WHERE event_id % 97 <> 0)"""
+       FROM (SELECT *, unnest(generate_series(1, CASE WHEN event_id % 103 = 0 THEN 2 ELSE 1 END)) AS copy FROM tele) WHERE event_id % 97 <> 0)"""
 
 
 @register("raw_records_a", f"""{_RAW_A_SQL}
@@ -612,7 +613,8 @@ def q_raw_records_a(spark, sf_dir):
 
 
 @register("raw_rejects", f"""{S.WITH_TELE}
-SELECT CAST(ts + INTERVAL 2 HOUR AS DATE) AS file_day, 84 AS n_fields, count(*) AS n_lines
+SELECT CAST(ts + INTERVAL 2 HOUR AS DATE) AS file_day, 84 AS n_fields,
+       CAST(sum(CASE WHEN event_id % 103 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS n_lines
 FROM tele WHERE event_id % 97 = 0 GROUP BY 1""")
 def q_raw_rejects(spark, sf_dir):
     """Lines with a field count other than 85/86, counted per file day."""
@@ -822,14 +824,123 @@ def q_missing_time_treatments(spark, sf_dir):
 _RAW_TELE = """SELECT CAST(vin AS VARCHAR) AS vin, event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts,
   CAST(make_timestamp((epoch_us(ts) // 1000) * 1000) AS DATE) AS day, soc, CAST(odo AS DOUBLE) AS odo, charge_cur,
   CAST(charge_st AS DOUBLE) AS charge_st, fuel, volt, curr, lat, lon, speed, temp_avg, temp_max, temp_min,
-  cell_volt_max, cell_volt_min, acc_pedal, brake_pedal, charge_volt FROM tele WHERE event_id % 97 <> 0"""
+  cell_volt_max, cell_volt_min, acc_pedal, brake_pedal, charge_volt FROM tele WHERE event_id % 97 <> 0 AND event_id % 107 <> 0"""
+_RAW_TELE_B = """SELECT CAST(vin AS VARCHAR) AS vin, event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts,
+  CAST(make_timestamp((epoch_us(ts) // 1000) * 1000) AS DATE) AS day, soc, CAST(odo AS DOUBLE) AS odo,
+  CASE WHEN charge_st = 1 THEN abs(curr) ELSE CAST(0 AS DOUBLE) END AS charge_cur, CAST(charge_st AS DOUBLE) AS charge_st, fuel, volt,
+  curr, lat, lon, speed, CASE WHEN event_id % 89 = 0 THEN NULL ELSE (temp_min + temp_avg + temp_max) / 3 END AS temp_avg,
+  temp_max, temp_min, cell_volt_max, cell_volt_min, acc_pedal, brake_pedal, volt AS charge_volt FROM tele"""
 
 
 @register("raw_daily_stats", S.stat_row_sql("strftime(ts, '%Y-%m-%d')", source_cte=_RAW_TELE))
 def q_raw_daily_stats(spark, sf_dir):
     """S1-S3 + P5-P8 + A1/B8: the daily stat rows computed straight from
-    schema-A text lines (the reference's daily job end to end)."""
-    return stats.daily_stats(raw.parse_schema_a(fixture.raw_lines_a(spark, sf_dir)))
+    schema-A text lines (the reference's daily job end to end): malformed
+    lines, lines without a time and lines delivered twice among them."""
+    return stats.daily_stats(raw.parse_schema_a(fixture.raw_lines_a(spark, sf_dir)), dedupe=True)
+
+
+@register("raw_daily_stats_b", S.stat_row_sql("strftime(ts, '%Y-%m-%d')", source_cte=_RAW_TELE_B))
+def q_raw_daily_stats_b(spark, sf_dir):
+    """The daily stat rows from schema-B (national-standard) text lines."""
+    return stats.daily_stats(raw.stat_columns_b(raw.parse_schema_b(fixture.raw_lines_b(spark, sf_dir))), dedupe=True)
+
+
+@register("raw_hourly_stats_b", S.stat_row_sql("strftime(date_trunc('hour', ts), '%Y-%m-%d %H:00:00')", hourly=True, source_cte=_RAW_TELE_B))
+def q_raw_hourly_stats_b(spark, sf_dir):
+    """R10 from schema-B text lines."""
+    return stats.hourly_stats(raw.stat_columns_b(raw.parse_schema_b(fixture.raw_lines_b(spark, sf_dir))), dedupe=True)
+
+
+_RAW_WITH = S.WITH_TELE.replace("WITH tele AS (", "WITH tele0 AS (", 1) + f", tele AS ({_RAW_TELE.replace('FROM tele ', 'FROM tele0 ')})"
+
+
+@register("raw_trips", ORACLE["trips"].replace(S.WITH_TELE, _RAW_WITH))
+def q_raw_trips(spark, sf_dir):
+    """B1 from schema-A text lines, of which some have no time or come twice."""
+    recs = raw.duplicates_dropped(raw.parse_schema_a(fixture.raw_lines_a(spark, sf_dir)))
+    return trips.trips(recs, max_gap_s=FIXTURE_TRIP_GAP_S)
+
+
+# ---------------------------------------------------------------- P9, P10, P15, P16, P19, W16
+_FEW_VINS = (1, 2, 3, 5, 8, 13, 21, 34, 55, 89)
+
+
+@register("signal_window", f"""{S.WITH_TELE}
+SELECT vin, event_id, CAST(soc AS BIGINT) AS soc, curr,
+       {S.r6("date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) + (hour(ts) * 3600 + minute(ts) * 60 + second(ts)) / 86400.0")} AS day_number
+FROM tele WHERE day BETWEEN DATE '2024-01-10' AND DATE '2024-02-20' AND vin IN {_FEW_VINS} AND curr <> 0 AND soc > 1e-6
+  AND cell_volt_min > 1e-6 AND cell_volt_max >= cell_volt_min AND temp_avg > 1e-6 AND temp_max > 1e-6 AND temp_min > 1e-6""")
+def q_signal_window(spark, sf_dir):
+    """P9 + P10 + P15 + P16 + P19 + W16: plausible records of some vehicles in a
+    date range with a non-zero current, SOC as an integer, time in days."""
+    t = columns.for_vehicles(columns.in_date_range(tele(spark, sf_dir), "2024-01-10", "2024-02-20"), _FEW_VINS)
+    t = columns.integral(t.where(P.plausible() & P.nonzero_current()), "soc")
+    return t.select("vin", "event_id", "soc", "curr", r6(day_fraction("ts")).alias("day_number"))
+
+
+@register("text_times", f"""{S.WITH_TELE}
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t, CAST(ts AS DATE) AS t_date, strftime(ts, '%H:%M:%S') AS t_time FROM tele""")
+def q_text_times(spark, sf_dir):
+    """An offset cut off a text time, then its date and time of day."""
+    t = tele(spark, sf_dir).select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("+08:00")).alias("t"))
+    return columns.split_date_time(columns.strip_utc_offset(t, ["t"]), "t")
+
+
+# ---------------------------------------------------------------- F13, J7, P22, R5-R8 on the ledger's rules
+def _day_counts(spark, sf_dir):
+    return publish.day_counts(tele(spark, sf_dir))
+
+
+@register("pending_days", f"""{S.WITH_TELE}, done AS (SELECT DISTINCT day FROM tele WHERE day < DATE '2024-02-01')
+SELECT CAST(d AS DATE) AS day FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-04-10', INTERVAL 1 DAY)) AS d)
+WHERE CAST(d AS DATE) NOT IN (SELECT day FROM done)""")
+def q_pending_days(spark, sf_dir):
+    """F13 + J7 + R5: the days of a range that the ledger does not mark done."""
+    done = _day_counts(spark, sf_dir).where(F.col("day") < F.lit("2024-02-01").cast("date"))
+    ledger = done.select(F.lit("j").alias("job"), "day", F.lit("done").alias("status"))
+    return publish.pending_days(publish.day_range(spark, "2024-01-01", "2024-04-10"), ledger, "j")
+
+
+@register("newer_records", f"""{S.WITH_TELE} SELECT day, count(*) AS n_rows FROM tele WHERE day > DATE '2024-03-10' GROUP BY day""")
+def q_newer_records(spark, sf_dir):
+    """P22 + R7 + K13: rows per day after the ledger's last published day."""
+    ledger = _day_counts(spark, sf_dir).where(F.col("day") <= F.lit("2024-03-10").cast("date")).select(
+        F.lit("j").alias("job"), "day", F.lit("done").alias("status"))
+    return publish.day_counts(publish.newer_than_mark(tele(spark, sf_dir), ledger, "j"))
+
+
+@register("stat_document_rows", ORACLE["monthly_rollup"])
+def q_stat_document_rows(spark, sf_dir):
+    """K7 + S10: monthly rows made into stat documents (JSON text) and read back."""
+    long = rollup.monthly_rollup(stats.daily_stats(tele(spark, sf_dir)))
+    docs = rollup.stat_documents(long.withColumn("vin", F.col("vin").cast("string")))
+    text = docs.select(F.to_json(F.struct(*docs.columns)).alias("value"))
+    back = rollup.long_form(text.select(F.from_json("value", rollup.DOC_SCHEMA).alias("d")).select("d.*"))
+    return back.withColumn("vin", F.col("vin").cast("long"))
+
+
+@register("document_empty_fields", f"""{S.WITH_TELE}
+SELECT event_id, '{{"index":{{"_index":"records","_type":"doc"}}}}' || chr(10) || '{{"event_id":' || event_id ||
+  CASE WHEN charge_st IS NULL THEN '' ELSE ',"charge_st":' || charge_st END ||
+  CASE WHEN brake_pedal = '0' THEN '' ELSE ',"brake":"' || brake_pedal || '"' END || '}}' AS value FROM tele""")
+def q_document_empty_fields(spark, sf_dir):
+    """null and empty fields are left out of a document; zero stays."""
+    t = tele(spark, sf_dir).select("event_id", "charge_st", F.when(F.col("brake_pedal") == "0", F.lit("")).otherwise(F.col("brake_pedal")).alias("brake"))
+    return export.documents(t.withColumn("id", F.col("event_id")).select("id", *t.columns), "records", keep=("id",)).select(
+        F.col("id").alias("event_id"), F.regexp_replace("value", r'"id":\d+,', "").alias("value"))
+
+
+@register("merged_month")
+def q_merged_month(spark, sf_dir):
+    """J10 + R1-R4 + R6: the monthly state of the first days of February,
+    merged day by day; without SQL, compared with the rollup in the tests."""
+    daily = stats.daily_stats(tele(spark, sf_dir)).withColumn("vin", F.col("vin").cast("string"))
+    daily = daily.where(F.col("day").between(F.lit("2024-02-01").cast("date"), F.lit("2024-02-03").cast("date")))
+    state = spark.createDataFrame([], jobs.MONTHLY_SCHEMA)
+    for d in ("2024-02-01", "2024-02-02", "2024-02-03"):
+        state = rollup.merge_day(state, daily, d)
+    return state
 
 
 @register("brake_pedal_histogram", f"""{S.WITH_TELE}

@@ -120,10 +120,12 @@ def _epoch_ms(ts="ts"):
 def raw_lines_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema A text lines (``value``) with the day of the file they sit in
     (``file_day``). Lines carry 86 or 85 fields; every 97th event is cut to
-    84 fields (malformed)."""
+    84 fields (malformed), every 107th has no time, every 103rd is delivered
+    twice."""
     from .schemas import SCHEMA_A_FIELDS
     t = telemetry(spark, sf_dir)
-    src = {"VIN": F.col("vin"), "TDATE": _epoch_ms(), "SDATE": F.date_format("ts", "yyyyMMdd"),
+    time = F.when(F.col("event_id") % 107 == 0, F.lit("null")).otherwise(_txt(_epoch_ms()))
+    src = {"VIN": F.col("vin"), "TDATE": time, "SDATE": F.date_format("ts", "yyyyMMdd"),
            "BMS_BATTCURR": F.col("curr"), "BMS_BATTVOLT": F.col("volt"),
            "BMS_CELLVOLTMAX": F.col("cell_volt_max"), "BMS_CELLVOLTMIN": F.col("cell_volt_min"),
            "BMS_BATTSOC": F.col("soc"), "BMS_BATTTEMPAVG": F.col("temp_avg"),
@@ -137,8 +139,10 @@ def raw_lines_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = F.array(*[_txt(by_pos[i]) if i in by_pos else F.lit("") for i in range(86)])
     n = (F.when(F.col("event_id") % 97 == 0, F.lit(84))
           .when(F.col("event_id") % 2 == 1, F.lit(85)).otherwise(F.lit(86)))
-    return t.select(F.array_join(F.slice(fields, 1, n), ",").alias("value"),
-                    F.to_date(F.col("ts") + F.expr(f"INTERVAL {FILE_LAG}")).alias("file_day"))
+    times = F.when(F.col("event_id") % 103 == 0, F.lit(2)).otherwise(F.lit(1))
+    lines = t.select(F.array_join(F.slice(fields, 1, n), ",").alias("value"),
+                     F.to_date(F.col("ts") + F.expr(f"INTERVAL {FILE_LAG}")).alias("file_day"), times.alias("times"))
+    return lines.select(F.explode(F.array_repeat("value", F.col("times"))).alias("value"), "file_day")
 
 
 def raw_lines_b(spark: SparkSession, sf_dir: str) -> DataFrame:

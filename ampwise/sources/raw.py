@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import LOCAL_TZ, array_mean, epoch_ms_to_local, list_to_array, yyyymmdd_to_date
@@ -101,6 +101,31 @@ def parse_schema_b(lines: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     return df.withColumn("temp_avg", array_mean("temp_list"))
 
 
+# Fixed value of the national-standard protocol: charging state while parked.
+CHARGING_PARKED = 1
+
+
+def stat_columns_b(records: DataFrame) -> DataFrame:
+    """Schema B records with the columns that the statistics use. The layout
+    has no charger signals: while the charging state says "charging parked",
+    the charge current is the size of the battery current and the charge
+    voltage the battery voltage; the state itself becomes 1, or 0 for any
+    other state."""
+    on = F.col("charge_st") == CHARGING_PARKED
+    return (records.withColumn("charge_cur", F.when(on, F.abs("curr")).otherwise(F.lit(0.0)))
+            .withColumn("charge_volt", F.col("volt"))
+            .withColumn("charge_st", F.when(F.col("charge_st").isNotNull(), on.cast("double"))))
+
+
+def duplicates_dropped(records: DataFrame, keys: Sequence[str] = ("vin", "day")) -> DataFrame:
+    """Records without those equal to the one before in (time, line hash) order
+    of their vehicle-day: a line that was delivered twice counts once."""
+    w = Window.partitionBy(*keys).orderBy("ts", "event_id")
+    this = F.struct("ts", "event_id")
+    return (records.withColumn("_again", F.coalesce(F.lag(this).over(w) == this, F.lit(False)))
+            .where(~F.col("_again")).drop("_again"))
+
+
 def read_header_csv(spark: SparkSession, path: str, config_rows, header: bool = False) -> DataFrame:
     """CSV whose column names and types come from a header config."""
     schema = SC.struct_from_header_config(config_rows)
@@ -119,8 +144,8 @@ def read_csv_with_header(spark: SparkSession, path: str, schema=None, all_string
 
 def day_paths(base: str, days: Iterable[str], hive_style_from: str = "2018") -> list[str]:
     """Path of each ``yyyymmdd`` day: hive-style ``csv/d=<day>`` from
-    ``hive_style_from`` on, a single ``by-day/ag_<day>.csv`` file before."""
+    ``hive_style_from`` on, a single ``by-day/<day>.csv`` file before."""
     out = []
     for d in days:
-        out.append(f"{base}/csv/d={d}" if str(d)[:4] >= hive_style_from else f"{base}/by-day/ag_{d}.csv")
+        out.append(f"{base}/csv/d={d}" if str(d)[:4] >= hive_style_from else f"{base}/by-day/{d}.csv")
     return out

@@ -86,7 +86,7 @@ def test_read_day_files_and_guard(spark, tmp_out):
     short = ",".join(["V1"] * 84)
     with open(os.path.join(tmp_out, "csv", "d=20180329", "part-0.csv"), "w") as f:
         f.write(good + "\n" + short + "\n")
-    with open(os.path.join(tmp_out, "by-day", "ag_20171201.csv"), "w") as f:
+    with open(os.path.join(tmp_out, "by-day", "20171201.csv"), "w") as f:
         f.write(good[:-1] + "\n")                                           # 85 fields
     paths = raw.day_paths(tmp_out, ["20171201", "20180329"])
     lines = raw.read_day_files(spark, paths)
@@ -158,7 +158,7 @@ def _write_day(root, day, lines, hive=True):
         path = os.path.join(d, "part-00000.csv")
     else:
         os.makedirs(os.path.join(root, "by-day"), exist_ok=True)
-        path = os.path.join(root, "by-day", f"ag_{day}.csv")
+        path = os.path.join(root, "by-day", f"{day}.csv")
     with open(path, "w") as f:
         f.write("\n".join(lines) + "\n")
 
@@ -188,11 +188,15 @@ def test_jobs_end_to_end(spark, tmp_out):
     from ampwise.operators import stats as S
     from ampwise.sources import raw as R
     direct = S.period_stats(R.parse_schema_a(fixture.raw_lines_a(spark, "/root/testdata/sf0.001")),
-                            "daily", keys=("file_day", "vin")).withColumnRenamed("file_day", "day")
+                            "daily", keys=("file_day", "vin"), dedupe=True).withColumnRenamed("file_day", "day")
     cols = ["day", "vin", "time_label", "distance_driven", "charging_hours", "n_records"]
     got = sorted(tuple(r) for r in spark.table(table).select(*cols).collect())
     want = sorted(tuple(r) for r in direct.select(*cols).collect())
     assert got == want
+    # malformed lines are counted per file day
+    bad = jobs.rejects(spark, ledger).where("job = 'daily_stats'")
+    lines = fixture.raw_lines_a(spark, "/root/testdata/sf0.001")
+    assert bad.agg({"n_lines": "sum"}).first()[0] == lines.where(F.size(F.split("value", ",", -1)) == 84).count() > 0
     # the hourly variant of the same job
     hc = jobs.daily_stats_job(spark, root, "2024-01-01", "2024-01-03", f"hourly_{tag}", ledger, freq="hourly")
     assert hc.count() > 0
@@ -295,3 +299,28 @@ def test_publish_days_before_after_counts(spark, tmp_out):
     assert [(r.day, r.n_rows_before, r.n_rows) for r in first.collect()] == [(D1, 0, 2)]
     second = publish.publish_days(_rows(spark, [("c", 1.0, D1)]), t, path, "j", ["2024-01-01"])
     assert [(r.day, r.n_rows_before, r.n_rows) for r in second.collect()] == [(D1, 2, 1)]
+
+
+def test_daily_job_of_the_national_layout(spark, tmp_out):
+    from ampwise.operators import stats as S
+    from ampwise.sources import fixture
+    lines = fixture.raw_lines_b(spark, "/root/testdata/sf0.001")
+    lines.withColumn("d", F.date_format("file_day", "yyyyMMdd")).select("value", "d").write.partitionBy("d").text(os.path.join(tmp_out, "csv"))
+    t, ledger = f"nb_{os.path.basename(tmp_out).replace('-', '_')}", os.path.join(tmp_out, "ledger")
+    assert jobs.daily_stats_job(spark, tmp_out, "2024-01-01", "2024-04-10", t, ledger, layout="b").count() > 60
+    want = S.period_stats(raw.stat_columns_b(raw.parse_schema_b(lines)), "daily", keys=("file_day", "vin"))
+    cols = ["vin", "time_label", "n_records", "charging_hours", "charged_energy", "distance_driven"]
+    assert sorted(map(tuple, spark.table(t).select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+    assert want.agg({"charging_hours": "sum"}).first()[0] > 0
+
+
+def test_merged_month_equals_the_rollup(spark):
+    """The registered day-by-day merge against the rollup over the same days."""
+    from ampwise.operators import stats as S
+    from ampwise.plans.queries import QUERIES
+    from ampwise.sources import fixture
+    sf = "/root/testdata/sf0.001"
+    daily = S.daily_stats(fixture.telemetry(spark, sf)).withColumn("vin", F.col("vin").cast("string"))
+    want = rollup.monthly_rollup(daily.where(F.col("day").between(F.lit("2024-02-01").cast("date"), F.lit("2024-02-03").cast("date"))))
+    key = lambda r: (r.vin, r.stat, r.time_label, None if r.value is None else round(r.value, 5), r.weight)
+    assert sorted(map(key, QUERIES["merged_month"](spark, sf).collect()), key=str) == sorted(map(key, want.collect()), key=str)
