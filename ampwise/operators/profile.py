@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import r6
-from .scan import last_n_per_key, scalar
+from ..session import reliable_checkpoint
+from .scan import last_n_per_key
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -23,69 +24,70 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col(col))
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> dict[float, float | None]:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation between the values ranked
-    ``floor(q (n-1))`` and ``ceil(q (n-1))`` (0-based). Values are ranked by
-    the distributed global row number (range partitioning), so no task holds
-    more than its range; only the two bracketing values per quantile reach
-    the driver."""
-    from .ranking import global_row_number
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    n = scalar(x, F.count(F.lit(1)))
-    if not n:
-        return {q: None for q in qs}
-    want = {}
-    for q in qs:
-        pos = q * (n - 1)
-        lo = int(pos // 1)
-        want[q] = (lo + 1, min(lo + 2, n), pos - lo)
-    ranks = sorted({r for lo, hi, _ in want.values() for r in (lo, hi)})
-    got = {r["row_number"]: r["x"] for r in
-           global_row_number(x, [F.col("x")]).where(F.col("row_number").isin(ranks)).collect()}
-    return {q: got[lo] + (got[hi] - got[lo]) * f for q, (lo, hi, f) in want.items()}
+    ``floor(q (n-1))`` and ``ceil(q (n-1))`` (0-based): one row per column,
+    ``column`` and ``q0``, ``q1``, ... (null without values).
+
+    Values are counted first, combined map-side, so a value that most rows
+    share is one row afterwards. The distinct values of all columns are
+    range-partitioned together and their counts summed along the order: inside
+    each range, plus what earlier ranges hold (a table with a row per range
+    and column). A quantile's neighbours are the first values whose summed
+    count reaches their ranks."""
+    each = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("e")).select("e.*")
+    counts = each.where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = reliable_checkpoint(counts.repartitionByRange(parts, "column", "x").withColumn("_pid", F.spark_partition_id()), eager=False)
+    totals = ranged.groupBy("column", "_pid").agg(F.sum("n").alias("t"))
+    w = Window.partitionBy("column").orderBy("_pid")
+    offs = totals.select("column", "_pid", F.coalesce(F.sum("t").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+                         F.sum("t").over(Window.partitionBy("column")).alias("all"))
+    inside = F.sum("n").over(Window.partitionBy("column", "_pid").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = ranged.withColumn("upto", inside).join(F.broadcast(offs), ["column", "_pid"]).withColumn("upto", F.col("upto") + F.col("before"))
+    at = [(F.lit(q) * (F.col("all") - 1)) for q in qs]
+    picked = summed.groupBy("column", "all").agg(
+        *[F.min(F.when(F.col("upto") >= F.floor(p) + 1, F.col("x"))).alias(f"lo{i}") for i, p in enumerate(at)],
+        *[F.min(F.when(F.col("upto") >= F.least(F.floor(p) + 2, F.col("all")), F.col("x"))).alias(f"hi{i}") for i, p in enumerate(at)])
+    return picked.select("column", *[(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (p - F.floor(p))).alias(f"q{i}") for i, p in enumerate(at)])
+
+
+def _stacked(row: DataFrame, cols: Sequence[str], stats: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """One row per column from a row with ``<column>\x00<stat>`` fields."""
+    return row.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}\x00{s}`").alias(s) for s in stats]) for c in cols])).alias("e")).select(*keys, "e.*")
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles (linear
     interpolation, :func:`exact_quantiles`) and max per column, one row per
-    column."""
-    rows = []
-    for c in cols:
-        x = F.col(c)
-        qv = exact_quantiles(df, c, (0.25, 0.5, 0.75))
-        lit = lambda v: F.lit(v).cast("double")
-        rows.append(df.agg(
-            F.lit(c).alias("column"), F.count(x).alias("count"), r6(F.avg(x)).alias("mean"),
-            r6(F.stddev_samp(x)).alias("std"), r6(F.min(x)).alias("min"),
-            r6(lit(qv[0.25])).alias("q25"), r6(lit(qv[0.5])).alias("q50"),
-            r6(lit(qv[0.75])).alias("q75"), r6(F.max(x)).alias("max")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    column; one aggregate and one count of values for all columns."""
+    fns = {"count": F.count, "mean": lambda x: r6(F.avg(x)), "std": lambda x: r6(F.stddev_samp(x)), "min": lambda x: r6(F.min(x)), "max": lambda x: r6(F.max(x))}
+    stats = _stacked(df.agg(*[f(F.col(c)).alias(f"{c}\x00{s}") for c in cols for s, f in fns.items()]), cols, list(fns))
+    q = exact_quantiles(df, cols, (0.25, 0.5, 0.75))
+    return stats.join(F.broadcast(q), "column", "left").select(
+        "column", "count", "mean", "std", "min", r6("q0").alias("q25"), r6("q1").alias("q50"), r6("q2").alias("q75"), "max")
 
 
 def profile(df: DataFrame, plan: dict[str, Sequence[str]], keys: Sequence[str] = ()) -> DataFrame:
     """Stats by declared type in long form ``keys + (column, stat,
     category, value)``: numeric columns get avg/max/min, categorical ones a
-    histogram (count per value, ``stat = 'count'``)."""
+    histogram (count per value, ``stat = 'count'``). One aggregate for all
+    numeric columns, one count of (column, value) for all others."""
+    fns = {"avg": F.avg, "max": F.max, "min": F.min}
+    numeric = {c: [s for s in stats if s in fns] for c, stats in plan.items() if "histogram" not in stats}
+    listed = [c for c, stats in plan.items() if "histogram" in stats]
     parts = []
-    for col, stats in plan.items():
-        if "histogram" in stats:
-            h = df.groupBy(*keys, F.col(col).cast("string").alias("category")).agg(
-                F.count(F.lit(1)).cast("double").alias("value"))
-            parts.append(h.select(*keys, F.lit(col).alias("column"), F.lit("count").alias("stat"),
-                                  "category", "value"))
-        else:
-            fn = {"avg": F.avg, "max": F.max, "min": F.min}
-            a = df.groupBy(*keys).agg(*[r6(fn[s](F.col(col).cast("double"))).alias(s) for s in stats])
-            for s in stats:
-                parts.append(a.select(*keys, F.lit(col).alias("column"), F.lit(s).alias("stat"),
-                                      F.lit(None).cast("string").alias("category"), F.col(s).alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if numeric:
+        wide = df.groupBy(*keys).agg(*[r6(fns[s](F.col(c).cast("double"))).alias(f"{c}\x00{s}") for c, stats in numeric.items() for s in stats])
+        parts.append(wide.select(*keys, F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.lit(s).alias("stat"), F.lit(None).cast("string").alias("category"), F.col(f"`{c}\x00{s}`").alias("value"))
+            for c, stats in numeric.items() for s in stats])).alias("e")).select(*keys, "e.*"))
+    if listed:
+        each = df.select(*keys, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in listed])).alias("e")).select(*keys, "e.*")
+        parts.append(each.groupBy(*keys, "column", "category").agg(F.count(F.lit(1)).cast("double").alias("value"))
+                     .select(*keys, "column", F.lit("count").alias("stat"), "category", "value"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def histogram(df: DataFrame, col: str, lo: float, width: float, keys: Sequence[str] = ()) -> DataFrame:

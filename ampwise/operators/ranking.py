@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import avg6, missing_time_hours, r6
+from ..session import reliable_checkpoint
 from .scan import scalar_column
 
 
@@ -120,17 +121,22 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_n
                       partitions: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY ...)`` without a single-partition window.
 
-    Rows are range-partitioned on the order, sorted within partitions, and
-    numbered by ``monotonically_increasing_id`` (partition id in the upper 31
-    bits, position in the lower 33 bits, per the API contract). Each
-    partition's offset is the count of rows in earlier partitions, from a
-    table with one row per partition (size bounded by the partition count,
-    hence broadcast)."""
-    parts = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    Rows are range-partitioned on the order (a final hash of the row breaks
+    ties, so equal keys are spread), sorted within partitions, and numbered by
+    ``monotonically_increasing_id`` (partition id in the upper 31 bits,
+    position in the lower 33 bits, per the API contract). These rows are
+    checkpointed, lazily: the numbered rows and the partition counts read the
+    same partitions, also after a retry. Each partition's offset is the count
+    of rows in earlier partitions, from a table with one row per partition
+    (size bounded by the partition count, hence broadcast)."""
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = F.xxhash64(*[F.col(c) for c in df.columns])
+    ranged = df.repartitionByRange(parts, *order, whole).sortWithinPartitions(*order, whole)
     ranged = ranged.withColumn("_mid", F.monotonically_increasing_id())
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33)) \
                    .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), 33))
+    ranged = reliable_checkpoint(ranged, eager=False)
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
@@ -148,7 +154,7 @@ def cell_volt_ranking(daily: DataFrame, vehicles: DataFrame, vintype: str, day_r
     sel = of_type(daily, vehicles, vintype).withColumn("last_daily_stats_day", last) \
         .where(F.col("day") > F.date_sub(last, day_range))
     agg = (sel.groupBy("vin", "last_daily_stats_day")
-           .agg(F.max("day").alias("last_day"), F.count("day").alias("counts"),
+           .agg(F.count("day").alias("counts"),
                 r6(avg6(value)).alias("mean_daily_avg_cell_volt_diff"))
            .where(F.col("counts") > min_days))
     ranked = global_row_number(agg, [F.col("mean_daily_avg_cell_volt_diff").desc(), F.col("vin")])

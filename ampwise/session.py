@@ -80,7 +80,9 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_dir(spark, tempfile.mkdtemp(prefix="ampwise-ckpt-"))
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint in :func:`shared_folder`."""
+def reliable_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Materialise ``df`` with a reliable checkpoint in :func:`shared_folder`.
+    Not ``eager``: when a query first runs; all its branches then read the same
+    partitions, so a range partitioning is drawn once for all of them."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=eager)
