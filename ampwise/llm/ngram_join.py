@@ -8,8 +8,8 @@ T - 1 longest inverted lists may be left out of the merge, for a partner must
 still occur in at least one of the other, short ones.
 
 1. How frequent a shingle is comes from a table of counts over all documents
-   (2 ** ``SKETCH_BITS`` counters chosen by the hash; it only fixes the order, any
-   order gives the same result).
+   (2 ** ``SKETCH_BITS`` counters chosen by the hash, kept as logarithms; it only
+   fixes the order, any order gives the same result).
 2. Each document keeps its set's size, a hash of the whole set and its short
    lists' shingles. Equal sets become one class, represented by its smallest id.
 3. Postings (shingle, class, size) of the short lists meet by shingle. Classes of
@@ -21,9 +21,12 @@ still occur in at least one of the other, short ones.
    the long ones by binary search for the candidates that result. Lists whose
    members already belong to the query's component are skipped, so a large group
    of near copies costs about its postings.
-5. A neighbourhood with more than ``UNIT`` shingles isn't gathered: its lists are
-   searched in blocks of bounded size, first each block by itself, then, for lists
-   whose members still belong to several components, each pair of blocks.
+5. Neighbourhoods with more than ``UNIT`` shingles aren't gathered. Where they are
+   the lesser part of the shingles, steps 1 to 4 are done anew for their documents
+   alone, with a table that counts only those and so tells rare from frequent
+   better. Else their lists are searched in blocks of bounded size: first each
+   block by itself, then, for lists whose members still belong to several
+   components, each pair of blocks.
 
 A set's identity is a 64-bit hash of its hashed shingles (64 bits as well), so an
 error needs a collision.
@@ -38,6 +41,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +54,9 @@ from ampwise.llm.shingles import mix, shingle_sets
 
 #: Words of a shingle; least similarity in hundredths.
 WORDS, SIMILAR = 5, 80
-#: log2 of the counters of the frequency table, and how many of them a row carries.
-SKETCH_BITS, SKETCH_ROW = 21, 1 << 15
+#: log2 of the counters of the frequency table, and how many of them a row carries. The table
+#: has one byte for each.
+SKETCH_BITS, SKETCH_ROW = 24, 1 << 18
 #: Postings of a list from which on it is dealt by salt.
 HEAVY = 50_000
 #: Shingles of a neighbourhood that one task may gather.
@@ -69,7 +74,8 @@ def short_lists(n: int, similar: int = SIMILAR) -> int:
 
 
 def frequencies(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> np.ndarray:
-    """Occurrences of shingles by their hash's upper bits, over all documents (saturating)."""
+    """Occurrences of shingles by their hash's upper bits, over all documents: eight times the
+    binary logarithm of one more than the count, in a byte."""
     size, shift = 1 << SKETCH_BITS, np.uint64(64 - SKETCH_BITS)
 
     def count(batches):
@@ -79,7 +85,8 @@ def frequencies(docs: DataFrame, text_col: str = "text", words: int = WORDS) ->
             for part in slices(batch, text_col):
                 sets = shingle_sets(part.column(0).to_pylist(), words)
                 if sets:
-                    total += np.bincount((np.concatenate(sets) >> shift).astype(np.int64), minlength=size).astype(np.uint32)
+                    at, n = np.unique((np.concatenate(sets) >> shift).astype(np.int64), return_counts=True)
+                    total[at] += n.astype(np.uint32)
         press = zstandard.ZstdCompressor(level=1)
         rows = [press.compress(total[i:i + SKETCH_ROW].tobytes()) for i in range(0, size, SKETCH_ROW)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array(rows, pa.binary())], names=["row", "z"])
@@ -91,15 +98,23 @@ def frequencies(docs: DataFrame, text_col: str = "text", words: int = WORDS) ->
             for row, z in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 got = np.frombuffer(zstandard.ZstdDecompressor().decompress(z), np.uint32)
                 sums[row] = np.minimum(sums.get(row, np.uint64(0)) + got.astype(np.uint64), np.uint64(0xFFFFFFFF))
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([a.astype(np.uint32).tobytes() for a in sums.values()], pa.binary())], names=["row", "z"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([level(a).tobytes() for a in sums.values()], pa.binary())], names=["row", "z"])
 
     got = docs.select(text_col).mapInArrow(count, "row int, z binary").repartition("row").mapInArrow(add, "row int, z binary")
-    table = np.zeros(size, np.uint32)
+    table = np.zeros(size, np.uint8)
     for r in got.collect():  # the table's size is fixed
-        table[r["row"] * SKETCH_ROW:(r["row"] + 1) * SKETCH_ROW] = np.frombuffer(r["z"], np.uint32)
+        table[r["row"] * SKETCH_ROW:(r["row"] + 1) * SKETCH_ROW] = np.frombuffer(r["z"], np.uint8)
     return table
 
 
+def level(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(255, np.round(8 * np.log2(1.0 + counts))).astype(np.uint8)
+
+
+def count_of(levels: np.ndarray) -> np.ndarray:
+    return np.round(np.exp2(levels / 8.0) - 1).astype(np.int64)
+
+
 def set_key(s: np.ndarray) -> int:
     """Signed 64-bit hash of a set of hashes."""
     with np.errstate(over="ignore"):
@@ -234,7 +249,7 @@ def _neighbour_edges(classes: DataFrame, table, parts: int, similar: int) -> Dat
         shift = np.uint64(64 - SKETCH_BITS)
         for batch in batches:
             a, t = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            f = freq[(t.view(np.uint64) >> shift).astype(np.int64)].astype(np.int64)
+            f = count_of(freq[(t.view(np.uint64) >> shift).astype(np.int64)])
             with np.errstate(over="ignore"):
                 salt = (mix(a.view(np.uint64) ^ t.view(np.uint64)) % (f // HEAVY + 1).astype(np.uint64)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(salt), pa.array((f >= HEAVY))], names=["a", "n", "t", "salt", "heavy"])
@@ -286,8 +301,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wor
     """The whole sets of the documents in ``wanted`` (id, key, ...): id, extra columns, set (binary).
     A row whose text has another key (an id used twice) is left out."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
-    picked = join_ids(rows, wanted, "id") if set(extra) <= {"near"} else rows.join(wanted, "id")
-    kinds = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in extra)
+    picked = join_ids(rows, wanted, "id")
+    kinds = "".join(f", {c} {wanted.schema[c].dataType.simpleString()}" for c in extra)
 
     def run(batches):
         for batch in batches:
@@ -298,7 +313,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wor
                 cols = [part.column(part.schema.get_field_index(c)).take(keep) for c in ("id", *extra)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([sets[i].tobytes() for i in keep.to_pylist()], pa.binary())], names=["id", *extra, "set"])
 
-    return picked.select("id", "key", *extra, "text").mapInArrow(run, f"id bigint, {kinds}, set binary")
+    return picked.select("id", "key", *extra, "text").mapInArrow(run, f"id bigint{kinds}, set binary")
 
 
 def _searched(rows: DataFrame, unit: list[str], parts: int, similar: int, block: str | None = None) -> DataFrame:
@@ -334,10 +349,10 @@ def _searched(rows: DataFrame, unit: list[str], parts: int, similar: int, block:
     return rows.select(*cols).repartition(parts, *unit).sortWithinPartitions(*unit, "id").mapInArrow(run, "a bigint, b bigint")
 
 
-def _large(docs: DataFrame, members: DataFrame, table, parts: int, id_col: str, text_col: str, words: int, similar: int, unit: int) -> DataFrame:
+def _large(docs: DataFrame, members: DataFrame, parts: int, id_col: str, text_col: str, words: int, similar: int, unit: int) -> DataFrame:
     """Links within neighbourhoods too large for one task: block by block of each shared list."""
-    sets = stored(_sets_of(docs, members.select("id", "key", "n", "lists"), id_col, text_col, words, ["n", "lists"]), "large")
-    postings = sets.select("id", "n", F.explode("lists").alias("t"))
+    sets = stored(_sets_of(docs, members.select("id", "key"), id_col, text_col, words, []), "large")
+    postings = members.select("id", "n", F.explode("lists").alias("t"))
     sizes = postings.groupBy("t").agg(F.count("*").alias("m"), F.sum("n").alias("all")).where("m > 1")
     # half a unit for each block, so that two of them make a unit; salt by id and shingle
     blocks = sizes.select("t", F.ceil(F.col("all") / F.lit(max(1, unit // 2))).cast("int").alias("blocks"))
@@ -353,22 +368,37 @@ def _large(docs: DataFrame, members: DataFrame, table, parts: int, id_col: str,
     return edges.union(second)
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similar: int = SIMILAR, unit: int = UNIT) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (the smallest id reachable by links)."""
+def _links(docs: DataFrame, classes: DataFrame, table, id_col: str, text_col: str, words: int, similar: int, unit: int) -> list[DataFrame]:
+    """Tables of links (a, b) between classes (id, key, n, lists) of ``docs``."""
     spark = docs.sparkSession
     parts = n_buckets(spark)
-    table = spark.sparkContext.broadcast(frequencies(docs, text_col, words))
-    sets = stored(prepare(docs, table, id_col, text_col, words, similar), "sets")
-    classes = sets.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("lists").alias("lists"))
-    classes = stored(classes, "classes")
     near = components(_neighbour_edges(classes, table, parts, similar), "neighbourhoods")
-    members = stored(classes.join(near.select(F.col("node").alias("id"), F.col("component").alias("near")), "id"), "members")
-    large = members.groupBy("near").agg(F.sum("n").alias("all")).where(F.col("all") > unit).select("near")
+    members = stored(join_ids(classes.select("id", "key", "n"), near.select(F.col("node").alias("id"), F.col("component").alias("near")), "id"), "members")
+    sizes = members.groupBy("near").agg(F.sum("n").alias("all"))
+    large = stored(sizes.where(F.col("all") > unit), "large")
     normal = members.join(large, "near", "left_anti").select("id", "key", "near")
-    links = _searched(_sets_of(docs, normal, id_col, text_col, words, ["near"]), ["near"], parts, similar)
-    if large.limit(1).count():
-        links = links.union(_large(docs, members.join(large, "near", "left_semi"), table, parts, id_col, text_col, words, similar, unit))
-    linked = components(stored(links, "links"), "linked")
+    out = [stored(_searched(_sets_of(docs, normal, id_col, text_col, words, ["near"]), ["near"], parts, similar), "links")]
+    in_large = large.agg(F.sum("all")).first()[0]
+    if in_large:
+        big = members.join(large, "near", "left_semi")
+        if 2 * in_large > classes.agg(F.sum("n")).first()[0]:
+            return [*out, _large(docs, big.join(classes.select("id", "lists"), "id"), parts, id_col, text_col, words, similar, unit)]
+        rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+        sub = stored(join_ids(rows, big.select("id").distinct(), "id", "left_semi"), "again")
+        finer = spark.sparkContext.broadcast(frequencies(sub, "text", words))
+        again = prepare(sub, finer, "id", "text", words, similar).join(big.select("id", "key"), ["id", "key"], "left_semi").dropDuplicates(["id"])
+        out += _links(sub, stored(again.select("id", "key", "n", "lists"), "classes"), finer, "id", "text", words, similar, unit)
+    return out
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similar: int = SIMILAR, unit: int = UNIT) -> DataFrame:
+    """One row per document: id, n_shingles, component_id (the smallest id reachable by links)."""
+    table = docs.sparkSession.sparkContext.broadcast(frequencies(docs, text_col, words))
+    sets = stored(prepare(docs, table, id_col, text_col, words, similar), "sets")
+    # grouped anew where needed: only the first use reads the lists
+    classes = sets.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("lists").alias("lists"))
+    links = _links(docs, classes, table, id_col, text_col, words, similar, unit)
+    linked = components(reduce(DataFrame.union, links), "linked")
     of_key = classes.select("key", "id").join(linked.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     placed = sets.select("id", "n", "key").join(of_key, "key", "left")
     got = placed.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
