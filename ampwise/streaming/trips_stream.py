@@ -8,7 +8,8 @@ batch rule; the batch rule truncates gaps to whole seconds first). One-row
 sessions are dropped like one-row trips. Sessions are emitted once the
 watermark passes their end (append mode), and rows older than the watermark
 are dropped by Spark and reported as late through the query progress
-(``numRowsDroppedByWatermark``), the streaming counterpart of A22.
+(``numRowsDroppedByWatermark``), the streaming counterpart of A22;
+:func:`count_late_rows` adds them up.
 
 The stream keeps only per-(vehicle, open session) aggregation state, so state
 grows with the number of active vehicles, not with history. Its checkpoint
@@ -20,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ..functions import predicates as P
 from ..functions.scalar import gap_seconds
@@ -65,11 +67,30 @@ def start_trip_stream(spark: SparkSession, source_dir: str, schema, sink_path: s
     return w.start()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as later than the watermark over the query's recent progress."""
-    n = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            n += (op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict)
-                  else getattr(op, "numRowsDroppedByWatermark", 0))
-    return n
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that a query dropped as later than its watermark, over
+    all its progress from the time the listener is added (``recentProgress``
+    keeps only the last batches). ``total`` holds the sum so far."""
+
+    def __init__(self, name: str) -> None:
+        self.name, self.total = name, 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name == self.name:
+            self.total += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def count_late_rows(spark: SparkSession, name: str) -> LateRows:
+    """Start counting the late rows of the query called ``name``; add it before the query starts."""
+    listener = LateRows(name)
+    spark.streams.addListener(listener)
+    return listener
