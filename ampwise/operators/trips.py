@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
@@ -64,14 +64,37 @@ def label_islands(rows: DataFrame, keys: Sequence[str] = ("vin",), order: Sequen
     previous row *of the same run* is added as ``_prev_c`` (null on a run's
     first row), and ``_prev_ts`` likewise."""
     rows = rows.where(F.col("ts").isNotNull())  # a row without a time has no place in any order
-    lags = {"_prev_ts": F.col("ts"), **{f"_prev_{c}": F.col(c) for c in carry}}
-    s = ordered_scan(rows, keys, order, bucket, lags=lags)
-    brk = F.coalesce(gap_seconds("_prev_ts", "ts") > max_gap_s, F.lit(False))
-    s = s.withColumn("_brk", brk)
-    s = ordered_scan(s, keys, order, bucket, cums={id_col: F.col("_brk").cast("long")})
+    lags = {"_prev_ts": "ts", **{f"_prev_{c}": c for c in carry}}
+    if not (isinstance(bucket, str) and bucket in rows.columns):
+        s = ordered_scan(rows, keys, order, bucket, lags={n: F.col(c) for n, c in lags.items()})
+        s = s.withColumn("_brk", F.coalesce(gap_seconds("_prev_ts", "ts") > max_gap_s, F.lit(False)))
+        s = ordered_scan(s, keys, order, bucket, cums={id_col: F.col("_brk").cast("long")})
+        for n in lags:
+            s = s.withColumn(n, F.when(~F.col("_brk"), F.col(n)))
+        return s.drop("_brk")
+
+    # rows are cut into segments inside (key, bucket); the segments' first and last rows decide
+    # across buckets, and each bucket gets one row with its segments' run numbers. The rows are
+    # shuffled once, into (key, bucket), and joined where they are.
+    w = Window.partitionBy(*keys, bucket).orderBy(*[F.col(c) for c in order])
+    r = rows
+    for n, c in lags.items():
+        r = r.withColumn(n, F.lag(c).over(w))
+    r = r.withColumn("_cut", F.col("_prev_ts").isNull() | (gap_seconds("_prev_ts", "ts") > max_gap_s))
+    r = r.withColumn("_seg", F.sum(F.col("_cut").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    at = F.struct(*[F.col(c) for c in order])
+    segs = r.groupBy(*keys, bucket, "_seg").agg(
+        F.min("ts").alias("_first"), F.max_by(F.struct(*[F.col(c).alias(n) for n, c in lags.items()]), at).alias("_tail"))
+    ws = Window.partitionBy(*keys).orderBy(bucket, "_seg")
+    segs = segs.withColumn("_before", F.lag("_tail").over(ws))
+    joins = F.coalesce(gap_seconds("_before._prev_ts", "_first") <= max_gap_s, F.lit(False))
+    segs = segs.withColumn("_no", F.sum((~joins).cast("long")).over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1)
+    one = F.struct(F.col("_seg"), F.col("_no"), F.when(joins, F.col("_before")).alias("_before"))
+    per = segs.groupBy(*keys, bucket).agg(F.array_sort(F.collect_list(one)).alias("_segs"))  # segments of one bucket
+    out = r.join(per, [*keys, bucket]).withColumn("_own", F.element_at("_segs", F.col("_seg").cast("int")))
     for n in lags:
-        s = s.withColumn(n, F.when(~F.col("_brk"), F.col(n)))
-    return s.drop("_brk")
+        out = out.withColumn(n, F.when(F.col("_cut"), F.col(f"_own._before.{n}")).otherwise(F.col(n)))
+    return out.withColumn(id_col, F.col("_own._no")).drop("_cut", "_seg", "_segs", "_own")
 
 
 def label_trips(df: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence[str] = ORDER,
