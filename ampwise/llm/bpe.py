@@ -28,12 +28,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import append_columns, stored
+from ampwise.llm.common import append_columns, small_batches, stored
 from ampwise.llm.pretokens import Splitter, byte_chars
 
 #: Pre-tokens compiled into the lexicon, and those that a worker remembers.
 LEXICON_WORDS = 60_000
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 #: Distinct pre-tokens that a counting task holds before it passes them on.
 COUNTED_AT_ONCE = 400_000
 
@@ -197,6 +197,7 @@ def _splitter(spec: str) -> Splitter:
 
 def pretoken_counts(docs: DataFrame, spec: str, text_col: str = "text") -> DataFrame:
     """Occurrences of every pre-token over all texts: (word, n)."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches):

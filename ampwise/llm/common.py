@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ampwise.session import shared_folder
 
 #: Characters that a worker handles at once; one longer text is a slice of its own.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,11 +50,24 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_CHARS) -> Iterat
         lo = hi
 
 
+#: Rows of an Arrow batch, where the session keeps Spark's default of ten thousand.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let batches of texts take a few megabytes in the JVM and in the worker; a session's own
+    setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def append_columns(df: DataFrame, text: str, fields: list[tuple[str, str]],
                    make: Callable[[], Callable[[list], dict]]) -> DataFrame:
     """Add columns computed from the texts: ``make()`` runs in the worker and returns
     a function from a list of texts (None allowed) to ``{field: values}``.
     Incoming columns named like a new field are replaced by it."""
+    small_batches(df.sparkSession)
     new = {n for n, _ in fields}
     kept = [c for c in df.columns if c not in new]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
@@ -67,6 +80,7 @@ def append_columns(df: DataFrame, text: str, fields: list[tuple[str, str]],
                 got = fn(part.column(text).to_pylist())
                 cols = [part.column(c) for c in kept] + [pa.array(got[n], arrow[n]) for n in arrow]
                 yield pa.RecordBatch.from_arrays(cols, names=kept + list(arrow))
+        pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
     return df.select(*kept).mapInArrow(run, schema)
 
@@ -100,13 +114,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, rows: int, key) -> DataFrame:
+    """At most ``rows`` rows of ``df``, those with the smallest hash of ``key``. The rows are
+    counted first, and a task passes on only those whose hash is small enough for about half
+    as many again, so what reaches the driver does not follow the number of tasks."""
+    total = df.count()
+    h = F.xxhash64(key)
+    if total > 2 * rows:
+        df = df.where(F.pmod(h, F.lit(1 << 62)) < F.lit(int((1 << 62) * min(1.0, 1.5 * rows / total + 100 / total))))
+    return df.orderBy(F.pmod(h, F.lit(1 << 62)), key).limit(rows)
+
+
 def labelled_sample(docs: DataFrame, labelled: DataFrame, target: str, rows: int,
                     id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
     """At most ``rows`` labelled rows, taken in the order of a hash of the id, as
     (text, label) on the driver. ``labelled`` has ``id_col`` and ``target``."""
-    pick = (labelled.where(F.col(target).isNotNull() & F.col(id_col).isNotNull())
-            .select(id_col, F.col(target).cast("int").alias("_y"))
-            .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(rows))
+    rows_ = labelled.where(F.col(target).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.col(target).cast("int").alias("_y"))
+    pick = hash_sample(rows_, rows, F.col(id_col).cast("string"))
     got = docs.select(id_col, F.col(text_col).alias("_t")).join(F.broadcast(pick), id_col).where(F.col("_t").isNotNull())
     return [(r["_t"], r["_y"]) for r in got.orderBy(id_col, "_t").select("_t", "_y").collect()]
 

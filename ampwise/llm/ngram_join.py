@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import join_ids, n_buckets, slices, stored
+from ampwise.llm.common import join_ids, n_buckets, slices, small_batches, stored
 from ampwise.llm.components import Forest, components, forest_batches
 from ampwise.llm.shingles import mix, shingle_sets
 
@@ -56,7 +56,7 @@ from ampwise.llm.shingles import mix, shingle_sets
 WORDS, SIMILAR = 5, 80
 #: log2 of the counters of the frequency table, and how many of them a row carries. The table
 #: has one byte for each.
-SKETCH_BITS, SKETCH_ROW = 24, 1 << 18
+SKETCH_BITS, SKETCH_ROW = 23, 1 << 18
 #: Postings of a list from which on it is dealt by salt.
 HEAVY = 50_000
 #: Shingles of a neighbourhood that one task may gather.
@@ -393,6 +393,7 @@ def _links(docs: DataFrame, classes: DataFrame, table, id_col: str, text_col: st
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similar: int = SIMILAR, unit: int = UNIT) -> DataFrame:
     """One row per document: id, n_shingles, component_id (the smallest id reachable by links)."""
+    small_batches(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(frequencies(docs, text_col, words))
     sets = stored(prepare(docs, table, id_col, text_col, words, similar), "sets")
     # grouped anew where needed: only the first use reads the lists

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import arrow_type, n_buckets, range_bounds
+from ampwise.llm.common import arrow_type, n_buckets, range_bounds, small_batches
 
 #: Characters of a k-mer and of its inner substrings; anchors in a fingerprint.
 K, S, KEPT = 16, 5, 64
@@ -145,6 +145,7 @@ def fingerprints_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str
     range before it (the very first to the last), so every task has all neighbours of its
     own documents and goes through them in order, two texts at a time."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     bounds = range_bounds(rows, "id", 4 * n_buckets(spark))
     n = len(bounds)
