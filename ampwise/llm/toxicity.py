@@ -26,12 +26,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import append_columns, labelled_sample, slices
+from ampwise.llm.common import append_columns, labelled_sample, slices, small_batches
 
 #: Bound of the sample of labelled texts that the logistic model is fitted on.
 SAMPLE = 8000
 #: A feature is learned if this many toxic texts have it and its log ratio is large enough.
 LEAST_TEXTS, LEAST_RATIO, MOST_FEATURES = 4, 2.0, 4000
+#: Quadratic penalty of the weights, and rounds of the descent.
+PENALTY, ROUNDS = 0.03, 600
 #: Lengths of word beginnings used as features.
 BEGINNINGS = (4, 5, 6, 7)
 #: Readings that a worker remembers.
@@ -76,6 +78,8 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> dict[int, int]:
     """Trigrams of character classes over every text: trigram code -> count. The result has
     at most SIZE ** 3 entries whatever the corpus."""
 
+    small_batches(docs.sparkSession)
+
     def run(batches):
         import pyarrow as pa
 
@@ -231,33 +235,34 @@ def fit(sample: list[tuple[str, int]], model: CharacterModel) -> Scorer:
         if y:
             pos.update(text_features(text, reader))
     pos = {f: n for f, n in pos.items() if n >= LEAST_TEXTS}
-    sets = []
+    names = sorted(pos)
+    number = {f: i for i, f in enumerate(names)}
+    sets = []  # of each text, the numbers of its features among these
     for text, y in sample:
-        found = {f for f in text_features(text, reader) if f in pos}
+        found = np.array(sorted(number[f] for f in text_features(text, reader) if f in number), np.int32)
         sets.append(found)
         if not y:
-            neg.update(found)
+            neg.update(names[i] for i in found)
     ratio = {f: math.log((n + 0.2) / (n_pos + 0.2)) - math.log((neg[f] + 1) / (n_neg + 1)) for f, n in pos.items()}
     chosen = sorted((f for f, r in ratio.items() if r >= LEAST_RATIO), key=lambda f: (-pos[f] * ratio[f], f))[:MOST_FEATURES]
     at = {f: i for i, f in enumerate(chosen)}
-    rows, cols = [], []
-    for i, f in enumerate(sets):
-        for x in f:
-            if x in at:
-                rows.append(i)
-                cols.append(at[x])
-    rows, cols = np.array(rows, np.int64), np.array(cols, np.int64)
+    place = np.full(len(names) + 1, -1, np.int64)
+    for f, i in at.items():
+        place[number[f]] = i
+    cols = [place[f] for f in sets]
+    rows = np.concatenate([np.full(int((c >= 0).sum()), i, np.int64) for i, c in enumerate(cols)])
+    cols = np.concatenate([c[c >= 0] for c in cols])
     y = np.array([t for _, t in sample], np.float64)
     w, bias = np.zeros(len(chosen)), math.log(n_pos / n_neg)
     mw, vw, mb, vb = np.zeros(len(chosen)), np.zeros(len(chosen)), 0.0, 0.0
-    for step in range(1, 301):
+    for step in range(1, ROUNDS + 1):
         z = bias + np.bincount(rows, w[cols], len(sample)) if len(rows) else np.full(len(sample), bias)
         g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        gw = (np.bincount(cols, g[rows], len(chosen)) if len(rows) else 0) + 0.3 * w
+        gw = (np.bincount(cols, g[rows], len(chosen)) if len(rows) else 0) + PENALTY * w
         gb = g.sum()
         mw, vw = 0.9 * mw + 0.1 * gw, 0.99 * vw + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
-        rate = 0.1 * (1 - step / 301)
+        rate = 0.1 * (1 - step / (ROUNDS + 1))
         w = np.maximum(0, w - rate * mw / (1 - 0.9 ** step) / (np.sqrt(vw / (1 - 0.99 ** step)) + 1e-9))
         bias -= rate * (mb / (1 - 0.9 ** step)) / (math.sqrt(vb / (1 - 0.99 ** step)) + 1e-9)
     return Scorer(reader, {f: float(w[i]) for f, i in at.items() if w[i] > 1e-3}, float(bias))
