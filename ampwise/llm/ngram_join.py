@@ -56,7 +56,7 @@ from ampwise.llm.shingles import mix, shingle_sets
 WORDS, SIMILAR = 5, 80
 #: log2 of the counters of the frequency table, and how many of them a row carries. The table
 #: has one byte for each.
-SKETCH_BITS, SKETCH_ROW = 23, 1 << 18
+SKETCH_BITS, SKETCH_ROW = 23, 1 << 16
 #: Postings of a list from which on it is dealt by salt.
 HEAVY = 50_000
 #: Shingles of a neighbourhood that one task may gather.
