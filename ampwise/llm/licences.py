@@ -26,6 +26,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ampwise.llm.common import hash_sample
+
 #: Usual notices of public licences, by family.
 NOTICES: dict[str, tuple[str, ...]] = {
     "MIT": (
@@ -211,7 +213,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     of the line."""
     lines = docs.select(F.explode(F.split(F.col(text_col), "\n")).alias("line")).where(
         (F.length("line") >= 20) & (F.length("line") <= 2000) & ~F.lower("line").rlike("licen|copyright|public domain"))
-    return fit([r[0] for r in lines.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_LINES).collect()])
+    return fit([r[0] for r in hash_sample(lines, SAMPLE_LINES, F.col("line")).collect()])
 
 
 def scan(docs: DataFrame, model: Model, text_col: str = "text", out: str = "licences") -> DataFrame:
