@@ -257,7 +257,7 @@ def _neighbour_edges(classes: DataFrame, table, parts: int, similar: int) -> Dat
     dealt = postings.mapInArrow(salted, "a bigint, n bigint, t bigint, salt int, heavy boolean").repartition(parts, "t", "salt").sortWithinPartitions("t", "salt", "n", "a")
 
     def walk(batches):
-        """One forest for the task's lists; heads of heavy lists' bands go on as (t, band, a)."""
+        """One forest for the task's lists; heads of heavy lists' bands go on as (t, band, a), one for each salt."""
         heads: dict[tuple, int] = {}
 
         def pairs():
@@ -272,7 +272,7 @@ def _neighbour_edges(classes: DataFrame, table, parts: int, similar: int) -> Dat
                     if band not in head:
                         head[band] = a
                         if heavy:
-                            heads[(t, band)] = a
+                            heads[(t, salt, band)] = a  # a task may hold several salts of a list
                         if band - 1 in head:
                             xs.append(a)
                             ys.append(head[band - 1])
@@ -286,7 +286,7 @@ def _neighbour_edges(classes: DataFrame, table, parts: int, similar: int) -> Dat
             yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], names=["a", "b", "t", "band"])
         keys = list(heads)
         yield pa.RecordBatch.from_arrays([pa.array([heads[k] for k in keys], pa.int64()), pa.nulls(len(keys), pa.int64()),
-                                          pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int32())], names=["a", "b", "t", "band"])
+                                          pa.array([k[0] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.int32())], names=["a", "b", "t", "band"])
 
     found = stored(dealt.mapInArrow(walk, "a bigint, b bigint, t bigint, band int").distinct(), "neighbours")
     # heads of a heavy list's salts: those of one band meet at the smallest, and with the next band's

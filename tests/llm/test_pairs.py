@@ -77,6 +77,25 @@ def test_join_by_brute_force(spark, unit, seed, monkeypatch):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("parts", [1, 8])
+def test_salts_of_a_list_in_one_task_meet(spark, parts, monkeypatch):
+    """A copied text of 8 words and variants of 9 share one short list, dealt by salt."""
+    monkeypatch.setattr(ngram_join, "HEAVY", 20)
+    texts = []
+    for g in range(8):
+        base = " ".join(f"g{g}w{i}" for i in range(8))
+        texts += [base] * 70 + [f"{base} v{g}x{i}" for i in range(3)]
+    rows = list(enumerate(texts))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == brute_components(rows)
+
+
 def test_search_skips_nothing_between_components():
     rows = copies(7, 20)
     names = [i for i, _ in rows]
