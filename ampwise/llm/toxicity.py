@@ -8,7 +8,11 @@ character trigram model counted over all texts of the corpus. The restored text
 is then scored by a logistic model over its words and word beginnings, learned
 from a bounded sample of labelled texts.
 
-Words of letters only are their own reading and skip the lattice.
+Words of letters only are their own reading, and skip the lattice unless a letter
+is repeated. Where the letters of an observed word make a word as they stand (a
+repeated letter, a look-alike at its edge), that one is kept beside the likelier
+reading by the mean log-probability of a letter. A token is read as a whole, with
+punctuation as filler, and piece by piece, split at punctuation.
 
 Defined cases: a null text counts as empty; an empty text gets the score of a
 text without any learned feature; repeated rows get equal scores; without a
@@ -116,7 +120,8 @@ def restore(observed: str, model: CharacterModel, spaced: bool = False) -> str:
     a word may also end between two of them."""
     logp = model.logp
     # state: (class before last, class of last) -> (score, reading)
-    states: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
+    # readings are linked (reading before, letters), so a long word costs its length
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(EDGE, EDGE): (0.0, None)}
     before = ""
     for ch in observed:
         options = []
@@ -125,10 +130,10 @@ def restore(observed: str, model: CharacterModel, spaced: bool = False) -> str:
         options += [(x, COST_STANDS) for x in LOOKALIKES.get(ch, "")]
         filler = None if ch.isalpha() else COST_FILLER
         repeat = COST_REPEAT if ch == before else None
-        new: dict[tuple[int, int], tuple[float, str]] = {}
+        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
 
         def offer(key, score, text):
-            if key not in new or score > new[key][0] or score == new[key][0] and text < new[key][1]:
+            if key not in new or score > new[key][0] or score == new[key][0] and _unlinked(text) < _unlinked(new[key][1]):
                 new[key] = (score, text)
 
         for (a, b), (score, text) in states.items():
@@ -138,18 +143,32 @@ def restore(observed: str, model: CharacterModel, spaced: bool = False) -> str:
                 offer((a, b), score + repeat, text)
             for x, cost in options:
                 c = class_of(x)
-                offer((b, c), score + cost + float(logp[a, b, c]), text + x)
+                offer((b, c), score + cost + float(logp[a, b, c]), (text, x))
                 if spaced and b != EDGE:
                     s = score + cost + COST_BREAK + float(logp[a, b, EDGE]) + float(logp[b, EDGE, c])
-                    offer((EDGE, c), s, text + " " + x)
+                    offer((EDGE, c), s, (text, " " + x))
         states = new or states
         before = ch
-    return min(((-(s + float(logp[a, b, EDGE])), t) for (a, b), (s, t) in states.items()), default=(0, observed))[1]
+    return min(((-(s + float(logp[a, b, EDGE])), _unlinked(t)) for (a, b), (s, t) in states.items()), default=(0, observed))[1]
 
 
-_TRIPLED = re.compile(r"(.)\1\1")
+def _unlinked(reading: tuple | None) -> str:
+    out = []
+    while reading is not None:
+        reading, x = reading
+        out.append(x)
+    return "".join(reversed(out))
+
+
+_DOUBLED = re.compile(r"(.)\1")
+_RUN = re.compile(r"(.)\1+", re.DOTALL)
+_LONG_RUN = re.compile(r"(.)\1{2,}", re.DOTALL)
+#: Symbols among the look-alikes, those of them that may as well stand between words.
+_SYMBOLS = "".join(c for c in LOOKALIKES if not c.isalnum())
 _INNER = re.compile(r"[^\W_]")
 _APART = re.compile(r"(?<!\S)[^\W_](?:[ .*_-][^\W_]){2,}(?!\S)")
+_PUNCTUATION = re.compile(rf"(?:[^\w{re.escape(_SYMBOLS)}]|_)+")
+_BETWEEN = re.compile(r"(?:[^\w@$€£]|_)+")
 _STRIP = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "@$!|+(<") + "«»“”„’‘…"
 
 
@@ -160,18 +179,40 @@ class Reader:
         self.model = model
 
     def word(self, token: str) -> str:
+        """The likeliest reading of the whole token."""
+        return self.readings(token.strip(_STRIP))[-1]
+
+    def words(self, token: str, may=None) -> list[str]:
+        """Readings of the whole token and of its pieces. ``may`` tells of a word of letters
+        whether a reading with fewer repeats can matter."""
         core = token.strip(_STRIP)
+        out = self.readings(core, may)
+        if not core.isalpha():
+            pieces = {x for split in (_PUNCTUATION, _BETWEEN) for x in split.split(core)} - {"", core}
+            for piece in sorted(pieces):
+                out += self.readings(piece, may)
+        return out
+
+    def readings(self, core: str, may=None) -> list[str]:
+        """The letters as they stand, if they make a word, and the likelier of them and the
+        restored reading (the last one)."""
         if core.isalpha():
-            return restore(core, self.model) if _TRIPLED.search(core) else core
-        core = core.rstrip("!|+(<").lstrip("!|+(<") if core.strip("@$!|+(<").isalpha() else core
-        if core.isalpha():
-            return core
-        bare = core.strip("@$!|+(<")
-        if bare.isalpha() and len(core) - len(bare) > 2:
-            return bare  # a word with a run of symbols about it
-        if not any(map(str.isalpha, core)) or len(core) > 40:
-            return bare
-        return restore(core, self.model)
+            if not _DOUBLED.search(core) or may and not may(core):
+                return [core]
+            raw = core
+        else:
+            raw = core.strip(_SYMBOLS)
+            if not any(map(str.isalpha, raw)):
+                return [raw]
+        seen = restore(_LONG_RUN.sub(r"\1\1", core), self.model)
+        if not raw.isalpha():
+            return [seen]
+        return [raw] if self.per_letter(raw) >= self.per_letter(seen) else [raw, seen]
+
+    def per_letter(self, word: str) -> float:
+        """Mean log-probability of a word's letters and its end."""
+        c = np.concatenate(([EDGE, EDGE], classes(word), [EDGE]))
+        return float(self.model.logp[c[:-2], c[1:-1], c[2:]].mean())
 
     def apart(self, run: str) -> list[str]:
         """Words read from letters set apart."""
@@ -188,11 +229,19 @@ class Scorer:
     def __init__(self, reader: Reader, weights: dict[str, float], bias: float) -> None:
         self.reader, self.weights, self.bias = reader, weights, bias
         self.known: dict[str, tuple] = {}
+        # beginnings of words that have a learned feature, without repeats
+        self.starts = {_RUN.sub(r"\1", f.removesuffix("~")) for f in weights}
+        self.lengths = sorted(set(map(len, self.starts)))
+
+    def may(self, word: str) -> bool:
+        """Whether any reading of a word of letters with fewer repeats can have a learned feature."""
+        least = _RUN.sub(r"\1", word)
+        return any(least[:k] in self.starts for k in self.lengths if k <= len(least))
 
     def hits(self, token: str) -> tuple:
         got = self.known.get(token)
         if got is None:
-            got = tuple(f for f in features(self.reader.word(token)) if f in self.weights)
+            got = tuple({f for w in self.reader.words(token, self.may) for f in features(w) if f in self.weights})
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             self.known[token] = got
@@ -216,7 +265,8 @@ class Scorer:
 def text_features(text: str, reader: Reader) -> set[str]:
     low, out = text.lower(), set()
     for token in set(low.split()):
-        out.update(features(reader.word(token)))
+        for w in reader.words(token):
+            out.update(features(w))
     for run in _APART.findall(low):
         for w in reader.apart(run):
             out.update(features(w))
@@ -237,9 +287,9 @@ def fit(sample: list[tuple[str, int]], model: CharacterModel) -> Scorer:
     pos = {f: n for f, n in pos.items() if n >= LEAST_TEXTS}
     names = sorted(pos)
     number = {f: i for i, f in enumerate(names)}
-    sets = []  # of each text, the numbers of its features among these
+    sets, learned = [], Scorer(reader, dict.fromkeys(names, 0.0), 0.0)  # of each text, the numbers of its features among these
     for text, y in sample:
-        found = np.array(sorted(number[f] for f in text_features(text, reader) if f in number), np.int32)
+        found = np.array(sorted(number[f] for f in learned.found(text)), np.int32)
         sets.append(found)
         if not y:
             neg.update(names[i] for i in found)

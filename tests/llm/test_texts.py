@@ -229,6 +229,29 @@ def test_restoration_of_disguised_words():
     assert "idiot" in reader.apart("i d i o t")
 
 
+def disguise_reader():
+    text = "you stupid idiot stop the clown trash loser moron good will see it is the best of the day and that was all to know " * 30
+    counts = {}
+    c = np.concatenate(([0, 0], toxicity.classes(text), [0]))
+    for a, b, d in zip(c, c[1:], c[2:]):
+        g = int((a * toxicity.SIZE + b) * toxicity.SIZE + d)
+        counts[g] = counts.get(g, 0) + 1
+    return toxicity.Reader(toxicity.CharacterModel(counts))
+
+
+def test_words_disguised_at_edges_by_repeats_and_joined():
+    reader = disguise_reader()
+    for seen, meant in (("!diot", "idiot"), ("idio+", "idiot"), ("(lown", "clown"), ("stuupid", "stupid"), ("idiot!", "idiot"), ("(stop", "stop"), ("good", "good"), ("all", "all"),
+                        ("1d" + "1" * 50 + "0t", "idiot"), ("mor0" + "0" * 200_000 + "n", "moron")):
+        assert reader.word(seen) == meant, seen[:20]
+    for seen, meant in (("you,idiot", {"you", "idiot"}), ("st00pid,m0ron,1diot,cl0wn,l0$er,tr@sh,st00pid", {"moron", "idiot", "clown", "loser", "trash"}),
+                        ("id.iot", {"idiot"}), ("you!idiot", {"you", "idiot"}), ("stop_idiot", {"stop", "idiot"})):
+        assert meant <= set(reader.words(seen)), seen
+    scorer = toxicity.Scorer(reader, {"stupid": 1.0, "idio~": 1.0, "clown": 1.0, "moron": 1.0}, 0.0)
+    for text, meant in (("stuupid", "stupid"), ("a (lown here", "clown"), ("iddiiot", "idio~"), ("stop,m0ron", "moron")):
+        assert scorer.found(text) == {meant} == toxicity.text_features(text, reader) & set(scorer.weights), text
+
+
 # ---- fingerprints --------------------------------------------------------
 
 def test_syncmers_by_definition():
