@@ -163,10 +163,12 @@ def _unlinked(reading: tuple | None) -> str:
 _DOUBLED = re.compile(r"(.)\1")
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
 _LONG_RUN = re.compile(r"(.)\1{2,}", re.DOTALL)
-#: Symbols among the look-alikes, those of them that may as well stand between words.
+#: Symbols among the look-alikes, and a sign that may stand for a letter.
 _SYMBOLS = "".join(c for c in LOOKALIKES if not c.isalnum())
-_INNER = re.compile(r"[^\W_]")
-_APART = re.compile(r"(?<!\S)[^\W_](?:[ .*_-][^\W_]){2,}(?!\S)")
+_SIGN = f"(?:[^\\W_]|[{re.escape(_SYMBOLS)}])"
+_INNER = re.compile(_SIGN)
+#: At least three signs apart, none of them beside a further letter.
+_APART = re.compile(rf"(?<![^\W_])(?<![^\W_]['’]){_SIGN}(?![^\W_])(?:[\s.*_-]++{_SIGN}(?![^\W_])){{2,}}+")
 _PUNCTUATION = re.compile(rf"(?:[^\w{re.escape(_SYMBOLS)}]|_)+")
 _BETWEEN = re.compile(r"(?:[^\w@$€£]|_)+")
 _STRIP = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "@$!|+(<") + "«»“”„’‘…"

@@ -252,6 +252,15 @@ def test_words_disguised_at_edges_by_repeats_and_joined():
         assert scorer.found(text) == {meant} == toxicity.text_features(text, reader) & set(scorer.weights), text
 
 
+def test_letters_apart_in_sentences():
+    reader = disguise_reader()
+    scorer = toxicity.Scorer(reader, {"idiot": 1.0}, 0.0)
+    for text in ("i d i o t", "an i d i o t!", "i d i o t. go", 'the "i d i o t" stop', "(i d i o t)", "i  d\ti\no t", "an i d ! o t here", "you i-d-i-o-t, go", "it can't i d i o t"):
+        assert [w for run in toxicity._APART.findall(text) for w in reader.apart(run) if w == "idiot"], text
+        assert scorer.found(text) == {"idiot"}, text
+    assert not toxicity._APART.findall("a b and c d, it's i go! a clown")
+
+
 # ---- fingerprints --------------------------------------------------------
 
 def test_syncmers_by_definition():
