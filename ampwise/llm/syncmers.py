@@ -3,15 +3,13 @@
 A k-mer of characters is a closed syncmer if the smallest of its inner
 substrings of length s (by hash) is its first or its last one. Whether a k-mer is
 chosen depends on the k-mer alone, so an edit changes anchors only where it
-touches them. A fingerprint keeps the anchors with the smallest hashes, a fixed
-number of distinct ones (all of them in a shorter text), each with the position
-of its first occurrence.
+touches them. A fingerprint keeps every distinct anchor, with the position of its
+first occurrence, so it grows with the text (about one anchor for six characters).
 
-Two fingerprints are likened by position: among the smallest anchors of their
-union, the common ones are put in the order of the first text, and the longest
-subset that also ascends in the second is counted. The share of the union's
-anchors in that subset is an estimate of the Jaccard similarity of the anchors
-that keep their order.
+Two fingerprints are likened by position: the common anchors are put in the order
+of the first text, and the longest subset that also ascends in the second is
+counted. The likeness is that subset's share of the union of anchors: the Jaccard
+similarity of the anchors that keep their order.
 
 Defined cases: a null text counts as empty; the empty text's fingerprint is the
 empty string, alike 1 to another empty one and 0 to any other; a text shorter
@@ -31,8 +29,8 @@ from pyspark.sql import functions as F
 
 from ampwise.llm.common import arrow_type, n_buckets, range_bounds, small_batches
 
-#: Characters of a k-mer and of its inner substrings; anchors in a fingerprint.
-K, S, KEPT = 16, 5, 64
+#: Characters of a k-mer and of its inner substrings.
+K, S = 16, 5
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -81,18 +79,10 @@ def anchors(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return (_mix(h) >> np.uint64(32)).astype(np.uint32), at
 
 
-def smallest(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The KEPT smallest distinct hashes with their first positions, ascending by hash."""
-    if len(hashes) > 4 * KEPT:
-        # enough of the smallest to hold KEPT distinct ones; all if repeats fill them
-        k = 2 * KEPT
-        limit = np.partition(hashes, k)[k]
-        sel = hashes <= limit
-        u, first = np.unique(hashes[sel], return_index=True)
-        if len(u) >= KEPT:
-            return u[:KEPT], at[sel][first[:KEPT]]
+def distinct(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes with their first positions, ascending by hash."""
     u, first = np.unique(hashes, return_index=True)
-    return u[:KEPT], at[first[:KEPT]]
+    return u, at[first]
 
 
 def encode(u: np.ndarray, at: np.ndarray) -> str:
@@ -107,7 +97,7 @@ def decode(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fingerprint(text: str | None) -> str:
-    return encode(*smallest(*anchors(characters(text or ""))))
+    return encode(*distinct(*anchors(characters(text or ""))))
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -118,16 +108,15 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     both, ia, ib = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
     if not len(both):
         return 0.0
-    # of the union, only hashes that either sketch would keep are known to be complete
-    limit = min([int(u[-1]) for u in (ua, ub) if len(u) == KEPT], default=1 << 32)
-    known = both <= limit
-    total = int((ua <= limit).sum() + (ub <= limit).sum() - known.sum())
-    pairs = sorted(zip(pa[ia[known]].tolist(), pb[ib[known]].tolist()))
+    total = len(ua) + len(ub) - len(both)
+    there = pb[ib][np.argsort(pa[ia])]  # positions in the second text, in the order of the first
+    if (there[1:] > there[:-1]).all():
+        return len(there) / total
     tails: list[int] = []  # longest ascending subsequence
-    for _, p in pairs:
+    for p in there.tolist():
         i = bisect_left(tails, p)
         tails[i:i + 1] = [p]
-    return len(tails) / total if total else 0.0
+    return len(tails) / total
 
 
 def edited(codes: np.ndarray, following: np.ndarray) -> np.ndarray:
@@ -204,13 +193,14 @@ def _walk(dealt: DataFrame, kind: str, id_col: str, parts: int = 1) -> DataFrame
                     continue  # a further copy of the guest's id, or a range without documents
                 codes = characters(cols[3][r].as_py())
                 found = anchors(codes)
-                own = smallest(*found)
+                own = distinct(*found)
                 if held is not None:
                     _, id0, codes0, found0, own0 = held
                     new, sketch = _edited_sketch(codes0, found0, codes)
                     text = new.tobytes().decode("utf-32-le", "surrogatepass")
-                    out.append((id0, len(codes0), encode(*own0), text, encode(*sketch), likeness(own0, sketch), likeness(own0, own)))
-                    chars += len(new)
+                    prints = encode(*own0), encode(*sketch)
+                    out.append((id0, len(codes0), prints[0], text, prints[1], likeness(own0, sketch), likeness(own0, own)))
+                    chars += len(new) + sum(map(len, prints))
                     if chars > 4_000_000:
                         yield flush()
                 held = None if guest else (part, key, codes, found, own)
@@ -227,11 +217,11 @@ def _edited_sketch(codes: np.ndarray, found: tuple[np.ndarray, np.ndarray], foll
     new = edited(codes, following)
     stay = len(codes) - len(codes) // 4
     if stay < K or len(new) < K:
-        return new, smallest(*anchors(new))
+        return new, distinct(*anchors(new))
     hashes, at = found
     keep = int(np.searchsorted(at, stay - K, side="right"))
     tail = stay - K + 1
     if len(new) - tail < K:
-        return new, smallest(hashes[:keep], at[:keep])
+        return new, distinct(hashes[:keep], at[:keep])
     h2, at2 = anchors(new[tail:])
-    return new, smallest(np.concatenate([hashes[:keep], h2]), np.concatenate([at[:keep], at2 + tail]))
+    return new, distinct(np.concatenate([hashes[:keep], h2]), np.concatenate([at[:keep], at2 + tail]))

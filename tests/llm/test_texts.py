@@ -308,6 +308,23 @@ def test_likeness_is_of_order():
     assert c < 0.8
 
 
+def test_shared_passage_of_long_texts_is_seen(spark):
+    """A passage of 55 words that two long texts share: its anchors are in both fingerprints, in order."""
+    rnd = random.Random(4)
+    words = lambda n: " ".join("".join(rnd.choices("abcdefghijklmnop", k=5)) for _ in range(n))
+    passage = words(55)
+    a, b, c = words(9000) + " " + passage + " " + words(8000), words(3000) + " " + passage + " " + words(14000), words(17000)
+    shared = set(syncmers.anchors(syncmers.characters(passage))[0].tolist())
+    (ua, pa), (ub, pb) = (syncmers.decode(syncmers.fingerprint(t)) for t in (a, b))
+    assert len(shared) > 30 and shared <= set(ua.tolist()) and shared <= set(ub.tolist())
+    starts = a.index(passage), b.index(passage)
+    one, two = dict(zip(ua.tolist(), pa.tolist())), dict(zip(ub.tolist(), pb.tolist()))
+    assert sum(one[h] - starts[0] == two[h] - starts[1] for h in shared) > 0.9 * len(shared)
+    rows = syncmers.fingerprints_in_order(spark.createDataFrame([(1, a), (2, b), (3, c)], "doc_id long, text string")).collect()
+    near = {r["doc_id"]: r["near_next"] for r in rows}
+    assert near[1] >= 0.9 * len(shared) / len(set(ua.tolist()) | set(ub.tolist())) and near[1] > 5 * near[2]
+
+
 # ---- decontamination -----------------------------------------------------
 
 def brute_windows(texts, items, window=13):
