@@ -308,6 +308,23 @@ def test_likeness_is_of_order():
     assert c < 0.8
 
 
+@pytest.mark.parametrize("nulls,ids", [(1, 60), (40, 60), (40, 0), (1, 1), (1, 0)])
+def test_null_ids_are_dealt(spark, nulls, ids, monkeypatch):
+    """Null ids come first, by their texts' hash; no task has all the rows."""
+    rows = [(None, f"null {i} " * 9) for i in range(nulls)] + [(i * 3, f"text {i} " * 7) for i in range(ids)]
+    dealt, walk = [], syncmers._walk
+    monkeypatch.setattr(syncmers, "_walk", lambda d, *a: dealt.append(d) or walk(d, *a))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {(r["doc_id"], r["fingerprint"]): r for r in syncmers.fingerprints_in_order(df).collect()}
+    ordered = [r["text"] for r in df.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()]
+    name = {t: i for i, t in rows}
+    assert len(got) == len(rows)
+    for a, b in zip(ordered, ordered[1:] + ordered[:1]):
+        assert got[name[a], syncmers.fingerprint(a)]["edited_text"] == a[:len(a) - len(a) // 4] + b[:len(a) // 4]
+    if len(rows) > 30:
+        assert dealt[0].groupBy("part").count().agg(F.max("count")).first()[0] < len(rows) / 3
+
+
 def test_shared_passage_of_long_texts_is_seen(spark):
     """A passage of 55 words that two long texts share: its anchors are in both fingerprints, in order."""
     rnd = random.Random(4)
