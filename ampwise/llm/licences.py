@@ -1,6 +1,7 @@
 """License scans: a trained paragraph classifier. The scan uses DataFrame functions only.
 
-A paragraph is a line of the text. Its sparse features are the words and word
+A paragraph is a line of the text; neighbouring lines up to one without a word (blank,
+or a comment mark alone) are judged together as well. A paragraph's sparse features are the words and word
 pairs that occur in the notices below. A multinomial logistic regression, fitted
 on the driver on those notices (with words left out at random), on scraps of them,
 and on a bounded sample of lines of the corpus as the class "none", gives each
@@ -9,6 +10,10 @@ a family is named is calibrated by leaving each family out in turn: a paragraph
 that is a licence but fits no known family is "unknown". A named family is
 confirmed by comparing the paragraph's word pairs with those of its notices.
 
+Lines judged together count if they have at least half of the word pairs of a
+notice, more than any line by itself: a notice wrapped over them. That find takes
+the place of the lines' finds whose features are mostly that notice's.
+
 Vocabulary words are those of the notices that are rare in the sample of lines;
 every pair feature holds one. A paragraph without any such word has no feature
 and is "none" by the model's bias, so only the others are scored.
@@ -103,6 +108,8 @@ COMMON = 0.005
 CONFIRMED = 0.5
 
 SEPARATOR = "[^a-z0-9]+"
+#: The end of a line and a line without a word after it; words that begin a comment.
+BLANK, COMMENT = "\n[^a-z0-9\n]*(?=\n|$)", "(^|\n)[^a-z0-9\n]*(dnl|rem)(?=[ \t\n]|$)"
 
 
 def words(line: str) -> list[str]:
@@ -225,14 +232,75 @@ def scan(docs: DataFrame, model: Model, text_col: str = "text", out: str = "lice
     numbered = F.transform(lines, lambda x, i: F.struct(i.alias("paragraph"), F.filter(F.split(F.lower(x), SEPARATOR), lambda w: w != "").alias("w")))
     held = F.filter(numbered, lambda p: F.arrays_overlap(p["w"], vocabulary))
     found = F.filter(F.transform(held, lambda p: _judge(p, model)), lambda r: r["licence"] > 0.5)
-    result = F.transform(found, lambda r: F.struct(
+    both = F.struct(found.alias("lines"), F.when(F.size(held) > 1, _wrapped(F.lower(text_col), model)).otherwise(F.array().cast(_JUDGED)).alias("joined"))
+    merged = F.element_at(F.transform(F.array(both), lambda x: _merged(x["lines"], x["joined"], model)), 1)
+    result = F.transform(merged, lambda r: F.struct(
         r["paragraph"].alias("paragraph"), F.when(r["certainty"] >= model.certain, r["family"]).otherwise("unknown").alias("family"),
         r["licence"].alias("probability"), r["certainty"].alias("certainty"), r["likeness"].alias("likeness"),
         ((r["certainty"] >= model.certain) & (r["likeness"] >= CONFIRMED)).alias("confirmed")))
     return docs.drop(out).withColumn(out, result)
 
 
-def _judge(p: Column, model: Model) -> Column:
+_JUDGED = "array<struct<paragraph:int,family:string,licence:double,certainty:double,likeness:double,hits:array<string>,upto:int>>"
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, SEPARATOR), lambda w: w != "")
+
+
+def _wrapped(text: Column, model: Model) -> Column:
+    """Judged runs of lines between blank ones, if wrapped notices; ``paragraph`` is the first
+    line with a word of the vocabulary and ``upto`` the line after the run."""
+    vocabulary = F.lit(model.vocabulary)
+    pieces = F.transform(F.split(text, BLANK), lambda t, k: F.struct(k.alias("k"), F.split(t, "\n").alias("lines")))
+
+    def runs(all_: Column) -> Column:
+        marked = F.transform(all_, lambda q: F.struct(q["k"].alias("k"), q["lines"].alias("lines"), F.transform(q["lines"], lambda x: F.arrays_overlap(_words(x), vocabulary)).alias("held")))
+        several = F.filter(marked, lambda q: F.size(F.filter(q["held"], lambda h: h)) > 1)
+        # the lines before a piece: those of the pieces before, which a blank line ends each
+        placed = F.transform(several, lambda q: F.struct(
+            F.aggregate(F.slice(all_, 1, q["k"]), F.lit(0), lambda n, x: n + F.size(x["lines"])).alias("start"), q["held"].alias("held"), F.size(q["lines"]).alias("n"),
+            _words(F.regexp_replace(F.array_join(q["lines"], "\n"), COMMENT, "\n")).alias("w")))
+        judged = F.transform(placed, lambda q: _judge(F.struct((q["start"] + F.array_position(q["held"], F.lit(True)).cast("int") - 1).alias("paragraph"), q["w"].alias("w"),
+                                                               (q["start"] + q["n"]).alias("upto")), model, joined=True))
+        return F.filter(judged, lambda r: (r["licence"] > 0.5) & (r["pairs"] >= CONFIRMED))
+
+    kept = F.element_at(F.transform(F.array(pieces), runs), 1)
+    return F.transform(kept, lambda r: F.struct(*(r[c].alias(c) for c in ("paragraph", "family", "licence", "certainty", "likeness", "hits", "upto"))))
+
+
+def _merged(lines: Column, joined: Column, model: Model) -> Column:
+    """Finds of lines and of runs of lines that say more than their lines, by paragraph."""
+    shown = ("paragraph", "family", "licence", "certainty", "likeness")
+
+    def plain(finds: Column) -> Column:
+        return F.transform(finds, lambda x: F.struct(*(x[c].alias(c) for c in shown)))
+
+    families = F.map_from_arrays(F.lit(list(FAMILIES)), F.lit(_notices(model)))
+
+    def share(hits: Column, n: Column) -> Column:
+        pairs = F.filter(n, lambda g: F.instr(g, " ") > 0)
+        return F.size(F.array_intersect(hits, pairs)) / F.greatest(F.size(pairs), F.lit(1))
+
+    def within(x: Column, r: Column) -> Column:
+        return (x["paragraph"] >= r["paragraph"]) & (x["paragraph"] < r["upto"])
+
+    # the features of the notices that a run has and none of its lines has as well
+    told = F.transform(joined, lambda r: F.struct(*(r[c].alias(c) for c in (*shown, "upto")), F.flatten(F.filter(
+        F.element_at(families, r["family"]),
+        lambda n: (share(r["hits"], n) >= CONFIRMED) & ~F.exists(lines, lambda x: within(x, r) & (share(x["hits"], n) >= share(r["hits"], n))))).alias("wrapped")))
+    more = F.filter(told, lambda r: F.size(r["wrapped"]) > 0)
+
+    def together(new: Column) -> Column:
+        kept = F.filter(lines, lambda x: ~F.exists(new, lambda r: within(x, r) & (2 * F.size(F.array_intersect(x["hits"], r["wrapped"])) >= F.size(x["hits"]))))
+        return F.array_sort(F.concat(plain(kept), plain(new)))
+
+    return F.when(F.size(joined) == 0, plain(lines)).otherwise(F.element_at(F.transform(F.array(more), together), 1))
+
+
+def _judge(p: Column, model: Model, joined: bool = False) -> Column:
+    """``joined``: of lines judged together; the family is then that of the notice with most of its
+    word pairs there, as words from far apart add up."""
     w = p["w"]
     pairs = F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
     keys = list(model.weights)
@@ -246,19 +314,31 @@ def _judge(p: Column, model: Model) -> Column:
         total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
         families = F.slice(scores, 2, len(FAMILIES))
         best = F.array_max(families)
-        place = F.array_position(families, best).cast("int")
-        sure = 1 / F.aggregate(F.transform(families, lambda s: F.exp(s - best)), F.lit(0.0), lambda a, x: a + x)
+        pairs_of = _pair_likeness(hits, model) if joined else None
+        place = (F.array_position(pairs_of, F.array_max(pairs_of)) if joined else F.array_position(families, best)).cast("int")
+        sure = (F.exp(F.element_at(families, place) - best) if joined else F.lit(1.0)) / F.aggregate(F.transform(families, lambda s: F.exp(s - best)), F.lit(0.0), lambda a, x: a + x)
         return F.struct(p["paragraph"].alias("paragraph"), F.element_at(F.lit(list(FAMILIES)), place).alias("family"),
-                        (1 - F.element_at(e, 1) / total).alias("licence"), sure.alias("certainty"), _likeness(hits, place, model).alias("likeness"))
+                        (1 - F.element_at(e, 1) / total).alias("licence"), sure.alias("certainty"), _likeness(hits, place, model).alias("likeness"), hits.alias("hits"), *((F.array_max(pairs_of).alias("pairs"), p["upto"].alias("upto")) if joined else ()))
 
     return F.element_at(F.transform(F.array(z), with_z), 1)
 
 
 def _likeness(hits: Column, place: Column, model: Model) -> Column:
     """Largest share of a notice's features that the paragraph has, over the family's notices."""
-    known = set(model.vocabulary)
-    notices = [[sorted(grams(words(t), known) & set(model.weights)) for t in NOTICES[f]] for f in FAMILIES]
+    notices = _notices(model)
     most = max(map(len, notices))
     table = F.lit([n + [["\x00"]] * (most - len(n)) for n in notices])
     own = F.element_at(table, place)
     return F.array_max(F.transform(own, lambda n: F.size(F.array_intersect(hits, n)) / F.greatest(F.size(n), F.lit(1))))
+
+
+def _notices(model: Model) -> list[list[list[str]]]:
+    """Features of each family's notices."""
+    known = set(model.vocabulary)
+    return [[sorted(grams(words(t), known) & set(model.weights)) for t in NOTICES[f]] for f in FAMILIES]
+
+
+def _pair_likeness(hits: Column, model: Model) -> Column:
+    """For each family, the largest share of a notice's word pairs among ``hits``."""
+    table = F.lit([[[g for g in n if " " in g] or ["\x00"] for n in f] + [["\x00"]] * (max(map(len, NOTICES.values())) - len(f)) for f in _notices(model)])
+    return F.transform(table, lambda own: F.array_max(F.transform(own, lambda n: F.size(F.array_intersect(hits, n)) / F.size(n))))

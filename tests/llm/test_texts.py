@@ -498,3 +498,19 @@ def test_op9_finds_every_notice(spark):
     rows = {r["doc_id"]: r["text"] or "" for r in docs(spark).collect()}
     for r in queries.QUERIES["op9_licences"](spark, SF).collect():
         assert r["families"] == ",".join(sorted(k for k, v in named.items() if v in rows[r["doc_id"]]))
+
+
+def test_wrapped_notices_are_one_confirmed_find(spark):
+    """The longest notice of each family, wrapped over commented lines, between code and blank lines."""
+    import textwrap
+    model, rows = licences.train(docs(spark)), []
+    for k, f in enumerate(licences.FAMILIES):
+        notice = max(licences.NOTICES[f], key=len)
+        mark = (" * ", "# ", "// ", "", "dnl ")[k % 5]
+        rows.append((f, "int main\n" + mark.rstrip() + "\n\n" + "\n".join(mark + x for x in textwrap.wrap(notice, 46)) + "\n" + mark + "\n\nthe sea was calm\nand then\n"))
+    rows.append(("", "the sea was calm\nand then\n\nunder the moon\nit was open"))
+    got = {r["family"]: r["licences"] for r in licences.scan(spark.createDataFrame(rows, "family string, text string"), model).collect()}
+    for f, _ in rows:
+        assert [(x["family"], x["confirmed"], x["paragraph"]) for x in got[f]] == ([(f, True, 3)] if f else []), f
+    two = "\n".join(("Licensed under the MIT license. See LICENSE file in the project root for full license information.", "Licensed under the Apache License, Version 2.0."))
+    assert [(x["family"], x["paragraph"]) for x in licences.scan(spark.createDataFrame([(two,)], "text string"), model).first()["licences"]] == [("MIT", 0), ("Apache", 1)]
