@@ -24,26 +24,49 @@ LEAST_CERTAIN = 0.35
 REDACTED = "[secret]"
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language can't be told (no text, no letter, or too uncertain)."""
+def _told(spark: SparkSession, docs: DataFrame, reason: str) -> DataFrame:
+    """``docs`` and why the first stage rejects a row (null: it stays). Without a language to
+    learn from, only texts without a letter go."""
     lang, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
     net = langid.fit(docs, F.coalesce(crc_mod("doc_id", 3) != 1, F.lit(False)))
+    letters = F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")
+    if net is None:
+        return docs.withColumn(reason, F.when(~letters, "no letter"))
     told = langid.predict(docs, net, lang_col=lang, score_col=score)
-    return told.where((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= LEAST_CERTAIN)).select(docs.columns)
+    return told.withColumn(reason, F.when(F.col(lang) == langid.UNKNOWN, F.when(letters, "unknown").otherwise("no letter"))
+                           .when(F.col(score) >= LEAST_CERTAIN, F.lit(None)).otherwise("uncertain")).drop(lang, score)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose language can't be told (no text, no letter, or too uncertain)."""
+    reason = fresh(docs, "rejected")
+    return _told(spark, docs, reason).where(F.col(reason).isNull()).select(docs.columns)
+
+
+def language_rejects(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """How many documents the first stage rejects for each reason: rejected, documents."""
+    return _told(spark, docs.select("doc_id", "text", "lang"), "rejected").where("rejected is not null").groupBy("rejected").agg(F.count("*").alias("documents"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, that with the smallest id, of each component of linked documents, and
-    one row of rows with equal id and text. Documents with a null id stay."""
-    found = stored(ngram_join.join(docs.select("doc_id", "text")).where(F.col("doc_id").isNotNull()), "near-duplicates")
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = join_ids(docs, gone, "doc_id", "left_anti")
-    repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    one row of rows with equal id and text. Documents with a null id stay. Where an id has several
+    texts, each is a document of its own."""
+    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
     if not repeated.limit(1).count():
-        return kept.select(docs.columns)
-    once = join_ids(kept, repeated, "doc_id", "left_anti").select(docs.columns)
-    more = join_ids(kept, repeated, "doc_id", "left_semi").select(docs.columns)
-    return once.unionByName(more.dropDuplicates(["doc_id", "text"]))
+        found = stored(ngram_join.join(docs.select("doc_id", "text")).where(F.col("doc_id").isNotNull()), "near-duplicates")
+        return join_ids(docs, found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    twice, own = fresh(docs, "twice"), fresh(docs, "own_id")
+    # rows of an id that occurs again are told by a hash of id and text
+    marked = join_ids(docs, repeated.withColumn(twice, F.lit(True)), "doc_id", "left").withColumn(
+        own, F.when(F.col(twice), F.xxhash64("doc_id", "text", F.col("text").isNull())).otherwise(F.col("doc_id").cast("bigint")))
+    found = stored(ngram_join.join(marked.select(own, "text"), id_col=own).where(F.col(own).isNotNull()), "near-duplicates")
+    ids = marked.where(F.col(twice)).select(own, F.col("doc_id").alias("of")).distinct()
+    keepers = join_ids(found, ids, own, "left").groupBy("component_id").agg(
+        F.min(F.struct(F.coalesce("of", own).alias("of"), F.col(own).alias("own"))).alias("first")).select(F.col("first.own").alias(own))
+    once = join_ids(marked.where(F.col(own).isNotNull() & F.col(twice).isNull()), keepers, own, "left_semi").select(docs.columns)
+    more = join_ids(marked.where(F.col(twice)), keepers, own, "left_semi").select(docs.columns)
+    return docs.where(F.col("doc_id").isNull()).unionByName(once).unionByName(more.dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -198,6 +198,23 @@ def test_stages_on_odd_rows(spark):
     assert stage("BPE")(spark, df, SF).count() == len(ODD) and stage("BPE")(spark, gone, SF).count() == 0
 
 
+def test_without_languages_only_texts_without_a_letter_go(spark):
+    rows = [(1, "The end of the day."), (2, None), (3, ""), (4, "12 34 !"), (5, "день")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r["doc_id"] for r in stage("language")(spark, df, SF).collect()) == [1, 5]
+    assert [tuple(r) for r in corpus_pipeline.language_rejects(spark, df).collect()] == [("no letter", 3)]
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    """Id 7 has a near copy of 3 and a text of its own; id 8 has two, 9 copies the second."""
+    words = lambda p: " ".join(f"{p}{i}" for i in range(40))
+    rows = [(3, words("a")), (7, words("a") + " x"), (7, words("b")), (8, words("c")), (8, words("d")), (8, words("d")), (9, words("d") + " y"), (8, None), (8, ""), (None, words("a"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in stage("n-gram")(spark, df, SF).collect()]
+    want = [(3, words("a")), (7, words("b")), (8, words("c")), (8, words("d")), (8, None), (8, ""), (None, words("a"))]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_redaction_follows_n_chars(spark):
     df = spark.createDataFrame([(1, "é password=hunter22 end", "en", "s", 23)], "doc_id long, text string, lang string, source string, n_chars long")
     r = stage("secret")(spark, df, SF).first()
