@@ -118,3 +118,30 @@ def op10_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ampwise.llm import ngram_join
     return ngram_join.join(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The contract's documents of op11: in one of ten texts (by a hash of the id) the words from
+    one on repeat with a period. A null id leaves its text as it is."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+    marked = docs.withColumn("_h", h).withColumn("_g", F.expr("_h div 10")).withColumn("_w", F.when(F.col("_h") % 10 == 0, words))
+    return marked.withColumn("text", F.expr("""
+        CASE WHEN size(_w) > 0 THEN array_join(transform(_w, (w, i) -> CASE WHEN i < _g % size(_w) THEN w ELSE
+            _w[CAST(_g % size(_w) + (i - _g % size(_w)) % (1 + (size(_w) - _g % size(_w)) div (3 + _g % 8)) AS INT)] END), ' ')
+        ELSE text END""")).drop("_h", "_g", "_w")
+
+
+@_query
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import runs
+    found = runs.find(with_periods(documents(spark, sf_dir).select("doc_id", "text")))
+    top = F.expr("""array_sort(runs, (a, b) -> CASE WHEN a.length * b.period > b.length * a.period THEN -1
+        WHEN a.length * b.period < b.length * a.period THEN 1 WHEN a.start <> b.start THEN IF(a.start < b.start, -1, 1)
+        WHEN a.period <> b.period THEN IF(a.period < b.period, -1, 1) ELSE 0 END)""")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    return found.withColumn("_top", F.get(top, F.lit(0))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("_top.start").alias("start"), F.col("_top.length").alias("length"),
+        F.col("_top.period").alias("period"), F.expr("1000 * _top.length div _top.period").alias("exponent_milli"),
+        F.sha2(F.concat(listed, F.when(F.size("runs") > 0, "\n").otherwise("")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
