@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ampwise.llm import bpe
 from ampwise.llm.common import crc_mod, documents, labels
-from ampwise.llm.oracle import OP6, OP7
+from ampwise.llm.oracle import OP6, OP7, OP12
 
 QUERIES: dict = {}
 #: Where SQL can express the query.
-ORACLE: dict[str, str] = {"op6_ngram_join": OP6, "op7_suffixes": OP7}
+ORACLE: dict[str, str] = {"op6_ngram_join": OP6, "op7_suffixes": OP7, "op12_topk": OP12}
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -145,3 +145,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_top.period").alias("period"), F.expr("1000 * _top.length div _top.period").alias("exponent_milli"),
         F.sha2(F.concat(listed, F.when(F.size("runs") > 0, "\n").otherwise("")).cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@_query
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import topk
+    vectors = topk.quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 64)
+    return topk.top_k(vectors, F.col("id") % 20 == 0, 20)
