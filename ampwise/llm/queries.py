@@ -152,3 +152,10 @@ def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ampwise.llm import topk
     vectors = topk.quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 64)
     return topk.top_k(vectors, F.col("id") % 20 == 0, 20)
+
+
+@_query
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ampwise.llm import variants
+    counts = variants.word_counts(documents(spark, sf_dir), left_out=31)
+    return variants.group(counts).select("word", "form", "root", "n", "n_near", "form_n")
