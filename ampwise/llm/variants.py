@@ -9,11 +9,12 @@ box further away than that is not entered. What a box's words have left to diffe
 then checked letter by letter.
 
 Words are dealt to tasks by trees of the same kind over a bounded sample of words
-(``SAMPLE``), whose boxes are the cells. A word lies in one cell and asks every cell
-that its searches reach; a task builds the k-d tree of a cell's words, then takes the
-asking words as they come. A cell with too many words (of one point, say) is split by
-a hash, and asked in all its parts. A task passes on one row for an asking word: how
-many near words, and which of them is the most frequent.
+(``SAMPLE``), whose boxes are the cells. A word lies in one cell and is sent to every
+later cell (of its length, or of one letter more) that its searches reach, so a pair
+meets once. A task builds the k-d tree of a cell's words, searches it for those words
+themselves, then for the visiting words as they come. A cell with too many words (of
+one point, say) is split by a hash, and visited in all its parts. A task passes on one
+row for a word that found others: how many, and which of them is the most frequent.
 
 A word's form is its most frequent near word, where that is ``TIMES`` times as
 frequent; forms of forms are followed to the last, doubling the step.
@@ -39,8 +40,8 @@ from ampwise.llm.common import SLICE_CHARS, hash_sample, n_buckets, slices, smal
 CHARS, OCCURRENCES, TIMES = 7, 2, 10
 #: Words of a cell (about) and of a box that is not cut; words that the cells are drawn from.
 CELL, BOX, SAMPLE = 32_768, 12, 60_000
-#: Words that a task counts before it passes them on; words that ask at once.
-COUNTED_AT_ONCE, ASKING = 400_000, 20_000
+#: Words that a task counts before it passes them on; visiting words searched for at once.
+COUNTED_AT_ONCE, VISITING = 400_000, 20_000
 #: Pairs checked letter by letter at once.
 PAIRS = 200_000
 
@@ -123,8 +124,8 @@ class Tree:
         self.nodes: list[tuple] = []
         self.leaves: list[np.ndarray] = []
         some = np.flatnonzero(counts.any(1)) if counts.shape[1] else np.arange(0)
-        counts, far = counts[some], 1 << 30
-        low, high = np.zeros(len(some), np.int64), np.full(len(some), far, np.int64)
+        counts = counts[some]
+        low, high = np.zeros(len(some), np.int64), np.full(len(some), np.iinfo(counts.dtype).max // 2)
         todo = [(np.arange(counts.shape[1]), low, high, -1, 0)]
         while todo:
             idx, low, high, parent, side = todo.pop()
@@ -170,20 +171,20 @@ class Tree:
 
     def reach(self, counts: np.ndarray, within: int):
         """(leaf, points) for every leaf whose box lies within an L1 distance of some of the points."""
-        todo = [(0, np.arange(counts.shape[1]), np.full(counts.shape[1], within, np.int64))]
+        todo = [(0, np.arange(counts.shape[1]), np.full(counts.shape[1], within, counts.dtype))]
         while todo:
             node, who, left = todo.pop()
             d, t, low, high, a, b = self.nodes[node]
             if d < 0:
                 yield t, who
                 continue
-            v = counts[d, who].astype(np.int64)
-            out = np.maximum(low - v, 0) + np.maximum(v - high, 0)
-            to_a = left + out - np.maximum(low - v, 0) - np.maximum(v - t + 1, 0)
-            to_b = left + out - np.maximum(t - v, 0) - np.maximum(v - high, 0)
+            # the distance within this letter so far gives way to that from the child's range
+            v = counts[d, who]
+            to_a = left + np.maximum(v - high, 0) - np.maximum(v - (t - 1), 0)
+            to_b = left + np.maximum(low - v, 0) - np.maximum(t - v, 0)
             for child, rest in ((a, to_a), (b, to_b)):
-                go = rest >= 0
-                if go.any():
+                go = np.flatnonzero(rest >= 0)
+                if len(go):
                     todo.append((child, who[go], rest[go]))
 
 
@@ -238,17 +239,26 @@ class Cell:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return tuple(np.concatenate(c) for c in zip(*found))
 
-    def answers(self, words: list[str]) -> tuple[list[str], list[int], list[int], list[str]]:
-        """For the asking words (of one length) with near words here: how many, and the most frequent."""
+    def answers(self, words: list[str] | None = None, n: list[int] | None = None) -> tuple[list[str], list[int], list[int], list[str]]:
+        """Words with near words, how many these are, and the most frequent: of the cell's words
+        among themselves, or of visiting words (of one length) and the cell's."""
+        if words is None:
+            return self._told(self.names, *self.near(self.words), self.names, self.n)
+        names, n_ = np.array(words, object), np.array(n, np.int64)
         q, p = self.near(Words(words))
+        return tuple(a + b for a, b in zip(self._told(names, q, p, self.names, self.n), self._told(self.names, p, q, names, n_)))
+
+    @staticmethod
+    def _told(to: np.ndarray, q: np.ndarray, p: np.ndarray, names: np.ndarray, n: np.ndarray) -> tuple[list[str], list[int], list[int], list[str]]:
         if not len(q):
             return [], [], [], []
-        by = np.lexsort((self.names[p].astype(str), -self.n[p], q))
+        rank = np.empty(len(names), np.int64)
+        rank[np.lexsort((names.astype(str), -n))] = np.arange(len(names))
+        by = np.lexsort((rank[p], q))
         q, p = q[by], p[by]
         start = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
-        many = np.diff(np.append(start, len(q)))
         top = p[start]
-        return [words[i] for i in q[start].tolist()], many.tolist(), self.n[top].tolist(), self.names[top].tolist()
+        return to[q[start]].tolist(), np.diff(np.append(start, len(q))).tolist(), n[top].tolist(), names[top].tolist()
 
 
 def cells(counts: DataFrame) -> dict[int, Tree]:
@@ -304,58 +314,68 @@ def near_words(counts: DataFrame) -> DataFrame:
             words, n = b.column(0).to_pylist(), b.column(1).to_pylist()
             for m, idx in _lengths(words).items():
                 some = [words[i] for i in idx]
-                out: dict[str, list] = {"cell": [], "part": [], "asks": [], "word": [], "n": []}
+                out: dict[str, list] = {"cell": [], "part": [], "visits": [], "word": [], "n": []}
 
-                def add(cell, part, asks, i):
+                def add(cell, part, visits, i):
                     out["cell"].append(cell)
                     out["part"].append(part)
-                    out["asks"].append(asks)
+                    out["visits"].append(visits)
                     out["word"].append(some[i])
-                    out["n"].append(0 if asks else n[idx[i]])
+                    out["n"].append(n[idx[i]])
 
+                home = np.zeros(len(some), np.int64)
                 for cell, who in _reached(trees.value, some, m, 0):
+                    home[who] = cell
                     for i in who.tolist():
-                        add(cell, crc32(some[i].encode()) % parts.get(cell, 1), False, i)
-                for length, within in ((m - 1, 1), (m, 2), (m + 1, 1)):
+                        own = crc32(some[i].encode()) % parts.get(cell, 1)
+                        add(cell, own, False, i)
+                        for part in range(own + 1, parts.get(cell, 1)):
+                            add(cell, part, True, i)
+                for length, within in ((m, 2), (m + 1, 1)):
                     for cell, who in _reached(trees.value, some, length, within):
-                        for i in who.tolist():
+                        for i in who[home[who] < cell].tolist():
                             for part in range(parts.get(cell, 1)):
                                 add(cell, part, True, i)
-                yield pa.RecordBatch.from_arrays([pa.array(out["cell"], pa.int64()), pa.array(out["part"], pa.int32()), pa.array(out["asks"], pa.bool_()),
+                yield pa.RecordBatch.from_arrays([pa.array(out["cell"], pa.int64()), pa.array(out["part"], pa.int32()), pa.array(out["visits"], pa.bool_()),
                                                   pa.array(out["word"], pa.string()), pa.array(out["n"], pa.int64())], names=list(out))
 
-    def ask(batches):
-        at, cell, words, n, asking = None, None, [], [], []
+    def search(batches):
+        at, cell, words, n = None, None, [], []
 
-        def answer():
-            got = [cell.answers([asking[i] for i in idx]) for idx in _lengths(asking).values()] if cell else []
-            asking.clear()
-            cols = [sum(c, []) for c in zip(*got)] if got else [[], [], [], []]
+        def rows(cols):
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())],
                                               names=["word", "n_near", "top_n", "top"])
 
+        def work():
+            """The words held are a cell's own, or visitors of the cell that stands."""
+            nonlocal cell
+            if words and cell is None:
+                cell = Cell(words, n)
+                yield rows(cell.answers())
+            elif words and cell:
+                for idx in _lengths(words).values():
+                    yield rows(cell.answers([words[i] for i in idx], [n[i] for i in idx]))
+            words.clear()
+            n.clear()
+
         for b in batches:
-            for key, part, asks, word, m in zip(*(c.to_pylist() for c in b.columns)):
+            for key, part, visits, word, k in zip(*(c.to_pylist() for c in b.columns)):
                 if (key, part) != at:
-                    if asking:
-                        yield answer()
-                    at, cell, words, n = (key, part), None, [], []
-                if not asks:
-                    words.append(word)
-                    n.append(m)
-                    continue
-                if words:
-                    cell, words, n = Cell(words, n), [], []
-                asking.append(word)
-                if len(asking) >= ASKING:
-                    yield answer()
-        if asking:
-            yield answer()
-
-    dealt = counts.select("word", "n").mapInArrow(deal, "cell bigint, part int, asks boolean, word string, n bigint")
+                    yield from work()
+                    at, cell = (key, part), None
+                if visits and cell is None:
+                    yield from work()
+                    cell = cell or False  # False: a cell without words
+                words.append(word)
+                n.append(k)
+                if visits and len(words) >= VISITING:
+                    yield from work()
+        yield from work()
+
+    dealt = counts.select("word", "n").mapInArrow(deal, "cell bigint, part int, visits boolean, word string, n bigint")
     tasks = max(n_buckets(spark), 2 * (len(full) + sum(parts.values())))
-    answered = dealt.repartition(tasks, "cell", "part").sortWithinPartitions("cell", "part", "asks").mapInArrow(ask, "word string, n_near bigint, top_n bigint, top string")
-    return answered.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct((-F.col("top_n")).alias("less"), "top")).alias("_t")).select(
+    found = dealt.repartition(tasks, "cell", "part").sortWithinPartitions("cell", "part", "visits").mapInArrow(search, "word string, n_near bigint, top_n bigint, top string")
+    return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct((-F.col("top_n")).alias("less"), "top")).alias("_t")).select(
         "word", "n_near", (-F.col("_t.less")).alias("top_n"), F.col("_t.top").alias("top"))
 
 
