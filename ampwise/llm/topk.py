@@ -9,12 +9,13 @@ every row of a block. Blocks are taken in the order of falling bounds and scored
 through the forward index until the next bound is below the k-th score found so far,
 or equal to it with no smaller id in the block.
 
-A query meets its own shard first, while the shard is made. Its k-th score from there
+A query meets a bounded sample of the vectors first (``SAMPLE``, by a hash), whose k-th
+score is a floor, then its own shard, while the shard is made. The k-th score so far
 goes with it to the other shards, so most blocks elsewhere are never scored. Queries
 travel in packed blocks: each shard is one packed row, and the query blocks come to it
 after it, sorted, so a task holds one shard and one block of queries. The index is a
-written table. The centres come from a bounded sample (``SAMPLE`` vectors by a hash);
-they fix an order only, results don't depend on them.
+written table. The centres come from the same sample; they fix an order only, results
+don't depend on them.
 
 Defined cases: null vectors, and those with a null or non-finite component, take no
 part, nor do rows with a null id; shorter vectors count as filled up with zeros; rows
@@ -34,7 +35,7 @@ from ampwise.llm.common import hash_sample, n_buckets, stored
 
 #: Rows of a block, of a shard (about), and queries of a block.
 BLOCK, SHARD, QUERIES = 64, 32_768, 512
-#: Vectors that the centres are fitted on, and centres.
+#: Vectors of the sample that gives the first floors and the centres, and centres.
 SAMPLE, CENTRES = 20_000, 256
 
 _LEAST = -np.iinfo(np.int64).max
@@ -50,12 +51,18 @@ def quantised(vectors: DataFrame, scale: int, id_col: str = "vec_id", vector_col
             .groupBy("id").agg(F.min("components").alias("components")))
 
 
-def centres(vectors: DataFrame, dims: int) -> np.ndarray:
-    """Centres of a bounded sample, by a few rounds of k-means."""
-    rows = hash_sample(vectors, SAMPLE, F.col("id")).select("components").collect()
-    x = np.zeros((len(rows), dims))
-    for i, r in enumerate(rows):
-        x[i, :len(r[0])] = r[0]
+def sampled(vectors: DataFrame, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, rows) of a bounded sample."""
+    got = hash_sample(vectors, SAMPLE, F.col("id")).select("id", "components").collect()
+    x = np.zeros((len(got), dims), np.int64)
+    for i, r in enumerate(got):
+        x[i, :len(r[1])] = r[1]
+    return np.array([r[0] for r in got], np.int64), x
+
+
+def centres(x: np.ndarray) -> np.ndarray:
+    """Centres by a few rounds of k-means."""
+    x = x.astype(np.float64)
     c = x[:: max(1, len(x) // CENTRES)][:CENTRES].copy()
     for _ in range(8):
         near = nearest(x, c)
@@ -64,6 +71,11 @@ def centres(vectors: DataFrame, dims: int) -> np.ndarray:
     return c
 
 
+def in_order(ids: np.ndarray, rows: np.ndarray, centre: np.ndarray) -> "Shard":
+    by = np.lexsort((ids, centre))
+    return Shard(ids[by], rows[by])
+
+
 def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.argmin((c * c).sum(1) - 2.0 * (x @ c.T), axis=1) if len(c) else np.zeros(len(x), np.int64)
 
@@ -178,7 +190,8 @@ def build(vectors: DataFrame, is_query: Column, k: int) -> tuple[DataFrame, int]
     n, dims = facts["n"], max(1, facts["dims"] or 1)
     if not n:
         return None
-    middle = spark.sparkContext.broadcast(centres(vectors, dims))
+    ids, rows = sampled(vectors, dims)
+    middle = spark.sparkContext.broadcast((centres(rows), ids, rows))  # SAMPLE rows at most
     shards = max(-(-n // SHARD), min(n_buckets(spark), -(-n // 2048)))
 
     def matrix(column) -> np.ndarray:
@@ -190,7 +203,7 @@ def build(vectors: DataFrame, is_query: Column, k: int) -> tuple[DataFrame, int]
 
     def place(batches):
         for b in batches:
-            centre = nearest(matrix(b.column(1)).astype(np.float64), middle.value)
+            centre = nearest(matrix(b.column(1)).astype(np.float64), middle.value[0])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(centre, pa.int64())], names=["id", "components", "query", "centre"])
 
     def row(shard, queries, ids, rows, kth=b"", kth_id=b"", found=([], [], [])):
@@ -202,7 +215,7 @@ def build(vectors: DataFrame, is_query: Column, k: int) -> tuple[DataFrame, int]
     schema = pa.schema([("shard", pa.int64()), ("queries", pa.bool_()), ("ids", pa.binary()), ("rows", pa.binary()), ("kind", pa.string()),
                         ("kth", pa.binary()), ("kth_id", pa.binary()), ("query_ids", lists), ("vec_ids", lists), ("scores", lists)])
 
-    def shard_rows(number, parts):
+    def shard_rows(number, parts, sample):
         ids, rows, query, centre = (np.concatenate(c) for c in zip(*parts))
         by = np.lexsort((ids, centre))
         ids, rows, query = ids[by], rows[by], query[by]
@@ -211,22 +224,29 @@ def build(vectors: DataFrame, is_query: Column, k: int) -> tuple[DataFrame, int]
         for lo in range(0, len(at), QUERIES):
             some = at[lo:lo + QUERIES]
             best, best_ids = np.full((len(some), k), _LEAST), np.full((len(some), k), _MOST)
+            search(sample, ids[some], rows[some], k, best, best_ids)
+            # what ranks below the sample's k-th is out; that row itself is found again
+            known = best[:, -1] > _LEAST
+            floor, floor_id = best[:, -1:].copy(), np.where(known, best_ids[:, -1] + 1, _MOST)[:, None]
+            best[:], best_ids[:] = floor, floor_id
             search(shard, ids[some], rows[some], k, best, best_ids)
-            used = best > _LEAST
+            used = (best != floor) | (best_ids != floor_id)
             yield row(number, True, ids[some], rows[some], best[:, -1].astype("<i8").tobytes(), best_ids[:, -1].astype("<i8").tobytes(),
                       (np.repeat(ids[some], k)[used.ravel()], best_ids[used], best[used]))
 
     def pack(batches):
         from pyspark import TaskContext
         number, held, parts = TaskContext.get().partitionId() << 32, 0, []
+        centre, ids, rows = middle.value
+        sample = in_order(ids, rows, nearest(rows.astype(np.float64), centre))
         for b in batches:
             parts.append((b.column(0).to_numpy(), matrix(b.column(1)), b.column(2).to_numpy(zero_copy_only=False), b.column(3).to_numpy()))
             held += b.num_rows
             if held >= 2 * SHARD:  # a range that came out too long is several shards
-                yield from shard_rows(number, parts)
+                yield from shard_rows(number, parts, sample)
                 number, held, parts = number + 1, 0, []
         if held:
-            yield from shard_rows(number, parts)
+            yield from shard_rows(number, parts, sample)
 
     placed = vectors.mapInArrow(place, "id bigint, components array<bigint>, query boolean, centre bigint")
     return stored(placed.repartitionByRange(shards, "centre", "id").mapInArrow(pack, _INDEX), "topk-index"), dims
