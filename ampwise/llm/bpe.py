@@ -6,7 +6,9 @@ words are numbered by counting the words below each branch, so a path yields a
 word number and that number its ids. The automaton is one file of flat arrays
 that Spark distributes (``addFile``) and each Python worker memory-maps. A
 pre-token outside the lexicon is merged exactly, by the ranks of the tokenizer
-file. A worker keeps a bounded table of pre-tokens seen lately.
+file; a long one with a heap of its pairs, in time near its length. A text is cut
+at white space, and a worker keeps a bounded table of the pieces it met lately
+with their ids and decoded text.
 
 Defined cases: null text counts as empty; empty text has no ids and decodes to
 the empty string; repeated rows give repeated rows; an empty table gives an
@@ -16,25 +18,25 @@ for are not read, and an input column named like an output is replaced.
 
 from __future__ import annotations
 
+import heapq
 import json
 import mmap
-import os
 import struct
-import tempfile
 import uuid
+from itertools import islice
 
 import numpy as np
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import append_columns, small_batches, stored
-from ampwise.llm.pretokens import Splitter, byte_chars
+from ampwise.llm.common import append_columns, small_batches, stored, write_bytes
+from ampwise.llm.pretokens import Splitter, byte_chars, pieces
 
-#: Pre-tokens compiled into the lexicon, and those that a worker remembers.
+#: Pre-tokens compiled into the lexicon; pieces that a worker remembers, of so many characters at most.
 LEXICON_WORDS = 60_000
-REMEMBERED = 400_000
-#: Distinct pre-tokens that a counting task holds before it passes them on.
+REMEMBERED, SHORT = 400_000, 64
+#: Distinct pieces that a counting task holds before it passes them on.
 COUNTED_AT_ONCE = 400_000
 
 
@@ -67,6 +69,8 @@ class Merger:
         parts = [chars[b] for b in word.encode("utf-8")]
         parts[-1] += self.suffix
         s = [vocab[p] for p in parts if p in vocab]
+        if len(s) > SHORT:
+            return self._merged_by_heap(s)
         never = len(made)
         ranks = [get(a << 20 | b, never) for a, b in zip(s, s[1:])]
         while ranks:
@@ -82,6 +86,29 @@ class Merger:
                 ranks[i] = get(new << 20 | s[i + 1], never)
         return s
 
+    def _merged_by_heap(self, s: list[int]) -> list[int]:
+        """The same merges (lowest rank, then leftmost) of a long word: symbols linked to their
+        neighbours, pairs in a heap; a pair that has changed since is passed over."""
+        get, made, n = self.rank.get, self.made, len(s)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        heap = [(r, i) for i in range(n - 1) if (r := get(s[i] << 20 | s[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i] if s[i] >= 0 else -1
+            if j < 0 or get(s[i] << 20 | s[j]) != rank:
+                continue
+            s[i], s[j] = made[rank], -1
+            k = after[i] = after[j]
+            if k >= 0:
+                before[k] = i
+                if (r := get(s[i] << 20 | s[k])) is not None:
+                    heapq.heappush(heap, (r, i))
+            h = before[i]
+            if h >= 0 and (r := get(s[h] << 20 | s[i])) is not None:
+                heapq.heappush(heap, (r, h))
+        return [x for x in s if x >= 0]
+
 
 # ---- the automaton -------------------------------------------------------
 
@@ -154,9 +181,11 @@ class Lexicon:
         n, edges, words, ids, self.root = struct.unpack("<qqqqq", self.map[8:48])
         at = 48
 
-        def ints(count: int, kind: str = "<i4") -> np.ndarray:
+        view = memoryview(self.map)
+
+        def ints(count: int, kind: str = "<i4"):
             nonlocal at
-            a = np.frombuffer(self.map, kind, count, at)
+            a = view[at:at + 4 * count].cast("i" if kind == "<i4" else "I")
             at += 4 * count
             return a
 
@@ -175,7 +204,7 @@ class Lexicon:
             e -= base
             n += skip[e]
             s = target[e]
-        return int(n) if self.map[self.final + int(s)] else -1
+        return n if self.map[self.final + s] else -1
 
     def get(self, word: bytes) -> bytes | None:
         """The word's ids as little-endian unsigned 32-bit integers."""
@@ -204,21 +233,25 @@ def pretoken_counts(docs: DataFrame, spec: str, text_col: str = "text") -> DataF
         from collections import Counter
 
         import pyarrow as pa
-        split, counts = _splitter(shared.value).split, Counter()
+        split, seen = _splitter(shared.value).split, Counter()
 
         def flush():
+            counts: Counter = Counter()
+            for piece, n in seen.items():
+                for w in split(piece):
+                    counts[w] += n
+            seen.clear()
             words = list(counts)
             for i in range(0, len(words), 50_000):
                 part = words[i:i + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([counts[w] for w in part], pa.int64())], names=["word", "n"])
-            counts.clear()
 
         for batch in batches:
             for text in batch.column(0):
                 t = text.as_py()
                 if t:
-                    counts.update(split(t))
-                if len(counts) > COUNTED_AT_ONCE:
+                    seen.update(pieces(t))
+                if len(seen) > COUNTED_AT_ONCE:
                     yield from flush()
         yield from flush()
 
@@ -243,38 +276,40 @@ def build_lexicon(docs: DataFrame, spec: str, text_col: str = "text", words: int
     merge = Merger(json.loads(spec))
     blob = compile_lexicon([(w.encode("utf-8"), merge.ids(w)) for w in top])
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
-    with open(path, "wb") as f:
-        f.write(blob)
-    docs.sparkSession.sparkContext.addFile(path)
+    docs.sparkSession.sparkContext.addFile(write_bytes(docs.sparkSession, name, blob))
     return name
 
 
 _WORKER: dict = {}
 
 
-def worker_tables(spec: str, lexicon: str) -> tuple[Merger, "Remembered", Splitter]:
+def worker_table(spec: str, lexicon: str) -> "Remembered":
     """What a worker keeps from task to task for the lexicon in use."""
     if _WORKER.get("of") != lexicon:
-        merge = Merger(json.loads(spec))
-        _WORKER.update(of=lexicon, tables=(merge, Remembered(Lexicon(SparkFiles.get(lexicon)), merge), _splitter(spec)))
-    return _WORKER["tables"]
+        _WORKER.update(of=lexicon, table=Remembered(Lexicon(SparkFiles.get(lexicon)), Merger(json.loads(spec)), _splitter(spec).split))
+    return _WORKER["table"]
 
 
 class Remembered(dict):
-    """pre-token -> ids as bytes; a missing one is looked up in the lexicon, then merged."""
+    """piece -> (ids as bytes, decoded text). The pre-tokens of a new piece are looked up in the
+    lexicon, those not there are merged. When full, the older half goes."""
 
-    def __init__(self, lexicon: Lexicon, merge: Merger) -> None:
+    def __init__(self, lexicon: Lexicon, merge: Merger, split) -> None:
         super().__init__()
-        self.lexicon, self.merge = lexicon, merge
+        self.lexicon, self.merge, self.split = lexicon, merge, split
 
-    def __missing__(self, word: str) -> bytes:
+    def word(self, word: str) -> bytes:
         got = self.lexicon.get(word.encode("utf-8"))
-        if got is None:
-            got = np.array(self.merge.ids(word), "<u4").tobytes()
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = got
+        return np.array(self.merge.ids(word), "<u4").tobytes() if got is None else got
+
+    def __missing__(self, piece: str) -> tuple[bytes, str]:
+        ids = b"".join(map(self.word, self.split(piece)))
+        got = ids, " ".join(map(self.merge.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        if len(piece) <= SHORT:
+            if len(self) >= REMEMBERED:
+                for old in list(islice(self, REMEMBERED // 2)):
+                    del self[old]
+            self[piece] = got
         return got
 
 
@@ -285,13 +320,15 @@ def encode_decode(docs: DataFrame, spec: str, lexicon: str, text_col: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def make():
-        merge, known, splitter = worker_tables(shared.value, lexicon)
-        split, get, token = splitter.split, known.__getitem__, merge.tokens.__getitem__
+        known = worker_table(shared.value, lexicon).__getitem__
 
         def fn(texts: list) -> dict:
-            ids = [b"".join(map(get, split(t))) if t else b"" for t in texts]
-            return {ids_col: ids, decoded_col: [" ".join(map(token, np.frombuffer(b, "<u4").tolist())) for b in ids]}
+            ids, decoded = [], []
+            for t in texts:
+                got = list(map(known, pieces(t))) if t else ()
+                ids.append(b"".join([g[0] for g in got]))
+                decoded.append(" ".join([g[1] for g in got if g[1]]))
+            return {ids_col: ids, decoded_col: decoded}
         return fn
 
     return append_columns(docs, text_col, [(ids_col, "binary"), (decoded_col, "string")], make)
-

@@ -114,6 +114,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_bytes(spark: SparkSession, name: str, data: bytes) -> str:
+    """One file below the shared folder, on whatever file system that is; returns its path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/{name}")
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(data))
+    out.close()
+    return at.toString()
+
+
 def hash_sample(df: DataFrame, rows: int, key) -> DataFrame:
     """At most ``rows`` rows of ``df``, those with the smallest hash of ``key``. The rows are
     counted first, and a task passes on only those whose hash is small enough for about half

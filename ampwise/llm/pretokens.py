@@ -2,9 +2,11 @@
 
 The tokenizer file normalises (NFC, lower case) and splits with one pattern;
 white space is dropped. Texts whose characters lie in a set on which these
-rules are plain (below U+0250) are split with ``re``; any other text goes
-through the library's own normaliser and the pattern's Unicode form. The two
-added tokens are matched before normalisation, as the file says.
+rules are plain (below U+0250, and with a lower case below U+0250) are split
+with ``re``; any other text goes through the library's own normaliser and the
+pattern's Unicode form. The two added tokens are matched before normalisation,
+as the file says. No pre-token, special string or normalised sequence spans
+white space, so :func:`pieces` of a text can be split one by one.
 """
 
 from __future__ import annotations
@@ -15,7 +17,11 @@ import re
 SPECIALS = re.compile(r"(<\|startoftext\|>|<\|endoftext\|>)")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-_PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa0-ɏ]*\Z")
+# letters there whose lower case lies above (or is more than a letter) are not plain: Ə, Ɛ, Ɔ, İ and others
+_LATIN = "".join(c for c in map(chr, range(0xA0, 0x250)) if len(c.lower()) == 1 and ord(c.lower()) < 0x250)
+_PLAIN = re.compile(f"[\\t\\n\\r\\x20-\\x7e{_LATIN}]*\\Z")
+#: Characters at which ``str.split`` cuts though they are no white space to the tokenizer.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 _LETTERS = "a-zA-ZªµºÀ-ÖØ-öø-ɏ"
 _DIGITS = "0-9²³¹¼½¾"
 _PLAIN_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\\s{_LETTERS}{_DIGITS}]+").findall
@@ -26,6 +32,11 @@ def plain(text: str) -> bool:
     return "<|" not in text and _PLAIN.match(text) is not None
 
 
+def pieces(text: str) -> list[str]:
+    """The stretches between white space."""
+    return re.split(r"[ \t\n\r]+", text) if _SEPARATORS.search(text) else text.split()
+
+
 class Splitter:
     """``split(text)`` gives the pre-tokens in order; a special string is its own pre-token."""
 

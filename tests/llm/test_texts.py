@@ -60,6 +60,49 @@ def test_bpe_equals_the_library_on_odd_texts(tokenizer, spec):
         assert " ".join(merge.tokens[i] for i in ids) == tokenizer.decode(want, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("top,seed", [(0x300, 1), (0x2000, 2), (0x10000, 3), (0x1F700, 4)])
+def test_bpe_equals_the_library_over_planes(tokenizer, spec, top, seed):
+    """Any characters below ``top``, piece by piece as both jobs cut texts; half of them letters
+    whose lower case lies elsewhere."""
+    from ampwise.llm.pretokens import pieces, plain
+    merge, split = bpe.Merger(json.loads(spec)), Splitter(tokenizer).split
+    encoder = rans.Encoder(spec, 2)
+    rnd = random.Random(seed)
+    moved = [chr(c) for c in range(0x80, min(top, 0x10000)) if not 0xD800 <= c < 0xE000 and chr(c).lower() != chr(c)]
+    for _ in range(3000):
+        text = "".join(rnd.choice(moved) if rnd.random() < 0.3 else " " if rnd.random() < 0.15 else "<|endoftext|>" if rnd.random() < 0.02
+                       else chr(c if not 0xD800 <= (c := rnd.randrange(top)) < 0xE000 else 65) for _ in range(rnd.randint(1, 16)))
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert [i for p in pieces(text) for w in split(p) for i in merge.ids(w)] == want, text
+        assert np.frombuffer(encoder.text(text), "<u4").tolist() == want + [2], text
+    assert not plain("Əli") and not plain("ƐWE") and plain("Éà Ą")
+
+
+def test_long_words_merge_in_time_near_their_length(tokenizer, spec):
+    merge = bpe.Merger(json.loads(spec))
+    rnd = random.Random(6)
+    for word in ("ab" * 300, "".join(rnd.choice("etaoinshr") for _ in range(5000)), "x" * 999, "é" * 70):
+        assert merge.ids(word) == tokenizer.encode(word, add_special_tokens=False).ids
+    import time
+    started = time.monotonic()
+    assert len(merge.ids("".join(rnd.choice("etaoinshrdlu") for _ in range(1_000_000)))) > 100_000
+    assert time.monotonic() - started < 60
+
+
+def test_a_full_table_drops_its_older_half(spec, tmp_path, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+    path = tmp_path / "lexicon"
+    path.write_bytes(bpe.compile_lexicon([]))
+    from tokenizers import Tokenizer
+    table = bpe.Remembered(bpe.Lexicon(str(path)), bpe.Merger(json.loads(spec)), Splitter(Tokenizer.from_str(spec)).split)
+    for i in range(10):
+        table[f"w{i}"]
+    table["new"]
+    assert list(table) == [f"w{i}" for i in range(5, 10)] + ["new"]
+    table["y" * 500]
+    assert len(table) == 6  # long pieces aren't kept
+
+
 def test_lexicon_holds_exactly_its_words(tmp_path):
     words = {w: [len(w), i] for i, w in enumerate(["a", "ab", "bab", "cab", "tab", "x" * 30, "é", "éa"])}
     path = tmp_path / "lexicon"
