@@ -123,52 +123,34 @@ def merge_day(state: DataFrame, daily: DataFrame, day: str) -> DataFrame:
     (the reference's incremental job). ``state`` holds monthly rows
     ``(vin, stat, freq, time_label, value, weight)``; ``daily`` the stat rows
     of ``day`` (``yyyy-MM-dd``). Callers check R6 (:func:`next_day_allowed`)
-    first. A full outer join on (vin, stat) covers the three cases: vehicle
-    missing today (nothing changes, except a null month entry on day 01),
-    new vehicle (its month starts from today), present in both (null-aware
-    sum, R2 fold step for the speed average). On day 01 a new month starts."""
-    d = F.lit(day).cast("date")
+    first. State and day are grouped together by (vin, stat, label), which
+    covers the three cases: vehicle missing today (its rows pass through; on
+    day 01 it gets a null entry), new vehicle (its month starts from today),
+    present in both (null-aware sum, R2 fold step for the speed average)."""
     y, m, _ = (int(x) for x in day.split("-"))
     label = f"{y}-{m}"
-    first_of_month = day.endswith("-01")
-    today = daily.where(F.col("day") == d)
-    new = today.select("vin", F.explode(F.array(
-        F.struct(F.lit("miles_driven").alias("stat"), F.col("distance_driven").alias("value"),
-                 F.lit(None).cast("long").alias("weight")),
-        F.struct(F.lit("charging_hours").alias("stat"), F.col("charging_hours").alias("value"),
-                 F.lit(None).cast("long").alias("weight")),
-        F.struct(F.lit("average_speed").alias("stat"), F.col("speed_average").alias("value"),
-                 F.coalesce(F.col("speed_n"), F.lit(0)).cast("long").alias("weight")))).alias("r")) \
-        .select("vin", "r.stat", "r.value", "r.weight")
-    cur = state.where(F.col("time_label") == label).select("vin", "stat", "value", "weight")
-    rest = state.where(F.col("time_label") != label)
-    cols = ["vin", "stat", "freq", "time_label", "value", "weight"]
-    if first_of_month:
-        known = state.select("vin", "stat").distinct()
-        missing = known.join(new.select("vin", "stat"), ["vin", "stat"], "left_anti") \
-            .select("vin", "stat", F.lit(None).cast("double").alias("value"),
-                    F.when(F.col("stat") == "average_speed", F.lit(0)).cast("long").alias("weight"))
-        merged = new.unionByName(missing)
-    else:
-        a = cur.select("vin", "stat", F.col("value").alias("a_value"), F.col("weight").alias("a_weight"),
-                       F.lit(True).alias("a_in"))
-        b = new.select("vin", "stat", F.col("value").alias("b_value"), F.col("weight").alias("b_weight"),
-                       F.lit(True).alias("b_in"))
-        j = a.join(b, ["vin", "stat"], "full")
-        folded = _fold_avg(F.struct(F.col("a_value").alias("avg"), F.col("a_weight").alias("n")),
-                           F.struct(F.col("b_value").alias("avg"), F.col("b_weight").alias("n")))
-        summed = F.when(F.col("a_value").isNull() & F.col("b_value").isNull(), F.lit(None).cast("double")) \
-                  .otherwise(F.coalesce(F.col("a_value"), F.lit(0.0)) + F.coalesce(F.col("b_value"), F.lit(0.0)))
-        speed = F.col("stat") == "average_speed"
-        merged = j.select(
-            "vin", "stat",
-            F.when(F.col("b_in").isNull(), F.col("a_value")).when(F.col("a_in").isNull(), F.col("b_value"))
-             .when(speed, folded["avg"]).otherwise(summed).alias("value"),
-            F.when(F.col("b_in").isNull(), F.col("a_weight")).when(F.col("a_in").isNull(), F.col("b_weight"))
-             .when(speed, folded["n"]).otherwise(F.lit(None).cast("long")).alias("weight"))
-    merged = merged.select("vin", "stat", F.lit("monthly").alias("freq"), F.lit(label).alias("time_label"),
-                           "value", "weight")
-    return rest.select(*cols).unionByName(merged.select(*cols))
+    value, weight = F.lit(None).cast("double"), F.lit(None).cast("long")
+    none = F.lit(0).cast("long")
+
+    def entry(kind, label_, value_, weight_):
+        return F.struct(F.lit(kind).alias("kind"), label_.alias("time_label"), value_.alias("value"), weight_.alias("weight"))
+
+    held = [entry("old", F.col("time_label"), F.col("value"), F.col("weight"))]
+    if day.endswith("-01"):  # a known vehicle's new month, should today bring nothing
+        held.append(entry("known", F.lit(label), value, F.when(F.col("stat") == "average_speed", none)))
+    old = state.select("vin", "stat", F.explode(F.array(*held)).alias("e"))
+    new = daily.where(F.col("day") == F.lit(day).cast("date")).select("vin", F.explode(F.array(*[
+        F.struct(F.lit(stat).alias("stat"), entry("new", F.lit(label), F.col(c), w).alias("e")) for stat, c, w in (
+            ("miles_driven", "distance_driven", weight), ("charging_hours", "charging_hours", weight),
+            ("average_speed", "speed_average", F.coalesce(F.col("speed_n"), none).cast("long")))])).alias("r")).select("vin", "r.stat", "r.e")
+    of = lambda kind: F.max(F.when(F.col("e.kind") == kind, F.struct(F.col("e.value").alias("avg"), F.col("e.weight").alias("n"))))
+    g = old.unionByName(new).select("vin", "stat", F.col("e.time_label").alias("time_label"), "e").groupBy("vin", "stat", "time_label").agg(
+        of("old").alias("a"), of("new").alias("b"), of("known").alias("k"))
+    a, b = F.col("a"), F.col("b")
+    summed = F.struct(F.coalesce(a["avg"] + b["avg"], a["avg"], b["avg"]).alias("avg"), weight.alias("n"))
+    got = F.when(a.isNotNull() & b.isNotNull(), F.when(F.col("stat") == "average_speed", _fold_avg(a, b)).otherwise(summed)) \
+           .otherwise(F.coalesce(b, a, F.col("k")))
+    return g.select("vin", "stat", F.lit("monthly").alias("freq"), "time_label", got["avg"].alias("value"), got["n"].alias("weight"))
 
 
 def next_day_allowed(last_day: dt.date | None, day: dt.date) -> bool:

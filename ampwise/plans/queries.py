@@ -7,6 +7,8 @@ same tables. Column names match between both.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..functions import columns
 from ..functions.scalar import day_fraction, r6
-from ..operators import battery, distance, geo, periods, profile, ranking, rollup, stats, trips
+from ..operators import battery, distance, geo, history, periods, profile, ranking, rollup, stats, trips
+from ..session import delete_folder, reliable_checkpoint, shared_folder
 from ..sources import raw
 from ..sources import fixture
 from . import export, jobs, publish
@@ -385,6 +388,80 @@ def q_daily_long(spark, sf_dir):
     return rollup.daily_long(stats.daily_stats(tele(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------- history corrected by late rows
+_BATCH_SQL = (f"SELECT * REPLACE (CAST(vin AS VARCHAR) || '|' || CAST(CAST(ts + INTERVAL {fixture.FILE_LAG.split()[0]} HOUR AS DATE) AS VARCHAR) AS vin) FROM tele")
+
+
+def _batch_rows_sql(label: str, hourly: bool = False) -> str:
+    """Stat rows of every file day, combined per vehicle and label."""
+    return f"""(SELECT vin, time_label, max(batch) AS batch,
+  CASE WHEN count(*) = 1 THEN max(distance_driven) ELSE {S.sum6('distance_driven')} END AS distance_driven,
+  CASE WHEN count(*) = 1 THEN max(charging_hours) ELSE {S.sum6('charging_hours')} END AS charging_hours,
+  CASE WHEN count(*) = 1 THEN max(speed_average)
+       ELSE sum(speed_average * speed_n) / nullif(sum(CASE WHEN speed_average IS NOT NULL THEN speed_n END), 0) END AS speed_average,
+  CAST(sum(speed_n) AS BIGINT) AS speed_n
+FROM (SELECT * REPLACE (CAST(split_part(vin, '|', 1) AS BIGINT) AS vin), CAST(split_part(vin, '|', 2) AS DATE) AS batch
+      FROM ({S.stat_row_sql(label, hourly=hourly, source_cte=_BATCH_SQL)}) x) y GROUP BY vin, time_label)"""
+
+
+_HISTORY_SQL = f"""ds AS (SELECT *, CAST(time_label AS DATE) AS day FROM {_batch_rows_sql("strftime(ts, '%Y-%m-%d')")} z),
+fb AS (SELECT vin, min(day) AS f FROM ds GROUP BY vin), lb AS (SELECT max(batch) AS l FROM ds),
+cal AS (SELECT vin, CAST(unnest(generate_series(CAST(f AS TIMESTAMP), CAST(l AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+        FROM fb, lb),
+dd AS (SELECT cal.vin, cal.day, ds.distance_driven, ds.charging_hours, ds.speed_average, ds.speed_n,
+              ds.vin IS NOT NULL AS present
+       FROM cal LEFT JOIN ds ON cal.vin = ds.vin AND cal.day = ds.day)"""
+
+
+def _history(spark, sf_dir, read: Callable) -> DataFrame:
+    """``read`` of a history into which the day files came out of order (each third day, twice
+    others), one part of them without some vehicles at first and then again in full."""
+    t = tele(spark, sf_dir).withColumn("file_day", F.to_date(F.col("ts") + F.expr(f"INTERVAL {fixture.FILE_LAG}")))
+    keys = ("file_day", "vin")
+    rows = reliable_checkpoint(history.stat_rows(stats.period_stats(t, "daily", keys=keys), stats.period_stats(t, "hourly", keys=keys)))
+    third = F.pmod(F.unix_date("batch"), F.lit(3))
+    path = f"{shared_folder(spark)}/history-{uuid.uuid4().hex}"
+    history.apply(spark, path, rows.where((third == 1) & (F.col("vin").cast("long") % 7 != 0)))
+    history.apply(spark, path, rows.where(third == 2))
+    history.compact(spark, path)
+    history.apply(spark, path, rows.where(third == 0))
+    history.apply(spark, path, rows.where(third == 1))
+    got = reliable_checkpoint(read(path).withColumn("vin", F.col("vin").cast("bigint")))
+    delete_folder(spark, path)
+    return got
+
+
+@register("corrected_history", f"""WITH {_HISTORY_SQL},
+m AS (SELECT vin, strftime(day, '%Y') || '-' || CAST(month(day) AS VARCHAR) AS mon,
+             {S.sum6('distance_driven')} AS md, {S.sum6('charging_hours')} AS ch, {_FOLD} AS sp
+      FROM dd GROUP BY 1, 2)
+SELECT vin, 'miles_driven' AS stat, 'monthly' AS freq, mon AS time_label, {S.r6('md')} AS value,
+       CAST(NULL AS BIGINT) AS weight FROM m
+UNION ALL SELECT vin, 'charging_hours', 'monthly', mon, {S.r6('ch')}, CAST(NULL AS BIGINT) FROM m
+UNION ALL SELECT vin, 'average_speed', 'monthly', mon, {S.r6('sp.avg')}, sp.n FROM m
+UNION ALL SELECT vin, 'miles_driven', 'daily', strftime(day, '%Y-%m-%d'), {S.r6('distance_driven')}, CAST(NULL AS BIGINT) FROM dd
+UNION ALL SELECT vin, 'charging_hours', 'daily', strftime(day, '%Y-%m-%d'), {S.r6('charging_hours')}, CAST(NULL AS BIGINT) FROM dd
+UNION ALL SELECT vin, 'average_speed', 'daily', strftime(day, '%Y-%m-%d'), {S.r6('speed_average')},
+                 CAST(COALESCE(speed_n, 0) AS BIGINT) FROM dd""")
+def q_corrected_history(spark, sf_dir):
+    """J10 + R1-R4 + W10: daily and monthly rows of a history that got its day files out of order,
+    with late records for earlier days and a file delivered again."""
+    return _history(spark, sf_dir, lambda path: history.long_rows(spark, path, freqs=("daily", "monthly")))
+
+
+@register("corrected_hours", f"""WITH {_HISTORY_SQL},
+hs AS (SELECT * FROM {_batch_rows_sql("strftime(date_trunc('hour', ts), '%Y-%m-%d %H:00:00')", hourly=True)} z)
+SELECT vin, time_label, {S.r6('distance_driven')} AS distance_driven, charging_hours, {S.r6('speed_average')} AS speed_average, speed_n FROM hs
+UNION ALL SELECT vin, strftime(day, '%Y-%m-%d') || printf(' %02d:00:00', h), NULL, NULL, NULL, 0
+FROM dd, (SELECT unnest(generate_series(0, 23)) AS h) WHERE NOT present""")
+def q_corrected_hours(spark, sf_dir):
+    """R3 hourly: the hours of the same history, 24 of nulls for a day that a known vehicle is missing."""
+    def read(path):
+        h = history.hourly(spark, path)
+        return h.withColumn("distance_driven", r6("distance_driven")).withColumn("speed_average", r6("speed_average"))
+    return _history(spark, sf_dir, read)
+
+
 # ---------------------------------------------------------------- locations (B7, J6) and clusters
 def _lookup(spark, sf_dir):
     """Coordinate lookup stand-in from nation/region (lat, lon text, seq, city, province)."""
@@ -931,16 +1008,20 @@ def q_document_empty_fields(spark, sf_dir):
         F.col("id").alias("event_id"), F.regexp_replace("value", r'"id":\d+,', "").alias("value"))
 
 
-@register("merged_month")
+@register("merged_month", ORACLE["monthly_rollup"])
 def q_merged_month(spark, sf_dir):
-    """J10 + R1-R4 + R6: the monthly state of the first days of February,
-    merged day by day; without SQL, compared with the rollup in the tests."""
-    daily = stats.daily_stats(tele(spark, sf_dir)).withColumn("vin", F.col("vin").cast("string"))
-    daily = daily.where(F.col("day").between(F.lit("2024-02-01").cast("date"), F.lit("2024-02-03").cast("date")))
-    state = spark.createDataFrame([], jobs.MONTHLY_SCHEMA)
-    for d in ("2024-02-01", "2024-02-02", "2024-02-03"):
-        state = rollup.merge_day(state, daily, d)
-    return state
+    """J10 + R1-R4 + R6: all days of the table merged in their order into the monthly state, a day
+    at a time; the state is a written table after each month."""
+    daily = reliable_checkpoint(stats.daily_stats(tele(spark, sf_dir)).select("vin", "day", *history.VALUES))
+    lo, hi = daily.agg(F.min("day"), F.max("day")).first()
+    state = spark.createDataFrame([], jobs.MONTHLY_SCHEMA.replace("vin string", "vin bigint"))
+    day = lo
+    while lo is not None and day <= hi:
+        state = rollup.merge_day(state, daily, day.isoformat())
+        if day.day % 8 == 0:
+            state = reliable_checkpoint(state)
+        day += dt.timedelta(days=1)
+    return state.withColumn("value", r6("value"))
 
 
 @register("brake_pedal_histogram", f"""{S.WITH_TELE}

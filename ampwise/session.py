@@ -86,3 +86,9 @@ def reliable_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     partitions, so a range partitioning is drawn once for all of them."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, on whatever file system it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
