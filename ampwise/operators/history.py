@@ -57,13 +57,11 @@ _VERSIONS = "version bigint, base boolean, batches array<date>, last_batch date,
 LOG = "versions"
 
 
-def stat_rows(daily: DataFrame, hourly: DataFrame | None = None, batch: str = "file_day") -> DataFrame:
-    """Rows for :func:`apply` from daily and hourly stat tables that carry their batch."""
-    def part(df, freq):
-        return df.select(F.lit(freq).alias("freq"), F.col("vin").cast("string").alias("vin"), F.col("time_label").alias("label"),
-                         F.col(batch).cast("date").alias("batch"), *[F.col(c).cast("bigint" if c == "speed_n" else "double").alias(c) for c in VALUES])
-    out = part(daily, "daily")
-    return out if hourly is None else out.unionByName(part(hourly, "hourly"))
+def stat_rows(table: DataFrame, batch: str = "file_day") -> DataFrame:
+    """Rows for :func:`apply` from a stat table of several frequencies that carries its batch
+    (:func:`ampwise.operators.stats.period_stats` with ``freq=("daily", "hourly")``)."""
+    return table.select("freq", F.col("vin").cast("string").alias("vin"), F.col("time_label").alias("label"), F.col(batch).cast("date").alias("batch"),
+                        *[F.col(c).cast("bigint" if c == "speed_n" else "double").alias(c) for c in VALUES])
 
 
 # ---------------------------------------------------------------- versions

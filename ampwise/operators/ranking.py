@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import avg6, missing_time_hours, r6
 from ..session import reliable_checkpoint
+from .periods import KIND, full_soc_filter
 from .scan import scalar_column
 
 
@@ -64,56 +65,54 @@ def of_type(df: DataFrame, vehicles: DataFrame, vintype: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- B21
-def vehicle_ranking(charging: DataFrame, driving: DataFrame, charging_full: DataFrame,
-                    driving_full: DataFrame, vehicles: DataFrame, vintype: str,
-                    day_range: int = 30, min_count_records: int = 20,
-                    min_count_periods: int = 5) -> DataFrame:
-    """A12 x4 -> A13 -> J4 -> J5 x2 -> P1.
-
-    The window end is the last day of the driving (trips on battery) table.
-    Charging and driving periods need more than ``min_count_records`` records
-    (P20); each per-vehicle aggregate keeps vehicles with more than
-    ``min_count_periods`` periods (A13). Charging columns are labelled
-    ``_charging`` and driving columns ``_driving`` (deviation D3; no debug
-    limit, D4)."""
-    end = scalar_column(driving, F.max("day"))
-
-    def window(df, with_count):
-        df = of_type(df, vehicles, vintype).where(F.col("day") > F.date_sub(end, day_range))
-        return df.where(F.col("count_records") > min_count_records) if with_count else df
-
-    base_spec = {"cell_volt_diff_mean": ("wmean", "count"), "battery_temp_min": ("min",),
-                 "battery_temp_max": ("max",), "battery_temp_avg": ("mean",)}
-    chg = by_vehicle(window(charging, True), base_spec)
-    drv = by_vehicle(window(driving, True), base_spec)
-    chg_full = by_vehicle(window(charging_full, False), {"normalized_ah_throughput": ("wmean", "count")})
-    drv_full = by_vehicle(window(driving_full, False),
-                          {"normalized_ah_consumption": ("wmean", "count"),
-                           "normalized_distance_driven": ("wmean",)})
-    chg = chg.where(F.col("cell_volt_diff_mean_count") > min_count_periods)
-    drv = drv.where(F.col("cell_volt_diff_mean_count") > min_count_periods)
-    chg_full = chg_full.where(F.col("normalized_ah_throughput_count") > min_count_periods)
-    drv_full = drv_full.where(F.col("normalized_ah_consumption_count") > min_count_periods)
-
-    def suffixed(df, sfx):
-        return df.select("vin", *[F.col(c).alias(f"{c}{sfx}") for c in df.columns if c != "vin"])
-
-    m = (suffixed(chg, "_charging").join(suffixed(drv, "_driving"), "vin", "full")
-         .join(chg_full, "vin", "left").join(drv_full, "vin", "left"))
-    return m.select(
-        "vin",
-        F.col("battery_temp_min_min_driving").alias("battery_temp_min_driving"),
-        F.col("battery_temp_max_max_driving").alias("battery_temp_max_driving"),
-        F.col("battery_temp_avg_mean_driving").alias("battery_temp_mean_driving"),
-        F.col("cell_volt_diff_mean_wmean_driving").alias("cell_volt_diff_mean_driving"),
-        F.col("battery_temp_min_min_charging").alias("battery_temp_min_charging"),
-        F.col("battery_temp_max_max_charging").alias("battery_temp_max_charging"),
-        F.col("battery_temp_avg_mean_charging").alias("battery_temp_mean_charging"),
-        F.col("cell_volt_diff_mean_wmean_charging").alias("cell_volt_diff_mean_charging"),
-        F.col("normalized_ah_throughput_wmean").alias("normalized_ah_charged_mean"),
-        F.col("normalized_ah_consumption_wmean").alias("normalized_ah_consumption_mean"),
-        F.col("normalized_distance_driven_wmean").alias("normalized_distance_driven_mean"),
-    )
+_CELLS_AND_TEMPERATURES = {"battery_temp_min": ("battery_temp_min", "min"), "battery_temp_max": ("battery_temp_max", "max"),
+                           "battery_temp_mean": ("battery_temp_avg", "mean"), "cell_volt_diff_mean": ("cell_volt_diff_mean", "wmean")}
+#: B21's four tables: the published columns (column and aggregate behind each), and the column whose
+#: values are counted for A13. The first two decide which vehicles are listed.
+RANKED = {
+    "driving": ({f"{n}_driving": c for n, c in _CELLS_AND_TEMPERATURES.items()}, "cell_volt_diff_mean"),
+    "charging": ({f"{n}_charging": c for n, c in _CELLS_AND_TEMPERATURES.items()}, "cell_volt_diff_mean"),
+    "charging_full_soc": ({"normalized_ah_charged_mean": ("normalized_ah_throughput", "wmean")}, "normalized_ah_throughput"),
+    "driving_full_soc": ({"normalized_ah_consumption_mean": ("normalized_ah_consumption", "wmean"),
+                          "normalized_distance_driven_mean": ("normalized_distance_driven", "wmean")}, "normalized_ah_consumption"),
+}
+
+
+def vehicle_ranking(per: DataFrame, vehicles: DataFrame, vintype: str, day_range: int = 30,
+                    min_count_records: int = 20, min_count_periods: int = 5) -> DataFrame:
+    """A12 x4 -> A13 -> J4 -> J5 x2 -> P1, over charging and driving periods in one table
+    (:func:`ampwise.operators.periods.periods_of`), which is checkpointed as it is read for the last
+    day and for the ranking.
+
+    The window end is the last day of the driving periods (trips on battery). Charging and driving
+    periods need more than ``min_count_records`` records (P20); each per-vehicle aggregate keeps
+    vehicles with more than ``min_count_periods`` periods (A13). A period enters each of the four
+    tables of :data:`RANKED` that it belongs to; one aggregate by (vehicle, table) and one by vehicle
+    stand for the aggregates and joins, and vehicles of the driving or the charging table are listed
+    (full outer J4; J5 adds the others' columns). Columns are labelled ``_charging`` and
+    ``_driving`` (deviation D3; no debug limit, D4)."""
+    columns = sorted({c for named, _ in RANKED.values() for c, _ in named.values()})
+    per = reliable_checkpoint(per.select("vin", "kind", "period_no", "day", "end_time", "count_records", "start_soc", "end_soc", "delta_soc", *columns))
+    end = scalar_column(per.where(F.col("kind") == KIND["driving"]), F.max("day"))
+    rows = of_type(per, vehicles, vintype).where(F.col("day") > F.date_sub(end, day_range))
+    many = F.col("count_records") > min_count_records
+    member = {"driving": (F.col("kind") == KIND["driving"]) & many, "charging": (F.col("kind") == KIND["charging"]) & many,
+              "charging_full_soc": (F.col("kind") == KIND["charging"]) & full_soc_filter(charging=True),
+              "driving_full_soc": (F.col("kind") == KIND["driving"]) & full_soc_filter(charging=False)}
+    rows = rows.withColumn("table", F.explode(F.array_compact(F.array(*[F.when(member[t], F.lit(t)) for t in RANKED]))))
+    spec: dict[str, list[str]] = {}
+    for named, counted in RANKED.values():
+        for column, agg in [*named.values(), (counted, "count")]:
+            if agg not in spec.setdefault(column, []):
+                spec[column].append(agg)
+    each = by_vehicle(rows, spec, keys=("vin", "table"))
+    enough = F.lit(False)
+    for t, (_, counted) in RANKED.items():
+        enough = enough | ((F.col("table") == t) & (F.col(f"{counted}_count") > min_count_periods))
+    wide = each.where(enough).groupBy("vin").agg(
+        F.max(F.col("table").isin("driving", "charging")).alias("_listed"),
+        *[F.max(F.when(F.col("table") == t, F.col(f"{c}_{a}"))).alias(name) for t, (named, _) in RANKED.items() for name, (c, a) in named.items()])
+    return wide.where("_listed").drop("_listed")
 
 
 # ---------------------------------------------------------------- W6
@@ -209,13 +208,12 @@ def top_vehicles(periods: DataFrame, vehicles: DataFrame, vintype: str, n: int =
             .select("vin", "vintype", "counts"))
 
 
-def vehicle_series(charging_full: DataFrame, driving_full: DataFrame) -> DataFrame:
+def vehicle_series(per: DataFrame) -> DataFrame:
     """Charging and driving full-SOC periods side by side with the
     missing time in hours (F16 hours form: duration - n*10/3600) and as a
-    share (D9: two separate columns)."""
-    def part(df, kind):
-        return df.select("vin", F.lit(kind).alias("series"), "start_time", "end_time", "day",
-                         "delta_soc", "duration", "count_records",
-                         r6(missing_time_hours("duration", "count_records")).alias("missing_time_h"),
-                         "missing_time_pct")
-    return part(charging_full, "charging").unionByName(part(driving_full, "driving"))
+    share (D9: two separate columns), from one table of both kinds."""
+    charging = F.col("kind") == KIND["charging"]
+    wanted = F.when(charging, full_soc_filter(charging=True)).otherwise((F.col("kind") == KIND["driving"]) & full_soc_filter(charging=False))
+    return per.where(wanted).select(
+        "vin", F.when(charging, F.lit("charging")).otherwise(F.lit("driving")).alias("series"), "start_time", "end_time", "day",
+        "delta_soc", "duration", "count_records", r6(missing_time_hours("duration", "count_records")).alias("missing_time_h"), "missing_time_pct")

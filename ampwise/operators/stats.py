@@ -93,16 +93,22 @@ def _small(c: str, jump) -> Column:
     return F.when(F.abs(F.col(c)) < jump, F.col(c))
 
 
-def period_stats(df: DataFrame, freq: str = "daily", keys: Sequence[str] = ("vin",),
+def period_stats(df: DataFrame, freq: str | Sequence[str] = "daily", keys: Sequence[str] = ("vin",),
                  order: Sequence[str] = ORDER, bucket: Column | str | None = None,
                  jump: float = JUMP_THRESHOLD, min_soc: float = P.MIN_SOC_ON_BATTERY,
                  dedupe: bool = False) -> DataFrame:
     """B8 stat row per (vin, time_label) for ``freq`` in daily/hourly/monthly.
     Rows without a time are left out. ``dedupe`` drops records equal to the one
     before in ``order`` (a line delivered twice); it uses the windows' own
-    partitioning, so it adds no shuffle."""
-    g = df.where(F.col("ts").isNotNull()).withColumn("time_label", time_label("ts", freq))
-    gk = [*keys, "time_label"]
+    partitioning, so it adds no shuffle. Several frequencies give one table with a column
+    ``freq`` from one read of ``df``: a row is taken once for each."""
+    g = df.where(F.col("ts").isNotNull())
+    if isinstance(freq, str):
+        g, gk = g.withColumn("time_label", time_label("ts", freq)), [*keys, "time_label"]
+    else:
+        each = F.explode(F.array(*[F.struct(F.lit(f).alias("freq"), time_label("ts", f).alias("time_label")) for f in freq]))
+        g = g.withColumn("_label", each).withColumn("freq", F.col("_label.freq")).withColumn("time_label", F.col("_label.time_label")).drop("_label")
+        gk = [*keys, "freq", "time_label"]
     if dedupe:
         this = F.struct(*[F.col(c) for c in order])
         g = g.withColumn("_again", F.coalesce(F.lag(this).over(Window.partitionBy(*gk).orderBy(*order)) == this, F.lit(False)))

@@ -56,13 +56,16 @@ def drop_near_duplicates(df: DataFrame, keys: Sequence[str] = ("vin",), order: S
 
 def label_islands(rows: DataFrame, keys: Sequence[str] = ("vin",), order: Sequence[str] = ORDER,
                   max_gap_s: int = TRIP_GAP_S, bucket: Column | str | None = DAY_BUCKET,
-                  id_col: str = "trip_no", carry: Sequence[str] = ("odo",)) -> DataFrame:
+                  id_col: str = "trip_no", carry: Sequence[str] = ("odo",), known: str | None = None) -> DataFrame:
     """Number runs of ``rows`` (already filtered to the qualifying records):
     a run breaks where more than ``max_gap_s`` whole seconds separate a row
     from the key's previous qualifying row. ``id_col`` counts breaks since the
     key's first row. For each column ``c`` of ``carry`` the value on the
     previous row *of the same run* is added as ``_prev_c`` (null on a run's
-    first row), and ``_prev_ts`` likewise."""
+    first row), and ``_prev_ts`` likewise. ``known`` (with a bucket column) adds,
+    for one column that may be null: ``_prev_known``, time and value of the run's
+    last earlier row that has one; ``_last_known``, the place (``order``) of the
+    run's last such row; and the run's ends ``_first_ts`` and ``_last_ts``."""
     rows = rows.where(F.col("ts").isNotNull())  # a row without a time has no place in any order
     lags = {"_prev_ts": "ts", **{f"_prev_{c}": c for c in carry}}
     if not (isinstance(bucket, str) and bucket in rows.columns):
@@ -83,17 +86,33 @@ def label_islands(rows: DataFrame, keys: Sequence[str] = ("vin",), order: Sequen
     r = r.withColumn("_cut", F.col("_prev_ts").isNull() | (gap_seconds("_prev_ts", "ts") > max_gap_s))
     r = r.withColumn("_seg", F.sum(F.col("_cut").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     at = F.struct(*[F.col(c) for c in order])
+    more = []
+    if known:
+        has = F.when(F.col(known).isNotNull(), F.struct(F.col("ts").alias("ts"), F.col(known).cast("double").alias("v")))
+        r = r.withColumn("_pk", F.last(F.when(has.isNotNull(), F.struct(has.alias("k"), "_seg")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        more = [F.max("ts").alias("_end"), F.max(F.when(has.isNotNull(), at)).alias("_known_at"), F.max_by(has, F.when(has.isNotNull(), at)).alias("_known")]
     segs = r.groupBy(*keys, bucket, "_seg").agg(
-        F.min("ts").alias("_first"), F.max_by(F.struct(*[F.col(c).alias(n) for n, c in lags.items()]), at).alias("_tail"))
+        F.min("ts").alias("_first"), F.max_by(F.struct(*[F.col(c).alias(n) for n, c in lags.items()]), at).alias("_tail"), *more)
     ws = Window.partitionBy(*keys).orderBy(bucket, "_seg")
     segs = segs.withColumn("_before", F.lag("_tail").over(ws))
     joins = F.coalesce(gap_seconds("_before._prev_ts", "_first") <= max_gap_s, F.lit(False))
     segs = segs.withColumn("_no", F.sum((~joins).cast("long")).over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1)
-    one = F.struct(F.col("_seg"), F.col("_no"), F.when(joins, F.col("_before")).alias("_before"))
+    told = []
+    if known:
+        run = Window.partitionBy(*keys, "_no")
+        earlier = run.orderBy(bucket, "_seg").rowsBetween(Window.unboundedPreceding, -1)
+        segs = segs.withColumns({"_joins": joins, "_known_before": F.last("_known", ignorenulls=True).over(earlier), "_run_first": F.min("_first").over(run),
+                                 "_run_last": F.max("_end").over(run), "_run_known": F.max("_known_at").over(run)})
+        joins, told = F.col("_joins"), ["_known_before", "_run_first", "_run_last", "_run_known"]
+    one = F.struct(F.col("_seg"), F.col("_no"), F.when(joins, F.col("_before")).alias("_before"), *told)
     per = segs.groupBy(*keys, bucket).agg(F.array_sort(F.collect_list(one)).alias("_segs"))  # segments of one bucket
     out = r.join(per, [*keys, bucket]).withColumn("_own", F.element_at("_segs", F.col("_seg").cast("int")))
     for n in lags:
         out = out.withColumn(n, F.when(F.col("_cut"), F.col(f"_own._before.{n}")).otherwise(F.col(n)))
+    if known:
+        here = F.when(F.col("_pk._seg") == F.col("_seg"), F.col("_pk.k"))
+        out = out.withColumns({"_prev_known": F.coalesce(here, F.col("_own._known_before")), "_last_known": F.col("_own._run_known"),
+                               "_first_ts": F.col("_own._run_first"), "_last_ts": F.col("_own._run_last")}).drop("_pk")
     return out.withColumn(id_col, F.col("_own._no")).drop("_cut", "_seg", "_segs", "_own")
 
 

@@ -215,6 +215,11 @@ def _per_sql(kind: str) -> str:
     return S.period_stats_sql(flag, FIXTURE_PERIOD_GAP_S, 120, k, where)
 
 
+def _both(spark, sf_dir):
+    """Charging and driving periods in one pass."""
+    return periods.periods_of(tele(spark, sf_dir), max_gap_s=FIXTURE_PERIOD_GAP_S)
+
+
 def _by_vehicle_sql(src: str, spec: dict, extra_where: str = "") -> str:
     aggs = []
     for col, names in spec.items():
@@ -264,23 +269,17 @@ FROM m LEFT JOIN c2 ON m.vin = c2.vin LEFT JOIN d2 ON m.vin = d2.vin"""
 def q_vehicle_ranking(spark, sf_dir):
     """A11 recency-weighted means per vehicle of four period tables,
     A13 minimum counts, full outer + two left joins (J4, J5), renames (P1)."""
-    t = tele(spark, sf_dir)
-    chg = periods.periods(t, "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
-    drv = periods.periods(t, "driving", max_gap_s=FIXTURE_PERIOD_GAP_S)
-    return ranking.vehicle_ranking(chg, drv, periods.full_soc(chg, True), periods.full_soc(drv, False),
-                                   fixture.vehicles(spark, sf_dir),
-                                   FIXTURE_VINTYPE, day_range=30, min_count_records=1,
-                                   min_count_periods=1)
+    return ranking.vehicle_ranking(_both(spark, sf_dir), fixture.vehicles(spark, sf_dir), FIXTURE_VINTYPE,
+                                   day_range=30, min_count_records=1, min_count_periods=1)
 
 
 @register("cell_volt_ranking", f"""WITH ds AS ({S.stat_row_sql("strftime(ts, '%Y-%m-%d')")}),
-l AS (SELECT max(day) AS last_daily_stats_day FROM ds),
-b AS (SELECT vin, last_daily_stats_day, max(day) AS last_day, count(day) AS counts,
-             {S.r6(S.avg6('cell_volt_diff_avg'))} AS mean_daily_avg_cell_volt_diff
-      FROM ds, l WHERE vin IN {_VEH_SQL} AND day > CAST(last_daily_stats_day - INTERVAL 30 DAY AS DATE)
-      GROUP BY vin, last_daily_stats_day HAVING count(day) > 5)
-SELECT vin, CAST(row_number() OVER (ORDER BY mean_daily_avg_cell_volt_diff DESC, vin) AS BIGINT) AS row_number,
-       mean_daily_avg_cell_volt_diff, current_date AS update_date, last_daily_stats_day FROM b""")
+recent AS (SELECT vin, cell_volt_diff_avg, newest FROM (SELECT *, max(day) OVER () AS newest FROM ds)
+           WHERE vin IN {_VEH_SQL} AND newest - day < 30),
+spread AS (SELECT vin, newest, {S.r6(S.avg6('cell_volt_diff_avg'))} AS mean_daily_avg_cell_volt_diff
+           FROM recent GROUP BY vin, newest HAVING count(*) >= 6)
+SELECT vin, CAST(rank() OVER (ORDER BY mean_daily_avg_cell_volt_diff DESC, vin) AS BIGINT) AS row_number,
+       mean_daily_avg_cell_volt_diff, current_date AS update_date, newest AS last_daily_stats_day FROM spread""")
 def q_cell_volt_ranking(spark, sf_dir):
     """Last-30-day mean of the daily cell-voltage spread per vehicle of
     one type, at least 6 days, globally ranked (W6) without a single-partition window."""
@@ -337,8 +336,7 @@ def _series_part(kind: str, label: str) -> str:
 UNION ALL {_series_part('driving_full_soc', 'driving')}""")
 def q_vehicle_series(spark, sf_dir):
     """B23 + F16: charging and driving full-SOC periods with missing time."""
-    return ranking.vehicle_series(_per(spark, sf_dir, "charging_full_soc"),
-                                  _per(spark, sf_dir, "driving_full_soc"))
+    return ranking.vehicle_series(_both(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- rollups
@@ -417,8 +415,7 @@ def _history(spark, sf_dir, read: Callable) -> DataFrame:
     """``read`` of a history into which the day files came out of order (each third day, twice
     others), one part of them without some vehicles at first and then again in full."""
     t = tele(spark, sf_dir).withColumn("file_day", F.to_date(F.col("ts") + F.expr(f"INTERVAL {fixture.FILE_LAG}")))
-    keys = ("file_day", "vin")
-    rows = reliable_checkpoint(history.stat_rows(stats.period_stats(t, "daily", keys=keys), stats.period_stats(t, "hourly", keys=keys)))
+    rows = reliable_checkpoint(history.stat_rows(stats.period_stats(t, ("daily", "hourly"), keys=("file_day", "vin"))))
     third = F.pmod(F.unix_date("batch"), F.lit(3))
     path = f"{shared_folder(spark)}/history-{uuid.uuid4().hex}"
     history.apply(spark, path, rows.where((third == 1) & (F.col("vin").cast("long") % 7 != 0)))
@@ -613,16 +610,14 @@ FROM j"""
 def q_current_models(spark, sf_dir):
     """B16 + B18 with the W14 split: constant-current halves and a straight
     line fitted to current over corrected time, per charging period."""
-    lab = periods.label_periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
-    return periods.constant_current_model(lab)
+    return periods.constant_current_models(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
 
 
 @register("current_models_trimmed", _current_models_sql(True))
 def q_current_models_trimmed(spark, sf_dir):
     """B17 + B16/B18: as current_models after trimming the lowest-SOC rows of
     the first side and the highest-SOC rows of the second."""
-    lab = periods.label_periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
-    return periods.constant_current_model(lab, trim=True)
+    return periods.constant_current_models(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S, trim=True)
 
 
 @register("charge_soc_ranges", f"""WITH p AS ({_per_sql('charging')})
@@ -659,7 +654,7 @@ FROM gi""")
 def q_soc_grid(spark, sf_dir):
     """W12 + W13: SOC of each charging period interpolated on a 3-minute grid
     and its slope per minute."""
-    lab = periods.label_periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
+    lab = periods.label_periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S, known="soc")
     return periods.grid_interpolate(lab, step_s=_GRID_STEP)
 
 
@@ -819,7 +814,7 @@ def q_vehicle_days(spark, sf_dir):
 (SELECT start_time, end_time FROM ({_per_sql('charging')}) a UNION ALL SELECT start_time, end_time FROM ({_per_sql('driving')}) b)""")
 def q_period_time_bounds(spark, sf_dir):
     """A24 + U1: first start and last end across charging and driving periods."""
-    return profile.time_bounds(_per(spark, sf_dir, "charging"), _per(spark, sf_dir, "driving"))
+    return profile.time_bounds(_both(spark, sf_dir))
 
 
 @register("period_positions", f"""SELECT vin, period_no, end_time,
@@ -844,7 +839,7 @@ def q_last_records(spark, sf_dir):
 UNION ALL SELECT vin FROM ({_per_sql('driving')}) b)""")
 def q_active_vehicles(spark, sf_dir):
     """Vehicles with charging or driving periods (union of distinct keys)."""
-    return profile.union_keys(_per(spark, sf_dir, "charging"), _per(spark, sf_dir, "driving"))
+    return profile.union_keys(_both(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- K9 / F10-F12 (bulk-index documents)
@@ -872,6 +867,17 @@ def q_trip_index_documents(spark, sf_dir):
     return export.documents(tr, "trips", keep=("vin", "trip_no"))
 
 
+_ALL_KINDS = " UNION ALL ".join(f"SELECT * FROM ({q}) x{i}" for i, q in enumerate((
+    S.period_stats_sql(S.charging("0"), FIXTURE_PERIOD_GAP_S, 120, 1), S.period_stats_sql(S.on_battery(), FIXTURE_PERIOD_GAP_S, 120, 3),
+    S.period_stats_sql(_POLAR_FLAG, FIXTURE_PERIOD_GAP_S, 60, 5, None, 1.0))))
+
+
+@register("periods_of_all_kinds", _ALL_KINDS)
+def q_periods_of_all_kinds(spark, sf_dir):
+    """B9 of kinds 1, 3 and 5 in one pass over the records; charging rows belong to two of them."""
+    return periods.periods_of(tele(spark, sf_dir), ("charging", "driving", "polarization"), max_gap_s=FIXTURE_PERIOD_GAP_S)
+
+
 # ---------------------------------------------------------------- B14, B15, B17, B8 charge SOC ranges
 @register("missing_time_treatments", f"""{_CHG_ROWS},
 m0 AS (SELECT *, lag(ts) OVER w AS lts, soc - lag(soc) OVER w AS dsoc, count(*) OVER (PARTITION BY vin, period_no) AS np,
@@ -893,8 +899,7 @@ def q_missing_time_treatments(spark, sf_dir):
     """B14 + B15 + B12: charging-period durations corrected by a fixed
     offset with a SOC-slope limit and by a current-dependent threshold, and
     the Ah throughput compensated by each."""
-    lab = periods.label_periods(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
-    return periods.missing_time_treatments(lab)
+    return periods.missing_time_treatments(tele(spark, sf_dir), "charging", max_gap_s=FIXTURE_PERIOD_GAP_S)
 
 
 # ---------------------------------------------------------------- end to end from text (S1-S3 -> A1)
