@@ -17,10 +17,10 @@ import datetime as dt
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import rollup, stats, trips
+from ..operators import history, rollup, stats, trips
 from ..sources import raw, schemas
 from ..session import reliable_checkpoint
 from . import export, publish
@@ -96,27 +96,44 @@ def daily_stats_job(spark: SparkSession, root: str, start: str, end: str, table:
     lines = read_days(spark, root, days) if days else None
     if lines is None:            # nothing pending, or no files for the pending days
         return spark.createDataFrame([], "day date, n_rows_before long, n_rows long")
+    lines, seen = _observed(lines, days, schemas.SCHEMA_A_LENGTHS if layout == "a" else schemas.SCHEMA_B_LENGTHS)
     recs = raw.parse_schema_a(lines) if layout == "a" else raw.stat_columns_b(raw.parse_schema_b(lines))
     out = stats.period_stats(recs, freq, keys=("file_day", "vin"), dedupe=True)
     out = out.withColumnRenamed("file_day", "day")
-    done = publish.publish_days(out, table, ledger_path, job, [_iso(d) for d in days])
-    _record_rejects(lines, ledger_path, job, schemas.SCHEMA_A_LENGTHS if layout == "a" else schemas.SCHEMA_B_LENGTHS)
-    return done
+    return publish.publish_days(out, table, ledger_path, job, [_iso(d) for d in days],
+                                lambda: _record_rejects(spark, seen, days, ledger_path, job))
 
 
-REJECT_SCHEMA = "job string, file_day date, n_fields int, n_lines bigint, written_at timestamp"
+REJECT_SCHEMA = "n_read bigint, n_lines bigint, fewest_fields int, most_fields int, written_at timestamp, job string, file_day date"
 
 
-def _record_rejects(lines: DataFrame, ledger_path: str, job: str, lengths) -> None:
-    """Append the counts of lines with a wrong number of fields, per file day."""
-    _, bad = raw.guard(lines.select("value", "file_day"), lengths)
-    rows = bad.select(F.lit(job).alias("job"), "file_day", F.col("n_fields").cast("int").alias("n_fields"),
-                      F.col("n_lines").cast("long").alias("n_lines"), F.current_timestamp().alias("written_at"))
-    rows.write.mode("append").parquet(f"{ledger_path}_rejects")
+def _observed(lines: DataFrame, days: Sequence[str], lengths) -> tuple[DataFrame, Observation]:
+    """S2 + K13: ``lines`` that count themselves while they are read (:meth:`DataFrame.observe`): per
+    pending day the lines, those with a wrong number of fields, and the fewest and most fields of
+    these. No second scan of the text; the numbers are there once the write that reads ``lines``
+    is done. (Should an executor be lost, Spark may read a part of the text again and count it
+    twice; the published rows don't depend on these counts.)"""
+    n, seen = raw.field_count(), Observation()
+    bad = ~n.isin(*lengths)
+    metrics = []
+    for d in days:
+        of = F.col("file_day") == F.lit(_iso(d)).cast("date")
+        metrics += [F.count_if(of).alias(f"read_{d}"), F.count_if(of & bad).alias(f"bad_{d}"),
+                    F.min(F.when(of & bad, n)).alias(f"min_{d}"), F.max(F.when(of & bad, n)).alias(f"max_{d}")]
+    return lines.observe(seen, *metrics), seen
+
+
+def _record_rejects(spark: SparkSession, seen: Observation, days: Sequence[str], ledger_path: str, job: str) -> None:
+    """One row for the job and each file day, replaced when the day runs again."""
+    got = seen.get
+    rows = [(got[f"read_{d}"], got[f"bad_{d}"], got[f"min_{d}"], got[f"max_{d}"], job, dt.date.fromisoformat(_iso(d))) for d in days]
+    schema = ", ".join(f for f in REJECT_SCHEMA.split(", ") if not f.startswith("written_at"))
+    (spark.createDataFrame(rows, schema).withColumn("written_at", F.current_timestamp()).coalesce(1)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job", "file_day").parquet(f"{ledger_path}_rejects"))
 
 
 def rejects(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """Rejected lines per job, file day and field count, of all runs."""
+    """Lines read and rejected per job and file day, as the last run of each counted them."""
     return spark.read.schema(REJECT_SCHEMA).parquet(f"{ledger_path}_rejects")
 
 
@@ -128,12 +145,45 @@ def trips_job(spark: SparkSession, root: str, start: str, end: str, table: str,
     lines = read_days(spark, root, days) if days else None
     if lines is None:
         return spark.createDataFrame([], "day date, n_rows_before long, n_rows long")
+    lines, seen = _observed(lines, days, schemas.SCHEMA_A_LENGTHS)
     recs = raw.duplicates_dropped(raw.parse_schema_a(lines), ("file_day", "vin", "day"))
     t = trips.trips(recs, keys=("file_day", "vin"), max_gap_s=max_gap_s)
     t = t.drop("day").withColumnRenamed("file_day", "day")
-    done = publish.publish_days(t, table, ledger_path, "trips", [_iso(d) for d in days])
-    _record_rejects(lines, ledger_path, "trips", schemas.SCHEMA_A_LENGTHS)
-    return done
+    return publish.publish_days(t, table, ledger_path, "trips", [_iso(d) for d in days],
+                                lambda: _record_rejects(spark, seen, days, ledger_path, "trips"))
+
+
+def history_job(spark: SparkSession, root: str, start: str, end: str, history_path: str, documents_path: str,
+                ledger_path: str, force: bool = False) -> list[str]:
+    """J10 + R1-R4 + K7 with late rows: the pending day files, in whatever order they come, are
+    merged into the stat history (:mod:`ampwise.operators.history`), then the stat documents of the
+    months concerned are written anew, one JSON dataset a month (``documents_path/month=yyyy-MM``).
+    These are the months from the earliest label that the batch touched up to the newest batch, as
+    a late first day makes later months' calendars start earlier. A forced day replaces what it
+    brought before. The ledger is written last: a run that dies before is repeated, which changes
+    nothing that was merged. Returns the months."""
+    days = pending(spark, start, end, ledger_path, "history", force)
+    lines = read_days(spark, root, days) if days else None
+    if lines is None:
+        return []
+    lines, seen = _observed(lines, days, schemas.SCHEMA_A_LENGTHS)
+    table = stats.period_stats(raw.parse_schema_a(lines), ("daily", "hourly"), keys=("file_day", "vin"), dedupe=True)
+    rows = reliable_checkpoint(history.stat_rows(table))
+    batches = [dt.date.fromisoformat(_iso(d)) for d in days]
+    first = rows.agg(F.min(F.substring("label", 1, 7))).first()[0]
+    history.apply(spark, history_path, rows, batches)
+    newest = max(r["last_batch"] for r in history.versions(spark, history_path).collect() if r["last_batch"])
+    months = [] if first is None else [r[0] for r in spark.range(1).select(F.explode(F.sequence(
+        F.to_date(F.lit(first + "-01")), F.trunc(F.lit(newest), "month"), F.expr("INTERVAL 1 MONTH"))).alias("m")).select(F.date_format("m", "yyyy-MM")).collect()]
+    if months:
+        docs = rollup.stat_documents(history.long_rows(spark, history_path, months))
+        at = F.to_date(F.concat("month", F.lit("-01")), "yyyy-M-dd")
+        (docs.withColumn("folder", F.date_format(at, "yyyy-MM")).withColumnRenamed("month", "label").withColumnRenamed("folder", "month")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").json(documents_path))
+    _record_rejects(spark, seen, days, ledger_path, "history")
+    publish.record(spark, ledger_path, "history", rows.groupBy(F.col("batch").alias("day")).agg(F.count("*").alias("n_rows"))
+                   .unionByName(spark.createDataFrame([(b, 0) for b in batches], "day date, n_rows long")).groupBy("day").agg(F.sum("n_rows").alias("n_rows")))
+    return months
 
 
 MONTHLY_SCHEMA = "vin string, stat string, freq string, value double, weight bigint, time_label string"

@@ -12,10 +12,10 @@ an anti join against it, never by listing files on the driver.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
@@ -160,19 +160,24 @@ def newer_than_mark(df: DataFrame, ledger_df: DataFrame, job: str, day: str = "d
 
 
 def publish_days(df: DataFrame, table: str, ledger_path: str, job: str,
-                 days: Sequence | None = None) -> DataFrame:
+                 days: Sequence | None = None, before_ledger: Callable[[], None] | None = None) -> DataFrame:
     """K2 + K13 + R7: replace the batch's days; count the rows of those
     partitions before and after (read back from the table, pruned to the
-    batch's days); record the after counts in the ledger, only after the write
-    committed. ``days`` names the batch's days; without it they are the days
-    found in ``df``, which is checkpointed so that it is computed once. A day of the
-    batch without rows loses its old partition and is recorded with 0 rows.
+    batch's days: file footers, no rows); record the after counts in the ledger, only after the write
+    committed. ``days`` names the batch's days: then ``df`` is computed once, by the write, and the
+    days that it holds are observed on the way (:meth:`DataFrame.observe`; a set of days, so a task
+    that ran twice changes nothing). Without it they are the days found in ``df``, which is
+    checkpointed to be computed once. A day of the
+    batch without rows loses its old partition and is recorded with 0 rows. ``before_ledger`` runs
+    between the write and the ledger, for what has to be there once the ledger says done.
     Returns ``day, n_rows_before, n_rows`` (one row per day of the batch)."""
     spark = df.sparkSession
-    df = reliable_checkpoint(df)
-    filled = [r[0] for r in df.select("day").distinct().collect()]
-    days = filled if days is None else days
+    if days is None:
+        df = reliable_checkpoint(df)
+        days = [r[0] for r in df.select("day").distinct().collect()]
     wanted = sorted({d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in days})
+    seen = Observation()
+    df = df.observe(seen, F.collect_set(F.col("day").cast("date")).alias("days"))
 
     def batch_counts():
         t = spark.table(table).where(F.col("day").isin([F.lit(d) for d in wanted]))
@@ -180,10 +185,12 @@ def publish_days(df: DataFrame, table: str, ledger_path: str, job: str,
 
     before = batch_counts() if spark.catalog.tableExists(table) else {}
     overwrite_days(df, table)
-    for d in sorted(set(before) - set(filled)):
+    for d in sorted(set(before) - set(seen.get["days"])):
         delete_day(spark, table, d.isoformat())
     after = batch_counts()
     rows = [(d, before.get(d, 0), after.get(d, 0)) for d in wanted]
     out = spark.createDataFrame(rows, "day date, n_rows_before long, n_rows long")
+    if before_ledger is not None:
+        before_ledger()
     record(spark, ledger_path, job, out)
     return out

@@ -197,6 +197,10 @@ def test_jobs_end_to_end(spark, tmp_out):
     bad = jobs.rejects(spark, ledger).where("job = 'daily_stats'")
     lines = fixture.raw_lines_a(spark, "/root/testdata/sf0.001")
     assert bad.agg({"n_lines": "sum"}).first()[0] == lines.where(F.size(F.split("value", ",", -1)) == 84).count() > 0
+    assert bad.agg({"n_read": "sum"}).first()[0] == lines.count() and bad.where("n_lines > 0").select("fewest_fields", "most_fields").distinct().collect() == [(84, 84)]
+    # a forced day replaces its counts
+    jobs.daily_stats_job(spark, root, "2024-01-04", "2024-01-04", table, ledger, force=True)
+    assert jobs.rejects(spark, ledger).where("job = 'daily_stats'").agg({"n_read": "sum"}).first()[0] == lines.count()
     # the hourly variant of the same job
     hc = jobs.daily_stats_job(spark, root, "2024-01-01", "2024-01-03", f"hourly_{tag}", ledger, freq="hourly")
     assert hc.count() > 0
@@ -323,3 +327,28 @@ def test_merged_month_equals_the_rollup(spark):
     want = rollup.monthly_rollup(S.daily_stats(fixture.telemetry(spark, sf)))
     key = lambda r: (r.vin, r.stat, r.time_label, None if r.value is None else round(r.value, 5), r.weight)
     assert sorted(map(key, QUERIES["merged_month"](spark, sf).collect()), key=str) == sorted(map(key, want.collect()), key=str)
+
+
+def test_history_job_in_any_order_equals_a_rebuild(spark, tmp_out):
+    """Day files that arrive out of order, a run that dies before the ledger, a forced day: the
+    documents equal those of the rollup over all records."""
+    from ampwise.operators import history, rollup as R, stats as S
+    from ampwise.sources import fixture
+    lines = fixture.raw_lines_a(spark, "/root/testdata/sf0.001")
+    d = F.date_format("file_day", "yyyyMMdd")
+    lines.withColumn("d", d).select("value", "d").write.partitionBy("d").text(os.path.join(tmp_out, "csv"))
+    h, docs, ledger = (os.path.join(tmp_out, x) for x in ("h", "docs", "ledger"))
+    assert jobs.history_job(spark, tmp_out, "2024-02-01", "2024-02-20", h, docs, ledger) == ["2024-01", "2024-02"]
+    assert jobs.history_job(spark, tmp_out, "2024-02-21", "2024-04-10", h, docs, ledger)
+    jobs.history_job(spark, tmp_out, "2024-01-01", "2024-01-31", h, docs, ledger)
+    assert jobs.history_job(spark, tmp_out, "2024-01-01", "2024-04-10", h, docs, ledger) == []
+    jobs.history_job(spark, tmp_out, "2024-02-03", "2024-02-04", h, docs, ledger, force=True)
+    got = R.read_stat_documents(spark, docs)
+    key = lambda r: (r.vin, r.stat, r.freq, r.time_label, None if r.value is None else round(r.value, 5), r.weight)
+    rows = S.period_stats(raw.parse_schema_a(lines), ("daily", "hourly"), keys=("file_day", "vin"), dedupe=True)
+    whole = history.combined(history.stat_rows(rows).where("freq = 'daily'"), ("vin", "label")).withColumn("day", F.to_date("label"))
+    end = F.lit(lines.agg(F.max("file_day")).first()[0])
+    assert sorted(map(key, got.where("freq = 'monthly'").collect()), key=str) == sorted(map(key, R.monthly_rollup(whole, end).collect()), key=str)
+    assert sorted(map(key, got.where("freq = 'daily'").collect()), key=str) == sorted(map(key, R.daily_long(whole, end).collect()), key=str)
+    assert got.where("freq = 'hourly'").count() == history.hourly(spark, h).count() * 3
+    assert jobs.rejects(spark, ledger).where("job = 'history'").agg({"n_read": "sum"}).first()[0] == lines.count()
