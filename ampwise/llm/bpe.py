@@ -8,7 +8,7 @@ that Spark distributes (``addFile``) and each Python worker memory-maps. A
 pre-token outside the lexicon is merged exactly, by the ranks of the tokenizer
 file; a long one with a heap of its pairs, in time near its length. A text is cut
 at white space, and a worker keeps a bounded table of the pieces it met lately
-with their ids and decoded text.
+with their ids.
 
 Defined cases: null text counts as empty; empty text has no ids and decodes to
 the empty string; repeated rows give repeated rows; an empty table gives an
@@ -23,19 +23,20 @@ import json
 import mmap
 import struct
 import uuid
-from itertools import islice
+from array import array
+from collections.abc import Callable
 
 import numpy as np
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import append_columns, small_batches, stored, write_bytes
-from ampwise.llm.pretokens import Splitter, byte_chars, pieces
+from ampwise.llm.common import append_columns, slices, small_batches, stored, write_bytes
+from ampwise.llm.pretokens import AT_ONCE, Recent, Splitter, byte_chars, encoded, piece_table, pieces
 
-#: Pre-tokens compiled into the lexicon; pieces that a worker remembers, of so many characters at most.
+#: Pre-tokens compiled into the lexicon; symbols of a word from which on it is merged by a heap.
 LEXICON_WORDS = 60_000
-REMEMBERED, SHORT = 400_000, 64
+LONG = 64
 #: Distinct pieces that a counting task holds before it passes them on.
 COUNTED_AT_ONCE = 400_000
 
@@ -55,8 +56,9 @@ class Merger:
             x, y = m if not isinstance(m, str) else m.split(" ")
             self.rank.setdefault(number[x] << 20 | number[y], i)
             self.made.append(number[x + y])
+        # the symbol of each byte, inside a word and as its last
+        self.inner, self.last = ([self.vocab.get(c + end) for c in byte_chars()] for end in ("", self.suffix))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.chars = byte_chars()
         tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.tokens = [tokens.get(i, "") for i in range(max(tokens) + 1)]
 
@@ -65,11 +67,12 @@ class Merger:
             return [self.special[word]]
         if not word:
             return []
-        chars, vocab, get, made = self.chars, self.vocab, self.rank.get, self.made
-        parts = [chars[b] for b in word.encode("utf-8")]
-        parts[-1] += self.suffix
-        s = [vocab[p] for p in parts if p in vocab]
-        if len(s) > SHORT:
+        get, made, inner, raw = self.rank.get, self.made, self.inner, word.encode("utf-8")
+        s = [inner[b] for b in raw]
+        s[-1] = self.last[raw[-1]]
+        if None in s:  # bytes that the vocabulary lacks
+            s = [x for x in s if x is not None]
+        if len(s) > LONG:
             return self._merged_by_heap(s)
         never = len(made)
         ranks = [get(a << 20 | b, never) for a, b in zip(s, s[1:])]
@@ -233,12 +236,16 @@ def pretoken_counts(docs: DataFrame, spec: str, text_col: str = "text") -> DataF
         from collections import Counter
 
         import pyarrow as pa
-        split, seen = _splitter(shared.value).split, Counter()
+        split, seen = _splitter(shared.value).lines, Counter()
 
         def flush():
             counts: Counter = Counter()
-            for piece, n in seen.items():
-                for w in split(piece):
+            of = iter(seen.values())
+            n = next(of, 0)
+            for w in split(list(seen)):
+                if w == "\n":  # the next piece's pre-tokens
+                    n = next(of)
+                else:
                     counts[w] += n
             seen.clear()
             words = list(counts)
@@ -247,10 +254,10 @@ def pretoken_counts(docs: DataFrame, spec: str, text_col: str = "text") -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([counts[w] for w in part], pa.int64())], names=["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                t = text.as_py()
-                if t:
-                    seen.update(pieces(t))
+            for part in slices(batch, text_col, AT_ONCE):
+                found = pieces(part.column(0))[0].value_counts()
+                for piece, n in zip(found.field(0).to_numpy(zero_copy_only=False).tolist(), found.field(1).to_numpy().tolist()):
+                    seen[piece] += n
                 if len(seen) > COUNTED_AT_ONCE:
                     yield from flush()
         yield from flush()
@@ -283,34 +290,23 @@ def build_lexicon(docs: DataFrame, spec: str, text_col: str = "text", words: int
 _WORKER: dict = {}
 
 
-def worker_table(spec: str, lexicon: str) -> "Remembered":
-    """What a worker keeps from task to task for the lexicon in use."""
+def worker_table(spec: str, lexicon: str) -> tuple[Recent, list[str]]:
+    """What a worker keeps from task to task for the lexicon in use: the table of pieces, and the tokens."""
     if _WORKER.get("of") != lexicon:
-        _WORKER.update(of=lexicon, table=Remembered(Lexicon(SparkFiles.get(lexicon)), Merger(json.loads(spec)), _splitter(spec).split))
+        merge = Merger(json.loads(spec))
+        _WORKER.update(of=lexicon, table=(piece_table(_splitter(spec), words_of(Lexicon(SparkFiles.get(lexicon)), merge)), merge.tokens))
     return _WORKER["table"]
 
 
-class Remembered(dict):
-    """piece -> (ids as bytes, decoded text). The pre-tokens of a new piece are looked up in the
-    lexicon, those not there are merged. When full, the older half goes."""
-
-    def __init__(self, lexicon: Lexicon, merge: Merger, split) -> None:
-        super().__init__()
-        self.lexicon, self.merge, self.split = lexicon, merge, split
-
-    def word(self, word: str) -> bytes:
-        got = self.lexicon.get(word.encode("utf-8"))
-        return np.array(self.merge.ids(word), "<u4").tobytes() if got is None else got
-
-    def __missing__(self, piece: str) -> tuple[bytes, str]:
-        ids = b"".join(map(self.word, self.split(piece)))
-        got = ids, " ".join(map(self.merge.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        if len(piece) <= SHORT:
-            if len(self) >= REMEMBERED:
-                for old in list(islice(self, REMEMBERED // 2)):
-                    del self[old]
-            self[piece] = got
-        return got
+def words_of(lexicon: Lexicon, merge: Merger) -> Callable[[list[str]], list[bytes]]:
+    """The ids of pre-tokens as bytes: looked up in the lexicon, those not there merged. The line end
+    that stands between texts has none."""
+    def one(word: str) -> bytes:
+        if word == "\n":
+            return b""
+        got = lexicon.get(word.encode("utf-8"))
+        return array("I", merge.ids(word)).tobytes() if got is None else got
+    return lambda words: list(map(one, words))
 
 
 def encode_decode(docs: DataFrame, spec: str, lexicon: str, text_col: str = "text",
@@ -320,15 +316,16 @@ def encode_decode(docs: DataFrame, spec: str, lexicon: str, text_col: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def make():
-        known = worker_table(shared.value, lexicon).__getitem__
-
-        def fn(texts: list) -> dict:
-            ids, decoded = [], []
-            for t in texts:
-                got = list(map(known, pieces(t))) if t else ()
-                ids.append(b"".join([g[0] for g in got]))
-                decoded.append(" ".join([g[1] for g in got if g[1]]))
-            return {ids_col: ids, decoded_col: decoded}
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        table, names = worker_table(shared.value, lexicon)
+        tokens = pa.array(names)
+
+        def fn(texts: pa.Array) -> dict:
+            ids, begin = encoded(texts, table)
+            said = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), tokens.take(pa.array(ids)))
+            raw = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((4 * begin).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+            return {ids_col: raw, decoded_col: pc.binary_join(said, " ")}
         return fn
 
-    return append_columns(docs, text_col, [(ids_col, "binary"), (decoded_col, "string")], make)
+    return append_columns(docs, text_col, [(ids_col, "binary"), (decoded_col, "string")], make, arrow_texts=True, limit=AT_ONCE)

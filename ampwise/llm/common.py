@@ -63,22 +63,23 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def append_columns(df: DataFrame, text: str, fields: list[tuple[str, str]],
-                   make: Callable[[], Callable[[list], dict]]) -> DataFrame:
+                   make: Callable[[], Callable[[list], dict]], arrow_texts: bool = False, limit: int = SLICE_CHARS) -> DataFrame:
     """Add columns computed from the texts: ``make()`` runs in the worker and returns
-    a function from a list of texts (None allowed) to ``{field: values}``.
-    Incoming columns named like a new field are replaced by it."""
+    a function from a list of texts (None allowed) to ``{field: values}``; with ``arrow_texts``
+    from the Arrow column to Arrow arrays.
+    Incoming columns named like a new field (in any case) are replaced by it."""
     small_batches(df.sparkSession)
-    new = {n for n, _ in fields}
-    kept = [c for c in df.columns if c not in new]
+    new = {n.lower() for n, _ in fields}
+    kept = [c for c in df.columns if c.lower() not in new or c == text]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
     arrow = {n: arrow_type(t) for n, t in fields}
 
     def run(batches):
         fn = make()
         for batch in batches:
-            for part in slices(batch, text):
-                got = fn(part.column(text).to_pylist())
-                cols = [part.column(c) for c in kept] + [pa.array(got[n], arrow[n]) for n in arrow]
+            for part in slices(batch, text, limit):
+                got = fn(part.column(text) if arrow_texts else part.column(text).to_pylist())
+                cols = [part.column(c) for c in kept] + [got[n].cast(t) if arrow_texts else pa.array(got[n], t) for n, t in arrow.items()]
                 yield pa.RecordBatch.from_arrays(cols, names=kept + list(arrow))
         pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
@@ -134,14 +135,37 @@ def hash_sample(df: DataFrame, rows: int, key) -> DataFrame:
     return df.orderBy(F.pmod(h, F.lit(1 << 62)), key).limit(rows)
 
 
+#: Characters of a text that a model is fitted on, from its beginning.
+FITTED_CHARS = 200_000
+
+
+def one_text(docs: DataFrame, pick: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+    """(id, text, more) of the ids in ``pick``, one row for each id however often it occurs: the
+    smallest text, of which at most ``FITTED_CHARS`` characters are passed on."""
+    rows = docs.join(F.broadcast(pick), id_col).where(F.col(text_col).isNotNull())
+    first = rows.groupBy(id_col).agg(F.min(F.struct(F.substring(text_col, 1, FITTED_CHARS).alias("_t"), *more)).alias("_r"))
+    return first.select(id_col, "_r._t", *[f"_r.{c}" for c in more])
+
+
+def distinct_sample(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """At most ``rows`` distinct values of ``key``, those with the smallest hash, each once however
+    many copies it has. Their number is estimated first (a sketch), so that tasks pass on few."""
+    total = df.agg(F.approx_count_distinct(key, 0.02)).first()[0]
+    h = F.pmod(F.xxhash64(key), F.lit(1 << 62))
+    if total > 2 * rows:
+        df = df.where(h < F.lit(int((1 << 62) * min(1.0, 1.6 * rows / total + 100 / total))))
+    return df.select(key).distinct().orderBy(h, key).limit(rows)
+
+
 def labelled_sample(docs: DataFrame, labelled: DataFrame, target: str, rows: int,
                     id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
     """At most ``rows`` labelled rows, taken in the order of a hash of the id, as
-    (text, label) on the driver. ``labelled`` has ``id_col`` and ``target``."""
+    (text, label) on the driver, one for an id (:func:`one_text`). ``labelled`` has ``id_col`` and
+    ``target``."""
     rows_ = labelled.where(F.col(target).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.col(target).cast("int").alias("_y"))
     pick = hash_sample(rows_, rows, F.col(id_col).cast("string"))
-    got = docs.select(id_col, F.col(text_col).alias("_t")).join(F.broadcast(pick), id_col).where(F.col("_t").isNotNull())
-    return [(r["_t"], r["_y"]) for r in got.orderBy(id_col, "_t").select("_t", "_y").collect()]
+    got = one_text(docs.select(id_col, F.col(text_col).alias("_text")), pick, id_col, "_text", "_y")
+    return [(r["_t"], r["_y"]) for r in got.orderBy(id_col).select("_t", "_y").collect()]
 
 
 #: Rows of a two-column table of ids up to which it is broadcast; beyond that it is joined by shuffle.

@@ -30,6 +30,8 @@ import json
 import struct
 import uuid
 import zlib
+from array import array
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +39,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampwise.llm.common import n_buckets, range_bounds, shared_folder, slices
-from ampwise.llm.pretokens import plain
+from ampwise.llm.pretokens import AT_ONCE, encoded
 
 MAGIC = b"RANSTOK1"
 #: Bits of the frequency scale (shared tables), least state, most lanes, steps between checkpoints.
 SCALE_BITS, LOW, LANES, CHECK_STEPS = 18, 1 << 31, 2048, 64
 #: Symbols after which a block is closed at the next document's end.
 BLOCK_SYMBOLS = 262_144
-#: Pieces between white space, and pre-tokens, that a worker remembers.
-REMEMBERED = 500_000
 
 
 class Table:
@@ -180,53 +180,29 @@ class Block:
 
 class Encoder:
     """Ids by the tokenizers library. White space always parts pre-tokens, so a text is cut
-    there; a piece not met before is split into the tokenizer's pre-tokens, and the library's
-    model gives the ids of each new one. A worker remembers pieces and pre-tokens."""
+    there; a piece not met lately is split into the tokenizer's pre-tokens, and the library's
+    model gives the ids of those not met lately."""
 
     def __init__(self, spec: str, end: int) -> None:
         from tokenizers import Tokenizer
 
-        from ampwise.llm.pretokens import SPECIALS, Splitter, byte_chars
-        self.tok = Tokenizer.from_str(spec)
-        self.split, self.chars, self.special = Splitter(self.tok).split, byte_chars(), SPECIALS
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.end = np.array([end], "<u4").tobytes()
-
-    def word(self, w: str) -> bytes:
-        got = self.words.get(w)
-        if got is None:
-            if self.special.fullmatch(w):
-                ids = [self.tok.token_to_id(w)]
-            else:
-                chars = self.chars
-                ids = [t.id for t in self.tok.model.tokenize("".join([chars[b] for b in w.encode("utf-8")]))]
-            got = np.array(ids, "<u4").tobytes()
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[w] = got
-        return got
+        from ampwise.llm.pretokens import SPECIALS, Splitter, byte_chars, piece_table
+        tok = Tokenizer.from_str(spec)
+        chars, special, model, number = byte_chars(), SPECIALS.fullmatch, tok.model.tokenize, tok.token_to_id
+
+        def word(w: str) -> bytes:
+            if w == "\n":
+                return b""
+            ids = [number(w)] if special(w) else [t.id for t in model("".join([chars[b] for b in w.encode("utf-8")]))]
+            return array("I", ids).tobytes()
+
+        self.pieces = piece_table(Splitter(tok), lambda words: list(map(word, words)))
+        self.end = np.array([end], np.uint32)
 
-    def text(self, text: str | None) -> bytes:
-        if not text:
-            return self.end
-        if not plain(text):  # characters for the library's own normaliser, or special strings
-            return b"".join(map(self.word, self.split(text))) + self.end
-        pieces = text.lower().split()
-        got = list(map(self.pieces.get, pieces))
-        if None in got:
-            for i, g in enumerate(got):
-                if g is None:
-                    p = pieces[i]
-                    got[i] = self.pieces.get(p) or b"".join(map(self.word, self.split(p)))
-                    self.pieces[p] = got[i]
-            if len(self.pieces) > REMEMBERED:
-                self.pieces.clear()
-        got.append(self.end)
-        return b"".join(got)
-
-    def ids(self, texts: list) -> list[bytes]:
-        return list(map(self.text, texts))
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """Each text's ids with the end id."""
+        ids, begin = encoded(texts, self.pieces)
+        return [np.concatenate((ids[a:b], self.end)) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
 
 
 _WORKER: dict = {}
@@ -238,15 +214,18 @@ def _encoder(spec: str, end: int) -> Encoder:
     return _WORKER["encoder"]
 
 
-def _pack(ids: bytes, wide: bool) -> bytes:
+@cache
+def _press():
     import zstandard
-    a = np.frombuffer(ids, "<u4")
-    return zstandard.ZstdCompressor(level=1).compress((a if wide else a.astype("<u2")).tobytes())
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def _pack(ids: np.ndarray, wide: bool) -> bytes:
+    return _press()[0].compress(ids.astype("<u4" if wide else "<u2").tobytes())
 
 
 def _unpack(raw: bytes, wide: bool) -> np.ndarray:
-    import zstandard
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "<u4" if wide else "<u2").astype(np.uint32)
+    return np.frombuffer(_press()[1].decompress(raw), "<u4" if wide else "<u2").astype(np.uint32)
 
 
 def write(docs: DataFrame, spec: str, path: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -261,8 +240,8 @@ def write(docs: DataFrame, spec: str, path: str, end: int, id_col: str = "doc_id
         spec_, lows = shared.value
         enc = _encoder(spec_, end)
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = enc.ids(part.column(1).to_pylist())
+            for part in slices(batch, "text", AT_ONCE):
+                ids = enc.ids(part.column(1))
                 keys = part.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
                 bucket = np.maximum(0, np.searchsorted(lows, keys, side="right") - 1)
                 yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), part.column(0), pa.array([_pack(i, wide) for i in ids], pa.binary())], names=["bucket", "id", "z"])
@@ -274,7 +253,7 @@ def write(docs: DataFrame, spec: str, path: str, end: int, id_col: str = "doc_id
         def row():
             return pa.RecordBatch.from_arrays([
                 pa.array([now], pa.int32()), pa.array([no], pa.int32()), pa.array([before], pa.int64()), pa.array([size_], pa.int64()), pa.array([keys], pa.list_(pa.int64())),
-                pa.array([lengths], pa.list_(pa.int64())), pa.array([_pack(np.concatenate(held).astype("<u4").tobytes(), wide)], pa.binary())],
+                pa.array([lengths], pa.list_(pa.int64())), pa.array([_pack(np.concatenate(held), wide)], pa.binary())],
                 names=["bucket", "block", "inside", "n", "ids", "lengths", "z"])
 
         for batch in batches:

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -64,18 +65,22 @@ def test_bpe_equals_the_library_on_odd_texts(tokenizer, spec):
 def test_bpe_equals_the_library_over_planes(tokenizer, spec, top, seed):
     """Any characters below ``top``, piece by piece as both jobs cut texts; half of them letters
     whose lower case lies elsewhere."""
-    from ampwise.llm.pretokens import pieces, plain
-    merge, split = bpe.Merger(json.loads(spec)), Splitter(tokenizer).split
-    encoder = rans.Encoder(spec, 2)
+    from ampwise.llm.pretokens import encoded, piece_table
+    merge = bpe.Merger(json.loads(spec))
+    table = piece_table(Splitter(tokenizer), lambda words: [b"" if w == "\n" else np.array(merge.ids(w), "<u4").tobytes() for w in words])
+    encoder, texts = rans.Encoder(spec, 2), [None, "", "  "]
     rnd = random.Random(seed)
     moved = [chr(c) for c in range(0x80, min(top, 0x10000)) if not 0xD800 <= c < 0xE000 and chr(c).lower() != chr(c)]
     for _ in range(3000):
         text = "".join(rnd.choice(moved) if rnd.random() < 0.3 else " " if rnd.random() < 0.15 else "<|endoftext|>" if rnd.random() < 0.02
                        else chr(c if not 0xD800 <= (c := rnd.randrange(top)) < 0xE000 else 65) for _ in range(rnd.randint(1, 16)))
-        want = tokenizer.encode(text, add_special_tokens=False).ids
-        assert [i for p in pieces(text) for w in split(p) for i in merge.ids(w)] == want, text
-        assert np.frombuffer(encoder.text(text), "<u4").tolist() == want + [2], text
-    assert not plain("Əli") and not plain("ƐWE") and plain("Éà Ą")
+        texts.append(text)
+    column = pa.array(["skipped", *texts, "too"])[1:-1]
+    ids, begin = encoded(column, table)
+    for k, (text, other) in enumerate(zip(texts, encoder.ids(column))):
+        want = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert ids[begin[k]:begin[k + 1]].tolist() == want, text
+        assert other.tolist() == want + [2], text
 
 
 def test_long_words_merge_in_time_near_their_length(tokenizer, spec):
@@ -89,18 +94,14 @@ def test_long_words_merge_in_time_near_their_length(tokenizer, spec):
     assert time.monotonic() - started < 60
 
 
-def test_a_full_table_drops_its_older_half(spec, tmp_path, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 10)
-    path = tmp_path / "lexicon"
-    path.write_bytes(bpe.compile_lexicon([]))
-    from tokenizers import Tokenizer
-    table = bpe.Remembered(bpe.Lexicon(str(path)), bpe.Merger(json.loads(spec)), Splitter(Tokenizer.from_str(spec)).split)
-    for i in range(10):
-        table[f"w{i}"]
-    table["new"]
-    assert list(table) == [f"w{i}" for i in range(5, 10)] + ["new"]
-    table["y" * 500]
-    assert len(table) == 6  # long pieces aren't kept
+def test_a_full_table_keeps_what_is_in_use():
+    from ampwise.llm.pretokens import Recent
+    made = []
+    table = Recent(lambda ks: made.extend(ks) or [k.encode() for k in ks], 4)
+    for ks in (["hot", "a"], ["hot", "b"], ["c"], ["d", "hot"], ["e", "f"], ["g", "hot"], ["y" * 500], ["y" * 500, "hot", "hot"], []):
+        assert table.take(ks) == [k.encode() for k in ks]
+    assert made.count("hot") == 1 and made.count("y" * 500) == 2  # long keys aren't kept
+    assert len(table) <= 4 and len(table.old) <= 4
 
 
 def test_lexicon_holds_exactly_its_words(tmp_path):
