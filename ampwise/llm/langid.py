@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import append_columns
+from ampwise.llm.common import append_columns, one_text
 
 UNKNOWN = "und"
 #: Bytes of a window, filters per width and the widths (even ones: pairs are looked up).
@@ -151,18 +151,19 @@ class Network:
 
 def fit(docs: DataFrame, learn, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Network | None:
     """Train on at most ``SAMPLE_PER_LANGUAGE`` texts of each language among the rows where
-    ``learn`` holds, picked by a hash of the id. The languages learned are those of these rows."""
+    ``learn`` holds, picked by a hash of the id; one text of an id that occurs again. The languages
+    learned are all of these rows' (the sample and the network's last layer grow with their number)."""
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    names = [r[0] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(1000).select(lang_col).collect()]
+    names = [r[0] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).select(lang_col).collect()]
     # ids first (each language's first by hash), then the texts of these few rows
     by_hash = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col)
-    picked = rows.where(F.col(id_col).isNotNull() & F.col(lang_col).isin(names)).select(id_col, lang_col).withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= SAMPLE_PER_LANGUAGE)
+    picked = rows.where(F.col(id_col).isNotNull()).select(id_col, lang_col).withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= SAMPLE_PER_LANGUAGE)
     wanted = sorted({r[0] for r in picked.select(id_col).collect()})
     if not wanted:
         return None
     lang_of = {n: k for k, n in enumerate(names)}
     pick = docs.sparkSession.createDataFrame([(w,) for w in wanted], f"{id_col} {docs.schema[id_col].dataType.simpleString()}")
-    got = rows.join(F.broadcast(pick), id_col, "left_semi").orderBy(id_col, lang_col, text_col).select(text_col, lang_col).collect()
+    got = one_text(rows.select(id_col, lang_col, text_col), pick, id_col, text_col, lang_col).orderBy(id_col).select("_t", lang_col).collect()
     texts = [r[0] for r in got]
     y = np.array([lang_of[r[1]] for r in got])
     x, of, letters = windows_of(texts)

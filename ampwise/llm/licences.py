@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import hash_sample
+from ampwise.llm.common import distinct_sample
 
 #: Usual notices of public licences, by family.
 NOTICES: dict[str, tuple[str, ...]] = {
@@ -216,11 +216,11 @@ def _certainty(row: list[int], w: np.ndarray, b: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Fit on the notices and on at most SAMPLE_LINES lines of the corpus, in the order of a hash
-    of the line."""
+    """Fit on the notices and on at most SAMPLE_LINES distinct lines of the corpus, in the order of a
+    hash of the line (a line that is repeated everywhere is one of them)."""
     lines = docs.select(F.explode(F.split(F.col(text_col), "\n")).alias("line")).where(
         (F.length("line") >= 20) & (F.length("line") <= 2000) & ~F.lower("line").rlike("licen|copyright|public domain"))
-    return fit([r[0] for r in hash_sample(lines, SAMPLE_LINES, F.col("line")).collect()])
+    return fit([r[0] for r in distinct_sample(lines, SAMPLE_LINES, "line").collect()])
 
 
 def scan(docs: DataFrame, model: Model, text_col: str = "text", out: str = "licences") -> DataFrame:
@@ -255,11 +255,16 @@ def _wrapped(text: Column, model: Model) -> Column:
     pieces = F.transform(F.split(text, BLANK), lambda t, k: F.struct(k.alias("k"), F.split(t, "\n").alias("lines")))
 
     def runs(all_: Column) -> Column:
+        # the lines before each piece: those of the pieces before, added up once
+        sizes = F.transform(all_, lambda q: F.size(q["lines"]))
+        upto = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return F.element_at(F.transform(F.array(upto), lambda starts: found(all_, starts)), 1)
+
+    def found(all_: Column, starts: Column) -> Column:
         marked = F.transform(all_, lambda q: F.struct(q["k"].alias("k"), q["lines"].alias("lines"), F.transform(q["lines"], lambda x: F.arrays_overlap(_words(x), vocabulary)).alias("held")))
         several = F.filter(marked, lambda q: F.size(F.filter(q["held"], lambda h: h)) > 1)
-        # the lines before a piece: those of the pieces before, which a blank line ends each
         placed = F.transform(several, lambda q: F.struct(
-            F.aggregate(F.slice(all_, 1, q["k"]), F.lit(0), lambda n, x: n + F.size(x["lines"])).alias("start"), q["held"].alias("held"), F.size(q["lines"]).alias("n"),
+            F.element_at(starts, q["k"] + 1).alias("start"), q["held"].alias("held"), F.size(q["lines"]).alias("n"),
             _words(F.regexp_replace(F.array_join(q["lines"], "\n"), COMMENT, "\n")).alias("w")))
         judged = F.transform(placed, lambda q: _judge(F.struct((q["start"] + F.array_position(q["held"], F.lit(True)).cast("int") - 1).alias("paragraph"), q["w"].alias("w"),
                                                                (q["start"] + q["n"]).alias("upto")), model, joined=True))

@@ -8,6 +8,10 @@ document's label. For a document, forward-backward gives each line's marginal
 probability of being good; their mean weighted by the lines' lengths, passed
 through a fitted logistic calibration, is the document's score.
 
+A text's lines are worked on a bounded number at a time; what is kept of a line is its
+emission score, length and marginal, so a text of any length takes some 50 bytes a line
+beside the line itself.
+
 Defined cases: a null text counts as empty; an empty text is one empty line;
 repeated rows get equal scores; without labelled texts of both classes every
 score is 0.5; columns beyond those named are ignored.
@@ -15,6 +19,9 @@ score is 0.5; columns beyond those named are ignored.
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame
 
@@ -22,6 +29,8 @@ from ampwise.llm.common import append_columns, labelled_sample
 
 #: Bound of the sample of labelled texts that the field is fitted on.
 SAMPLE = 4000
+#: Lines whose features are held at once, and lines of a text from which on it is walked by itself.
+LINES_AT_ONCE, LONG_LINES = 50_000, 5_000
 
 CLASS_NAMES = ("lower", "upper", "digit", "space", "stop", "loud", "symbol", "bar", "markup", "high")
 
@@ -59,24 +68,13 @@ OWN = len(CLASS_NAMES) + 7  # features of a line itself
 N_FEATURES = 3 * OWN + 3
 
 
-def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, length in bytes, lines of each text); the lines of all texts follow each other."""
+def _split(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """(lines of all texts, lines of each text, whether a line was there before in its text, whether
+    it is there more than once)."""
     raw = [(t or "").encode("utf-8", "replace").split(b"\n") for t in texts]
     count = np.array([len(r) for r in raw], np.int64)
-    lines = [x for r in raw for x in r]
-    n = len(lines)
-    length = np.fromiter(map(len, lines), np.int64, n)
-    flat = CLASSES[np.frombuffer(b"".join(lines), np.uint8)]
-    of = np.repeat(np.arange(n, dtype=np.int64), length)
-    k = len(CLASS_NAMES)
-    counts = np.bincount(of * k + flat, minlength=n * k).reshape(n, k).astype(np.float32)
-    base = np.maximum(length, 1)[:, None]
-    # words begin after a space; a run of symbols is one byte class repeated
-    space = CLASS_NAMES.index("space")
-    same = (flat[1:] == flat[:-1]) & (of[1:] == of[:-1]) & (flat[1:] >= CLASS_NAMES.index("loud")) & (flat[1:] != CLASS_NAMES.index("high"))
-    runs = np.bincount(of[1:][same], minlength=n) if len(flat) else np.zeros(n)
-    first = np.zeros(n, np.float32)  # earlier equal lines in the text
-    copies = np.zeros(n, np.float32)
+    n = int(count.sum())
+    first, copies = np.zeros(n, bool), np.zeros(n, bool)
     at = 0
     for r in raw:
         if len(r) > 1:
@@ -88,26 +86,57 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
             if len(seen) < len(r):
                 copies[at:at + len(r)] = [seen[x] > 1 for x in r]
         at += len(r)
+    return [x for r in raw for x in r], count, first, copies
+
+
+def _own(lines: list[bytes], first: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(features of the lines by themselves, their lengths in bytes)."""
+    n, k = len(lines), len(CLASS_NAMES)
+    length = np.fromiter(map(len, lines), np.int64, n)
+    flat = CLASSES[np.frombuffer(b"".join(lines), np.uint8)]
+    of = np.repeat(np.arange(n, dtype=np.int64), length)
+    counts = np.bincount(of * k + flat, minlength=n * k).reshape(n, k).astype(np.float32)
+    base = np.maximum(length, 1)[:, None]
+    # words begin after a space; a run of symbols is one byte class repeated
+    space = CLASS_NAMES.index("space")
+    same = (flat[1:] == flat[:-1]) & (of[1:] == of[:-1]) & (flat[1:] >= CLASS_NAMES.index("loud")) & (flat[1:] != CLASS_NAMES.index("high"))
+    runs = np.bincount(of[1:][same], minlength=n) if len(flat) else np.zeros(n)
     words = counts[:, space] + 1
     split = [x.split() for x in lines]
     again = np.fromiter((1 - len(set(w)) / len(w) if len(w) > 1 else 0.0 for w in split), np.float32, n)  # words said before in the line
-    own = np.concatenate([
+    return np.concatenate([
         np.sqrt(counts / base),
         np.log1p(length)[:, None] / 10, (length / words)[:, None].clip(0, 40) / 20,
         first[:, None], copies[:, None], np.sqrt(runs / base[:, 0])[:, None], (length == 0)[:, None], again[:, None],
-    ], 1).astype(np.float32)
-    start = np.zeros(n, bool)
+    ], 1).astype(np.float32), length
+
+
+def feature_parts(texts: list[str | None], lines_at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features, lengths) of the lines of all texts in order, a bounded number of lines at a time;
+    a line's features are its own and those of its neighbours in the text."""
+    lines, count, first, copies = _split(texts)
+    n = len(lines)
     ends = np.cumsum(count)
-    start[ends - count] = True
-    last = np.zeros(n, bool)
-    last[ends - 1] = True
-    before, after = np.zeros_like(own), np.zeros_like(own)
-    before[1:] = own[:-1]
-    before[start] = 0
-    after[:-1] = own[1:]
-    after[last] = 0
-    x = np.concatenate([own, before, after, start[:, None], last[:, None], np.ones((n, 1))], 1).astype(np.float32)
-    return x, length, count
+    start, last = np.zeros(n, bool), np.zeros(n, bool)
+    start[ends - count], last[ends - 1] = True, True
+    for lo in range(0, n, lines_at_once):
+        hi = min(n, lo + lines_at_once)
+        a, b = max(0, lo - 1), min(n, hi + 1)
+        own, length = _own(lines[a:b], first[a:b], copies[a:b])
+        before, after = np.zeros_like(own), np.zeros_like(own)
+        before[1:] = own[:-1]
+        after[:-1] = own[1:]
+        cut = slice(lo - a, hi - a)
+        own, before, after, s, e = own[cut], before[cut], after[cut], start[lo:hi], last[lo:hi]
+        before[s] = 0
+        after[e] = 0
+        yield np.concatenate([own, before, after, s[:, None], e[:, None], np.ones((hi - lo, 1))], 1).astype(np.float32), length[cut]
+
+
+def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, length in bytes, lines of each text); the lines of all texts follow each other."""
+    x, length = (np.concatenate(p) for p in zip(*feature_parts(texts, 1 << 40)))
+    return x, length, np.array([(t or "").count("\n") + 1 for t in texts], np.int64)
 
 
 class Field:
@@ -122,6 +151,8 @@ class Field:
         """P(good) of every line, and the expected transitions summed over all texts.
 
         Texts run side by side, longest first, so step t handles every text that has a line t."""
+        if not len(count):
+            return np.zeros(0), np.zeros((2, 2))
         ends = np.cumsum(count)
         order = np.argsort(-count, kind="stable")
         starts, sizes = (ends - count)[order], count[order]
@@ -150,14 +181,46 @@ class Field:
                 back[:k] = nxt / nxt.sum(1, keepdims=True)
         return good, pairs
 
-    def raw(self, x: np.ndarray, length: np.ndarray, count: np.ndarray) -> np.ndarray:
-        good, _ = self.marginals(x @ self.w, count)
-        of = np.repeat(np.arange(len(count)), count)
-        weight = length + 1.0
+    def chain(self, emit: np.ndarray) -> np.ndarray:
+        """P(good) of the lines of one long text: the same messages, one line after the other."""
+        (t00, t01), (t10, t11) = np.exp(self.trans).tolist()
+        odds = np.exp(emit.clip(-60, 60)).tolist()
+        good = array("d", bytes(8 * len(odds)))
+        f0 = f1 = 0.5
+        for i, r in enumerate(odds):
+            p0, p1 = (f0 * t00 + f1 * t10, (f0 * t01 + f1 * t11) * r) if i else (1.0, r)
+            f1 = good[i] = p1 / (p0 + p1)
+            f0 = 1 - f1
+        b0 = b1 = 1.0
+        for i in range(len(odds) - 1, -1, -1):
+            f1, right = good[i], odds[i] * b1
+            m = f1 * b1
+            good[i] = m / ((1 - f1) * b0 + m)
+            b0, b1 = t00 * b0 + t01 * right, t10 * b0 + t11 * right
+            z = b0 + b1
+            b0, b1 = b0 / z, b1 / z
+        return np.frombuffer(good, np.float64)
+
+    def quality(self, emit: np.ndarray, length: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Marginals of the lines, weighted by length, of each text."""
+        of, weight = np.repeat(np.arange(len(count)), count), length + 1.0
+        good, long = np.empty(len(emit)), count > LONG_LINES
+        short = ~long[of]
+        good[short], _ = self.marginals(emit[short], count[~long])
+        ends = np.cumsum(count)
+        for j in np.flatnonzero(long):
+            at = slice(ends[j] - count[j], ends[j])
+            good[at] = self.chain(emit[at])
         return np.bincount(of, good * weight, len(count)) / np.bincount(of, weight, len(count))
 
-    def score(self, x: np.ndarray, length: np.ndarray, count: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.a * self.raw(x, length, count) + self.b)))
+    def raw(self, x: np.ndarray, length: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return self.quality(x @ self.w, length, count)
+
+    def score(self, texts: list[str | None]) -> np.ndarray:
+        w = self.w.astype(np.float32)
+        emit, length = (np.concatenate(p) for p in zip(*((x @ w, n) for x, n in feature_parts(texts, LINES_AT_ONCE))))
+        count = np.array([(t or "").count("\n") + 1 for t in texts], np.int64)
+        return 1 / (1 + np.exp(-(self.a * self.quality(emit.astype(np.float64), length, count) + self.b)))
 
 
 def fit(sample: list[tuple[str, int]], rounds: int = 150) -> Field:
@@ -202,6 +265,6 @@ def score(docs: DataFrame, field: Field, text_col: str = "text", score_col: str
 
     def make():
         f = shared.value
-        return lambda texts: {score_col: f.score(*line_features(texts))}
+        return lambda texts: {score_col: f.score(texts) if texts else []}
 
     return append_columns(docs, text_col, [(score_col, "double")], make)

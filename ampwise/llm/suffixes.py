@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import append_columns
+from ampwise.llm.common import append_columns, fresh
 
 WINDOW = 13
 #: Words of a block of benchmark items that is broadcast.
@@ -213,19 +213,19 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     give one pass each; their finds are united in ``out``."""
     match = "array<struct<item:string,item_word:int,word:int,words:int>>"
     spec = f"struct<n_words:bigint,hits:array<struct<first:int,end:int>>,items:array<string>,matches:{match}>"
-    names, got = [], docs
-    for k, items in enumerate(_blocks(benchmark, item_col, item_text)):
-        name = f"{out}_{k}"
+    names, got = [], docs.drop(out)
+    for items in _blocks(benchmark, item_col, item_text):
+        name = fresh(got, out)
         got = append_columns(got, text_col, [(name, spec)], _maker(docs.sparkSession.sparkContext.broadcast(Tests(items, window)), name))
         names.append(name)
     if len(names) == 1:
-        return got.withColumnRenamed(names[0], out)
+        return got if names[0] == out else got.withColumnRenamed(names[0], out)
     united = F.struct(
         F.col(f"{names[0]}.n_words").alias("n_words"),
         F.flatten(F.array(*(F.col(f"{n}.hits") for n in names))).alias("hits"),
         F.array_distinct(F.flatten(F.array(*(F.col(f"{n}.items") for n in names)))).alias("items"),
         F.flatten(F.array(*(F.col(f"{n}.matches") for n in names))).alias("matches"))
-    return got.withColumn(out, united).drop(*names)
+    return got.withColumn(out, united).drop(*(n for n in names if n != out))
 
 
 def _maker(shared, name: str):
