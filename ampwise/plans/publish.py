@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -159,6 +160,24 @@ def newer_than_mark(df: DataFrame, ledger_df: DataFrame, job: str, day: str = "d
     return df if mark is None else df.where(F.col(day) > F.lit(mark))
 
 
+class ObservedDays(NamedTuple):
+    """Rows that tell their days while they are written."""
+
+    rows: DataFrame
+    seen: Observation
+
+    def days(self) -> set[dt.date]:
+        """The days of the rows, once these have been written."""
+        return set(self.seen.get["days"])
+
+
+def observed_days(df: DataFrame) -> ObservedDays:
+    """``df`` with its set of days observed (:meth:`DataFrame.observe`): as many values as days, and
+    a task that ran twice changes nothing."""
+    seen = Observation()
+    return ObservedDays(df.observe(seen, F.collect_set(F.col("day").cast("date")).alias("days")), seen)
+
+
 def publish_days(df: DataFrame, table: str, ledger_path: str, job: str,
                  days: Sequence | None = None, before_ledger: Callable[[], None] | None = None) -> DataFrame:
     """K2 + K13 + R7: replace the batch's days; count the rows of those
@@ -176,16 +195,15 @@ def publish_days(df: DataFrame, table: str, ledger_path: str, job: str,
         df = reliable_checkpoint(df)
         days = [r[0] for r in df.select("day").distinct().collect()]
     wanted = sorted({d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in days})
-    seen = Observation()
-    df = df.observe(seen, F.collect_set(F.col("day").cast("date")).alias("days"))
+    seen = observed_days(df)
 
     def batch_counts():
         t = spark.table(table).where(F.col("day").isin([F.lit(d) for d in wanted]))
         return {r["day"]: r["n_rows"] for r in day_counts(t).collect()}
 
     before = batch_counts() if spark.catalog.tableExists(table) else {}
-    overwrite_days(df, table)
-    for d in sorted(set(before) - set(seen.get["days"])):
+    overwrite_days(seen.rows, table)
+    for d in sorted(set(before) - seen.days()):
         delete_day(spark, table, d.isoformat())
     after = batch_counts()
     rows = [(d, before.get(d, 0), after.get(d, 0)) for d in wanted]

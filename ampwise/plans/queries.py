@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..functions import columns
 from ..functions.scalar import day_fraction, r6
-from ..operators import battery, distance, geo, history, periods, profile, ranking, rollup, stats, trips
+from ..operators import areas, battery, distance, geo, history, periods, profile, ranking, rollup, stats, trips
 from ..session import delete_folder, reliable_checkpoint, shared_folder
 from ..sources import raw
 from ..sources import fixture
@@ -524,6 +524,52 @@ def q_energy_by_area(spark, sf_dir):
     return geo.energy_by_area(geo.charging_stations(tele(spark, sf_dir)), _lookup(spark, sf_dir))
 
 
+# districts: two polygons a nation, west and east of a slanted border, around the stand-in's positions
+_AREAS_SQL = """SELECT n_nationkey * 2 + side AS area, r_name AS province, n_name AS city,
+       n_name || CASE side WHEN 0 THEN ' west' ELSE ' east' END AS district,
+       CAST(23 AS DOUBLE) + (n_nationkey % 20) * CAST(0.05 AS DOUBLE) AS c, side
+FROM nation JOIN region ON n_regionkey = r_regionkey, (SELECT unnest([0, 1]) AS side)"""
+_CORNERS = (((-0.02, 112.99), (0.02, 112.99), (0.02, 113.0003), (-0.02, 113.0001)), ((-0.02, 113.0001), (0.02, 113.0003), (0.02, 113.01), (-0.02, 113.01)))
+
+
+def _areas(spark, sf_dir):
+    """Area stand-in from nation/region: id, levels and ring."""
+    n, r = fixture.load(spark, sf_dir, "nation"), fixture.load(spark, sf_dir, "region")
+    c = F.lit(23).cast("double") + (F.col("n_nationkey") % 20) * F.lit(0.05).cast("double")
+    ring = lambda k: F.array(*[F.struct((c + F.lit(dy)).alias("lat"), F.lit(x).alias("lon")) for dy, x in _CORNERS[k]])
+    sides = F.array(*[F.struct(F.lit(k).alias("side"), ring(k).alias("ring")) for k in (0, 1)])
+    both = n.join(r, n.n_regionkey == r.r_regionkey).withColumn("s", F.explode(sides))
+    return both.select((F.col("n_nationkey") * 2 + F.col("s.side")).alias("area"), F.col("r_name").alias("province"), F.col("n_name").alias("city"),
+                       F.concat("n_name", F.when(F.col("s.side") == 0, F.lit(" west")).otherwise(F.lit(" east"))).alias("district"), F.col("s.ring").alias("ring"))
+
+
+def _edge_sql() -> str:
+    rows = []
+    for k, ring in enumerate(_CORNERS):
+        for (ay, ax), (by, bx) in zip(ring, (*ring[1:], ring[0])):
+            (ly, lx), (hy, hx) = ((ay, ax), (by, bx)) if ay <= by else ((by, bx), (ay, ax))
+            rows.append(f"({k}, CAST({ly} AS DOUBLE), CAST({hy} AS DOUBLE), CAST({lx} AS DOUBLE), CAST({hx} AS DOUBLE))")
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS t(side, y0, y1, lon0, lon1)"
+
+
+@register("energy_by_district", f"""{S.WITH_TELE},
+ar AS ({_AREAS_SQL}), co AS ({_edge_sql()}),
+ed AS (SELECT area, c + y0 AS lat0, c + y1 AS lat1, lon0, lon1 FROM ar JOIN co ON ar.side = co.side),
+pt AS (SELECT lat, lon, sum(charge_volt * charge_cur * 10 / 3600 / 1000) AS kwh, count(*) AS n FROM tele
+       WHERE COALESCE(charge_cur > 0, false) AND lat IS NOT NULL AND lon IS NOT NULL AND charge_volt IS NOT NULL GROUP BY lat, lon),
+te AS (SELECT lat, lon, area,
+              count_if(lat >= lat0 AND lat < lat1 AND (lon - lon0) * (lat1 - lat0) - (lon1 - lon0) * (lat - lat0) < 0) % 2 = 1
+              OR bool_or((lon - lon0) * (lat1 - lat0) - (lon1 - lon0) * (lat - lat0) = 0 AND lat BETWEEN lat0 AND lat1
+                         AND lon BETWEEN least(lon0, lon1) AND greatest(lon0, lon1)) AS inside
+       FROM pt, ed GROUP BY lat, lon, area),
+wi AS (SELECT lat, lon, min(area) AS area FROM te WHERE inside GROUP BY lat, lon)
+SELECT province, city, district, {S.r6('sum(kwh)')} AS energy_kwh, CAST(sum(n) AS BIGINT) AS n_records
+FROM pt LEFT JOIN wi ON pt.lat = wi.lat AND pt.lon = wi.lon LEFT JOIN ar ON wi.area = ar.area GROUP BY province, city, district""")
+def q_energy_by_district(spark, sf_dir):
+    """A8 by geometry: charging energy by province, city and district polygons."""
+    return areas.energy_by_levels(tele(spark, sf_dir), _areas(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- B5 / W11 (SOC trips)
 _SOC_TRIPS_SQL = f"""{S.WITH_TELE},
 b AS (SELECT * FROM tele WHERE {S.DRIVING} AND COALESCE(fuel = 0, false) AND COALESCE(soc > 40, false)),

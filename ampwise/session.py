@@ -70,14 +70,16 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``. Where a local session leaves it
-    unset (tests), one temporary folder per session stands in; a cluster session
-    must name it."""
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return checkpoint_dir(spark)
-    if not spark.sparkContext.master.startswith("local"):
-        return checkpoint_dir(spark)
-    return checkpoint_dir(spark, tempfile.mkdtemp(prefix="ampwise-ckpt-"))
+    """The folder of ``spark.checkpoint.dir``. Where a session leaves it unset, as in tests, one
+    temporary folder stands in, which only this machine sees: a session whose executors run
+    elsewhere (``spark.executor.instances`` or any master but one of this process) must name it."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return checkpoint_dir(spark, None if named or not _one_process(spark) else tempfile.mkdtemp(prefix="ampwise-ckpt-"))
+
+
+def _one_process(spark: SparkSession) -> bool:
+    """Whether all tasks run in the driver's process: it is the only block manager."""
+    return spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() == 1 and spark.sparkContext.master.split("[")[0] == "local"
 
 
 def reliable_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
