@@ -16,11 +16,15 @@ still occur in at least one of the other, short ones.
    neighbouring size bands that share a shingle fall into one neighbourhood (a
    component of that relation), so every pair that can link is within one. A
    very frequent shingle's list is dealt by salt, and joined by its bands' heads.
-4. Neighbourhoods are searched apart. A task has the whole sets of one: it builds
-   the inverted lists, merges each query's short lists with a heap, and probes
-   the long ones by binary search for the candidates that result. Lists whose
-   members already belong to the query's component are skipped, so a large group
-   of near copies costs about its postings.
+4. Neighbourhoods are searched apart. A task has the whole sets of one and takes
+   them by size. It merges each query's short lists with a heap, which counts how
+   often an earlier set occurs in them and where the last common shingle stands in
+   both; if that count and what is left behind those places can still reach T,
+   the long lists are probed by binary search. A list holds only sets of which it
+   is one of the n - T(n, n) + 1 rarest, as larger partners must meet them there:
+   texts of one template that are not similar enough share no such list. Lists
+   whose members already belong to the query's component are skipped, so a large
+   group of near copies costs about its postings.
 5. Neighbourhoods with more than ``UNIT`` shingles aren't gathered. Where they are
    the lesser part of the shingles, steps 1 to 4 are done anew for their documents
    alone, with a table that counts only those and so tells rare from frequent
@@ -145,64 +149,70 @@ class Search:
         tokens, number, df = np.unique(flat, return_inverse=True, return_counts=True)
         ends = np.cumsum(sizes)
         of = [number[e - n:e] for e, n in zip(ends.tolist(), sizes)]
-        lists: dict[int, list[int]] = {}  # token -> queries before, ascending
+        lists: dict[int, list[int]] = {}  # token -> sets before by rank, each with the token's place in it
         whole: dict[int, int] = {}  # token -> a member, if all members are of one component
         find = forest.find
-        order = sorted(range(len(sets)), key=lambda i: (sizes[i], names[i]))
-        rank = {i: r for r, i in enumerate(order)}
-        by_rank = order
-        for x in order:
-            n = sizes[x]
-            own = of[x]
-            rare = own[np.lexsort((own, df[own]))].tolist()
-            short = rare[:short_lists(n, self.similar)]
-            root = find(names[x])
+        by_rank = sorted(range(len(sets)), key=lambda i: (sizes[i], names[i]))
+        for r, x in enumerate(by_rank):
+            n, name = sizes[x], names[x]
+            place = np.lexsort((of[x], df[of[x]]))  # from rare to frequent
+            own = of[x][place]
+            root = find(name)
             merged = []
-            for t in short:
+            for i, t in enumerate(own[:short_lists(n, self.similar)].tolist()):
                 members = lists.get(t)
                 if not members:
                     continue
                 at = whole.get(t)
                 if at is not None and find(at) == root:
                     continue
-                merged.append(members)
-            last = -1
-            long = None
-            for r in heapq.merge(*merged) if len(merged) > 1 else (merged[0] if merged else ()):
-                if r == last:
+                merged.append([(m, i) for m in members])
+            rare = None
+            last, common, i_last, j_last = -1, 0, 0, 0
+            for m, i in [*(heapq.merge(*merged) if len(merged) > 1 else merged[0] if merged else ()), (-1, 0)]:
+                at, j = divmod(m, _PLACE)
+                if at == last:
+                    common, i_last, j_last = common + 1, i, j
                     continue
-                last = r
-                y = by_rank[r]
-                if 100 * sizes[y] < self.similar * n or (same_block and same_block[x] == same_block[y]) or find(names[y]) == find(names[x]):
+                if last >= 0:
+                    y = by_rank[last]
+                    need = required(n, sizes[y], self.similar)
+                    # beyond the last place met in both sets, no more can be common than is left of either
+                    if (100 * sizes[y] >= self.similar * n and common + min(n - i_last, sizes[y] - j_last) - 1 >= need
+                            and not (same_block and same_block[x] == same_block[y]) and find(names[y]) != find(name)):
+                        if rare is None:
+                            rare = sets[x][place]
+                        # y is in a list exactly if the list's shingle is in y: probe the other lists in y's sorted set
+                        left = rare[i_last + 1:]
+                        got = np.searchsorted(sets[y], left)
+                        got[got == sizes[y]] = 0
+                        if common + int((sets[y][got] == left).sum()) >= need:
+                            forest.union(name, names[y])
+                last, common, i_last, j_last = at, 1, i, j
+            # a set is met by larger ones: its rarest shingles, of which such a partner must have one
+            for j, t in enumerate(own[:n - required(n, n, self.similar) + 1].tolist()):
+                if df[t] < 2:
                     continue
-                need = required(n, sizes[y], self.similar)
-                if long is None:
-                    long = sets[x]
-                # y is in a list exactly if the list's shingle is in y: probe all lists of x in y's sorted set
-                at = np.searchsorted(sets[y], long)
-                at[at == sizes[y]] = 0
-                if int((sets[y][at] == long).sum()) >= need:
-                    forest.union(names[x], names[y])
-            # lists of the shingles that occur again take x up
-            r = rank[x]
-            name = names[x]
-            for t in own[df[own] > 1].tolist():
                 members = lists.get(t)
                 if members is None:
-                    lists[t] = [r]
+                    lists[t] = [r * _PLACE + j]
                     whole[t] = name
                 else:
-                    members.append(r)
+                    members.append(r * _PLACE + j)
                     at = whole.get(t)
                     if at is not None:
                         if find(at) != find(name):
                             del whole[t]
                     elif len(members) & (len(members) - 1) == 0:  # now and then: have they come together
                         first = find(name)
-                        if all(find(names[by_rank[q]]) == first for q in members):
+                        if all(find(names[by_rank[q // _PLACE]]) == first for q in members):
                             whole[t] = name
 
 
+#: A list's entries are a set's rank times this, plus the shingle's place in the set.
+_PLACE = 1 << 40
+
+
 def _band(n: int, similar: int = SIMILAR) -> int:
     """Geometric size bands: linked sets are in the same band or neighbouring ones."""
     edges = _edges(similar)

@@ -53,9 +53,9 @@ def encoded(texts: pa.Array, table) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Bytes of text that are cut into pieces at once.
-AT_ONCE = 4_000_000
+AT_ONCE = 2_000_000
 #: Entries of each generation of a worker's table, and the longest key that is kept.
-GENERATION, SHORT = 600_000, 64
+GENERATION, SHORT = 250_000, 64
 
 
 class Recent(dict):

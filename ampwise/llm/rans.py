@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import json
 import struct
-import uuid
 import zlib
 from array import array
 from functools import cache
@@ -38,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampwise.llm.common import n_buckets, range_bounds, shared_folder, slices
+from ampwise.llm.common import n_buckets, own_path, range_bounds, slices
 from ampwise.llm.pretokens import AT_ONCE, encoded
 
 MAGIC = b"RANSTOK1"
@@ -338,4 +337,4 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
 
 
 def new_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    return own_path(spark, "token-files")

@@ -220,3 +220,39 @@ def test_redaction_follows_n_chars(spark):
     r = stage("secret")(spark, df, SF).first()
     assert r["text"] == "é [secret] end" and r["n_chars"] == len(r["text"])
     assert bpe and suffixes
+
+
+def test_templates_below_the_similarity_are_not_compared():
+    """Many texts of one template (16 of 20 shingles shared, no link) in one unit take moments."""
+    import time
+    rnd = np.random.default_rng(3)
+    shared = np.unique(rnd.integers(0, 1 << 62, 16, np.uint64))
+    sets = [np.unique(np.concatenate((shared, rnd.integers(0, 1 << 62, 4, np.uint64)))) for _ in range(4000)]
+    started, forest = time.monotonic(), components.Forest()
+    ngram_join.Search().links(sets, forest, list(range(len(sets))))
+    assert time.monotonic() - started < 2 and not forest.stars()[0]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_search_of_a_unit_equals_all_pairs(seed):
+    """Random sets of many sizes and overlaps near the bound, with and without blocks."""
+    rnd = random.Random(seed)
+    sets, universe = [], [rnd.getrandbits(63) for _ in range(60 if seed % 2 else 400)]
+    for _ in range(120):
+        if sets and rnd.random() < 0.6:
+            s = set(rnd.choice(sets).tolist())
+            for _ in range(rnd.randint(0, 6)):
+                s.discard(rnd.choice(sorted(s))) if rnd.random() < 0.5 and len(s) > 1 else s.add(rnd.choice(universe))
+        else:
+            s = set(rnd.sample(universe, rnd.randint(1, 40)))
+        sets.append(np.array(sorted(s), np.uint64))
+    names = rnd.sample(range(1000), len(sets))
+    blocks = [rnd.randint(0, 2) for _ in sets] if seed >= 3 else None
+    got, want = components.Forest(), components.Forest()
+    ngram_join.Search().links(sets, got, names, blocks)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(a, sets[j]))
+            if 100 * both >= 80 * (len(a) + len(sets[j]) - both) and not (blocks and blocks[i] == blocks[j]):
+                want.union(names[i], names[j])
+    assert {n: got.find(n) for n in names} == {n: want.find(n) for n in names}

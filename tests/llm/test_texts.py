@@ -193,6 +193,40 @@ def test_op5_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_op5_equals_direct_convolution(spark):
+    """The registered query against one-hot bytes convolved, pooled and summed position by position."""
+    from ampwise.llm.common import crc_mod
+    table = docs(spark).withColumn("held_out", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)))
+    net = langid.fit(table.select("doc_id", "text", "lang", "held_out"), ~F.col("held_out"))
+    got = {r["doc_id"]: r for r in queries.QUERIES["op5_langid"](spark, SF).collect()}
+    seen = 0
+    for doc_id, text in table.select("doc_id", "text").collect():
+        raw = (text or "").encode()
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[doc_id]["lang_pred"], got[doc_id]["score"]) == ("und", 0.0)
+            continue
+        if len(raw) > 700:
+            continue
+        total, weights = np.zeros(len(net.languages)), 0.0
+        for lo in range(0, len(raw), langid.WINDOW):
+            part = [int(langid.CLASSES[b]) for b in raw[lo:lo + langid.WINDOW]]
+            letters = sum(c < 26 or 29 + 0x40 <= c < langid.PAD for c in part)
+            part += [langid.PAD] * (langid.WINDOW - len(part))
+            hot = np.eye(langid.N_CLASSES)[part]
+            act = []
+            for width, w, b in zip(langid.WIDTHS, net.w, net.b):
+                responses = sum(hot[j:langid.WINDOW - width + 1 + j] @ w[j].astype(np.float64) for j in range(width))
+                act.append(np.maximum(responses.max(0) + b, 0))
+            z = np.concatenate(act) @ net.dense + net.bias
+            total += (z - np.log(np.exp(z - z.max()).sum()) - z.max()) * (letters + 1e-3)
+            weights += letters + 1e-3
+        p = np.exp(total / weights)
+        p /= p.sum()
+        assert got[doc_id]["lang_pred"] == net.languages[int(p.argmax())] and abs(got[doc_id]["score"] - p.max()) < 1e-3
+        seen += 1
+    assert seen > 10
+
+
 def test_langid_odd_rows(spark):
     net = langid.fit(docs(spark), F.lit(True))
     rows = langid.predict(odd(spark), net).collect()
@@ -246,6 +280,91 @@ def test_field_marginals_equal_enumeration():
     assert np.allclose(pairs, want_pairs)
 
 
+def test_long_text_is_scored_in_parts(monkeypatch):
+    """Lines in parts, and long texts walked alone, give the scores of all at once; many short lines
+    take little memory and time."""
+    import time
+    import tracemalloc
+    rnd, gen = random.Random(8), np.random.default_rng(8)
+    field = quality.Field()
+    field.w, field.trans = gen.normal(size=quality.N_FEATURES) * 0.3, np.array([[0.6, -0.2], [-0.1, 0.4]])
+    field.a, field.b = 3.0, -1.0
+    texts = ["\n".join("".join(rnd.choice("ab C1.!|") for _ in range(rnd.randint(0, 20))) for _ in range(rnd.randint(0, 60))) for _ in range(60)] + [None, ""]
+    x, length, count = quality.line_features(texts)
+    want = 1 / (1 + np.exp(-(field.a * field.raw(x.astype(np.float64), length, count) + field.b)))
+    for at_once, long in ((50_000, 5_000), (7, 5_000), (7, 3), (1, 1)):
+        monkeypatch.setattr(quality, "LINES_AT_ONCE", at_once)
+        monkeypatch.setattr(quality, "LONG_LINES", long)
+        assert np.abs(field.score(texts) - want).max() < 1e-6
+    monkeypatch.undo()
+    tracemalloc.start()
+    started = time.monotonic()
+    field.score(["ab\n" * 1_000_000])
+    assert time.monotonic() - started < 30 and tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+
+
+def test_op3_equals_enumeration_of_labellings(spark):
+    """The registered query's scores against the field's definition: marginals by summing over all
+    labellings of a text's lines (few lines) with the features recomputed."""
+    from itertools import product
+
+    from ampwise.llm.common import crc_mod, labels
+    held = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    table = docs(spark).select("doc_id", "text").withColumn("held_out", held)
+    field = quality.train(table, labels(spark, SF).where(~held))
+    got = {r["doc_id"]: r["score"] for r in queries.QUERIES["op3_quality"](spark, SF).collect()}
+    seen = 0
+    for doc_id, text in table.select("doc_id", "text").collect():
+        lines = (text or "").split("\n")
+        if len(lines) > 9:
+            continue
+        x, length, _ = quality.line_features([text])
+        emit, total, good = x.astype(np.float64) @ field.w, 0.0, np.zeros(len(lines))
+        for y in product((0, 1), repeat=len(lines)):
+            s = np.exp(sum(emit[i] / 2 if k else -emit[i] / 2 for i, k in enumerate(y)) + sum(field.trans[a, b] for a, b in zip(y, y[1:])))
+            total += s
+            good += s * np.array(y)
+        mean = (good / total * (length + 1)).sum() / (length + 1).sum()
+        assert abs(got[doc_id] - 1 / (1 + np.exp(-(field.a * mean + field.b)))) < 1e-4
+        seen += 1
+    assert seen > 30
+
+
+def test_samples_have_one_row_an_id(spark, monkeypatch):
+    from ampwise.llm import common
+    monkeypatch.setattr(common, "FITTED_CHARS", 50)
+    table = spark.createDataFrame([(1, f"text {i} " + "x" * 100) for i in range(500)] + [(2, "two"), (3, None)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    got = common.labelled_sample(table, labelled, "quality", 10)
+    assert len(got) == 2 and all(len(t) <= 50 for t, _ in got)
+    lines = spark.createDataFrame([("same",)] * 900 + [(f"line {i}",) for i in range(40)], "line string")
+    assert len({r[0] for r in common.distinct_sample(lines, 30, "line").collect()}) == 30
+
+
+def test_new_columns_replace_names_in_any_case(spark):
+    from ampwise.llm import common
+    df = spark.createDataFrame([(1, "a b", 7)], "doc_id long, text string, IDS long")
+    got = common.append_columns(df, "text", [("ids", "bigint")], lambda: lambda texts: {"ids": [len(t) for t in texts]})
+    assert got.select("ids").first()[0] == 3 and len(got.columns) == 3
+    found = suffixes.find(df.withColumn("contamination_0", F.lit(1)).withColumn("contamination", F.lit(2)), spark.createDataFrame([("i", "a b")], "item_id string, text string"))
+    assert found.select("contamination.n_words", "contamination_0").first() == (2, 1)
+
+
+def test_licence_text_of_many_paragraphs_and_line_numbers(spark):
+    """The line of each find in a text of many paragraphs; the time grows with the text."""
+    import time
+    model = licences.train(docs(spark))
+    notice = licences.NOTICES["mit"][0] if "mit" in licences.NOTICES else next(iter(licences.NOTICES.values()))[0]
+    words = notice.split()
+    wrapped = "\n".join(" ".join(words[i:i + 6]) for i in range(0, len(words), 6))
+    text = "\n\n".join(["some words about nothing\nand the software again"] * 300 + [wrapped])
+    started = time.monotonic()
+    found = licences.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()["licences"]
+    assert time.monotonic() - started < 60
+    assert [r["paragraph"] for r in found if r["confirmed"]] and min(r["paragraph"] for r in found if r["confirmed"]) >= 900
+
+
 def test_quality_and_toxicity_odd_rows(spark):
     field = quality.train(docs(spark), spark.read.parquet(f"{SF}/labels.parquet"))
     for got in (quality.score(odd(spark), field), quality.score(odd(spark), quality.fit([]))):
