@@ -5,15 +5,22 @@ values, access keys, long hexadecimal runs. Their spans come from splitting the
 text at the matches: the lengths of pieces and matches, summed, give positions.
 
 The battery looks at every further run of ``[A-Za-z0-9+/_=-]`` of at least
-``LEAST`` characters that mixes character kinds. Its encoding (hexadecimal,
+``LEAST`` characters that mixes letters and digits. Its encoding (hexadecimal,
 base 32, base 36, base 62, base 64) is inferred from the characters it holds. Three
-statistics of the symbols' numbers in that alphabet, each standardised under
-uniform, independent symbols, make a distance from randomness: chi-squared
-uniformity over eight classes of the alphabet, runs above and below its middle,
-and serial correlation of neighbours. The evidence that a run is not a word of
-running text is the number of changes between character kinds (lower, upper,
-digit, plus sign) against the share expected in text; its normal tail is the run's
-p-value, and a run that any test rejects as non-random keeps p-value 1.
+tests are made of its symbols' numbers in that alphabet:
+
+* chi-squared: how evenly the symbols fall into eighths of the alphabet;
+* runs: how often the kind of character changes (lower, upper, digit, plus sign);
+* serial correlation of neighbouring symbols.
+
+The hypothesis to be rejected is that the run is words, names and numbers joined
+together. Of such text the symbols crowd into few eighths (chi-squared grows with
+the length by ``TEXT_CROWDING`` a symbol: a non-central distribution), kinds change
+at a share of ``TEXT_CHANGES``, and neighbours resemble each other (a correlation of
+``TEXT_SERIAL``, as each kind has its own stretch of the alphabet). Each test's normal
+tail on the random side is its p-value; Fisher's method combines the three. A run
+that fits random symbols no better than text does, because a test rejects uniform,
+independent symbols at ``REJECT`` standard scores, keeps p-value 1.
 
 False discoveries are controlled by Benjamini and Hochberg's step-up rule within
 strata of length (a longer run is judged among its like), over all runs of all
@@ -43,11 +50,12 @@ HEX = "[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "random")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 
-#: Candidates of the battery: least length, false discovery rate, share of kind changes in text,
-#: standard scores beyond which a test rejects randomness, and the strata and bins of the control.
+#: Candidates of the battery: least length, false discovery rate, what joined words look like to the
+#: three tests, standard scores beyond which a test rejects randomness, and the strata and bins of
+#: the control.
 LEAST = 20
 RATE = 0.01
-TEXT_CHANGES = 0.08
+TEXT_CROWDING, TEXT_CHANGES, TEXT_SERIAL = 0.8, 0.08, 0.3
 REJECT = 4.0
 STRATA, BINS, BIN_WIDTH = 8, 400, 0.25
 CANDIDATE = f"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{{{LEAST},}}"
@@ -111,7 +119,8 @@ def _encoding(token: Column) -> Column:
 
 
 def battery(token: Column) -> Column:
-    """struct(encoding, chi, runs, serial, evidence) of a run of characters."""
+    """struct(encoding, chi, runs, serial, even, changes, alike) of a run of characters: standard
+    scores against uniform, independent symbols, then against joined words (large: unlike these)."""
     def in_alphabet(encoding: Column) -> Column:
         plain = F.translate(F.regexp_replace(token, "=+$", ""), "-_", "+/")
         folded = F.when(encoding.isin("base62", "base64"), plain).otherwise(F.lower(plain))
@@ -129,12 +138,15 @@ def _statistics(token: Column, encoding: Column, u: Column, size: Column) -> Col
         return F.floor(k * size / 8 + 0.5)
 
     def with_counts(c: Column) -> Column:
-        n, mean = c["n"], c["mean"]
+        n = c["n"]
         # chi-squared over eighths of the alphabet; Wilson and Hilferty's normal score with 7 degrees of freedom
         eighth = F.transform(u, lambda x: F.least(F.lit(7), F.floor(x * 8).cast("int")))
-        chi2 = _sum(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: _bound(
+        return _bound(_sum(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: _bound(
             F.greatest(n * (edge(k + 1) - edge(k)) / size, F.lit(1e-9)),
-            lambda e: F.pow(F.size(F.filter(eighth, lambda x: x == k)) - e, F.lit(2.0)) / e)))
+            lambda e: F.pow(F.size(F.filter(eighth, lambda x: x == k)) - e, F.lit(2.0)) / e))), lambda chi2: with_chi2(c, chi2))
+
+    def with_chi2(c: Column, chi2: Column) -> Column:
+        n, mean = c["n"], c["mean"]
         chi = (F.pow(chi2 / 7, F.lit(1 / 3)) - (1 - 2 / 63)) / F.sqrt(F.lit(2 / 63))
         # runs above and below the middle
         n1, n0 = c["high"], n - c["high"]
@@ -143,22 +155,34 @@ def _statistics(token: Column, encoding: Column, u: Column, size: Column) -> Col
         # correlation of neighbours
         var = _sum(F.transform(u, lambda x: (x - mean) * (x - mean)))
         serial = F.sqrt(n) * _sum(_neighbours(u, lambda a, b: (a - mean) * (b - mean))) / F.greatest(var, F.lit(1e-9))
+        # against joined words: non-central chi-squared with 7 degrees of freedom, lower side
+        crowd = n * TEXT_CROWDING
+        even = (7 + crowd - chi2) / F.sqrt(2 * (7 + 2 * crowd))
         # changes between kinds of characters, signs that join words left out
         kinds = F.transform(F.split(F.translate(token, "=-_/", ""), ""), lambda x: F.when(x.rlike("[a-z]"), 0).when(x.rlike("[A-Z]"), 1).when(x.rlike("[0-9]"), 2).otherwise(3))
-        evidence = _bound(kinds, lambda ks: (_sum(_neighbours(ks, lambda a, b: (a != b).cast("int")), 0) - (F.size(ks) - 1) * TEXT_CHANGES)
-                          / F.sqrt(F.greatest((F.size(ks) - 1) * F.lit(TEXT_CHANGES * (1 - TEXT_CHANGES)), F.lit(1e-9))))
-        return F.struct(encoding.alias("encoding"), chi.alias("chi"), runs.alias("runs"), serial.alias("serial"), evidence.alias("evidence"))
+        kind_changes = _bound(kinds, lambda ks: (_sum(_neighbours(ks, lambda a, b: (a != b).cast("int")), 0) - (F.size(ks) - 1) * TEXT_CHANGES)
+                              / F.sqrt(F.greatest((F.size(ks) - 1) * F.lit(TEXT_CHANGES * (1 - TEXT_CHANGES)), F.lit(1e-9))))
+        alike = (TEXT_SERIAL * F.sqrt(n) - serial) / (1 - TEXT_SERIAL ** 2) ** 0.5
+        return F.struct(encoding.alias("encoding"), chi.alias("chi"), runs.alias("runs"), serial.alias("serial"),
+                        even.alias("even"), kind_changes.alias("changes"), alike.alias("alike"))
 
     counts = F.struct(F.size(u).cast("double").alias("n"), (_sum(u) / F.size(u)).alias("mean"), F.size(F.filter(u, lambda x: x >= 0.5)).cast("double").alias("high"))
     return _bound(counts, with_counts)
 
 
+def _tail(x: Column) -> Column:
+    """Negative natural logarithm of the upper normal tail: beyond 1.5 by its usual bound
+    x*x/2 + ln(x) + ln(sqrt(2 pi)), below by the logistic curve near it."""
+    return F.when(x > 1.5, x * x / 2 + F.log(x) + 0.9189385332046727).otherwise(F.log1p(F.exp(F.least(x, F.lit(1.5)) * 1.702)))
+
+
 def _neg_log_p(test: Column) -> Column:
-    """Negative natural logarithm of the upper normal tail at the evidence, by its usual
-    bound x*x/2 + ln(x) + ln(sqrt(2 pi)); 0 for a run that a test rejects as random."""
-    x = test["evidence"]
+    """Negative natural logarithm of the combined p-value: of three independent tails, minus the
+    sum s of their logarithms is half a chi-squared of 6 degrees of freedom, whose tail is
+    exp(-s) (1 + s + s*s/2). 0 for a run that a test rejects as random."""
     rejected = (test["chi"] > REJECT) | (F.abs(test["runs"]) > REJECT) | (F.abs(test["serial"]) > REJECT)
-    return F.when(rejected | (x <= 1), F.lit(0.0)).otherwise(x * x / 2 + F.log(x) + 0.9189385332046727)
+    s = _tail(test["even"]) + _tail(test["changes"]) + _tail(test["alike"])
+    return F.when(rejected, F.lit(0.0)).otherwise(_bound(s, lambda x: F.greatest(F.lit(0.0), x - F.log(1 + x + x * x / 2))))
 
 
 def scan(docs: DataFrame, text_col: str = "text", out: str = "secrets") -> DataFrame:

@@ -378,6 +378,58 @@ def test_quality_and_toxicity_odd_rows(spark):
     assert all(r["score"] < 1e-9 for r in toxicity.score(odd(spark), none).collect())
 
 
+def brute_reading(observed, model):
+    """The best of all readings of an observed word, each scored from left to right."""
+    best = []
+
+    def go(i, a, b, text, score):
+        if i == len(observed):
+            best.append((-(score + float(model.logp[a, b, toxicity.EDGE])), text))
+            return
+        ch, moved = observed[i], False
+        if not ch.isalpha():
+            go(i + 1, a, b, text, score + toxicity.COST_FILLER)
+            moved = True
+        if i and ch == observed[i - 1] and text:
+            go(i + 1, a, b, text, score + toxicity.COST_REPEAT)
+            moved = True
+        for x, cost in ([(ch, toxicity.COST_SAME)] if ch.isalpha() else []) + [(x, toxicity.COST_STANDS) for x in toxicity.LOOKALIKES.get(ch, "")]:
+            c = toxicity.class_of(x)
+            go(i + 1, b, c, text + x, score + cost + float(model.logp[a, b, c]))
+            moved = True
+        assert moved
+
+    go(0, toxicity.EDGE, toxicity.EDGE, "", 0.0)
+    return min(best)
+
+
+def test_lattice_search_equals_all_readings(spark):
+    model = toxicity.CharacterModel(toxicity.character_counts(docs(spark)))
+    rnd = random.Random(12)
+    for _ in range(250):
+        word = "".join(rnd.choice("aeilostbd01345!@$+.-é") * (2 if rnd.random() < 0.2 else 1) for _ in range(rnd.randint(1, 6)))
+        if not any(c.isalpha() or c in toxicity.LOOKALIKES for c in word):
+            continue
+        assert toxicity.restore(word, model) == brute_reading(word, model)[1], word
+
+
+def test_op4_recounted_row_by_row(spark):
+    """The registered query against features of every word read anew, without the shortcuts and
+    tables of the scoring pass."""
+    from ampwise.llm.common import crc_mod, labels
+    held = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    table = docs(spark).select("doc_id", "text").withColumn("held_out", held)
+    scorer = toxicity.train(table, labels(spark, SF).where(~held))
+    got = {r["doc_id"]: r for r in queries.QUERIES["op4_toxicity"](spark, SF).collect()}
+    for doc_id, text in table.select("doc_id", "text").collect():
+        if len(text or "") > 8000:
+            continue
+        found = toxicity.text_features(text, toxicity.Reader(scorer.reader.model)) if text else set()
+        z = scorer.bias + sum(scorer.weights.get(f, 0.0) for f in found)
+        want = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        assert abs(got[doc_id]["score"] - want) < 1e-6 and got[doc_id]["predicted"] == int(want >= 0.7)
+
+
 def test_restoration_of_disguised_words():
     text = "you stupid idiot stop the clown trash loser it is the best of the day and that was all to know " * 30
     counts = {}
@@ -619,6 +671,50 @@ def test_battery_tells_keys_from_slugs(spark):
     assert not any(rows[100 + i] for i in range(200))
 
 
+def battery_by_numpy(token):
+    """The battery's scores and combined p-value, from their definitions."""
+    import math
+    enc = ("hex" if re.fullmatch("([0-9a-f]+|[0-9A-F]+)=*", token) else "base32" if re.fullmatch("[A-Z2-7]+=*", token)
+           else "base36" if re.fullmatch("([0-9a-z]+|[0-9A-Z]+)", token) else "base62" if re.fullmatch("[0-9A-Za-z]+", token) else "base64")
+    of = secrets.ALPHABETS[enc]
+    plain = re.sub("=+$", "", token).replace("-", "+").replace("_", "/")
+    u = np.array([(of.find(c) + 0.5) / len(of) for c in (plain if enc in ("base62", "base64") else plain.lower())])
+    n, k = len(u), len(of)
+    edge = [math.floor(i * k / 8 + 0.5) for i in range(9)]
+    expected = np.maximum(np.diff(edge) * n / k, 1e-9)
+    chi2 = float((((np.bincount(np.minimum(7, np.floor(u * 8).astype(int)), minlength=8)[:8] - expected) ** 2) / expected).sum())
+    chi = ((chi2 / 7) ** (1 / 3) - (1 - 2 / 63)) / math.sqrt(2 / 63)
+    high = u >= 0.5
+    n1 = high.sum()
+    m = 2 * (n - n1) * n1 / n + 1
+    runs = ((high[1:] != high[:-1]).sum() + 1 - m) / math.sqrt(max((m - 1) * (m - 2) / max(n - 1, 1), 0.25))
+    d = u - u.mean()
+    serial = math.sqrt(n) * (d[1:] * d[:-1]).sum() / max((d * d).sum(), 1e-9)
+    kinds = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in token if c not in "=-_/"]
+    even = (7 + 0.8 * n - chi2) / math.sqrt(2 * (7 + 1.6 * n))
+    pairs = max(len(kinds) - 1, 0)
+    changes = (sum(a != b for a, b in zip(kinds, kinds[1:])) - pairs * 0.08) / math.sqrt(max(pairs * 0.08 * 0.92, 1e-9))
+    alike = (0.3 * math.sqrt(n) - serial) / math.sqrt(0.91)
+    tail = lambda x: x * x / 2 + math.log(x) + 0.9189385332046727 if x > 1.5 else math.log1p(math.exp(1.702 * x))
+    s = tail(even) + tail(changes) + tail(alike)
+    p = 0.0 if chi > 4 or abs(runs) > 4 or abs(serial) > 4 else max(0.0, s - math.log(1 + s + s * s / 2))
+    return enc, chi, runs, serial, even, changes, alike, p
+
+
+def test_battery_numbers_by_numpy(spark):
+    rnd = random.Random(21)
+    alphabets = [*secrets.ALPHABETS.values(), "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEF"]
+    tokens = ["".join(rnd.choice(a) for _ in range(rnd.randint(20, 90))) + rnd.choice(["", "", "=="]) for a in alphabets for _ in range(12)]
+    tokens += ["report-2024-final-version-of-the-plan", "getElementById2InTheDocumentTree", "a1" * 15, "user_name_1_and_password_2", "AAAA1111BBBB2222CCCC"]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", secrets.battery(F.col("t")).alias("b"))
+    got = df.select("t", "b.*", secrets._neg_log_p(F.col("b")).alias("p")).collect()
+    for r in got:
+        want = battery_by_numpy(r["t"])
+        assert r["encoding"] == want[0] and np.allclose(tuple(r)[2:], want[1:], rtol=1e-6, atol=1e-6), (r, want)
+    of = {r["t"]: r["p"] for r in got}
+    assert min(of[t] for t in tokens[48:60]) > max(of[t] for t in tokens[-5:])  # base 62 keys against joined words
+
+
 def test_secrets_odd_rows(spark):
     rows = secrets.scan(odd(spark)).collect()
     assert len(rows) == len(ODD) and not any(r["secrets"] for r in rows)
