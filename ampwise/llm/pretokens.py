@@ -32,8 +32,12 @@ _PLAIN_SPLIT = re.compile(f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]
 
 def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The stretches between ASCII white space of all texts (null: none), and where each text's begin
-    (one more entry than texts)."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    (one more entry than texts). A to Z are lower-cased, as the tokenizer does later (a letter and
+    its mark join to the same letter before and after), unless a special string may be among them."""
+    texts = pc.fill_null(texts, "")
+    if not pc.any(pc.match_substring(texts, "<|")).as_py():
+        texts = pc.ascii_lower(texts)
+    lists = pc.ascii_split_whitespace(texts)
     return lists.flatten(), lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
 
 
@@ -54,8 +58,8 @@ def encoded(texts: pa.Array, table) -> tuple[np.ndarray, np.ndarray]:
 
 #: Bytes of text that are cut into pieces at once.
 AT_ONCE = 2_000_000
-#: Entries of each generation of a worker's table, and the longest key that is kept.
-GENERATION, SHORT = 250_000, 64
+#: Entries of each generation of a worker's tables of pieces and of pre-tokens, and the longest key kept.
+PIECES, WORDS, SHORT = 350_000, 200_000, 64
 
 
 class Recent(dict):
@@ -63,7 +67,7 @@ class Recent(dict):
     full it becomes the old generation, and what is asked for again comes back from there.
     ``make`` gives the values of a list of distinct keys."""
 
-    def __init__(self, make: Callable[[list[str]], list[bytes]], size: int = GENERATION) -> None:
+    def __init__(self, make: Callable[[list[str]], list[bytes]], size: int) -> None:
         super().__init__()
         self.make, self.size, self.old = make, size, {}
 
@@ -94,7 +98,7 @@ class Recent(dict):
 def piece_table(split: "Splitter", words: Callable[[list[str]], list[bytes]]) -> Recent:
     """piece -> ids of its pre-tokens, whose ids ``words`` gives for a list of distinct ones. New
     pieces are split together."""
-    known = Recent(words)
+    known = Recent(words, WORDS)
 
     def make(new: list[str]) -> list[bytes]:
         said = split.lines(new)
@@ -105,7 +109,7 @@ def piece_table(split: "Splitter", words: Callable[[list[str]], list[bytes]]) ->
         blob = b"".join(ids)
         return [blob[a:b] for a, b in zip(at, at[1:])]
 
-    return Recent(make)
+    return Recent(make, PIECES)
 
 
 class Splitter:
