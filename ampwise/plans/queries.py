@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..functions import columns
 from ..functions.scalar import day_fraction, r6
-from ..operators import areas, battery, distance, geo, history, periods, profile, ranking, rollup, stats, trips
+from ..operators import areas, battery, distance, geo, history, periods, profile, ranking, rollup, sketches, stats, trips
 from ..session import delete_folder, reliable_checkpoint, shared_folder
 from ..sources import raw
 from ..sources import fixture
@@ -1082,3 +1082,29 @@ FROM tele GROUP BY vin, day, brake_pedal""")
 def q_brake_pedal_histogram(spark, sf_dir):
     """B8 catStat_brake_pedal (A16 categorical): brake-pedal state counts per vehicle-day."""
     return profile.profile(tele(spark, sf_dir), {"brake_pedal": ("histogram",)}, keys=("vin", "day"))
+
+
+# ---------------------------------------------------------------- rolling months from daily sketches
+_SIGNALS = {"speed": (0.0, 2.5), "curr": (-50.0, 10.0), "soc": (0.0, 10.0)}
+_ROLLING_SQL = f"""{S.WITH_TELE},
+v AS (SELECT vin, day, unnest([{', '.join(f"{{'signal': '{c}', 'x': CAST({c} AS DOUBLE), 'bin': CAST(floor(({c} - CAST({lo} AS DOUBLE)) / CAST({w} AS DOUBLE)) AS BIGINT)}}" for c, (lo, w) in _SIGNALS.items())}]) AS e FROM tele),
+ends AS (SELECT DISTINCT day AS d FROM tele)"""
+
+
+@register("rolling_signals", f"""{_ROLLING_SQL}
+SELECT d AS day, e.signal AS signal, count(e.x) AS n, {S.r6('avg(e.x)')} AS mean, {S.r6('min(e.x)')} AS low, {S.r6('max(e.x)')} AS high,
+       count(DISTINCT vin) AS vehicles
+FROM ends JOIN v ON v.day <= d AND v.day > d - 30 GROUP BY d, e.signal""")
+def q_rolling_signals(spark, sf_dir):
+    """A5 + A15 over the last 30 days of each day, from daily sketches: exact figures and the
+    number of vehicles."""
+    days = sketches.daily(tele(spark, sf_dir), _SIGNALS)
+    return sketches.rolling(days, list(_SIGNALS)).drop("q25", "q50", "q75")
+
+
+@register("rolling_histogram", f"""{_ROLLING_SQL}
+SELECT d AS day, e.signal AS signal, e.bin AS bin, count(*) AS n FROM ends JOIN v ON v.day <= d AND v.day > d - 30
+WHERE e.bin IS NOT NULL GROUP BY d, e.signal, e.bin""")
+def q_rolling_histogram(spark, sf_dir):
+    """A17 over the last 30 days of each day, from daily counts of bins."""
+    return sketches.rolling_histogram(sketches.daily(tele(spark, sf_dir), _SIGNALS))

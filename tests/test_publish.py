@@ -352,3 +352,27 @@ def test_history_job_in_any_order_equals_a_rebuild(spark, tmp_out):
     assert sorted(map(key, got.where("freq = 'daily'").collect()), key=str) == sorted(map(key, R.daily_long(whole, end).collect()), key=str)
     assert got.where("freq = 'hourly'").count() == history.hourly(spark, h).count() * 3
     assert jobs.rejects(spark, ledger).where("job = 'history'").agg({"n_read": "sum"}).first()[0] == lines.count()
+
+
+def test_jobs_over_a_clustered_table_move_no_records(spark, tmp_out):
+    """Trips, periods and daily statistics over a table bucketed by vehicle and day: the same rows,
+    and no exchange of records in the plans (only of segments, by vehicle)."""
+    from ampwise.operators import periods, stats as S, trips as T
+    from ampwise.sources import fixture
+    t = fixture.telemetry(spark, "/root/testdata/sf0.001")
+    name = f"cl_{os.path.basename(tmp_out).replace('-', '_')}"
+    publish.create_clustered(t, name, 4)
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    jobs_ = {"trips": lambda d: T.trips(d, max_gap_s=8 * 3600), "periods": lambda d: periods.periods_of(d, max_gap_s=86400),
+             "stats": lambda d: S.daily_stats(d, keys=("vin", "day")).select("vin", "time_label", "n_records", "distance_driven", "energy_throughput")}
+    try:
+        for shuffle in ("4", keep):
+            spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+            for what, job in jobs_.items():
+                df = job(spark.table(name))
+                plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+                moved = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "day#" in x]
+                assert not moved, (what, moved)
+                assert sorted(map(str, df.collect())) == sorted(map(str, job(t).collect())), what
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
