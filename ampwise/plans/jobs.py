@@ -160,7 +160,7 @@ def history_job(spark: SparkSession, root: str, start: str, end: str, history_pa
     months concerned are written anew, one JSON dataset a month (``documents_path/month=yyyy-MM``).
     These are the months from the earliest label that the batch touched up to the newest batch, as
     a late first day makes later months' calendars start earlier. A forced day replaces what it
-    brought before. The ledger is written last: a run that dies before is repeated, which changes
+    brought before; a day whose file has not come stays pending. The ledger is written last: a run that dies before is repeated, which changes
     nothing that was merged. Returns the months."""
     days = pending(spark, start, end, ledger_path, "history", force)
     lines = read_days(spark, root, days) if days else None
@@ -169,7 +169,11 @@ def history_job(spark: SparkSession, root: str, start: str, end: str, history_pa
     lines, seen = _observed(lines, days, schemas.SCHEMA_A_LENGTHS)
     table = stats.period_stats(raw.parse_schema_a(lines), ("daily", "hourly"), keys=("file_day", "vin"), dedupe=True)
     rows = reliable_checkpoint(history.stat_rows(table))
+    # a day without a line has not come yet, unless it is forced: then it brings nothing any more
+    days = [d for d in days if force or seen.get[f"read_{d}"]]
     batches = [dt.date.fromisoformat(_iso(d)) for d in days]
+    if not batches:
+        return []
     first = rows.agg(F.min(F.substring("label", 1, 7))).first()[0]
     history.apply(spark, history_path, rows, batches)
     newest = max(r["last_batch"] for r in history.versions(spark, history_path).collect() if r["last_batch"])
