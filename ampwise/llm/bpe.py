@@ -38,7 +38,7 @@ from ampwise.llm.pretokens import AT_ONCE, Recent, Splitter, byte_chars, encoded
 LEXICON_WORDS = 60_000
 LONG = 64
 #: Distinct pieces that a counting task holds before it passes them on.
-COUNTED_AT_ONCE = 400_000
+COUNTED_AT_ONCE = 200_000
 
 
 class Merger:

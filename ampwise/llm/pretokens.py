@@ -59,7 +59,7 @@ def encoded(texts: pa.Array, table) -> tuple[np.ndarray, np.ndarray]:
 #: Bytes of text that are cut into pieces at once.
 AT_ONCE = 2_000_000
 #: Entries of each generation of a worker's tables of pieces and of pre-tokens, and the longest key kept.
-PIECES, WORDS, SHORT = 350_000, 200_000, 64
+PIECES, WORDS, SHORT = 150_000, 100_000, 64
 
 
 class Recent(dict):
@@ -95,7 +95,7 @@ class Recent(dict):
         return got
 
 
-def piece_table(split: "Splitter", words: Callable[[list[str]], list[bytes]]) -> Recent:
+def piece_table(split: "Splitter", words: Callable[[list[str]], list[bytes]], size: int = PIECES) -> Recent:
     """piece -> ids of its pre-tokens, whose ids ``words`` gives for a list of distinct ones. New
     pieces are split together."""
     known = Recent(words, WORDS)
@@ -109,7 +109,7 @@ def piece_table(split: "Splitter", words: Callable[[list[str]], list[bytes]]) ->
         blob = b"".join(ids)
         return [blob[a:b] for a, b in zip(at, at[1:])]
 
-    return Recent(make, PIECES)
+    return Recent(make, size)
 
 
 class Splitter:

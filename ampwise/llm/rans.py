@@ -45,6 +45,8 @@ MAGIC = b"RANSTOK1"
 SCALE_BITS, LOW, LANES, CHECK_STEPS = 18, 1 << 31, 2048, 64
 #: Symbols after which a block is closed at the next document's end.
 BLOCK_SYMBOLS = 262_144
+#: Pieces in each generation of a worker's table.
+REMEMBERED = 350_000
 
 
 class Table:
@@ -195,7 +197,7 @@ class Encoder:
             ids = [number(w)] if special(w) else [t.id for t in model("".join([chars[b] for b in w.encode("utf-8")]))]
             return array("I", ids).tobytes()
 
-        self.pieces = piece_table(Splitter(tok), lambda words: list(map(word, words)))
+        self.pieces = piece_table(Splitter(tok), lambda words: list(map(word, words)), REMEMBERED)
         self.end = np.array([end], np.uint32)
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
