@@ -7,8 +7,6 @@ size. Fitted objects reach the workers through broadcasts.
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ampwise.session import delete_folder, shared_folder
+from ampwise.session import own_path, remove_own, stored  # noqa: F401
 
 #: Characters that a worker handles at once; one longer text is a slice of its own.
 SLICE_CHARS = 1_000_000
@@ -108,35 +106,6 @@ def n_buckets(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-_OWN: dict[str, SparkSession] = {}
-
-
-def own_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder that is removed when the driver's Python ends, as results
-    may be read from it until then."""
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not _OWN:
-        atexit.register(remove_own)
-    _OWN[path] = spark
-    return path
-
-
-def remove_own() -> None:
-    """Remove the tables and files that :func:`own_path` named so far."""
-    while _OWN:
-        path, spark = _OWN.popitem()
-        if spark.sparkContext._jsc is not None:  # a stopped session's files stay
-            delete_folder(spark, path)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a Parquet table below the shared folder and read again: cuts the
-    lineage, survives lost executors."""
-    path = own_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def write_bytes(spark: SparkSession, name: str, data: bytes) -> str:
     """One file below the shared folder, on whatever file system that is; returns its path."""
     at = spark._jvm.org.apache.hadoop.fs.Path(f"{own_path(spark, 'file')}/{name}")

@@ -27,14 +27,20 @@ a run that dies before leaves files that no reader takes, and the next run write
 that version anew. :func:`compact` writes the current rows as one version, so
 readers open few files. Readers take, of each key, the row of the newest version,
 and show days up to the newest batch. One writer at a time.
+
+Each step deals the rows once, by vehicle (and label), and groups them there: the
+newest version of a key column by column, the batches of a label in sorted order,
+gaps from one present day to the next. What a version changes is kept while it is
+written, so that no step reads the arrivals again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import r6
@@ -44,6 +50,7 @@ VALUES = ("distance_driven", "charging_hours", "speed_average", "speed_n")
 _STATS = "distance_driven double, charging_hours double, speed_average double, speed_n bigint"
 ROWS = f"freq string, vin string, label string, batch date, {_STATS}"
 _RUN = "run struct<avg: double, n: bigint, miles: bigint, hours: bigint>"
+_RUN_FIELDS = ("avg", "n", "miles", "hours")
 _TABLES = {
     "arrivals": f"{ROWS}, deleted boolean",
     "days": f"vin string, day date, present boolean, {_STATS}, {_RUN}",
@@ -97,9 +104,13 @@ def _table(spark: SparkSession, path: str, name: str, read: Sequence[int], month
 
 
 def _latest(df: DataFrame, name: str) -> DataFrame:
-    keys = _KEYS[name]
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "version").alias("_r")).select(*keys, "_r.*")
+    """Of each key the row of the newest version (a version has a key once), column by column: flat
+    buffers are grouped without a sort."""
+    keys = [*_KEYS[name], *([] if name == "vehicles" else ["month"])]
+    flat = {c: [f"{c}.{x}" for x in _RUN_FIELDS] if c == "run" else [c] for c in df.columns if c not in (*keys, "version")}
+    got = df.groupBy(*keys).agg(F.max("version").alias("version"), *[F.max_by(x, "version").alias(x.replace(".", "_")) for of in flat.values() for x in of])
+    run = F.when(F.col("run_n").isNotNull(), F.struct(*[F.col(f"run_{x}").alias(x) for x in _RUN_FIELDS]))
+    return got.select(*[run.alias("run") if c == "run" else c for c in df.columns])
 
 
 def _write(df: DataFrame, path: str, name: str, version: int) -> None:
@@ -117,51 +128,67 @@ def _micro(c: str) -> Column:
     return F.round(F.col(c) * 1_000_000).cast("bigint")
 
 
+def _combine(rows: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """:func:`combined` for rows dealt by ``keys``; those marked deleted do not count, though a key
+    that has no others stays. ``live`` is the number of rows that count."""
+    rows = rows.select(*[c for c in rows.columns if c not in VALUES], *[F.when(~F.col("deleted"), F.col(c)).alias(c) for c in VALUES])
+    avg, n = F.col("speed_average"), F.col("speed_n")
+    # sums of doubles follow the order of the batches
+    g = rows.sortWithinPartitions(*keys, "batch").groupBy(*keys).agg(
+        F.count_if(~F.col("deleted")).alias("live"), *[F.max(c).alias(f"_{c}") for c in VALUES], *[(F.sum(_micro(c)) / 1_000_000).alias(f"_sum_{c}") for c in VALUES[:2]],
+        F.sum("speed_n").alias("_sum_speed_n"), F.sum(avg * n).alias("_total"), F.sum(F.when(avg.isNotNull(), n)).alias("_weight"),
+        F.count_if(avg.isNotNull() & n.isNull()).alias("_unknown"), *more)
+    mean = F.when(F.col("_unknown") == 0, F.col("_total") / F.nullif("_weight", F.lit(0).cast("bigint")))
+    several = {**{c: F.col(f"_sum_{c}") for c in VALUES if c != "speed_average"}, "speed_average": mean}
+    added = [c for c in g.columns if not c.startswith("_")]
+    return g.select(*added, *[F.when(F.col("live") == 1, F.col(f"_{c}")).otherwise(several[c]).alias(c) for c in VALUES])
+
+
 def combined(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key from the rows of its batches: one row stays as it is; of several, sums add up
-    and the speed average is weighted by its samples, in the order of the batches (a key has few)."""
-    one = F.struct("batch", *VALUES)
-    g = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("_b"),
-                                *[(F.sum(_micro(c)) / 1_000_000).alias(f"_{c}") for c in VALUES[:2]], F.sum("speed_n").alias("_n"))
-    said = F.filter("_b", lambda b: b["speed_average"].isNotNull())
-    weight = F.aggregate(said, F.lit(0).cast("bigint"), lambda a, b: a + F.coalesce(b["speed_n"], F.lit(0).cast("bigint")))
-    total = F.aggregate(said, F.lit(0.0), lambda a, b: a + b["speed_average"] * b["speed_n"])
-    single, first = F.size("_b") == 1, F.element_at("_b", 1)
-    return g.select(*keys, *[F.when(single, first[c]).otherwise(F.col(f"_{c}")).alias(c) for c in VALUES[:2]],
-                    F.when(single, first["speed_average"]).otherwise(total / F.nullif(weight, F.lit(0).cast("bigint"))).alias("speed_average"),
-                    F.when(single, first["speed_n"]).otherwise(F.col("_n")).alias("speed_n"))
+    and the speed average is weighted by its samples, in the order of the batches."""
+    rows = rows.select(*keys, "batch", *VALUES, F.lit(False).alias("deleted"))
+    return _combine(rows.repartition(*keys), keys).select(*keys, *VALUES)
 
 
 def _plus(a: Column, b: Column) -> Column:
     return F.coalesce(a + b, a, b)
 
 
-def _month_so_far(days: Column, since: Column, first_day: Column) -> Column:
-    """The days from ``since`` on with their month so far. ``days``: structs of the month's present days."""
-    days = F.array_sort(days)
-    before, rest = F.filter(days, lambda d: d["day"] < since), F.filter(days, lambda d: d["day"] >= since)
-    out = "array<struct<day: date, distance_driven: double, charging_hours: double, speed_average: double, speed_n: bigint, run: struct<avg: double, n: bigint, miles: bigint, hours: bigint>>>"
+def _month_so_far(groups: DataFrame) -> DataFrame:
+    """The days from ``since`` on with their month so far: one row each, of groups (vin, month, days,
+    since, first_day). ``days``: structs of the month's present days."""
+    g = groups.withColumn("days", F.sort_array("days"))
+    g = g.select("vin", "month", "first_day", F.try_element_at(F.filter("days", lambda d: d["day"] < F.col("since")), F.lit(-1))["run"].alias("last"),
+                 F.filter("days", lambda d: d["day"] >= F.col("since")).alias("rest"))
 
-    def step(acc, d):
-        n = F.coalesce(d["speed_n"], F.lit(0).cast("bigint"))
-        this = F.struct(d["speed_average"].alias("avg"), n.alias("n"))
+    def step(runs, d):
+        last, zero = F.element_at(runs, -1), F.lit(0).cast("bigint")
+        this = F.struct(d["speed_average"].alias("avg"), F.coalesce(d["speed_n"], zero).alias("n"))
         # the first entry of a month is taken as it is; a known vehicle that was missing on day 01 starts from an empty one
-        none = F.struct(F.lit(None).cast("double").alias("avg"), F.lit(0).cast("bigint").alias("n"))
-        starts = acc["run"].isNull() & ((F.dayofmonth(d["day"]) == 1) | (d["day"] == first_day))
-        old = F.when(acc["run"].isNull(), none).otherwise(F.struct(acc["run"]["avg"].alias("avg"), acc["run"]["n"].alias("n")))
+        starts = last.isNull() & ((F.dayofmonth(d["day"]) == 1) | (d["day"] == F.col("first_day")))
+        old = F.struct(last["avg"].alias("avg"), F.coalesce(last["n"], zero).alias("n"))
         speed = F.when(starts, this).otherwise(_fold_avg(old, this))
         miles, hours = (F.round(d[c] * 1_000_000).cast("bigint") for c in VALUES[:2])
-        run = F.struct(speed["avg"].alias("avg"), speed["n"].cast("bigint").alias("n"),
-                       _plus(acc["run"]["miles"], miles).alias("miles"), _plus(acc["run"]["hours"], hours).alias("hours"))
-        entry = F.struct(d["day"].alias("day"), *[d[c].alias(c) for c in VALUES], run.alias("run"))
-        return F.struct(run.alias("run"), F.concat(acc["out"], F.array(entry)).alias("out"))
+        return F.concat(runs, F.transform(F.array(speed), lambda x: F.struct(  # one entry: the speed is worked out once
+            x["avg"].alias("avg"), x["n"].cast("bigint").alias("n"), _plus(last["miles"], miles).alias("miles"), _plus(last["hours"], hours).alias("hours"))))
 
-    last = F.try_element_at(before, F.lit(-1))["run"]
-    start = F.struct(last.alias("run"), F.array().cast(out).alias("out"))
-    return F.aggregate(rest, start, step, lambda acc: acc["out"])
+    runs = F.aggregate("rest", F.array("last").cast(f"array<{_RUN.split(' ', 1)[1]}>"), step)
+    g = g.select("vin", "month", "rest", runs.alias("runs")).withColumn("runs", F.slice("runs", F.lit(2), F.size("rest")))
+    g = g.select("vin", "month", F.explode(F.arrays_zip("rest", "runs")).alias("d"))
+    return g.select("vin", "month", *[F.col(f"d.rest.{c}").alias(c) for c in ("day", *VALUES)], F.col("d.runs").alias("run"))
 
 
 # ---------------------------------------------------------------- apply
+#: Rows that a version changes up to which their keys are broadcast, so that earlier rows of other
+#: keys are passed over where they are read; beyond that all rows of the months are dealt.
+FEW = 200_000
+
+
+def _of(df: DataFrame, keys: DataFrame, few: bool) -> DataFrame:
+    return df.join(F.broadcast(keys.distinct()), keys.columns, "left_semi") if few else df
+
+
 def apply(spark: SparkSession, path: str, rows: DataFrame, batches: Sequence | None = None) -> int:
     """Merge the stat rows of one or more batches (columns :data:`ROWS`) and return the version.
 
@@ -169,58 +196,60 @@ def apply(spark: SparkSession, path: str, rows: DataFrame, batches: Sequence | N
     merged before is replaced, also by nothing. Rows without vehicle, label or batch are left out;
     of rows with one key the largest counts."""
     newest, read, known = _log(spark, path)
-    version = newest + 1
+    version, here = newest + 1, [*read, newest + 1]
     month = lambda c: F.date_format(c, "yyyy-MM")
-    rows = (rows.where("vin IS NOT NULL AND label IS NOT NULL AND batch IS NOT NULL")
-            .groupBy(*_KEYS["arrivals"]).agg(F.max(F.struct(*VALUES)).alias("_r")).select(*_KEYS["arrivals"], "_r.*")
-            .withColumn("deleted", F.lit(False)).withColumn("month", F.substring("label", 1, 7)))
+    rows = rows.where("vin IS NOT NULL AND label IS NOT NULL AND batch IS NOT NULL").select(*_KEYS["arrivals"], *VALUES)
     if batches is None:
         batches = [r[0] for r in rows.select("batch").distinct().collect()]
     again = sorted(set(batches) & set(known))
+    rows = rows.withColumn("came", F.lit(True))
     if again:  # what an earlier delivery of these batches had and this one has not
         old = _latest(_table(spark, path, "arrivals", read).where(F.col("batch").isin(again)), "arrivals").where(~F.col("deleted"))
-        gone = old.join(rows, list(_KEYS["arrivals"]), "left_anti").withColumn("deleted", F.lit(True)).drop("version")
-        rows = rows.unionByName(gone)
+        rows = rows.unionByName(old.select(*_KEYS["arrivals"], *VALUES, F.lit(False).alias("came")))
+    keys = ("month", *_KEYS["arrivals"])  # in the order of the files
+    rows = (rows.repartition("vin", "label").withColumn("month", F.substring("label", 1, 7)).groupBy(*keys)
+            .agg(F.max(F.struct("came", *VALUES)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in VALUES], (~F.col("_r.came")).alias("deleted")))
     _write(rows, path, "arrivals", version)
 
-    here = [*read, version]
     mine = _table(spark, path, "arrivals", [version]).where(F.col("freq") == "daily")
-    months = sorted(r[0] for r in mine.select("month").distinct().collect())
-    touched = mine.select("vin", "label").distinct()
-    arrived = _latest(_table(spark, path, "arrivals", here, months).where(F.col("freq") == "daily").join(touched, ["vin", "label"], "left_semi"), "arrivals")
-    now = touched.join(combined(arrived.where(~F.col("deleted")), ("vin", "label")).withColumn("present", F.lit(True)), ["vin", "label"], "left")
-    now = now.select("vin", F.to_date("label").alias("day"), F.coalesce("present", F.lit(False)).alias("present"), *VALUES)
+    counts = {r[0]: r[1] for r in mine.groupBy("month").agg(F.count("*")).collect()}
+    few = sum(counts.values()) <= FEW
+    arrived = _table(spark, path, "arrivals", here, sorted(m for m in counts if m is not None)).where(F.col("freq") == "daily")
+    arrived = _latest(_of(arrived, mine.select("vin", "label"), few and bool(read)).repartition("vin", "label"), "arrivals")
+    now = _combine(arrived, ("vin", "label"), F.max("version").alias("newest")).where(F.col("newest") == version)
+    now = now.select("vin", F.to_date("label").alias("day"), (F.col("live") > 0).alias("present"), *VALUES).persist(StorageLevel.MEMORY_AND_DISK)
 
     # first days
     firsts = _latest(_table(spark, path, "vehicles", read), "vehicles").select("vin", F.col("first_day").alias("old"))
-    seen = now.groupBy("vin").agg(F.min(F.when(F.col("present"), F.col("day"))).alias("low"), F.collect_list(F.when(~F.col("present"), F.col("day"))).alias("gone"))
-    moved = seen.join(firsts, "vin", "left").withColumn("lost", F.coalesce(F.array_contains("gone", F.col("old")), F.lit(False)))
-    lost = moved.where("lost").select("vin")
+    moved = now.groupBy("vin").agg(F.min(F.when(F.col("present"), F.col("day"))).alias("low")).join(firsts, "vin", "left")
+    lost = firsts.join(now.where(~F.col("present")).select("vin", F.col("day").alias("old")), ["vin", "old"], "left_semi").select("vin") if again else None
     if again and lost.limit(1).count():  # the first day itself went: look through these vehicles' other days
         others = _latest(_table(spark, path, "days", read).join(lost, "vin", "left_semi"), "days").where("present")
         others = others.join(now.select("vin", "day"), ["vin", "day"], "left_anti").groupBy("vin").agg(F.min("day").alias("other"))
-        moved = moved.join(others, "vin", "left")
+        moved = moved.join(lost.withColumn("lost", F.lit(True)), "vin", "left").join(others, "vin", "left")
     else:
-        moved = moved.withColumn("other", F.lit(None).cast("date"))
-    moved = moved.select("vin", "old", F.least("low", F.when(~F.col("lost"), F.col("old")), "other").alias("new"))
+        moved = moved.withColumn("lost", F.lit(None).cast("boolean")).withColumn("other", F.lit(None).cast("date"))
+    moved = moved.select("vin", "old", F.least("low", F.when(F.col("lost").isNull(), F.col("old")), "other").alias("new")).persist(StorageLevel.MEMORY_AND_DISK)
     changed = moved.where(~F.col("old").eqNullSafe(F.col("new")))
     _write(changed.select("vin", F.col("new").alias("first_day")), path, "vehicles", version)
-    changed = changed.withColumn("ends", F.array("old", "new"))
-
-    # the day from which each (vin, month) is folded again
-    since = now.select("vin", "day").unionByName(changed.select("vin", F.explode("ends").alias("day")).where("day IS NOT NULL"))
-    since = since.groupBy("vin", month("day").alias("month")).agg(F.min("day").alias("since"))
-    months = sorted(r[0] for r in since.select("month").distinct().collect())
-    state = _latest(_table(spark, path, "days", read, months).join(since.select("vin", "month"), ["vin", "month"], "left_semi"), "days").where("present")
-    state = state.join(now.select("vin", "day"), ["vin", "day"], "left_anti").select("vin", "month", "day", *VALUES, "run")
-    fresh = now.where("present").select("vin", month("day").alias("month"), "day", *VALUES, F.lit(None).cast(_RUN.split(" ", 1)[1]).alias("run"))
-    folded = (state.unionByName(fresh).groupBy("vin", "month").agg(F.collect_list(F.struct("day", *VALUES, "run")).alias("days"))
-              .join(since, ["vin", "month"]).join(moved.select("vin", F.col("new").alias("first_day")), "vin", "left")
-              .select("vin", "month", F.explode(_month_so_far(F.col("days"), F.col("since"), F.col("first_day"))).alias("d")))
-    out = folded.select("vin", "month", "d.*").withColumn("present", F.lit(True))
-    absent = now.where(~F.col("present")).select("vin", month("day").alias("month"), "day", *VALUES, F.lit(None).cast(_RUN.split(" ", 1)[1]).alias("run"), "present")
-    _write(out.unionByName(absent), path, "days", version)
+
+    # each (vin, month) is folded again from its first day that changed
+    ends = changed.select("vin", F.explode(F.array("old", "new")).alias("day")).where("day IS NOT NULL")
+    places = now.select("vin", month("day").alias("month")).unionByName(ends.select("vin", month("day").alias("month")))
+    months = sorted(r[0] for r in places.select("month").distinct().collect())
+    state = _of(_table(spark, path, "days", read, months), places, few and bool(read))
+    fresh = now.select("vin", "day", "present", *VALUES, F.lit(None).cast(_RUN.split(" ", 1)[1]).alias("run"), F.lit(version).cast("bigint").alias("version"), month("day").alias("month"))
+    days = _latest(state.unionByName(fresh).repartition("vin"), "days").groupBy("vin", "month").agg(
+        F.collect_list(F.when(F.col("present"), F.struct("day", *VALUES, "run"))).alias("days"), F.min(F.when(F.col("version") == version, F.col("day"))).alias("since"))
+    end = lambda c: F.when(~F.col("old").eqNullSafe(F.col("new")) & (month(c) == F.col("month")), F.col(c))
+    groups = days.join(moved, "vin").withColumn("since", F.least("since", end("old"), end("new"))).where("since IS NOT NULL")
+    out = _month_so_far(groups.select("vin", "month", "days", "since", F.col("new").alias("first_day"))).withColumn("present", F.lit(True))
+    if again:
+        out = out.unionByName(fresh.where(~F.col("present")).drop("version"))
+    _write(out, path, "days", version)
     _commit(spark, path, version, False, batches, max([*known, *batches], default=None), months)
+    now.unpersist()
+    moved.unpersist()
     return version
 
 
@@ -238,35 +267,41 @@ def compact(spark: SparkSession, path: str) -> int:
 
 # ---------------------------------------------------------------- reading
 def _present(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, Column]:
+    """Present days and first days, both dealt by vehicle, and the last day."""
     _, read, known = _log(spark, path)
-    days = _latest(_table(spark, path, "days", read, months), "days").where("present")
+    days = _latest(_table(spark, path, "days", read, months).repartition("vin"), "days").where("present")
     end = F.lit(max(known, default=None)).cast("date")
     firsts = _latest(_table(spark, path, "vehicles", read), "vehicles").where(F.col("first_day") <= end).select("vin", "first_day")
     return days, firsts, end
 
 
-def _calendar(firsts: DataFrame, end: Column, months: Sequence[str] | None) -> DataFrame:
-    """Every day of a vehicle from its first day to the last batch, of ``months`` if given."""
-    days = firsts.select("vin", F.explode(F.sequence("first_day", end, F.expr("INTERVAL 1 DAY"))).alias("day"))
-    return days if months is None else days.where(F.date_format("day", "yyyy-MM").isin(list(months)))
-
-
 def daily(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
-    """(vin, day, values) on the dense calendar: a missing day has nulls."""
+    """(vin, day, values) for every day of a vehicle from its first day to the last batch, of
+    ``months`` if given: a missing day has nulls (R3). Each present day, and the first day, is
+    followed by the missing days up to the next."""
     days, firsts, end = _present(spark, path, months)
-    return _calendar(firsts, end, months).join(days.select("vin", "day", *VALUES, F.lit(True).alias("present")), ["vin", "day"], "left") \
-        .withColumn("present", F.coalesce("present", F.lit(False)))
+    none = [F.lit(None).cast("bigint" if c == "speed_n" else "double").alias(c) for c in VALUES]
+    rows = days.where(F.col("day") <= end).select("vin", "day", *VALUES, "present").unionByName(
+        firsts.select("vin", F.col("first_day").alias("day"), *none, F.lit(False).alias("present")))
+    rows = rows.withColumn("until", F.coalesce(F.date_sub(F.lead("day").over(Window.partitionBy("vin").orderBy("day", "present")), 1), end))
+    each = F.explode(F.sequence("since", "until", F.expr("INTERVAL 1 DAY")))
+    rows = rows.where(F.col("day") <= F.col("until")).withColumnRenamed("day", "since").withColumn("day", each)
+    rows = rows if months is None else rows.where(F.date_format("day", "yyyy-MM").isin(list(months)))
+    here = F.col("present") & (F.col("day") == F.col("since"))
+    return rows.select("vin", "day", *[F.when(here, F.col(c)).alias(c) for c in VALUES], here.alias("present"))
 
 
 def hourly(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
     """(vin, time_label, values): the hours that have rows, and 24 hours of nulls for each day that a
     known vehicle is missing (R3)."""
     _, read, known = _log(spark, path)
-    rows = _latest(_table(spark, path, "arrivals", read, months).where(F.col("freq") == "hourly"), "arrivals").where(~F.col("deleted"))
+    rows = _table(spark, path, "arrivals", read, months).where(F.col("freq") == "hourly")
     rows = rows.where(F.to_date(F.substring("label", 1, 10)) <= F.lit(max(known, default=None)).cast("date"))
-    have = combined(rows, ("vin", "label")).withColumnRenamed("label", "time_label")
-    gaps = daily(spark, path, months).where(~F.col("present")).select("vin", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"), "day")
-    gaps = gaps.select("vin", F.concat(F.date_format("day", "yyyy-MM-dd"), F.format_string(" %02d:00:00", "h")).alias("time_label"),
+    rows = _latest(rows.repartition("vin", "label"), "arrivals").where(~F.col("deleted"))
+    have = _combine(rows, ("vin", "label")).withColumnRenamed("label", "time_label")
+    gaps = daily(spark, path, months).where(~F.col("present")).select("vin", F.date_format("day", "yyyy-MM-dd").alias("date"))
+    gaps = gaps.select("vin", "date", F.explode(F.array(*[F.lit(f" {h:02d}:00:00") for h in range(24)])).alias("hour"))
+    gaps = gaps.select("vin", F.concat("date", "hour").alias("time_label"),
                        *[F.lit(None).cast("double").alias(c) for c in VALUES[:3]], F.lit(0).cast("bigint").alias("speed_n"))
     return have.select("vin", "time_label", *VALUES).unionByName(gaps)
 
@@ -274,14 +309,14 @@ def hourly(spark: SparkSession, path: str, months: Sequence[str] | None = None)
 def monthly(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
     """(vin, month, values): each month's last month-so-far; a month without a day has nulls."""
     days, firsts, end = _present(spark, path, months)
-    last = days.groupBy("vin", "month").agg(F.max_by("run", "day").alias("run"))
+    last = days.groupBy("vin", "month").agg(*[F.max_by(f"run.{x}", "day").alias(x) for x in _RUN_FIELDS])
     dense = firsts.select("vin", F.explode(F.sequence(F.trunc("first_day", "month"), F.trunc(end, "month"), F.expr("INTERVAL 1 MONTH"))).alias("m"))
     dense = dense.select("vin", F.date_format("m", "yyyy-MM").alias("month"), F.date_format("m", "yyyy-M").alias("time_label"))
     if months is not None:
         dense = dense.where(F.col("month").isin(list(months)))
     return dense.join(last, ["vin", "month"], "left").select(
-        "vin", "month", "time_label", (F.col("run.miles") / 1_000_000).alias("distance_driven"), (F.col("run.hours") / 1_000_000).alias("charging_hours"),
-        F.col("run.avg").alias("speed_average"), F.coalesce("run.n", F.lit(0).cast("bigint")).alias("speed_n"))
+        "vin", "month", "time_label", (F.col("miles") / 1_000_000).alias("distance_driven"), (F.col("hours") / 1_000_000).alias("charging_hours"),
+        F.col("avg").alias("speed_average"), F.coalesce("n", F.lit(0).cast("bigint")).alias("speed_n"))
 
 
 def _long(df: DataFrame, freq: str) -> DataFrame:

@@ -8,7 +8,6 @@ same tables. Column names match between both.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,7 @@ from ..functions import predicates as P
 from ..functions import columns
 from ..functions.scalar import day_fraction, r6
 from ..operators import areas, battery, distance, geo, history, periods, profile, ranking, rollup, sketches, stats, trips
-from ..session import delete_folder, reliable_checkpoint, shared_folder
+from ..session import own_path, reliable_checkpoint, stored
 from ..sources import raw
 from ..sources import fixture
 from . import export, jobs, publish
@@ -415,17 +414,15 @@ def _history(spark, sf_dir, read: Callable) -> DataFrame:
     """``read`` of a history into which the day files came out of order (each third day, twice
     others), one part of them without some vehicles at first and then again in full."""
     t = tele(spark, sf_dir).withColumn("file_day", F.to_date(F.col("ts") + F.expr(f"INTERVAL {fixture.FILE_LAG}")))
-    rows = reliable_checkpoint(history.stat_rows(stats.period_stats(t, ("daily", "hourly"), keys=("file_day", "vin"))))
+    rows = stored(history.stat_rows(stats.period_stats(t, ("daily", "hourly"), keys=("file_day", "vin"))), "stat-rows")
     third = F.pmod(F.unix_date("batch"), F.lit(3))
-    path = f"{shared_folder(spark)}/history-{uuid.uuid4().hex}"
+    path = own_path(spark, "history")
     history.apply(spark, path, rows.where((third == 1) & (F.col("vin").cast("long") % 7 != 0)))
     history.apply(spark, path, rows.where(third == 2))
     history.compact(spark, path)
     history.apply(spark, path, rows.where(third == 0))
     history.apply(spark, path, rows.where(third == 1))
-    got = reliable_checkpoint(read(path).withColumn("vin", F.col("vin").cast("bigint")))
-    delete_folder(spark, path)
-    return got
+    return read(path).withColumn("vin", F.col("vin").cast("bigint"))
 
 
 @register("corrected_history", f"""WITH {_HISTORY_SQL},

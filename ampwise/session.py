@@ -6,8 +6,10 @@ settings that are unset, so a cluster's own configuration always wins.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,3 +96,32 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library wrote, on whatever file system it lies."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_OWN: dict[str, SparkSession] = {}
+
+
+def own_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder that is removed when the driver's Python ends, as results
+    may be read from it until then."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _OWN:
+        atexit.register(remove_own)
+    _OWN[path] = spark
+    return path
+
+
+def remove_own() -> None:
+    """Remove the tables and files that :func:`own_path` named so far."""
+    while _OWN:
+        path, spark = _OWN.popitem()
+        if spark.sparkContext._jsc is not None:  # a stopped session's files stay
+            delete_folder(spark, path)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table below the shared folder and read again: cuts the
+    lineage, survives lost executors."""
+    path = own_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

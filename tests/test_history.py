@@ -173,3 +173,20 @@ def test_odd_rows_and_documents(spark, tmp_out):
     docs = rollup.stat_documents(history.long_rows(spark, path))
     assert {tuple(r) for r in rollup.long_form(docs).collect()} == {tuple(r) for r in history.long_rows(spark, path).collect()}
     assert {r["month"] for r in docs.collect()} == {"2024-2"}
+
+
+def test_gaps_are_filled_without_a_join_and_nothing_stays_cached(spark, tmp_out, capsys):
+    """Missing days follow from the next present day of the vehicle, so the dense calendar is neither dealt nor sorted."""
+    path = f"{tmp_out}/h"
+    rows = [("daily", v, day(i).isoformat(), day(i), 1.0, None, 5.0, 2) for v, i in (("a", 0), ("a", 3), ("b", 2))]
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    history.apply(spark, path, frame(spark, rows), [day(5)])
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    df = history.daily(spark, path)
+    capsys.readouterr()
+    df.explain()
+    assert "Join" not in capsys.readouterr().out
+    got = sorted((r["vin"], (r["day"] - D0).days, r["present"], r["speed_n"]) for r in df.collect())
+    assert got == [("a", i, i in (0, 3), 2 if i in (0, 3) else None) for i in range(6)] + [("b", i, i == 2, 2 if i == 2 else None) for i in range(2, 6)]
+    later = history.daily(spark, path, ["2024-02"])  # from 2024-02-01, day 4, on
+    assert sorted((r["vin"], (r["day"] - D0).days, r["present"]) for r in later.collect()) == [(v, i, False) for v in "ab" for i in (4, 5)]
