@@ -6,7 +6,9 @@ words are numbered by counting the words below each branch, so a path yields a
 word number and that number its ids. The automaton is one file of flat arrays
 that Spark distributes (``addFile``) and each Python worker memory-maps. A
 pre-token outside the lexicon is merged exactly, by the ranks of the tokenizer
-file; a long one with a heap of its pairs, in time near its length. A text is cut
+file; a long one with a heap of its pairs, in time near its length. The new
+pre-tokens of a slice of texts walk the automaton together, a byte at a time, and
+those it lacks are merged together, a merge of each at a time. A text is cut
 at white space, and a worker keeps a bounded table of the pieces it met lately
 with their ids.
 
@@ -59,6 +61,13 @@ class Merger:
         # the symbol of each byte, inside a word and as its last
         self.inner, self.last = ([self.vocab.get(c + end) for c in byte_chars()] for end in ("", self.suffix))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        # the same as arrays, for many words at once: pairs in order with their ranks, and -1 for bytes that lack a symbol
+        pairs = np.fromiter(self.rank, np.int64, len(self.rank))
+        order = np.argsort(pairs)
+        self.pairs = np.append(pairs[order], -1)
+        self.ranks = np.append(np.fromiter(self.rank.values(), np.int64, len(order))[order], 0)
+        self.symbols = np.array([-1 if i is None else i for i in self.inner + self.last], np.int64).reshape(2, 256)
+        self.makes = np.array(self.made, np.int64)
         tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.tokens = [tokens.get(i, "") for i in range(max(tokens) + 1)]
 
@@ -89,6 +98,57 @@ class Merger:
                 ranks[i] = get(new << 20 | s[i + 1], never)
         return s
 
+    def many(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words (UTF-8, not empty, none of them special) as bytes. Each round makes the
+        next merge of every word: the lowest rank, then leftmost."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        raw, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size)
+        s = self.symbols[0, raw]
+        s[ends - 1] = self.symbols[1, raw[ends - 1]]
+        one = size > LONG
+        one[np.repeat(np.arange(len(words)), size)[s < 0]] = True
+        alone = {int(i): array("I", self.ids(words[i].decode("utf-8"))).tobytes() for i in np.flatnonzero(one)}
+        of = np.repeat(np.arange(len(words)), size)  # the word of each symbol
+        s, of = s[~one[of]], of[~one[of]]
+        never, done = len(self.made), []
+
+        def ranked(at: np.ndarray) -> np.ndarray:
+            """Ranks of the pairs that begin at ``at``."""
+            after = np.minimum(at + 1, len(s) - 1)
+            pair = np.where((at < after) & (of[at] == of[after]), s[at] << 20 | s[after], -2)
+            found = np.searchsorted(self.pairs[:-1], pair)
+            return np.where(self.pairs[found] == pair, self.ranks[found], never)
+
+        rank = ranked(np.arange(len(s)))
+        while len(s):
+            starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            count = np.diff(np.append(starts, len(s)))
+            best = np.minimum.reduceat(rank, starts)
+            going = best < never
+            if not going.all():  # words without a merge left
+                keep = np.repeat(going, count)
+                done.append((of[~keep], s[~keep]))
+                s, of, rank, best, count = s[keep], of[keep], rank[keep], best[going], count[going]
+                if not len(s):
+                    break
+            at = np.flatnonzero(rank == np.repeat(best, count))
+            at = at[np.concatenate(([True], of[at][1:] != of[at][:-1]))]
+            s[at] = self.makes[best]
+            keep = np.ones(len(s), bool)
+            keep[at + 1] = False
+            at -= np.arange(len(at))  # one symbol fewer for each word before
+            s, of, rank = s[keep], of[keep], rank[keep]
+            rank[at] = ranked(at)
+            before = at[at > 0] - 1
+            rank[before] = ranked(before)
+        of, s = (np.concatenate([d[k] for d in done] or [np.zeros(0, np.int64)]) for k in (0, 1))
+        blob = s[np.argsort(of, kind="stable")].astype("<u4").tobytes()
+        to = np.concatenate(([0], 4 * np.cumsum(np.bincount(of, minlength=len(words))))).tolist()
+        out = [blob[a:b] for a, b in zip(to, to[1:])]
+        for i, ids in alone.items():
+            out[i] = ids
+        return out
+
     def _merged_by_heap(self, s: list[int]) -> list[int]:
         """The same merges (lowest rank, then leftmost) of a long word: symbols linked to their
         neighbours, pairs in a heap; a pair that has changed since is passed over."""
@@ -195,6 +255,33 @@ class Lexicon:
         self.first, self.target, self.skip = ints(n + 1), ints(edges), ints(edges)
         self.starts, self.ids = ints(words + 1), ints(ids, "<u4")
         self.final, self.label, self.words = at, at + n, words
+        # the edges' states and labels, which stand in this order in the file
+        self.edge = np.repeat(np.arange(n, dtype=np.int64) << 8, np.diff(self.first)) | np.frombuffer(view[self.label:self.label + edges], np.uint8)
+        self.ends = np.frombuffer(view[self.final:self.final + n], np.uint8)
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """:meth:`number` of many words: all take a byte's step at a time."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        raw, begin = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size
+        state, number = np.full(len(words), self.root, np.int64), np.zeros(len(words), np.int64)
+        target, skip = np.asarray(self.target), np.asarray(self.skip)
+        left, step = np.arange(len(words)), 0  # words still under way
+        while True:
+            whole = size[left] == step
+            over = left[whole]
+            number[over[self.ends[state[over]] == 0]] = -1
+            left = left[~whole]
+            if not len(left):
+                return number
+            step_to = state[left] << 8 | raw[begin[left] + step]
+            e = np.searchsorted(self.edge, step_to)
+            met = e < len(self.edge)
+            met[met] = self.edge[e[met]] == step_to[met]
+            number[left[~met]] = -1
+            left, e = left[met], e[met]
+            number[left] += skip[e]
+            state[left] = target[e]
+            step += 1
 
     def number(self, word: bytes) -> int:
         """The word's number in byte order, or -1."""
@@ -301,12 +388,22 @@ def worker_table(spec: str, lexicon: str) -> tuple[Recent, list[str]]:
 def words_of(lexicon: Lexicon, merge: Merger) -> Callable[[list[str]], list[bytes]]:
     """The ids of pre-tokens as bytes: looked up in the lexicon, those not there merged. The line end
     that stands between texts has none."""
-    def one(word: str) -> bytes:
-        if word == "\n":
-            return b""
-        got = lexicon.get(word.encode("utf-8"))
-        return array("I", merge.ids(word)).tobytes() if got is None else got
-    return lambda words: list(map(one, words))
+    def ids(words: list[str]) -> list[bytes]:
+        raw = [w.encode("utf-8") for w in words]
+        out = [b""] * len(words)
+        starts, held = lexicon.starts, lexicon.ids
+        lacking = []
+        for i, k in enumerate(lexicon.numbers(raw).tolist()):
+            if k >= 0:
+                out[i] = held[starts[k]:starts[k + 1]].tobytes()
+            elif words[i] in merge.special:
+                out[i] = array("I", merge.ids(words[i])).tobytes()
+            elif words[i] not in ("", "\n"):
+                lacking.append(i)
+        for i, got in zip(lacking, merge.many([raw[i] for i in lacking])):
+            out[i] = got
+        return out
+    return ids
 
 
 def encode_decode(docs: DataFrame, spec: str, lexicon: str, text_col: str = "text",

@@ -5,6 +5,7 @@ import json
 import random
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -773,3 +774,21 @@ def test_wrapped_notices_are_one_confirmed_find(spark):
         assert [(x["family"], x["confirmed"], x["paragraph"]) for x in got[f]] == ([(f, True, 3)] if f else []), f
     two = "\n".join(("Licensed under the MIT license. See LICENSE file in the project root for full license information.", "Licensed under the Apache License, Version 2.0."))
     assert [(x["family"], x["paragraph"]) for x in licences.scan(spark.createDataFrame([(two,)], "text string"), model).first()["licences"]] == [("MIT", 0), ("Apache", 1)]
+
+
+def test_many_words_are_merged_and_looked_up_as_one_by_one(spec, tmp_path):
+    merge = bpe.Merger(json.loads(spec))
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("aaeinrst'éß漢😀0-") for _ in range(rnd.randint(1, 20))) for _ in range(3000)]
+    words += ["a" * n for n in range(1, 140)] + ["banana" * 30, "the", "x", "\x00\x7f"]
+    raw = [w.encode("utf-8") for w in words]
+    assert merge.many(raw) == [array("I", merge.ids(w)).tobytes() for w in words]
+    assert merge.many([]) == [] and merge.many([b"z"]) == [array("I", merge.ids("z")).tobytes()]
+    path = tmp_path / "lexicon"
+    path.write_bytes(bpe.compile_lexicon([(w, [1]) for w in raw[::3]]))
+    lexicon = bpe.Lexicon(str(path))
+    asked = [*raw, b"", b"th", b"the\xff", *[w + b"a" for w in raw[:300]]]
+    assert lexicon.numbers(asked).tolist() == [lexicon.number(w) for w in asked]
+    path = tmp_path / "empty"
+    path.write_bytes(bpe.compile_lexicon([]))
+    assert bpe.Lexicon(str(path)).numbers([b"a", b""]).tolist() == [-1, -1]
