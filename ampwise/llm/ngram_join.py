@@ -12,10 +12,15 @@ still occur in at least one of the other, short ones.
    fixes the order, any order gives the same result).
 2. Each document keeps its set's size, a hash of the whole set and its short
    lists' shingles. Equal sets become one class, represented by its smallest id.
-3. Postings (shingle, class, size) of the short lists meet by shingle. Classes of
-   neighbouring size bands that share a shingle fall into one neighbourhood (a
-   component of that relation), so every pair that can link is within one. A
-   very frequent shingle's list is dealt by salt, and joined by its bands' heads.
+3. Postings (shingle, class, size) of the short lists meet by shingle. As all sets
+   keep one order, linked sets must share ``least_shared`` shingles of their short
+   lists, not just one. Pairs of a list that may link by size are therefore counted
+   over all lists, and those met often enough fall into one neighbourhood (a
+   component of that relation), so every pair that can link is within one. Pairs
+   whose smallest hashes agree (``signature``) are put together at once and not
+   counted; that only makes neighbourhoods larger. So is a list of more than
+   ``LONG`` postings: all its neighbouring size bands are joined. A very frequent
+   shingle's list is dealt by salt, and joined by its bands' heads.
 4. Neighbourhoods are searched apart. A task has the whole sets of one and takes
    them by size. It merges each query's short lists with a heap, which counts how
    often an earlier set occurs in them and where the last common shingle stands in
@@ -28,9 +33,10 @@ still occur in at least one of the other, short ones.
 5. Neighbourhoods with more than ``UNIT`` shingles aren't gathered. Where they are
    the lesser part of the shingles, steps 1 to 4 are done anew for their documents
    alone, with a table that counts only those and so tells rare from frequent
-   better. Else their lists are searched in blocks of bounded size: first each
-   block by itself, then, for lists whose members still belong to several
-   components, each pair of blocks.
+   better. Else they are dealt into blocks of bounded size. Each block is searched
+   by itself, and so are, in new blocks, the smallest members of the components
+   found, as long as that links any. Then sets in lists whose members still belong
+   to several components are searched for each pair of blocks.
 
 A set's identity is a 64-bit hash of its hashed shingles (64 bits as well), so an
 error needs a collision.
@@ -53,7 +59,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampwise.llm.common import join_ids, n_buckets, slices, small_batches, stored
-from ampwise.llm.components import Forest, components, forest_batches
+from ampwise.llm.components import FOREST_NODES, Forest, components
 from ampwise.llm.shingles import mix, shingle_sets
 
 #: Words of a shingle; least similarity in hundredths.
@@ -63,8 +69,12 @@ WORDS, SIMILAR = 5, 80
 SKETCH_BITS, SKETCH_ROW = 23, 1 << 16
 #: Postings of a list from which on it is dealt by salt.
 HEAVY = 50_000
+#: Postings of a list up to which its pairs are counted one by one.
+LONG = 32
 #: Shingles of a neighbourhood that one task may gather.
 UNIT = 4_000_000
+#: Pairs to be counted that a task passes on at once.
+PAIRS = 100_000
 
 
 def required(n: int, m: int, similar: int = SIMILAR) -> int:
@@ -77,6 +87,12 @@ def short_lists(n: int, similar: int = SIMILAR) -> int:
     return n - -(-n * similar // 100) + 1
 
 
+def least_shared(n: int, m: int, similar: int = SIMILAR) -> int:
+    """Of how many shingles linked sets of sizes n and m have both in their short lists, at least:
+    the common shingles beyond either's short list are the last ones in the order of both."""
+    return required(n, m, similar) - max(n - short_lists(n, similar), m - short_lists(m, similar))
+
+
 def frequencies(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> np.ndarray:
     """Occurrences of shingles by their hash's upper bits, over all documents: eight times the
     binary logarithm of one more than the count, in a byte."""
@@ -133,6 +149,20 @@ def rarest(s: np.ndarray, table: np.ndarray, similar: int = SIMILAR) -> np.ndarr
     return s[np.lexsort((s, f))[:k]]
 
 
+#: Where the quarters of the hashes begin.
+_QUARTERS = np.arange(4, dtype=np.uint64) << np.uint64(62)
+
+
+def signature(s: np.ndarray) -> int:
+    """The last four bits of the smallest hash of each quarter (or of the next hash), in 16 bits."""
+    low = (s[np.minimum(np.searchsorted(s, _QUARTERS), len(s) - 1)] & np.uint64(15)).tolist()
+    return low[0] | low[1] << 4 | low[2] << 8 | low[3] << 12
+
+
+#: Whether signatures that differ in these bits agree in three quarters at least.
+_AGREE = bytes(sum(not x >> i & 15 for i in (0, 4, 8, 12)) >= 3 for x in range(1 << 16))
+
+
 class Search:
     """T-occurrence search within a unit: sets of hashes, with links found as a forest."""
 
@@ -233,7 +263,7 @@ def _edges(similar: int) -> list[int]:
 
 
 def prepare(docs: DataFrame, table, id_col: str, text_col: str, words: int, similar: int) -> DataFrame:
-    """(id, n, key, lists) of every document with an id; ``lists`` holds the short lists' shingles."""
+    """(id, n, key, sig, lists) of every document with an id; ``lists`` holds the short lists' shingles."""
     def run(batches):
         freq = table.value
         for batch in batches:
@@ -244,17 +274,21 @@ def prepare(docs: DataFrame, table, id_col: str, text_col: str, words: int, simi
                 values = np.concatenate(short) if short else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) if len(s) else 0 for s in sets], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "n", "key", "lists"])
+                    pa.array([signature(s) if len(s) else 0 for s in sets], pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
+                    names=["id", "n", "key", "sig", "lists"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
-    return rows.mapInArrow(run, "id bigint, n bigint, key bigint, lists array<bigint>")
+    return rows.mapInArrow(run, "id bigint, n bigint, key bigint, sig int, lists array<bigint>")
 
 
 def _neighbour_edges(classes: DataFrame, table, parts: int, similar: int) -> DataFrame:
-    """Edges (a, b) between classes that share a short list's shingle and may link by size."""
-    postings = classes.select(F.col("id").alias("a"), "n", F.explode("lists").alias("t"))
+    """Edges (a, b) that put together all classes that may link: those that share enough of
+    their short lists' shingles, and some more."""
+    # size and signature in one column, as the size comes first in the lists' order
+    postings = classes.select(F.col("id").alias("a"), F.expr("n * 65536 + sig").alias("w"), F.explode("lists").alias("t"))
 
     def salted(batches):
+        """The salt of a heavy list's posting, else -1."""
         freq = table.value
         shift = np.uint64(64 - SKETCH_BITS)
         for batch in batches:
@@ -262,43 +296,96 @@ def _neighbour_edges(classes: DataFrame, table, parts: int, similar: int) -> Dat
             f = count_of(freq[(t.view(np.uint64) >> shift).astype(np.int64)])
             with np.errstate(over="ignore"):
                 salt = (mix(a.view(np.uint64) ^ t.view(np.uint64)) % (f // HEAVY + 1).astype(np.uint64)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(salt), pa.array((f >= HEAVY))], names=["a", "n", "t", "salt", "heavy"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.where(f >= HEAVY, salt, np.int32(-1)))], names=["a", "w", "t", "salt"])
 
-    dealt = postings.mapInArrow(salted, "a bigint, n bigint, t bigint, salt int, heavy boolean").repartition(parts, "t", "salt").sortWithinPartitions("t", "salt", "n", "a")
+    dealt = postings.mapInArrow(salted, "a bigint, w bigint, t bigint, salt int").repartition(parts, "t", "salt").sortWithinPartitions("t", "salt", "w", "a")
+    kind = "a bigint, b bigint, t bigint, band int, need int"
 
     def walk(batches):
-        """One forest for the task's lists; heads of heavy lists' bands go on as (t, band, a), one for each salt."""
+        """One forest for the task's lists; pairs to be counted go on as (a, b, need), and heads of
+        heavy lists' bands as (t, band, a), one for each salt."""
+        forest = Forest()
         heads: dict[tuple, int] = {}
+        xs: list[int] = []
+        ys: list[int] = []
+        needs: list[int] = []
+
+        def rows(a, b, t=None, band=None, need=None):
+            n = len(a)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64()),
+                                               pa.nulls(n, pa.int64()) if t is None else pa.array(t, pa.int64()), pa.nulls(n, pa.int32()) if band is None else pa.array(band, pa.int32()),
+                                               pa.nulls(n, pa.int32()) if need is None else pa.array(need, pa.int32())], names=["a", "b", "t", "band", "need"])
+
+        def short(members):
+            """Unite or count the pairs of a list, which ascends by size."""
+            open_pairs, lo = [], 0
+            for i, (a, w) in enumerate(members):
+                n = w >> 16
+                while 100 * (members[lo][1] >> 16) < similar * n:
+                    lo += 1
+                for b, v in members[lo:i]:
+                    if a != b:
+                        need = least_shared(n, v >> 16, similar)
+                        if need <= 1 or _AGREE[(w ^ v) & 65535]:
+                            forest.union(a, b)
+                        else:
+                            open_pairs.append((a, b, need))
+            for a, b, need in open_pairs:
+                if forest.find(a) != forest.find(b):
+                    xs.append(max(a, b))
+                    ys.append(min(a, b))
+                    needs.append(need)
+
+        def joined(members, at, head):
+            """Unite a long list's neighbouring bands, whose heads so far are ``head``."""
+            for a, w in members:
+                band = _band(w >> 16, similar)
+                if band not in head:
+                    head[band] = a
+                    if at[1] >= 0:
+                        heads[(*at, band)] = a  # a task may hold several salts of a list
+                    if band - 1 in head:
+                        forest.union(a, head[band - 1])
+                else:
+                    forest.union(a, head[band])
 
-        def pairs():
-            now, head, band_at, heavy_now = None, {}, -1, False
-            for batch in batches:
-                cols = [batch.column(i).to_pylist() for i in range(5)]
-                xs, ys = [], []
-                for a, n, t, salt, heavy in zip(*cols):
-                    if (t, salt) != now:
-                        now, head = (t, salt), {}
-                    band = _band(n, similar)
-                    if band not in head:
-                        head[band] = a
-                        if heavy:
-                            heads[(t, salt, band)] = a  # a task may hold several salts of a list
-                        if band - 1 in head:
-                            xs.append(a)
-                            ys.append(head[band - 1])
-                    else:
-                        xs.append(a)
-                        ys.append(head[band])
-                yield xs, ys
-
-        for b in forest_batches(pairs()):
-            n = b.num_rows
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], names=["a", "b", "t", "band"])
+        def done(members, at, head):
+            if head is not None or members and at[1] >= 0:
+                joined(members, at, {} if head is None else head)
+            elif len(members) > 1:
+                short(members)
+
+        now, members, head = None, [], None
+        for batch in batches:
+            t, salt = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            if not len(t):
+                continue
+            # lists of one posting go, but those at the batch's ends may go on, and heavy ones have heads
+            same = (t[1:] == t[:-1]) & (salt[1:] == salt[:-1])
+            keep = np.flatnonzero(np.concatenate(([True], same)) | np.concatenate((same, [True])) | (salt >= 0))
+            for a, w, *at in zip(batch.column(0).to_numpy()[keep].tolist(), batch.column(1).to_numpy()[keep].tolist(), t[keep].tolist(), salt[keep].tolist()):
+                if at != now:
+                    done(members, now, head)
+                    now, members, head = at, [], None
+                members.append((a, w))
+                if len(members) > LONG:
+                    head = {} if head is None else head
+                    joined(members, now, head)
+                    members = []
+            if len(xs) > PAIRS:
+                yield rows(xs, ys, need=needs)
+                del xs[:], ys[:], needs[:]
+            if len(forest.parent) > FOREST_NODES:
+                yield rows(*forest.stars())
+                forest.parent.clear()
+        done(members, now, head)
         keys = list(heads)
-        yield pa.RecordBatch.from_arrays([pa.array([heads[k] for k in keys], pa.int64()), pa.nulls(len(keys), pa.int64()),
-                                          pa.array([k[0] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.int32())], names=["a", "b", "t", "band"])
+        yield rows(xs, ys, need=needs)
+        yield rows(*forest.stars())
+        yield rows([heads[k] for k in keys], None, [k[0] for k in keys], [k[2] for k in keys])
 
-    found = stored(dealt.mapInArrow(walk, "a bigint, b bigint, t bigint, band int").distinct(), "neighbours")
+    met = dealt.mapInArrow(walk, kind).groupBy("a", "b", "t", "band", "need").agg(F.count("*").alias("lists"))
+    found = stored(met.where("need is null or lists >= need").select("a", "b", "t", "band"), "neighbours")
     # heads of a heavy list's salts: those of one band meet at the smallest, and with the next band's
     heads = found.where(F.col("t").isNotNull()).select("t", "band", "a")
     low = heads.groupBy("t", "band").agg(F.min("a").alias("b"))
@@ -326,32 +413,34 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wor
     return picked.select("id", "key", *extra, "text").mapInArrow(run, f"id bigint{kinds}, set binary")
 
 
-def _searched(rows: DataFrame, unit: list[str], parts: int, similar: int, block: str | None = None) -> DataFrame:
-    """Search each unit's sets; edges (a, b) of the found forests. Rows: unit columns, id, set."""
+def _searched(rows: DataFrame, unit: list[str], parts: int, similar: int, block: str | None = None, name: str = "id") -> DataFrame:
+    """Search each unit's sets; edges (a, b) of the found forests. Rows: unit columns, id, set. With
+    ``block``, only pairs of different blocks; sets with the same ``name`` are linked already."""
     keys = len(unit)
-    cols = [*unit, "id", "set", *([block] if block else [])]
+    cols = [*unit, "id", "set", *([block] if block else []), *([name] if name != "id" else [])]
 
     def run(batches):
         def units():
-            now, ids, sets, blocks = None, [], [], []
+            now, ids, sets, blocks, names = None, [], [], [], []
             for batch in batches:
                 for row in zip(*(batch.column(i).to_pylist() for i in range(len(cols)))):
                     if row[:keys] != now:
                         if ids:
-                            yield ids, sets, blocks
-                        now, ids, sets, blocks = row[:keys], [], [], []
+                            yield names, sets, blocks
+                        now, ids, sets, blocks, names = row[:keys], [], [], [], []
                     if ids and ids[-1] == row[keys]:
                         continue  # a repeated row
                     ids.append(row[keys])
                     sets.append(np.frombuffer(row[keys + 1], np.uint64))
                     blocks.append(row[keys + 2] if block else 0)
+                    names.append(row[-1] if name != "id" else row[keys])
             if ids:
-                yield ids, sets, blocks
+                yield names, sets, blocks
 
         search = Search(similar)
-        for ids, sets, blocks in units():
+        for names, sets, blocks in units():
             forest = Forest()
-            search.links(sets, forest, ids, blocks if block else None)
+            search.links(sets, forest, names, blocks if block else None)
             a, b = forest.stars()
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -360,22 +449,42 @@ def _searched(rows: DataFrame, unit: list[str], parts: int, similar: int, block:
 
 
 def _large(docs: DataFrame, members: DataFrame, parts: int, id_col: str, text_col: str, words: int, similar: int, unit: int) -> DataFrame:
-    """Links within neighbourhoods too large for one task: block by block of each shared list."""
-    sets = stored(_sets_of(docs, members.select("id", "key"), id_col, text_col, words, []), "large")
-    postings = members.select("id", "n", F.explode("lists").alias("t"))
-    sizes = postings.groupBy("t").agg(F.count("*").alias("m"), F.sum("n").alias("all")).where("m > 1")
-    # half a unit for each block, so that two of them make a unit; salt by id and shingle
-    blocks = sizes.select("t", F.ceil(F.col("all") / F.lit(max(1, unit // 2))).cast("int").alias("blocks"))
-    listed = stored(postings.join(blocks, "t").select("t", "id", "blocks", F.pmod(F.xxhash64("t", "id"), F.col("blocks")).cast("int").alias("block")), "lists")
-    first = _searched(listed.join(sets.select("id", "set"), "id"), ["t", "block"], parts, similar)
-    edges = stored(first, "links")
+    """Links within neighbourhoods too large for one task, whose sets are searched in blocks."""
+    sets = stored(_sets_of(docs, members.select("id", "key", "near"), id_col, text_col, words, ["near"]).withColumn("n", F.expr("octet_length(set) div 8")), "large")
+
+    def dealt(rows, salt):
+        """``rows`` with their block, one of ``blocks`` of half a unit at most on average: two of them make a unit."""
+        blocks = rows.groupBy("near").agg(F.sum("n").alias("all")).select("near", F.ceil(F.col("all") / F.lit(max(1, unit // 2))).cast("int").alias("blocks"))
+        return join_ids(rows, blocks, "near").withColumn("block", F.pmod(F.xxhash64("id", F.lit(salt)), F.col("blocks")).cast("int"))
+
+    def classed(rows):
+        return rows.join(classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    edges = stored(_searched(dealt(sets, 0), ["near", "block"], parts, similar), "links")
     classes = components(edges).withColumnRenamed("node", "id")
-    placed = listed.where("blocks > 1").join(classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_lists = placed.groupBy("t").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("t")
-    pairs = placed.join(open_lists, "t", "left_semi").select("t", "id", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).where("block != other")
-    units = pairs.select("t", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "block")
-    second = _searched(units.join(sets.select("id", "set"), "id"), ["t", "i", "j"], parts, similar, "block")
-    return edges.union(second)
+    heads, salt = sets.count() - edges.count(), 0
+    while True:
+        # the smallest member of each component, in new blocks
+        salt += 1
+        more = stored(_searched(dealt(classed(sets).where("component = id").select("near", "id", "n", "set"), salt), ["near", "block"], parts, similar), "links")
+        linked = more.count()
+        heads -= linked
+        if linked:
+            edges = edges.union(more)
+            classes = components(edges).withColumnRenamed("node", "id")
+        if linked <= heads:  # fewer than half of them
+            break
+    # the rest: sets in lists of several components, for those pairs of blocks that such a list has
+    blocks = stored(dealt(sets, 0).select("near", "id", "block"), "blocks")
+    placed = stored(classed(members.select("id", F.explode("lists").alias("t"))), "lists")
+    several = placed.groupBy("t").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("t")
+    left = stored(placed.join(several, "t", "left_semi").join(blocks, "id"), "left")
+    span = left.groupBy("near", "t", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    other = span.select("near", "t", F.col("block").alias("j"), F.col("lo").alias("lo_j"), F.col("hi").alias("hi_j"))
+    needed = span.withColumnRenamed("block", "i").join(other, ["near", "t"]).where("i < j and (lo != hi or lo_j != hi_j or lo != lo_j)").select("near", "i", "j").distinct()
+    sent = left.select("near", "id", "block", "component").distinct().join(needed.select("*", F.explode(F.array("i", "j")).alias("block")), ["near", "block"])
+    units = sets.select("id", "set").join(sent, "id")
+    return edges.union(stored(_searched(units, ["near", "i", "j"], parts, similar, "block", "component"), "links"))
 
 
 def _links(docs: DataFrame, classes: DataFrame, table, id_col: str, text_col: str, words: int, similar: int, unit: int) -> list[DataFrame]:
@@ -392,12 +501,12 @@ def _links(docs: DataFrame, classes: DataFrame, table, id_col: str, text_col: st
     if in_large:
         big = members.join(large, "near", "left_semi")
         if 2 * in_large > classes.agg(F.sum("n")).first()[0]:
-            return [*out, _large(docs, big.join(classes.select("id", "lists"), "id"), parts, id_col, text_col, words, similar, unit)]
+            return [*out, _large(docs, big.join(classes.select("id", "key", "lists"), ["id", "key"]), parts, id_col, text_col, words, similar, unit)]
         rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
         sub = stored(join_ids(rows, big.select("id").distinct(), "id", "left_semi"), "again")
         finer = spark.sparkContext.broadcast(frequencies(sub, "text", words))
         again = prepare(sub, finer, "id", "text", words, similar).join(big.select("id", "key"), ["id", "key"], "left_semi").dropDuplicates(["id"])
-        out += _links(sub, stored(again.select("id", "key", "n", "lists"), "classes"), finer, "id", "text", words, similar, unit)
+        out += _links(sub, stored(again.select("id", "key", "n", "sig", "lists"), "classes"), finer, "id", "text", words, similar, unit)
     return out
 
 
@@ -407,7 +516,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     table = docs.sparkSession.sparkContext.broadcast(frequencies(docs, text_col, words))
     sets = stored(prepare(docs, table, id_col, text_col, words, similar), "sets")
     # grouped anew where needed: only the first use reads the lists
-    classes = sets.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("lists").alias("lists"))
+    classes = sets.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("lists").alias("lists"))
     links = _links(docs, classes, table, id_col, text_col, words, similar, unit)
     linked = components(reduce(DataFrame.union, links), "linked")
     of_key = classes.select("key", "id").join(linked.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))

@@ -256,3 +256,64 @@ def test_search_of_a_unit_equals_all_pairs(seed):
             if 100 * both >= 80 * (len(a) + len(sets[j]) - both) and not (blocks and blocks[i] == blocks[j]):
                 want.union(names[i], names[j])
     assert {n: got.find(n) for n in names} == {n: want.find(n) for n in names}
+
+
+def test_least_shared_of_short_lists():
+    """Linked sets share as many shingles of their short lists as told, in whatever order; some no more."""
+    rnd, least = random.Random(5), set()
+    for _ in range(20_000):
+        both, own, others = rnd.randint(1, 60), rnd.randint(0, 9), rnd.randint(0, 9)
+        n, m = both + own, both + others
+        if 100 * both < 80 * (n + m - both):
+            continue
+        order = rnd.sample("b" * both + "x" * own + "y" * others, both + own + others) if rnd.random() < 0.5 else "x" * own + "y" * others + "b" * both
+        at_n = [i for i, c in enumerate(order) if c != "y"][:ngram_join.short_lists(n)]
+        at_m = [i for i, c in enumerate(order) if c != "x"][:ngram_join.short_lists(m)]
+        shared = len(set(at_n) & set(at_m))
+        assert shared >= ngram_join.least_shared(n, m) >= 1
+        least.add(shared - ngram_join.least_shared(n, m))
+    assert 0 in least
+
+
+@pytest.mark.parametrize("agree", [0, 1])
+def test_neighbourhoods_in_long_and_short_lists(spark, agree, monkeypatch):
+    """No link is lost where lists of more than two postings are long, or where all pairs are counted."""
+    monkeypatch.setattr(ngram_join, "LONG", 2 if agree else 1000)
+    monkeypatch.setattr(ngram_join, "PAIRS", 10)
+    if not agree:
+        monkeypatch.setattr(ngram_join, "_AGREE", bytes(1 << 16))
+    rows = copies(9)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(rows)
+
+
+def test_a_shared_passage_makes_no_neighbourhood(spark):
+    """Texts with a passage in common share a few shingles of their short lists but can't link."""
+    rnd = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(20))
+    own = [" ".join(f"w{rnd.randint(0, 10 ** 6)}" for _ in range(110)) for _ in range(25)]
+    rows = [(i, f"{t} {passage}") for i, t in enumerate(own)] + [(100 + i, f"{t} {passage} new") for i, t in enumerate(own[:5])]
+    table = spark.sparkContext.broadcast(np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8))
+    classes = ngram_join.prepare(spark.createDataFrame(rows, "doc_id long, text string"), table, "doc_id", "text", 5, 80)
+    met = classes.select(F.explode("lists").alias("t")).groupBy("t").count().where("count > 10")
+    assert met.count()  # else the passage is in no short list
+    near = {r["node"]: r["component"] for r in components.components(ngram_join._neighbour_edges(classes, table, 8, 80)).collect()}
+    assert near == {i: i % 100 for i in (*range(5), *range(100, 105))}
+
+
+def test_large_neighbourhood_is_sent_a_few_times(spark, monkeypatch):
+    """Sets of a neighbourhood beyond a unit are dealt into blocks, not sent for each shingle they share."""
+    rnd = random.Random(6)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        w[rnd.randrange(200)] = f"e{i}"
+        rows.append((i, " ".join(w)))
+    rows.append((60, " ".join(base[:120])))  # shares much and links with none
+    sent, search = [], ngram_join._searched
+    monkeypatch.setattr(ngram_join, "_searched", lambda r, *a, **b: sent.append(r.count()) or search(r, *a, **b))
+    monkeypatch.setattr(ngram_join, "LONG", 4, raising=False)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), unit=4000).collect()}
+    assert got == brute_components(rows)
+    assert len(sent) > 2 and sum(sent) < 8 * len(rows)
