@@ -317,3 +317,19 @@ def test_large_neighbourhood_is_sent_a_few_times(spark, monkeypatch):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), unit=4000).collect()}
     assert got == brute_components(rows)
     assert len(sent) > 2 and sum(sent) < 8 * len(rows)
+
+
+def test_near_duplicates_of_a_large_family(spark, monkeypatch):
+    """The pipeline's second stage keeps one document of a family beyond a unit, sending each set a few times."""
+    import functools
+    rnd = random.Random(11)
+    docs = []
+    for i in range(40):
+        w = [f"w{k}" for k in range(150)]
+        w[rnd.randrange(150)] = f"e{i}"
+        docs.append((i, " ".join(w), "en", "s", 1))
+    sent, search = [], ngram_join._searched
+    monkeypatch.setattr(ngram_join, "_searched", lambda r, *a, **b: sent.append(r.count()) or search(r, *a, **b))
+    monkeypatch.setattr(ngram_join, "join", functools.partial(ngram_join.join, unit=2500))
+    got = stage("n-gram")(spark, spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), SF)
+    assert [r["doc_id"] for r in got.collect()] == [0] and sum(sent) < 8 * len(docs)
